@@ -27,22 +27,41 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsegrid import schemas as S
 
 _NULL_BUCKET = -(2**62)  # sorts before every real bucket, like NULL timestamps do
-_EPOCH = "1970-01-01 00:00:00"
 
 
 def _zone_key(zone: str) -> Column:
-    """Non-NULL, injective key so the NULL zone is a group and joins stay plain equi-joins."""
-    return F.when(F.col(zone).isNull(), F.lit("0")).otherwise(
-        F.concat(F.lit("1"), F.col(zone).cast("string"))
+    """Non-NULL, injective key: NULL -> "0", value x -> "1" + x.
+
+    The NULL zone stays a group of its own, the key can be a plain equi-join
+    key, and Catalyst knows it is never NULL (no inferred not-null filter).
+    """
+    return F.concat(
+        F.when(F.col(zone).isNull(), F.lit("0")).otherwise(F.lit("1")),
+        F.coalesce(F.col(zone).cast("string"), F.lit("")),
     )
 
 
-def _bucket(order: str, bucket_minutes: int) -> Column:
-    minutes = F.timestamp_diff("MINUTE", F.lit(_EPOCH).cast("timestamp_ntz"), F.col(order).cast("timestamp_ntz"))
+def _bucket(df: DataFrame, order: str, bucket_minutes: int) -> Column:
+    """Monotone bucket number of the order column; NULL sorts first.
+
+    For timestamp_ntz it is built from the calendar fields, which involves no
+    time zone (a zone-aware cast would reorder wall-clock times inside a DST
+    gap); for a zoned timestamp the instant (epoch micros) is used.
+    """
+    t = F.col(order)
+    if isinstance(df.schema[order].dataType, T.TimestampType):
+        minutes = F.floor(F.unix_micros(t) / F.lit(60_000_000))
+    else:
+        minutes = (
+            F.unix_date(F.to_date(t)).cast("long") * F.lit(1440)
+            + F.hour(t) * F.lit(60)
+            + F.minute(t)
+        )
     return F.coalesce(F.floor(minutes / F.lit(bucket_minutes)), F.lit(_NULL_BUCKET))
 
 
@@ -62,7 +81,7 @@ def rolling_means(
     values are skipped by the mean; a frame without values gives NULL.
     """
     prev = events - 1
-    keyed = df.withColumn("_zk", _zone_key(zone)).withColumn("_bk", _bucket(order, bucket_minutes))
+    keyed = df.withColumn("_zk", _zone_key(zone)).withColumn("_bk", _bucket(df, order, bucket_minutes))
     order_cols = [F.col(order).asc_nulls_first(), F.col(tie).asc_nulls_first()]
     reverse_cols = [F.col(order).desc_nulls_last(), F.col(tie).desc_nulls_last()]
 
@@ -91,29 +110,34 @@ def rolling_means(
     main = keyed.select("*", F.row_number().over(w).alias("_r"), *lag_cols)
     joined = main.join(halo, on=["_zk", "_bk"], how="left")
 
+    # frame slots before the current row: in-bucket lag, else halo, else absent;
+    # an absent slot is NULL, which the mean skips exactly like a NULL value
     r = F.col("_r")
     halo_size = F.coalesce(F.size("_halo"), F.lit(0))
-    out_cols = []
+    slot_cols = []
     for v in values:
-        total = F.lit(0.0)
-        count = F.lit(0)
-        for k in range(prev, -1, -1):  # oldest slot first
-            if k == 0:
-                present, val = F.lit(True), F.col(v)
-            else:
-                from_halo = k - r + 1  # position from the end of the halo when k >= r
-                present = (F.lit(k) < r) | (from_halo <= halo_size)
-                val = F.when(F.lit(k) < r, F.col(f"_{v}_lag{k}")).otherwise(
-                    F.when(from_halo <= halo_size, F.try_element_at("_halo", -from_halo)[v])
-                )
-            val = F.when(present, val)
-            total = total + F.coalesce(val.cast("double"), F.lit(0.0))
-            count = count + F.when(val.isNotNull(), F.lit(1)).otherwise(F.lit(0))
-        out_cols.append(F.when(count > 0, total / count).alias(f"{v}{suffix}"))
-
+        for k in range(1, events):
+            from_halo = F.lit(k) - r + F.lit(1)  # position from the halo's end when k >= r
+            slot_cols.append(
+                F.when(F.lit(k) < r, F.col(f"_{v}_lag{k}"))
+                .when(from_halo <= halo_size, F.try_element_at("_halo", -from_halo)[v])
+                .cast("double")
+                .alias(f"_{v}_s{k}")
+            )
     helper = {"_zk", "_bk", "_r", "_halo"} | {f"_{v}_lag{k}" for v in values for k in range(1, events)}
     keep = [c for c in joined.columns if c not in helper]
-    return joined.select(*keep, *out_cols)
+    slotted = joined.select(*keep, *slot_cols)
+
+    # mean = (((0.0 + s_oldest) + ...) + current) / non-NULL count: Spark's avg order
+    out_cols = []
+    for v in values:
+        frame = [F.col(f"_{v}_s{k}") for k in range(prev, 0, -1)] + [F.col(v).cast("double")]
+        total, count = F.lit(0.0), F.lit(0)
+        for x in frame:
+            total = total + F.coalesce(x, F.lit(0.0))
+            count = count + F.when(x.isNotNull(), F.lit(1)).otherwise(F.lit(0))
+        out_cols.append(F.when(count > 0, total / count).alias(f"{v}{suffix}"))
+    return slotted.select(*keep, *out_cols)
 
 
 def rolling_zone_features(
