@@ -82,7 +82,7 @@ def hour_floor(ts: ColumnOrName) -> Column:
 
 
 def is_anomaly(score: ColumnOrName = "ai_anomaly_score") -> Column:
-    return flag(_c(score) >= F.lit(S.ANOMALY_THRESHOLD))
+    return flag(nan_to_null(score) >= F.lit(S.ANOMALY_THRESHOLD))
 
 
 def is_high_congestion(level: ColumnOrName = "congestion_level") -> Column:
@@ -195,8 +195,8 @@ def batch_alert(
     critical: ColumnOrName = "critical_event",
 ) -> Column:
     return (
-        flag(_c(shock) >= F.lit(S.SHOCK_INDEX_ALERT))
-        | flag(_c(spo2) <= F.lit(S.SPO2_ALERT_MAX))
-        | flag(_c(lactate) >= F.lit(S.LACTATE_ALERT))
+        flag(nan_to_null(shock) >= F.lit(S.SHOCK_INDEX_ALERT))
+        | flag(nan_to_null(spo2) <= F.lit(S.SPO2_ALERT_MAX))
+        | flag(nan_to_null(lactate) >= F.lit(S.LACTATE_ALERT))
         | flag(_c(critical))
     )
