@@ -23,7 +23,7 @@ from pulsegrid.operators.ranking import filter_options, top_anomalies, top_risk_
 from pulsegrid.operators.slices import split_by_values, union_batches
 from pulsegrid.operators.timeseries import forecast, hourly_trend, scaled_trend
 from pulsegrid.plans.icu_job import preprocess_icu_sliced
-from pulsegrid.plans.traffic_job import curate_traffic, run_stats_frame, run_traffic_job
+from pulsegrid.plans.traffic_job import curate_traffic, run_stats_frame, run_traffic_job, top_risk_report
 from pulsegrid.session import shared_scratch_path
 from pulsegrid.sources import files
 from pulsegrid.sources.fixtures import icu, traffic
@@ -115,7 +115,7 @@ QUERIES: dict[str, Query] = {
     "tppp_typed": _typed,
     "tppp_curated": lambda s, d: curate_traffic(traffic(s, d)),
     "tppp_zone_weather_summary": lambda s, d: A.zone_weather_profile(_typed(s, d)),
-    "tppp_top_anomalies": lambda s, d: top_risk_events(curate_traffic(traffic(s, d))),
+    "tppp_top_anomalies": lambda s, d: top_risk_report(traffic(s, d)),
     "tppp_run_stats": _run_stats,
     # ICU batch job
     "icu_preprocessed": _icu_preprocessed,
@@ -143,7 +143,7 @@ QUERIES: dict[str, Query] = {
         A.zone_weather_profile(_typed(s, d)), S.SUMMARY_SCHEMA, "summary"
     ),
     "sink_csv_tppp_anomalies": lambda s, d: _round_trip_csv(
-        top_risk_events(curate_traffic(traffic(s, d))), S.ANOMALIES_SCHEMA, "anomalies"
+        top_risk_report(traffic(s, d)), S.ANOMALIES_SCHEMA, "anomalies"
     ),
     "sink_parquet_curated": lambda s, d: _round_trip_parquet(curate_traffic(traffic(s, d)), "curated"),
 }

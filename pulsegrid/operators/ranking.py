@@ -25,10 +25,15 @@ def top_anomalies(prepared: DataFrame, limit: int = S.TOP_ANOMALY_LIMIT) -> Data
     )
 
 
-def top_risk_events(curated: DataFrame, limit: int = S.PIPELINE_ANOMALY_LIMIT) -> DataFrame:
+def top_risk_events(
+    curated: DataFrame,
+    limit: int = S.PIPELINE_ANOMALY_LIMIT,
+    columns: Sequence[str] = tuple(S.PIPELINE_ANOMALY_COLUMNS),
+) -> DataFrame:
     """Highest risk index, then anomaly score (ties: event time, vehicle id)."""
+    keys = ["risk_index", "ai_anomaly_score", "event_timestamp", "vehicle_id"]
     return (
-        curated.select(*S.PIPELINE_ANOMALY_COLUMNS)
+        curated.select(*dict.fromkeys([*columns, *keys]))
         .orderBy(
             F.desc_nulls_last("risk_index"),
             F.desc_nulls_last("ai_anomaly_score"),
@@ -36,6 +41,7 @@ def top_risk_events(curated: DataFrame, limit: int = S.PIPELINE_ANOMALY_LIMIT) -
             F.asc("vehicle_id"),
         )
         .limit(limit)
+        .select(*columns)
     )
 
 

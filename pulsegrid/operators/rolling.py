@@ -65,27 +65,16 @@ def _bucket(df: DataFrame, order: str, bucket_minutes: int) -> Column:
     return F.coalesce(F.floor(minutes / F.lit(bucket_minutes)), F.lit(_NULL_BUCKET))
 
 
-def rolling_means(
-    df: DataFrame,
-    values: Sequence[str],
-    zone: str = "city_zone",
-    order: str = "event_timestamp",
-    tie: str = "vehicle_id",
-    events: int = S.ROLLING_EVENTS,
-    bucket_minutes: int = 60,
-    suffix: str = "_rolling_mean",
-) -> DataFrame:
-    """Add ``<value><suffix>``: mean of ``value`` over the zone's last ``events`` rows.
+def _keyed(df: DataFrame, zone: str, order: str, bucket_minutes: int) -> DataFrame:
+    return df.withColumn("_zk", _zone_key(zone)).withColumn("_bk", _bucket(df, order, bucket_minutes))
 
-    Rows are ordered by (``order``, ``tie``) ascending, NULLs first. NULL
-    values are skipped by the mean; a frame without values gives NULL.
-    """
-    prev = events - 1
-    keyed = df.withColumn("_zk", _zone_key(zone)).withColumn("_bk", _bucket(df, order, bucket_minutes))
-    order_cols = [F.col(order).asc_nulls_first(), F.col(tie).asc_nulls_first()]
-    reverse_cols = [F.col(order).desc_nulls_last(), F.col(tie).desc_nulls_last()]
 
-    # 1. tails: the last `prev` rows of every (zone, bucket), oldest first
+def _halo(keyed: DataFrame, values: Sequence[str], order: str, tie: str, prev: int) -> DataFrame:
+    """(zone, bucket) -> the last ``prev`` rows before the bucket, oldest first."""
+    reverse_cols = [F.col(order).desc_nulls_last(), F.col(tie).desc_nulls_last()]
+    # 1. tails: the last `prev` rows of every (zone, bucket); the row_number filter
+    #    becomes a map-side WindowGroupLimit, so at most `prev` rows per group and
+    #    input partition are shuffled
     w_rev = Window.partitionBy("_zk", "_bk").orderBy(*reverse_cols)
     tails = (
         keyed.select("_zk", "_bk", order, tie, *values)
@@ -94,17 +83,28 @@ def rolling_means(
         .groupBy("_zk", "_bk")
         .agg(F.sort_array(F.collect_list(F.struct("_rn", *values)), asc=False).alias("_tail"))
     )
-
-    # 2. halo: the last `prev` rows before each bucket
+    # 2. halo: the tails of the `prev` buckets before each bucket hold its `prev` predecessors
     w_before = Window.partitionBy("_zk").orderBy("_bk").rowsBetween(-prev, -1)
     before = F.flatten(F.collect_list("_tail").over(w_before))
-    halo = tails.select("_zk", "_bk", before.alias("_h")).select(
+    return tails.select("_zk", "_bk", before.alias("_h")).select(
         "_zk",
         "_bk",
         F.slice("_h", F.greatest(F.size("_h") - F.lit(prev - 1), F.lit(1)), prev).alias("_halo"),
     )
 
-    # 3. main pass: position and lags inside the bucket, then fill from the halo
+
+def _fill(
+    keyed: DataFrame,
+    halo: DataFrame,
+    values: Sequence[str],
+    order: str,
+    tie: str,
+    events: int,
+    suffix: str,
+) -> DataFrame:
+    """3. main pass: position and lags inside the bucket, then fill from the halo."""
+    prev = events - 1
+    order_cols = [F.col(order).asc_nulls_first(), F.col(tie).asc_nulls_first()]
     w = Window.partitionBy("_zk", "_bk").orderBy(*order_cols)
     lag_cols = [F.lag(v, k).over(w).alias(f"_{v}_lag{k}") for v in values for k in range(1, events)]
     main = keyed.select("*", F.row_number().over(w).alias("_r"), *lag_cols)
@@ -140,17 +140,63 @@ def rolling_means(
     return slotted.select(*keep, *out_cols)
 
 
+# a target set up to this many rows is broadcast to select its buckets
+TARGET_BROADCAST_ROWS = 100_000
+
+
+def rolling_means(
+    df: DataFrame,
+    values: Sequence[str],
+    zone: str = "city_zone",
+    order: str = "event_timestamp",
+    tie: str = "vehicle_id",
+    events: int = S.ROLLING_EVENTS,
+    bucket_minutes: int = 60,
+    suffix: str = "_rolling_mean",
+    targets: DataFrame | None = None,
+    max_targets: int | None = None,
+) -> DataFrame:
+    """Add ``<value><suffix>``: mean of ``value`` over the zone's last ``events`` rows.
+
+    Rows are ordered by (``order``, ``tie``) ascending, NULLs first. NULL
+    values are skipped by the mean; a frame without values gives NULL.
+
+    ``targets`` (rows of ``df``, at least the zone and order columns) limits the
+    expensive full-row pass to the buckets that hold those rows: the result is
+    every row of those buckets, with exact means (the halo still comes from all
+    of ``df``). ``max_targets`` is a known upper bound on the target count; the
+    bucket keys are broadcast only under that bound.
+    """
+    prev = events - 1
+    keyed = _keyed(df, zone, order, bucket_minutes)
+    halo = _halo(keyed, values, order, tie, prev)
+    if targets is not None:
+        keys = _keyed(targets, zone, order, bucket_minutes).select("_zk", "_bk").distinct()
+        if max_targets is not None and max_targets <= TARGET_BROADCAST_ROWS:
+            keys = F.broadcast(keys)
+        keyed = keyed.join(keys, on=["_zk", "_bk"], how="left_semi")
+    return _fill(keyed, halo, values, order, tie, events, suffix)
+
+
 def rolling_zone_features(
     typed: DataFrame,
     events: int = S.ROLLING_EVENTS,
     bucket_minutes: int = 60,
+    targets: DataFrame | None = None,
+    max_targets: int | None = None,
 ) -> DataFrame:
-    """Rolling density (2 dp) and rolling-mean speed minus own speed (2 dp) per zone."""
+    """Rolling density (2 dp) and rolling-mean speed minus own speed (2 dp) per zone.
+
+    With ``targets`` only the rows of the targets' buckets are returned (see
+    :func:`rolling_means`).
+    """
     means = rolling_means(
         typed,
         ["traffic_density", "average_speed"],
         events=events,
         bucket_minutes=bucket_minutes,
+        targets=targets,
+        max_targets=max_targets,
     )
     return means.select(
         *typed.columns,

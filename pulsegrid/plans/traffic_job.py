@@ -30,6 +30,28 @@ def curate_traffic(traffic: DataFrame, bucket_minutes: int = 60) -> DataFrame:
     return rolling_zone_features(type_traffic(traffic), bucket_minutes=bucket_minutes)
 
 
+def top_risk_report(
+    traffic: DataFrame,
+    limit: int = S.PIPELINE_ANOMALY_LIMIT,
+    bucket_minutes: int = 60,
+) -> DataFrame:
+    """The top-``limit`` risk events with their rolling zone features, without curating every row.
+
+    The ranking keys (risk index, anomaly score, time, id) do not depend on the
+    rolling features, so the top rows are picked first (TakeOrderedAndProject
+    over the typed rows); the full-row window pass then runs only over the
+    buckets holding those rows (their keys are broadcast: at most ``limit``),
+    with the exact halo from the narrow tails pass. The top-``limit`` of that
+    superset is the global top-``limit``.
+    """
+    typed = type_traffic(traffic)
+    candidates = top_risk_events(typed, limit, columns=["city_zone", "event_timestamp"])
+    rolled = rolling_zone_features(
+        typed, bucket_minutes=bucket_minutes, targets=candidates, max_targets=limit
+    )
+    return top_risk_events(rolled, limit)
+
+
 def run_traffic_job(
     spark: SparkSession,
     source: str | DataFrame,

@@ -26,6 +26,6 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     got = QUERIES[name](spark, SF).toPandas()
-    want = duck.execute(ORACLES[name]).to_arrow_table().to_pandas()
+    want = duck.sql(ORACLES[name]).to_arrow_table().to_pandas()
     problems = compare(got, want)
     assert not problems, f"{name}: " + "; ".join(problems)

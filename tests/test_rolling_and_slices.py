@@ -17,10 +17,6 @@ from support import SF_DIRS
 CURATED_EXTRA = ["rolling_density_6_event", "speed_drop_from_zone_avg"]
 
 
-def _rows(df, key):
-    return sorted(df.collect(), key=lambda r: tuple(str(r[k]) for k in key))
-
-
 @pytest.mark.parametrize("bucket_minutes", [1, 60, 24 * 60, 100_000])
 def test_bucketed_rolling_is_bit_identical_to_direct_window(spark, bucket_minutes):
     typed = type_traffic(traffic(spark, SF_DIRS["0.01"]))
@@ -38,7 +34,7 @@ def _edge_frame(spark):
         zone = ["A", "B", None][i % 3]
         ts = None if i % 17 == 0 else base + dt.timedelta(minutes=int(rng.integers(0, 600)))
         d = None if i % 11 == 0 else float(rng.integers(0, 10_000)) / 100
-        s = float("nan") if False else (None if i % 13 == 0 else float(rng.integers(0, 5000)) / 100)
+        s = None if i % 13 == 0 else float(rng.integers(0, 5000)) / 100
         rows.append((f"V{i:04d}", zone, ts, d, s))
     # ties on the timestamp inside one zone
     rows += [(f"T{i}", "A", base + dt.timedelta(minutes=5), float(i), float(i)) for i in range(4)]
@@ -109,3 +105,15 @@ def test_contiguous_slices_equal_ntile(spark):
     )
     assert sliced.exceptAll(direct).count() == 0
     assert sliced.count() == df.count()
+
+
+@pytest.mark.parametrize("limit", [1, 20, 100, 5000])
+def test_top_risk_report_equals_top_of_fully_curated_table(spark, limit):
+    from pulsegrid.operators.ranking import top_risk_events
+    from pulsegrid.plans.traffic_job import curate_traffic, top_risk_report
+
+    t = traffic(spark, SF_DIRS["0.01"])
+    fast = top_risk_report(t, limit)
+    full = top_risk_events(curate_traffic(t), limit)
+    assert fast.columns == full.columns
+    assert fast.collect() == full.collect()
