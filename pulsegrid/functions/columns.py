@@ -1,17 +1,19 @@
 """Scalar column expressions.
 
-Everything here is a built-in ``pyspark.sql.functions`` expression, so it is
-evaluated JVM-side inside whole-stage codegen. No Python UDF anywhere.
+Everything here is a built-in Spark SQL expression, evaluated JVM-side inside
+whole-stage codegen; no Python UDF anywhere. The wider expressions (CASE
+chains, weighted sums) are written as SQL text and parsed once by the JVM
+(``F.expr``), which keeps building a query cheap: composing them from Column
+objects costs one Python-to-JVM round trip per node.
 
-Two null families exist and are kept apart on purpose:
+Arguments are column names. Two null families are kept apart on purpose:
 
 * dashboard / ICU flags follow the pandas-style rule "a comparison with a
-  missing value is False" -> :func:`flag` wraps the predicate in
-  ``coalesce(pred, false)``;
-* the traffic batch-job flags (``severe_event``) keep Spark's three-valued logic.
+  missing value is False": :func:`flag_sql` wraps the predicate in
+  ``coalesce(pred, false)`` and NaN is treated as missing;
+* the traffic batch-job flag (``severe_event``) keeps Spark's three-valued logic.
 
-NaN is turned into NULL once, at ingestion (:func:`nan_to_null`), so that
-``NaN >= x`` never becomes true.
+NaN is also turned into NULL at ingestion (:func:`nan_to_null`).
 """
 
 from __future__ import annotations
@@ -23,180 +25,194 @@ from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
 
-ColumnOrName = Column | str
 
+def q(name: str) -> str:
+    """Quote a column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
 
-def _c(col: ColumnOrName) -> Column:
-    return F.col(col) if isinstance(col, str) else col
 
+def dbl(x: float) -> str:
+    """A double literal (same value as ``F.lit(float)``)."""
+    return f"{float(x)!r}D"
 
-def nan_to_null(col: ColumnOrName) -> Column:
+
+def nan_to_null_sql(name: str) -> str:
+    return f"nanvl({q(name)}, CAST(NULL AS DOUBLE))"
+
+
+def nan_to_null(name: str) -> Column:
     """NaN -> NULL for a double column (other values unchanged)."""
-    return F.nanvl(_c(col), F.lit(None).cast("double"))
+    return F.expr(nan_to_null_sql(name))
 
 
-def flag(predicate: Column) -> Column:
+def flag_sql(predicate_sql: str) -> str:
     """A boolean that is False where the predicate is NULL (missing input)."""
-    return F.coalesce(predicate, F.lit(False))
+    return f"coalesce({predicate_sql}, false)"
 
 
-def clamp(col: ColumnOrName, lo: float, hi: float) -> Column:
+def clamp(col: Column | str, lo: float, hi: float) -> Column:
     """Clip to [lo, hi]; NULL stays NULL (greatest/least would skip it)."""
-    x = _c(col)
+    x = F.col(col) if isinstance(col, str) else col
     return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(
         F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), x))
     )
 
 
-def right_closed_band(col: ColumnOrName, edges: Sequence[float], labels: Sequence[str]) -> Column:
+def clamp_sql(x_sql: str, lo: float, hi: float) -> str:
+    return f"CASE WHEN ({x_sql}) IS NULL THEN CAST(NULL AS DOUBLE) ELSE greatest({dbl(lo)}, least({dbl(hi)}, {x_sql})) END"
+
+
+def right_closed_band_sql(name: str, edges: Sequence[float], labels: Sequence[str]) -> str:
+    x = q(name)
+    arms = " ".join(
+        f"WHEN {x} > {dbl(lo)} AND {x} <= {dbl(hi)} THEN '{label}'"
+        for lo, hi, label in zip(edges[:-1], edges[1:], labels)
+    )
+    return f"CASE {arms} ELSE CAST(NULL AS STRING) END"
+
+
+def right_closed_band(name: str, edges: Sequence[float], labels: Sequence[str]) -> Column:
     """Label of the right-closed interval (edges[i], edges[i+1]] holding the value.
 
     Values outside (edges[0], edges[-1]] and NULL get NULL.
     """
-    x = _c(col)
-    expr = None
-    for lo, hi, label in zip(edges[:-1], edges[1:], labels):
-        cond = (x > F.lit(float(lo))) & (x <= F.lit(float(hi)))
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(None).cast("string"))
+    return F.expr(right_closed_band_sql(name, edges, labels))
 
 
-def congestion_band(density: ColumnOrName = "traffic_density") -> Column:
+def congestion_band(density: str = "traffic_density") -> Column:
     return right_closed_band(density, S.CONGESTION_BAND_EDGES, S.CONGESTION_BAND_LABELS)
 
 
-def severity_band(risk: ColumnOrName = "mortality_risk") -> Column:
+def severity_band(risk: str = "mortality_risk") -> Column:
     return right_closed_band(risk, S.SEVERITY_BAND_EDGES, S.SEVERITY_BAND_LABELS)
 
 
-def hour_floor(ts: ColumnOrName) -> Column:
+def hour_floor_sql(ts: str) -> str:
+    t = q(ts)
+    return f"make_timestamp_ntz(year({t}), month({t}), day({t}), hour({t}), 0, 0)"
+
+
+def hour_floor(ts: str) -> Column:
     """Truncate a timestamp_ntz to the hour, staying timestamp_ntz.
 
     ``date_trunc`` returns a zoned timestamp and would tie the result to the
     session time zone; building the value from its fields does not.
     """
-    t = _c(ts)
-    return F.make_timestamp_ntz(
-        F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0)
-    )
+    return F.expr(hour_floor_sql(ts))
 
 
-def is_anomaly(score: ColumnOrName = "ai_anomaly_score") -> Column:
-    return flag(nan_to_null(score) >= F.lit(S.ANOMALY_THRESHOLD))
+def is_anomaly(score: str = "ai_anomaly_score") -> Column:
+    return F.expr(flag_sql(f"{nan_to_null_sql(score)} >= {dbl(S.ANOMALY_THRESHOLD)}"))
 
 
-def is_high_congestion(level: ColumnOrName = "congestion_level") -> Column:
-    return flag(_c(level).isin(S.HIGH_CONGESTION_LEVELS))
+def is_high_congestion(level: str = "congestion_level") -> Column:
+    levels = ", ".join(f"'{v}'" for v in S.HIGH_CONGESTION_LEVELS)
+    return F.expr(flag_sql(f"{q(level)} IN ({levels})"))
 
 
-def congestion_weight(level: ColumnOrName = "congestion_level") -> Column:
-    lv = _c(level)
-    expr = None
-    for label, weight in S.CONGESTION_WEIGHTS.items():
-        cond = lv == F.lit(label)
-        expr = F.when(cond, F.lit(weight)) if expr is None else expr.when(cond, F.lit(weight))
-    return expr.otherwise(F.lit(S.DEFAULT_CONGESTION_WEIGHT))
+def congestion_weight(level: str = "congestion_level") -> Column:
+    arms = " ".join(f"WHEN {q(level)} = '{label}' THEN {w}" for label, w in S.CONGESTION_WEIGHTS.items())
+    return F.expr(f"CASE {arms} ELSE {S.DEFAULT_CONGESTION_WEIGHT} END")
 
 
 def risk_index(
-    density: ColumnOrName = "traffic_density",
-    speed: ColumnOrName = "average_speed",
-    wait: ColumnOrName = "signal_wait_time",
-    accident: ColumnOrName = "accident_probability",
-    anomaly: ColumnOrName = "ai_anomaly_score",
+    density: str = "traffic_density",
+    speed: str = "average_speed",
+    wait: str = "signal_wait_time",
+    accident: str = "accident_probability",
+    anomaly: str = "ai_anomaly_score",
 ) -> Column:
     """Weighted risk index rounded to 4 dp (HALF_UP)."""
     w = S.RISK_INDEX_WEIGHTS
     raw = (
-        (_c(density) / F.lit(100) * F.lit(w["density"]))
-        + ((F.lit(110) - _c(speed)) / F.lit(110) * F.lit(w["speed"]))
-        + (_c(wait) / F.lit(180) * F.lit(w["wait"]))
-        + (_c(accident) * F.lit(w["accident"]))
-        + (_c(anomaly) * F.lit(w["anomaly"]))
+        f"((((({q(density)} / 100) * {dbl(w['density'])})"
+        f" + (((110 - {q(speed)}) / 110) * {dbl(w['speed'])}))"
+        f" + (({q(wait)} / 180) * {dbl(w['wait'])}))"
+        f" + ({q(accident)} * {dbl(w['accident'])}))"
+        f" + ({q(anomaly)} * {dbl(w['anomaly'])})"
     )
-    return F.round(raw, 4)
+    return F.expr(f"round({raw}, 4)")
 
 
 def severe_event(
-    risk: ColumnOrName = "risk_index",
-    anomaly: ColumnOrName = "ai_anomaly_score",
-    speed: ColumnOrName = "average_speed",
-    density: ColumnOrName = "traffic_density",
+    risk: str = "risk_index",
+    anomaly: str = "ai_anomaly_score",
+    speed: str = "average_speed",
+    density: str = "traffic_density",
 ) -> Column:
     """Severe flag with Spark's three-valued OR (uses the rounded risk index)."""
-    return (
-        (_c(risk) >= F.lit(S.SEVERE_RISK_THRESHOLD))
-        | (_c(anomaly) >= F.lit(S.SEVERE_ANOMALY_THRESHOLD))
-        | ((_c(speed) <= F.lit(S.SEVERE_MAX_SPEED)) & (_c(density) >= F.lit(S.SEVERE_MIN_DENSITY)))
+    return F.expr(
+        f"(({q(risk)} >= {dbl(S.SEVERE_RISK_THRESHOLD)}) OR ({q(anomaly)} >= {dbl(S.SEVERE_ANOMALY_THRESHOLD)}))"
+        f" OR (({q(speed)} <= {dbl(S.SEVERE_MAX_SPEED)}) AND ({q(density)} >= {dbl(S.SEVERE_MIN_DENSITY)}))"
     )
 
 
-def percentage(part: ColumnOrName, whole: ColumnOrName) -> Column:
+def percentage(part: str, whole: str) -> Column:
     """part / whole * 100; NULL when whole is 0 (ANSI division would raise)."""
-    return F.try_divide(_c(part), _c(whole)) * F.lit(100)
+    return F.expr(f"try_divide({q(part)}, {q(whole)}) * 100")
+
+
+def peak_multiplier_sql(hour_sql: str) -> str:
+    cond = " OR ".join(f"({hour_sql} BETWEEN {lo} AND {hi})" for lo, hi in S.PEAK_HOUR_RANGES)
+    return f"CASE WHEN {cond} THEN {dbl(S.PEAK_MULTIPLIER)} ELSE {dbl(S.OFF_PEAK_MULTIPLIER)} END"
 
 
-def peak_multiplier(hour: ColumnOrName) -> Column:
-    h = _c(hour)
-    cond = None
-    for lo, hi in S.PEAK_HOUR_RANGES:
-        c = h.between(lo, hi)
-        cond = c if cond is None else (cond | c)
-    return F.when(cond, F.lit(S.PEAK_MULTIPLIER)).otherwise(F.lit(S.OFF_PEAK_MULTIPLIER))
+def peak_multiplier(hour: str) -> Column:
+    return F.expr(peak_multiplier_sql(q(hour)))
 
 
-def accident_risk_score(density: ColumnOrName, wait: ColumnOrName, road_risk: ColumnOrName) -> Column:
+def accident_risk_score(density: str, wait: str, road_risk: str) -> Column:
     """Noise-free accident probability: .03 + d/260 + w/750 + road risk, clip 0..0.98, 4 dp."""
-    raw = F.lit(0.03) + _c(density) / F.lit(260) + _c(wait) / F.lit(750) + _c(road_risk)
-    return F.round(clamp(raw, 0.0, S.ACCIDENT_PROB_MAX), 4)
+    raw = f"((({dbl(0.03)} + ({q(density)} / 260)) + ({q(wait)} / 750)) + {q(road_risk)})"
+    return F.expr(f"round({clamp_sql(raw, 0.0, S.ACCIDENT_PROB_MAX)}, 4)")
 
 
-def anomaly_score(
-    density: ColumnOrName, wait: ColumnOrName, speed: ColumnOrName, accident: ColumnOrName
-) -> Column:
+def anomaly_score(density: str, wait: str, speed: str, accident: str) -> Column:
     """Noise-free composite anomaly score, clip 0..1, 4 dp."""
     raw = (
-        _c(density) / F.lit(100) * F.lit(0.35)
-        + _c(wait) / F.lit(180) * F.lit(0.25)
-        + (F.lit(1) - _c(speed) / F.lit(110)) * F.lit(0.22)
-        + _c(accident) * F.lit(0.18)
+        f"((((({q(density)} / 100) * {dbl(0.35)}) + (({q(wait)} / 180) * {dbl(0.25)}))"
+        f" + ((1 - ({q(speed)} / 110)) * {dbl(0.22)})) + ({q(accident)} * {dbl(0.18)}))"
     )
-    return F.round(clamp(raw, 0.0, 1.0), 4)
+    return F.expr(f"round({clamp_sql(raw, 0.0, 1.0)}, 4)")
 
 
-def icu_severity_score(
-    heart_rate: ColumnOrName = "heart_rate",
-    systolic_bp: ColumnOrName = "systolic_bp",
-    spo2: ColumnOrName = "oxygen_saturation",
-    lactate: ColumnOrName = "lactate_mmol_l",
-    resp_rate: ColumnOrName = "respiratory_rate",
-) -> Column:
-    """Noise-free ICU severity, clip 0..1, unrounded."""
+def icu_severity_sql(
+    heart_rate: str = "heart_rate",
+    systolic_bp: str = "systolic_bp",
+    spo2: str = "oxygen_saturation",
+    lactate: str = "lactate_mmol_l",
+    resp_rate: str = "respiratory_rate",
+) -> str:
     w = S.ICU_SEVERITY_WEIGHTS
     raw = (
-        (_c(heart_rate) - F.lit(60)) / F.lit(130) * F.lit(w["heart_rate"])
-        + (F.lit(130) - _c(systolic_bp)) / F.lit(90) * F.lit(w["systolic_bp"])
-        + (F.lit(100) - _c(spo2)) / F.lit(45) * F.lit(w["spo2"])
-        + _c(lactate) / F.lit(14) * F.lit(w["lactate"])
-        + _c(resp_rate) / F.lit(48) * F.lit(w["resp_rate"])
+        f"((((((({q(heart_rate)} - 60) / 130) * {dbl(w['heart_rate'])})"
+        f" + (((130 - {q(systolic_bp)}) / 90) * {dbl(w['systolic_bp'])}))"
+        f" + (((100 - {q(spo2)}) / 45) * {dbl(w['spo2'])}))"
+        f" + (({q(lactate)} / 14) * {dbl(w['lactate'])}))"
+        f" + (({q(resp_rate)} / 48) * {dbl(w['resp_rate'])}))"
     )
-    return clamp(raw, 0.0, 1.0)
+    return clamp_sql(raw, 0.0, 1.0)
+
+
+def icu_severity_score(**names: str) -> Column:
+    """Noise-free ICU severity, clip 0..1, unrounded."""
+    return F.expr(icu_severity_sql(**names))
 
 
-def shock_index(heart_rate: ColumnOrName = "heart_rate", systolic_bp: ColumnOrName = "systolic_bp") -> Column:
+def shock_index(heart_rate: str = "heart_rate", systolic_bp: str = "systolic_bp") -> Column:
     """heart_rate / systolic_bp; a 0 (or NULL) pressure gives NULL."""
-    return F.try_divide(_c(heart_rate), _c(systolic_bp))
+    return F.expr(f"try_divide({q(heart_rate)}, {q(systolic_bp)})")
 
 
 def batch_alert(
-    shock: ColumnOrName = "shock_index",
-    spo2: ColumnOrName = "oxygen_saturation",
-    lactate: ColumnOrName = "lactate_mmol_l",
-    critical: ColumnOrName = "critical_event",
+    shock: str = "shock_index",
+    spo2: str = "oxygen_saturation",
+    lactate: str = "lactate_mmol_l",
+    critical: str = "critical_event",
 ) -> Column:
-    return (
-        flag(nan_to_null(shock) >= F.lit(S.SHOCK_INDEX_ALERT))
-        | flag(nan_to_null(spo2) <= F.lit(S.SPO2_ALERT_MAX))
-        | flag(nan_to_null(lactate) >= F.lit(S.LACTATE_ALERT))
-        | flag(_c(critical))
+    return F.expr(
+        f"{flag_sql(nan_to_null_sql(shock) + ' >= ' + dbl(S.SHOCK_INDEX_ALERT))}"
+        f" OR {flag_sql(nan_to_null_sql(spo2) + ' <= ' + dbl(S.SPO2_ALERT_MAX))}"
+        f" OR {flag_sql(nan_to_null_sql(lactate) + ' >= ' + dbl(S.LACTATE_ALERT))}"
+        f" OR {flag_sql(q(critical))}"
     )

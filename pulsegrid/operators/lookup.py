@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
-from pulsegrid.functions.columns import accident_risk_score, anomaly_score, peak_multiplier
+from pulsegrid.functions.columns import accident_risk_score, anomaly_score, peak_multiplier_sql
 
 
 def zone_pressure_dim(spark: SparkSession) -> DataFrame:
@@ -72,10 +72,9 @@ def anomaly_scores(traffic: DataFrame) -> DataFrame:
 
 
 def peak_hour_factors(traffic: DataFrame) -> DataFrame:
-    hour = F.hour("timestamp")
-    return traffic.select(
+    return traffic.selectExpr(
         "vehicle_id",
         "timestamp",
-        hour.alias("event_hour"),
-        peak_multiplier(hour).alias("peak_multiplier"),
+        "hour(`timestamp`) AS event_hour",
+        f"{peak_multiplier_sql('hour(`timestamp`)')} AS peak_multiplier",
     )

@@ -12,11 +12,10 @@ from pulsegrid.functions import columns as C
 
 def prepare_telemetry(df: DataFrame) -> DataFrame:
     """hour, date, is_anomaly, is_high_congestion next to the 12 base columns."""
-    ts = F.col("timestamp")
     return df.select(
         "*",
-        F.hour(ts).alias("hour"),
-        F.to_date(ts).alias("date"),
+        F.expr("hour(`timestamp`)").alias("hour"),
+        F.expr("to_date(`timestamp`)").alias("date"),
         C.is_anomaly("ai_anomaly_score").alias("is_anomaly"),
         C.is_high_congestion("congestion_level").alias("is_high_congestion"),
     )

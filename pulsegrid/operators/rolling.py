@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid import schemas as S
+from pulsegrid.functions.columns import q
 
 _NULL_BUCKET = -(2**62)  # sorts before every real bucket, like NULL timestamps do
 
@@ -104,25 +105,25 @@ def _fill(
 ) -> DataFrame:
     """3. main pass: position and lags inside the bucket, then fill from the halo."""
     prev = events - 1
-    order_cols = [F.col(order).asc_nulls_first(), F.col(tie).asc_nulls_first()]
-    w = Window.partitionBy("_zk", "_bk").orderBy(*order_cols)
-    lag_cols = [F.lag(v, k).over(w).alias(f"_{v}_lag{k}") for v in values for k in range(1, events)]
-    main = keyed.select("*", F.row_number().over(w).alias("_r"), *lag_cols)
+    window = f"PARTITION BY _zk, _bk ORDER BY {q(order)} ASC NULLS FIRST, {q(tie)} ASC NULLS FIRST"
+    lag_cols = [
+        F.expr(f"lag({q(v)}, {k}) OVER ({window})").alias(f"_{v}_lag{k}") for v in values for k in range(1, events)
+    ]
+    main = keyed.select("*", F.expr(f"row_number() OVER ({window})").alias("_r"), *lag_cols)
     joined = main.join(halo, on=["_zk", "_bk"], how="left")
 
     # frame slots before the current row: in-bucket lag, else halo, else absent;
     # an absent slot is NULL, which the mean skips exactly like a NULL value
-    r = F.col("_r")
-    halo_size = F.coalesce(F.size("_halo"), F.lit(0))
     slot_cols = []
     for v in values:
         for k in range(1, events):
-            from_halo = F.lit(k) - r + F.lit(1)  # position from the halo's end when k >= r
+            from_end = f"({k} - _r + 1)"  # position from the halo's end when k >= _r
             slot_cols.append(
-                F.when(F.lit(k) < r, F.col(f"_{v}_lag{k}"))
-                .when(from_halo <= halo_size, F.try_element_at("_halo", -from_halo)[v])
-                .cast("double")
-                .alias(f"_{v}_s{k}")
+                F.expr(
+                    f"CAST(CASE WHEN {k} < _r THEN {q(f'_{v}_lag{k}')}"
+                    f" WHEN {from_end} <= coalesce(size(_halo), 0)"
+                    f" THEN (try_element_at(_halo, -{from_end})).{q(v)} END AS DOUBLE)"
+                ).alias(f"_{v}_s{k}")
             )
     helper = {"_zk", "_bk", "_r", "_halo"} | {f"_{v}_lag{k}" for v in values for k in range(1, events)}
     keep = [c for c in joined.columns if c not in helper]
@@ -131,12 +132,10 @@ def _fill(
     # mean = (((0.0 + s_oldest) + ...) + current) / non-NULL count: Spark's avg order
     out_cols = []
     for v in values:
-        frame = [F.col(f"_{v}_s{k}") for k in range(prev, 0, -1)] + [F.col(v).cast("double")]
-        total, count = F.lit(0.0), F.lit(0)
-        for x in frame:
-            total = total + F.coalesce(x, F.lit(0.0))
-            count = count + F.when(x.isNotNull(), F.lit(1)).otherwise(F.lit(0))
-        out_cols.append(F.when(count > 0, total / count).alias(f"{v}{suffix}"))
+        frame = [q(f"_{v}_s{k}") for k in range(prev, 0, -1)] + [f"CAST({q(v)} AS DOUBLE)"]
+        total = "0.0D" + "".join(f" + coalesce({x}, 0.0D)" for x in frame)
+        count = " + ".join(f"CASE WHEN {x} IS NOT NULL THEN 1 ELSE 0 END" for x in frame)
+        out_cols.append(F.expr(f"CASE WHEN ({count}) > 0 THEN ({total}) / ({count}) END").alias(f"{v}{suffix}"))
     return slotted.select(*keep, *out_cols)
 
 

@@ -3,146 +3,135 @@
 The test tables are TPC-H-like (``events``, ``orders``); these two views give
 them the telemetry column names and domains. They are pure projections (integer
 arithmetic plus one exact division), so they stream straight out of the parquet
-scan: no shuffle, and only the needed source columns are read.
+scan: no shuffle, and only the needed source columns are read (the read schema
+lists just those columns, so no schema inference job runs either).
 
-The same definitions exist as SQL text (``TRAFFIC_SQL`` / ``ICU_SQL_DUCKDB``)
-for the DuckDB cross-check.
+Each view column is one SQL expression, used by Spark through ``selectExpr``
+(one parse in the JVM instead of hundreds of Column calls) and by the DuckDB
+cross-check as the same text (``TRAFFIC_SQL`` / ``ICU_SQL_DUCKDB``).
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from pulsegrid import schemas as S
-from pulsegrid.functions.columns import congestion_band
 
+# the source columns each view reads
+EVENTS_READ_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("value", T.DoubleType()),
+    ]
+)
+ORDERS_READ_SCHEMA = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderdate", T.TimestampNTZType()),
+    ]
+)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
-
-def _pick(key: Column, labels: list[str]) -> Column:
-    """labels[key] for a non-negative integer key (a CASE over the label list)."""
-    expr = None
-    for i, label in enumerate(labels):
-        cond = key == F.lit(i)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr
-
-
-def _ratio(numerator: Column, denominator: int) -> Column:
-    return numerator.cast("double") / F.lit(denominator)
+def _case(key_sql: str, labels: list[str]) -> str:
+    arms = " ".join(f"when {i} then '{label}'" for i, label in enumerate(labels))
+    return f"case {key_sql} {arms} end"
 
 
-# Label orders used by the views (they only decide which code maps to which label)
-_VIEW_ZONES = S.CITY_ZONES
-_VIEW_VEHICLES = S.VEHICLE_TYPES
-_VIEW_WEATHER = S.WEATHER_CONDITIONS
-_VIEW_ROADS = S.ROAD_CONDITIONS
+def _band_sql(x: str, edges: list[float], labels: list[str]) -> str:
+    arms = " ".join(
+        f"when {x} > {lo!r}e0 and {x} <= {hi!r}e0 then '{label}'"
+        for lo, hi, label in zip(edges[:-1], edges[1:], labels)
+    )
+    return f"case {arms} end"
+
+
+_TRAFFIC_BASE = [
+    ("vehicle_id", "'QTF-' || lpad(cast(event_id as string), 7, '0')"),
+    ("timestamp", "ts"),
+    ("city_zone", _case("user_id % 8", S.CITY_ZONES)),
+    ("vehicle_type", _case("event_id % 6", S.VEHICLE_TYPES)),
+    ("traffic_density", "least(100.0e0, greatest(5.0e0, value))"),
+    ("average_speed", "cast((event_id*7919 + user_id*104729) % 10701 + 300 as double)/100"),
+    ("weather_condition", _case("(event_id*7 + user_id) % 6", S.WEATHER_CONDITIONS)),
+    ("road_condition", _case("(event_id*13 + user_id) % 5", S.ROAD_CONDITIONS)),
+    ("signal_wait_time", "cast((event_id*6151) % 18001 as double)/100"),
+    ("accident_probability", "cast((event_id*3571 + user_id) % 9801 as double)/10000"),
+    ("ai_anomaly_score", "cast((event_id*2657 + user_id*31) % 10001 as double)/10000"),
+]
+_TRAFFIC_LEVEL = _band_sql("traffic_density", S.CONGESTION_BAND_EDGES, S.CONGESTION_BAND_LABELS)
+
+
+def _icu_base(admission_sql: str) -> list[tuple[str, str]]:
+    return [
+        ("patient_id", "'ICU-' || lpad(cast(o_orderkey + 1 as string), 7, '0')"),
+        ("admission_timestamp", admission_sql),
+        ("icu_unit", _case("o_custkey % 6", S.ICU_UNITS)),
+        ("age", "cast(o_orderkey*31 % 96 + 1 as int)"),
+        ("diagnosis", _case("(o_orderkey*5 + o_custkey) % 6", S.DIAGNOSES)),
+        ("heart_rate", "cast(o_orderkey*7919 % 1581 + 320 as double)/10"),
+        (
+            "systolic_bp",
+            "cast(case when o_orderkey % 997 = 0 then 0 else (o_orderkey*6151 + o_custkey) % 1751 + 550 end"
+            " as double)/10",
+        ),
+        ("respiratory_rate", "cast(o_orderkey*3571 % 421 + 60 as double)/10"),
+        ("oxygen_saturation", "cast((o_orderkey*2657 + o_custkey*31) % 451 + 550 as double)/10"),
+        ("temperature_c", "cast(o_orderkey*1013 % 91 + 330 as double)/10"),
+        ("glucose_mg_dl", "cast(o_orderkey*4409 % 3951 + 450 as double)/10"),
+        ("lactate_mmol_l", "cast((o_orderkey*5087 + o_custkey) % 1371 + 30 as double)/100"),
+        ("ventilation_status", _case("(o_orderkey*3 + o_custkey) % 4", S.VENTILATION_STATUS)),
+        ("length_of_stay_hours", "cast(o_orderkey*8681 % 7161 + 40 as double)/10"),
+        ("mortality_risk", "cast((o_orderkey*9973 + o_custkey*17) % 10001 as double)/10000"),
+    ]
+
+
+_ICU_SPARK = _icu_base("o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 720 as int) * 2, 0)")
+_ICU_DUCK = _icu_base("o_orderdate + to_minutes(cast(o_orderkey % 720 as int)*2)")
+_CRITICAL = f"mortality_risk >= {S.CRITICAL_RISK_THRESHOLD!r}e0"
 
 
 def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Traffic telemetry (12 columns) derived from ``events``."""
-    ev = table(spark, sf_dir, "events")
-    eid, uid = F.col("event_id"), F.col("user_id")
-    base = ev.select(
-        F.concat(F.lit("QTF-"), F.lpad(eid.cast("string"), 7, "0")).alias("vehicle_id"),
-        F.col("ts").alias("timestamp"),
-        _pick(uid % 8, _VIEW_ZONES).alias("city_zone"),
-        _pick(eid % 6, _VIEW_VEHICLES).alias("vehicle_type"),
-        F.least(F.lit(100.0), F.greatest(F.lit(5.0), F.col("value"))).alias("traffic_density"),
-        _ratio((eid * 7919 + uid * 104729) % 10701 + 300, 100).alias("average_speed"),
-        _pick((eid * 7 + uid) % 6, _VIEW_WEATHER).alias("weather_condition"),
-        _pick((eid * 13 + uid) % 5, _VIEW_ROADS).alias("road_condition"),
-        _ratio((eid * 6151) % 18001, 100).alias("signal_wait_time"),
-        _ratio((eid * 3571 + uid) % 9801, 10000).alias("accident_probability"),
-        _ratio((eid * 2657 + uid * 31) % 10001, 10000).alias("ai_anomaly_score"),
-    )
-    return base.select(
-        *[
-            congestion_band("traffic_density").alias(c) if c == "congestion_level" else F.col(c)
-            for c in S.TRAFFIC_COLUMNS
-        ]
+    ev = table(spark, sf_dir, "events", EVENTS_READ_SCHEMA)
+    base = ev.selectExpr(*[f"{expr} AS `{name}`" for name, expr in _TRAFFIC_BASE])
+    return base.selectExpr(
+        *[f"{_TRAFFIC_LEVEL} AS congestion_level" if c == "congestion_level" else f"`{c}`" for c in S.TRAFFIC_COLUMNS]
     )
 
 
 def icu(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ICU monitoring records (16 columns) derived from ``orders``."""
-    o = table(spark, sf_dir, "orders")
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    bp_code = F.when(k % 997 == 0, F.lit(0)).otherwise((k * 6151 + c) % 1751 + 550)
-    base = o.select(
-        F.concat(F.lit("ICU-"), F.lpad((k + 1).cast("string"), 7, "0")).alias("patient_id"),
-        (
-            F.col("o_orderdate")
-            + F.make_dt_interval(F.lit(0), F.lit(0), ((k % 720).cast("int") * 2))
-        ).alias("admission_timestamp"),
-        _pick(c % 6, S.ICU_UNITS).alias("icu_unit"),
-        ((k * 31) % 96 + 1).cast("int").alias("age"),
-        _pick((k * 5 + c) % 6, S.DIAGNOSES).alias("diagnosis"),
-        _ratio((k * 7919) % 1581 + 320, 10).alias("heart_rate"),
-        _ratio(bp_code, 10).alias("systolic_bp"),
-        _ratio((k * 3571) % 421 + 60, 10).alias("respiratory_rate"),
-        _ratio((k * 2657 + c * 31) % 451 + 550, 10).alias("oxygen_saturation"),
-        _ratio((k * 1013) % 91 + 330, 10).alias("temperature_c"),
-        _ratio((k * 4409) % 3951 + 450, 10).alias("glucose_mg_dl"),
-        _ratio((k * 5087 + c) % 1371 + 30, 100).alias("lactate_mmol_l"),
-        _pick((k * 3 + c) % 4, S.VENTILATION_STATUS).alias("ventilation_status"),
-        _ratio((k * 8681) % 7161 + 40, 10).alias("length_of_stay_hours"),
-        _ratio((k * 9973 + c * 17) % 10001, 10000).alias("mortality_risk"),
-    )
-    return base.withColumn("critical_event", F.col("mortality_risk") >= F.lit(S.CRITICAL_RISK_THRESHOLD))
+    o = table(spark, sf_dir, "orders", ORDERS_READ_SCHEMA)
+    base = o.selectExpr(*[f"{expr} AS `{name}`" for name, expr in _ICU_SPARK])
+    return base.selectExpr("*", f"{_CRITICAL} AS critical_event")
 
 
-def _case(key_sql: str, labels: list[str]) -> str:
-    arms = " ".join(f"when {i} then '{label}'" for i, label in enumerate(labels))
-    return f"case {key_sql} {arms} end"
+def _select_sql(columns: list[tuple[str, str]]) -> str:
+    return ",\n         ".join(f"{expr} as {name}" for name, expr in columns)
 
 
 TRAFFIC_SQL = f"""
 with b as (
-  select 'QTF-' || lpad(cast(event_id as string), 7, '0') as vehicle_id,
-         ts as timestamp,
-         {_case('user_id % 8', _VIEW_ZONES)} as city_zone,
-         {_case('event_id % 6', _VIEW_VEHICLES)} as vehicle_type,
-         least(100.0e0, greatest(5.0e0, value)) as traffic_density,
-         cast((event_id*7919 + user_id*104729) % 10701 + 300 as double)/100 as average_speed,
-         {_case('(event_id*7 + user_id) % 6', _VIEW_WEATHER)} as weather_condition,
-         {_case('(event_id*13 + user_id) % 5', _VIEW_ROADS)} as road_condition,
-         cast((event_id*6151) % 18001 as double)/100 as signal_wait_time,
-         cast((event_id*3571 + user_id) % 9801 as double)/10000 as accident_probability,
-         cast((event_id*2657 + user_id*31) % 10001 as double)/10000 as ai_anomaly_score
+  select {_select_sql(_TRAFFIC_BASE)}
   from events)
-select vehicle_id, timestamp, city_zone, vehicle_type, traffic_density, average_speed,
-       weather_condition, road_condition, signal_wait_time, accident_probability,
-       case when traffic_density > -1 and traffic_density <= 35 then 'Low'
-            when traffic_density > 35 and traffic_density <= 60 then 'Moderate'
-            when traffic_density > 60 and traffic_density <= 80 then 'High'
-            when traffic_density > 80 and traffic_density <= 101 then 'Critical' end as congestion_level,
-       ai_anomaly_score
+select {', '.join(c if c != 'congestion_level' else _TRAFFIC_LEVEL + ' as congestion_level' for c in S.TRAFFIC_COLUMNS)}
 from b
 """
 
 ICU_SQL_DUCKDB = f"""
 with b as (
-  select 'ICU-' || lpad(cast(o_orderkey + 1 as string), 7, '0') as patient_id,
-         o_orderdate + to_minutes(cast(o_orderkey % 720 as int)*2) as admission_timestamp,
-         {_case('o_custkey % 6', S.ICU_UNITS)} as icu_unit,
-         cast(o_orderkey*31 % 96 + 1 as int) as age,
-         {_case('(o_orderkey*5 + o_custkey) % 6', S.DIAGNOSES)} as diagnosis,
-         cast(o_orderkey*7919 % 1581 + 320 as double)/10 as heart_rate,
-         cast(case when o_orderkey % 997 = 0 then 0 else (o_orderkey*6151 + o_custkey) % 1751 + 550 end as double)/10 as systolic_bp,
-         cast(o_orderkey*3571 % 421 + 60 as double)/10 as respiratory_rate,
-         cast((o_orderkey*2657 + o_custkey*31) % 451 + 550 as double)/10 as oxygen_saturation,
-         cast(o_orderkey*1013 % 91 + 330 as double)/10 as temperature_c,
-         cast(o_orderkey*4409 % 3951 + 450 as double)/10 as glucose_mg_dl,
-         cast((o_orderkey*5087 + o_custkey) % 1371 + 30 as double)/100 as lactate_mmol_l,
-         {_case('(o_orderkey*3 + o_custkey) % 4', S.VENTILATION_STATUS)} as ventilation_status,
-         cast(o_orderkey*8681 % 7161 + 40 as double)/10 as length_of_stay_hours,
-         cast((o_orderkey*9973 + o_custkey*17) % 10001 as double)/10000 as mortality_risk
+  select {_select_sql(_ICU_DUCK)}
   from orders)
-select *, mortality_risk >= 0.72e0 as critical_event from b
+select *, {_CRITICAL} as critical_event from b
 """
