@@ -15,20 +15,25 @@ from pulsegrid import schemas as S
 from pulsegrid.functions.columns import accident_risk_score, anomaly_score, peak_multiplier_sql
 
 
-def zone_pressure_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(S.ZONE_PRESSURE.items()), "city_zone string, zone_pressure int"
+def _values_table(spark: SparkSession, rows: dict, key: str, value: str, value_sql_type: str) -> DataFrame:
+    """A small literal table (``VALUES``): a LocalRelation, planned in the JVM in one call."""
+    literal = (lambda v: f"{float(v)!r}D") if value_sql_type == "double" else (lambda v: str(int(v)))
+    body = ", ".join(f"('{k}', {literal(v)})" for k, v in rows.items())
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({key}, {value})").selectExpr(
+        f"CAST({key} AS STRING) AS {key}", f"CAST({value} AS {value_sql_type}) AS {value}"
     )
 
 
+def zone_pressure_dim(spark: SparkSession) -> DataFrame:
+    return _values_table(spark, S.ZONE_PRESSURE, "city_zone", "zone_pressure", "int")
+
+
 def weather_pressure_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(S.WEATHER_PRESSURE.items()), "weather_condition string, weather_pressure int"
-    )
+    return _values_table(spark, S.WEATHER_PRESSURE, "weather_condition", "weather_pressure", "int")
 
 
 def road_risk_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(S.ROAD_RISK.items()), "road_condition string, road_risk double")
+    return _values_table(spark, S.ROAD_RISK, "road_condition", "road_risk", "double")
 
 
 def with_condition_pressure(df: DataFrame) -> DataFrame:
