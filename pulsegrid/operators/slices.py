@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pulsegrid.session import shared_scratch_path
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition index << 33 | position
+# the per-range offsets table is broadcast up to this many rows (24 bytes each)
+OFFSETS_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def _idiv(a: Column, b: Column) -> Column:
@@ -43,13 +45,15 @@ def global_rank(
     """Add a 1-based global rank by ``order_cols`` (ascending) and the row total.
 
     ``order_cols`` must give a total order (end them with a unique key).
+    ``ranges`` fixes the number of range partitions; by default AQE sizes them.
     """
     spark = df.sparkSession
-    n_ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = path or shared_scratch_path(spark, "ranked")
+    # without an explicit count AQE sizes the range shuffle; it only merges
+    # neighbouring ranges, so the partitions stay in global order
+    ranged = df.repartitionByRange(ranges, *order_cols) if ranges else df.repartitionByRange(*order_cols)
     ordered = (
-        df.repartitionByRange(n_ranges, *order_cols)
-        .sortWithinPartitions(*order_cols)
+        ranged.sortWithinPartitions(*order_cols)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     ordered.write.mode("overwrite").parquet(path)
@@ -58,7 +62,7 @@ def global_rank(
     part = F.shiftright(F.col("_mid"), _POSITION_BITS)
     position = F.col("_mid").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     counts = stored.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
-    # one row per range partition: the window below runs over at most `n_ranges` rows
+    # one row per range partition: the window below runs over that many rows only
     w_before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = counts.select(
@@ -66,7 +70,11 @@ def global_rank(
         F.coalesce(F.sum("_cnt").over(w_before), F.lit(0)).alias("_offset"),
         F.sum("_cnt").over(w_all).alias(total_col),
     )
-    ranked = stored.join(F.broadcast(offsets), part == F.col("_pid"), "inner")
+    # every non-empty range partition wrote one file, so the file count bounds
+    # the offsets table; broadcast it under the cap, else let Spark join it
+    n_files = len(stored.inputFiles())
+    side = F.broadcast(offsets) if n_files <= OFFSETS_BROADCAST_MAX_ROWS else offsets
+    ranked = stored.join(side, part == F.col("_pid"), "inner")
     return ranked.select(
         *[c for c in df.columns],
         (F.col("_offset") + position + F.lit(1)).alias(rank_col),
