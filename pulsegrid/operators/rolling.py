@@ -16,6 +16,12 @@ into time buckets instead, and every bucket is a window partition of its own:
    broadcasts it when small, otherwise the sort-merge join reuses the window's
    partitioning) and fills the frame slots that fall before the bucket start.
 
+Hot buckets: any contiguous cut of a zone's (time, id) order works, so a
+bucket with more than ``max_bucket_rows`` rows (one busy hour, even a single
+timestamp shared by a third of all rows) is cut further into (time, id)
+sub-ranges. Its split points come from a sample of its keys; they only decide
+where the cuts fall, every row is still computed exactly.
+
 The average is summed left to right from 0.0 and divided by the number of
 non-NULL values, exactly like Spark's ``avg`` over a sliding row frame, so the
 result is bit-identical to the direct window; it is exact for any bucket width.
@@ -23,6 +29,8 @@ result is bit-identical to the direct window; it is exact for any bucket width.
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,7 +40,12 @@ from pyspark.sql import types as T
 from pulsegrid import schemas as S
 from pulsegrid.functions.columns import q
 
-_NULL_BUCKET = -(2**62)  # sorts before every real bucket, like NULL timestamps do
+_NULL_BUCKET = -(2**40)  # sorts before every real bucket, like NULL timestamps do
+# bucket numbers are coarse bucket * _SUB + sub-range index inside a hot bucket
+_SUB = 4096
+# buckets with more rows than this are cut into sub-ranges of about this size
+MAX_BUCKET_ROWS = 2_000_000
+_SAMPLES_PER_SUBRANGE = 64
 
 
 def _zone_key(zone: str) -> Column:
@@ -66,8 +79,70 @@ def _bucket(df: DataFrame, order: str, bucket_minutes: int) -> Column:
     return F.coalesce(F.floor(minutes / F.lit(bucket_minutes)), F.lit(_NULL_BUCKET))
 
 
-def _keyed(df: DataFrame, zone: str, order: str, bucket_minutes: int) -> DataFrame:
-    return df.withColumn("_zk", _zone_key(zone)).withColumn("_bk", _bucket(df, order, bucket_minutes))
+def _coarse(df: DataFrame, zone: str, order: str, bucket_minutes: int) -> DataFrame:
+    return df.withColumn("_zk", _zone_key(zone)).withColumn("_bk0", _bucket(df, order, bucket_minutes))
+
+
+def _sort_key(value):
+    return (0,) if value is None else (1, value)
+
+
+def _hot_bucket_splits(
+    coarse: DataFrame, order: str, tie: str, max_bucket_rows: int, seed: int = 17
+) -> DataFrame | None:
+    """Split points ``(zone key, coarse bucket) -> [(time, id), ...]`` for over-full buckets.
+
+    Two small driver reads, both bounded: the over-full buckets (at most
+    rows / max_bucket_rows of them) and a key sample of about
+    ``_SAMPLES_PER_SUBRANGE`` keys per wanted sub-range. Returns None when no
+    bucket is over full (the usual case: one cheap counting pass).
+    """
+    spark = coarse.sparkSession
+    sizes = coarse.groupBy("_zk", "_bk0").agg(F.count(F.lit(1)).alias("_n"))
+    hot = sizes.filter(F.col("_n") > F.lit(max_bucket_rows)).collect()
+    if not hot:
+        return None
+    rows_of = {(r["_zk"], r["_bk0"]): r["_n"] for r in hot}
+    parts = {k: min(_SUB, math.ceil(n / max_bucket_rows)) for k, n in rows_of.items()}
+    fractions = [(zk, bk, min(1.0, _SAMPLES_PER_SUBRANGE * parts[(zk, bk)] / n)) for (zk, bk), n in rows_of.items()]
+    fraction_df = spark.createDataFrame(fractions, "_zk string, _bk0 long, _f double")
+    sample = (
+        coarse.select("_zk", "_bk0", order, tie)
+        .join(F.broadcast(fraction_df), on=["_zk", "_bk0"])
+        .filter(F.rand(seed) < F.col("_f"))
+        .select("_zk", "_bk0", order, tie)
+        .collect()
+    )
+    keys = defaultdict(list)
+    for r in sample:
+        keys[(r[0], r[1])].append((r[2], r[3]))
+    rows = []
+    for bucket, pts in keys.items():
+        pts.sort(key=lambda p: (_sort_key(p[0]), _sort_key(p[1])))
+        n_parts = parts[bucket]
+        cuts = []
+        for i in range(1, n_parts):
+            p = pts[(i * len(pts)) // n_parts]
+            if not cuts or cuts[-1] != p:
+                cuts.append(p)
+        rows.append((bucket[0], bucket[1], [{"t": t, "v": v} for t, v in cuts]))
+    order_type = coarse.schema[order].dataType.simpleString()
+    tie_type = coarse.schema[tie].dataType.simpleString()
+    return spark.createDataFrame(rows, f"_zk string, _bk0 long, _cuts array<struct<t: {order_type}, v: {tie_type}>>")
+
+
+def _keyed(
+    df: DataFrame, zone: str, order: str, tie: str, bucket_minutes: int, splits: DataFrame | None
+) -> DataFrame:
+    """Add the zone key ``_zk`` and the bucket number ``_bk`` (sub-range aware)."""
+    coarse = _coarse(df, zone, order, bucket_minutes)
+    if splits is None:
+        return coarse.withColumn("_bk", F.col("_bk0") * F.lit(_SUB)).drop("_bk0")
+    # the split table has one row per over-full bucket: bounded, broadcast
+    with_cuts = coarse.join(F.broadcast(splits), on=["_zk", "_bk0"], how="left")
+    key = F.struct(F.col(order).alias("t"), F.col(tie).alias("v"))
+    sub = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= key)), F.lit(0))
+    return with_cuts.withColumn("_bk", F.col("_bk0") * F.lit(_SUB) + sub).drop("_bk0", "_cuts")
 
 
 def _halo(keyed: DataFrame, values: Sequence[str], order: str, tie: str, prev: int) -> DataFrame:
@@ -154,23 +229,33 @@ def rolling_means(
     suffix: str = "_rolling_mean",
     targets: DataFrame | None = None,
     max_targets: int | None = None,
+    max_bucket_rows: int | None = MAX_BUCKET_ROWS,
 ) -> DataFrame:
     """Add ``<value><suffix>``: mean of ``value`` over the zone's last ``events`` rows.
 
     Rows are ordered by (``order``, ``tie``) ascending, NULLs first. NULL
     values are skipped by the mean; a frame without values gives NULL.
 
-    ``targets`` (rows of ``df``, at least the zone and order columns) limits the
+    ``targets`` (rows of ``df``, at least the zone, order and tie columns) limits the
     expensive full-row pass to the buckets that hold those rows: the result is
     every row of those buckets, with exact means (the halo still comes from all
     of ``df``). ``max_targets`` is a known upper bound on the target count; the
     bucket keys are broadcast only under that bound.
+
+    Buckets with more than ``max_bucket_rows`` rows are cut into sub-ranges
+    (one counting pass over the keys decides; see the module notes). ``None``
+    skips that pass, for inputs whose bucket sizes are known to be even.
     """
     prev = events - 1
-    keyed = _keyed(df, zone, order, bucket_minutes)
+    splits = (
+        None
+        if max_bucket_rows is None
+        else _hot_bucket_splits(_coarse(df, zone, order, bucket_minutes), order, tie, max_bucket_rows)
+    )
+    keyed = _keyed(df, zone, order, tie, bucket_minutes, splits)
     halo = _halo(keyed, values, order, tie, prev)
     if targets is not None:
-        keys = _keyed(targets, zone, order, bucket_minutes).select("_zk", "_bk").distinct()
+        keys = _keyed(targets, zone, order, tie, bucket_minutes, splits).select("_zk", "_bk").distinct()
         if max_targets is not None and max_targets <= TARGET_BROADCAST_ROWS:
             keys = F.broadcast(keys)
         keyed = keyed.join(keys, on=["_zk", "_bk"], how="left_semi")
@@ -183,6 +268,7 @@ def rolling_zone_features(
     bucket_minutes: int = 60,
     targets: DataFrame | None = None,
     max_targets: int | None = None,
+    max_bucket_rows: int | None = MAX_BUCKET_ROWS,
 ) -> DataFrame:
     """Rolling density (2 dp) and rolling-mean speed minus own speed (2 dp) per zone.
 
@@ -196,6 +282,7 @@ def rolling_zone_features(
         bucket_minutes=bucket_minutes,
         targets=targets,
         max_targets=max_targets,
+        max_bucket_rows=max_bucket_rows,
     )
     return means.select(
         *typed.columns,

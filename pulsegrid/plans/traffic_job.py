@@ -45,7 +45,7 @@ def top_risk_report(
     superset is the global top-``limit``.
     """
     typed = type_traffic(traffic)
-    candidates = top_risk_events(typed, limit, columns=["city_zone", "event_timestamp"])
+    candidates = top_risk_events(typed, limit, columns=["city_zone", "event_timestamp", "vehicle_id"])
     rolled = rolling_zone_features(
         typed, bucket_minutes=bucket_minutes, targets=candidates, max_targets=limit
     )

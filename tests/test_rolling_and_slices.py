@@ -117,3 +117,44 @@ def test_top_risk_report_equals_top_of_fully_curated_table(spark, limit):
     full = top_risk_events(curate_traffic(t), limit)
     assert fast.columns == full.columns
     assert fast.collect() == full.collect()
+
+
+@pytest.mark.parametrize("max_bucket_rows", [3, 40, 500])
+def test_hot_buckets_are_split_and_stay_exact(spark, max_bucket_rows):
+    typed = type_traffic(traffic(spark, SF_DIRS["0.01"]))
+    # one bucket per zone for the whole month: every bucket is "hot"
+    fast = rolling_zone_features(typed, bucket_minutes=100_000, max_bucket_rows=max_bucket_rows)
+    slow = rolling_zone_features_direct(typed)
+    cols = ["vehicle_id", *CURATED_EXTRA]
+    assert fast.select(cols).exceptAll(slow.select(cols)).count() == 0
+    assert slow.select(cols).exceptAll(fast.select(cols)).count() == 0
+
+
+def test_single_hot_timestamp_is_split_by_id(spark):
+    from pyspark.sql import Window
+
+    base = dt.datetime(2024, 1, 1, 12, 0, 0)
+    rows = [(f"H{i:05d}", "A", base, float(i % 97), float(i % 89)) for i in range(400)]
+    rows += [(f"E{i:03d}", "A", base - dt.timedelta(minutes=i + 1), float(i), float(i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "vehicle_id string, city_zone string, event_timestamp timestamp_ntz, d double, s double")
+    fast = rolling_means(df, ["d", "s"], max_bucket_rows=25)
+    from pulsegrid.operators.rolling import _coarse, _hot_bucket_splits
+
+    cuts = _hot_bucket_splits(_coarse(df, "city_zone", "event_timestamp", 60), "event_timestamp", "vehicle_id", 25)
+    assert cuts is not None and cuts.select(F.size("_cuts")).first()[0] >= 2
+    w = Window.partitionBy("city_zone").orderBy("event_timestamp", "vehicle_id").rowsBetween(-5, 0)
+    slow = df.select("*", F.avg("d").over(w).alias("d_rolling_mean"), F.avg("s").over(w).alias("s_rolling_mean"))
+    cols = ["vehicle_id", "d_rolling_mean", "s_rolling_mean"]
+    assert fast.select(cols).exceptAll(slow.select(cols)).count() == 0
+    assert fast.count() == df.count()
+
+
+def test_top_risk_report_with_split_buckets(spark):
+    from pulsegrid.operators.ranking import top_risk_events
+    from pulsegrid.operators.rolling import rolling_zone_features as rzf
+
+    typed = type_traffic(traffic(spark, SF_DIRS["0.01"]))
+    candidates = top_risk_events(typed, 50, columns=["city_zone", "event_timestamp", "vehicle_id"])
+    fast = top_risk_events(rzf(typed, bucket_minutes=100_000, targets=candidates, max_targets=50, max_bucket_rows=60), 50)
+    full = top_risk_events(rolling_zone_features_direct(typed), 50)
+    assert fast.collect() == full.collect()
