@@ -9,14 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulsegrid.operators import aggregates as A
 from pulsegrid.operators.matrix import congestion_heatmap, speed_histogram
 from pulsegrid.operators.prepare import filter_telemetry, prepare_telemetry
 from pulsegrid.operators.ranking import filter_options, top_anomalies
 from pulsegrid.operators.timeseries import forecast, hourly_trend
-from pyspark.sql import functions as F
+from pulsegrid.sources import files
+
+
+def load_telemetry(spark: SparkSession, path: str) -> DataFrame:
+    """Read the telemetry CSV with its explicit schema and add the prepared columns."""
+    return prepare_telemetry(files.read_traffic_csv(spark, path))
 
 
 def dashboard(
