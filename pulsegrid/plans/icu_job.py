@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
-from pulsegrid.operators.aggregates import icu_batch_summary, icu_unit_alert_rates
 from pulsegrid.operators.prepare import preprocess_icu
 from pulsegrid.operators.slices import contiguous_slices
 from pulsegrid.sources import files
@@ -25,25 +24,50 @@ def preprocess_icu_sliced(icu: DataFrame, n_slices: int = S.ICU_DEFAULT_SLICES)
     return preprocess_icu(sliced).select(*S.ICU_PREPROCESSED_SCHEMA.fieldNames())
 
 
+def icu_report(preprocessed: DataFrame) -> dict[str, object]:
+    """Rows per slice, alert rate per unit and the KPIs, from one aggregation pass.
+
+    GROUPING SETS ((partition_id), (icu_unit), ()) computes all three in a single
+    scan; the result has at most slices + units + 1 rows and is the only thing
+    brought to the driver.
+    """
+    summary = preprocessed.groupingSets(
+        [["partition_id"], ["icu_unit"], []], "partition_id", "icu_unit"
+    ).agg(
+        F.grouping_id().alias("_gid"),
+        F.count(F.lit(1)).alias("rows"),
+        F.avg(F.col("batch_alert").cast("double")).alias("alert_rate"),
+        F.avg("mortality_risk").alias("avg_mortality_risk"),
+    )
+    rows = summary.collect()
+    slice_rows = {r["partition_id"]: r["rows"] for r in rows if r["_gid"] == 1}
+    units = sorted(
+        ((r["icu_unit"], r["alert_rate"]) for r in rows if r["_gid"] == 2 and r["icu_unit"] is not None),
+        key=lambda u: (-u[1], u[0]),
+    )
+    total = next((r for r in rows if r["_gid"] == 3), None)
+    kpis = {
+        "rows": total["rows"] if total else 0,
+        "alert_rate": (total["alert_rate"] or 0.0) * 100 if total else 0.0,
+        "avg_mortality_risk": (total["avg_mortality_risk"] or 0.0) if total else 0.0,
+        "top_unit": units[0][0] if units else "N/A",
+    }
+    return {"slice_rows": slice_rows, "unit_alert_rates": units, "kpis": kpis}
+
+
 def run_icu_job(
     spark: SparkSession,
     source: str | DataFrame,
     output_path: str,
     n_slices: int = S.ICU_DEFAULT_SLICES,
 ) -> tuple[DataFrame, dict[str, object]]:
-    """Transform, write the preprocessed CSV, and report per-slice rows and the top unit."""
+    """Transform, write the preprocessed CSV, and report per-slice rows, unit rates and KPIs.
+
+    Returns the written table (read back lazily with its schema) and the report.
+    """
     raw = files.read_icu_csv(spark, source) if isinstance(source, str) else source
     preprocessed = preprocess_icu_sliced(raw, n_slices)
     files.write_csv(preprocessed, output_path)
-    written = files.read_icu_preprocessed_csv(spark, output_path)
-
-    slice_rows = written.groupBy("partition_id").agg(F.count(F.lit(1)).alias("rows"))
-    rates = icu_unit_alert_rates(written)
-    kpis = icu_batch_summary(written)
-    report = {
-        "slice_rows": {r["partition_id"]: r["rows"] for r in slice_rows.collect()},  # <= n_slices rows
-        "top_unit": rates.first(),
-        "kpis": kpis.first().asDict(),
-        "output_path": output_path,
-    }
-    return written, report
+    report = icu_report(preprocessed)
+    report["output_path"] = output_path
+    return files.read_icu_preprocessed_csv(spark, output_path), report

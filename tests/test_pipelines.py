@@ -65,8 +65,13 @@ def test_icu_job_from_csv(spark):
     assert sum(sizes) == n and sizes[0] - sizes[-1] <= 1 and len(sizes) == 8
     assert out.columns == S.ICU_PREPROCESSED_SCHEMA.fieldNames()
     assert same_rows(out, preprocess_icu_sliced(icu(spark, SF)))
-    assert report["kpis"]["rows"] == n
-    assert report["top_unit"]["icu_unit"] == report["kpis"]["top_unit"]
+    kpis = A.icu_batch_summary(preprocess_icu_sliced(icu(spark, SF))).first()
+    assert report["kpis"]["rows"] == n == kpis["rows"]
+    assert report["kpis"]["top_unit"] == kpis["top_unit"] == report["unit_alert_rates"][0][0]
+    assert abs(report["kpis"]["alert_rate"] - kpis["alert_rate"]) < 1e-9
+    assert abs(report["kpis"]["avg_mortality_risk"] - kpis["avg_mortality_risk"]) < 1e-12
+    rates = [(r["icu_unit"], r["alert_rate"]) for r in A.icu_unit_alert_rates(preprocess_icu_sliced(icu(spark, SF))).collect()]
+    assert [u for u, _ in report["unit_alert_rates"]] == [u for u, _ in rates]
 
 
 def test_dashboard_query_set(spark):
