@@ -29,7 +29,6 @@ result is bit-identical to the direct window; it is exact for any bucket width.
 
 from __future__ import annotations
 
-import math
 from collections import defaultdict
 from collections.abc import Sequence
 
@@ -90,42 +89,51 @@ def _sort_key(value):
 def _hot_bucket_splits(
     coarse: DataFrame, order: str, tie: str, max_bucket_rows: int, seed: int = 17
 ) -> DataFrame | None:
-    """Split points ``(zone key, coarse bucket) -> [(time, id), ...]`` for over-full buckets.
-
-    Two small driver reads, both bounded: the over-full buckets (at most
-    rows / max_bucket_rows of them) and a key sample of about
-    ``_SAMPLES_PER_SUBRANGE`` keys per wanted sub-range. Returns None when no
-    bucket is over full (the usual case: one cheap counting pass).
+    """Cut points ``(zone key, coarse bucket) -> [(time, id), ...]`` for over-full buckets.
+
+    A counting pass finds buckets above ``max_bucket_rows`` (at most
+    rows / max_bucket_rows of them come to the driver). Each such bucket is cut
+    into ceil(n / max_bucket_rows) sub-ranges: about ``_SAMPLES_PER_SUBRANGE``
+    keys per sub-range are sampled, and a window over each bucket's sample keeps
+    only the keys where the next sub-range starts. Only those cut points reach
+    the driver; they become fixed literals, so every later pass buckets rows the
+    same way. Returns None when no bucket is over full (the usual case).
     """
     spark = coarse.sparkSession
     sizes = coarse.groupBy("_zk", "_bk0").agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > F.lit(max_bucket_rows)).collect()
+    hot = (
+        sizes.filter(F.col("_n") > F.lit(max_bucket_rows))
+        .select("_zk", "_bk0", "_n", F.least(F.ceil(F.col("_n") / F.lit(max_bucket_rows)), F.lit(_SUB)).alias("_parts"))
+        .collect()
+    )
     if not hot:
         return None
-    rows_of = {(r["_zk"], r["_bk0"]): r["_n"] for r in hot}
-    parts = {k: min(_SUB, math.ceil(n / max_bucket_rows)) for k, n in rows_of.items()}
-    fractions = [(zk, bk, min(1.0, _SAMPLES_PER_SUBRANGE * parts[(zk, bk)] / n)) for (zk, bk), n in rows_of.items()]
-    fraction_df = spark.createDataFrame(fractions, "_zk string, _bk0 long, _f double")
-    sample = (
+    plan = spark.createDataFrame(
+        [(r["_zk"], r["_bk0"], int(r["_parts"]), min(1.0, _SAMPLES_PER_SUBRANGE * r["_parts"] / r["_n"])) for r in hot],
+        "_zk string, _bk0 long, _parts long, _f double",
+    )
+    w = Window.partitionBy("_zk", "_bk0").orderBy(F.col(order).asc_nulls_first(), F.col(tie).asc_nulls_first())
+    pos = F.row_number().over(w) - F.lit(1)
+    n = F.count(F.lit(1)).over(Window.partitionBy("_zk", "_bk0"))
+    part_of = lambda p: F.floor(p * F.col("_parts") / F.col("_n_s"))
+    cut_rows = (
         coarse.select("_zk", "_bk0", order, tie)
-        .join(F.broadcast(fraction_df), on=["_zk", "_bk0"])
+        .join(F.broadcast(plan), on=["_zk", "_bk0"])
         .filter(F.rand(seed) < F.col("_f"))
+        .select("*", pos.alias("_p"), n.alias("_n_s"))
+        .filter((F.col("_p") > 0) & (part_of(F.col("_p")) != part_of(F.col("_p") - 1)))
         .select("_zk", "_bk0", order, tie)
         .collect()
     )
-    keys = defaultdict(list)
-    for r in sample:
-        keys[(r[0], r[1])].append((r[2], r[3]))
+    cuts = defaultdict(list)
+    for r in cut_rows:
+        cuts[(r[0], r[1])].append((r[2], r[3]))
     rows = []
-    for bucket, pts in keys.items():
-        pts.sort(key=lambda p: (_sort_key(p[0]), _sort_key(p[1])))
-        n_parts = parts[bucket]
-        cuts = []
-        for i in range(1, n_parts):
-            p = pts[(i * len(pts)) // n_parts]
-            if not cuts or cuts[-1] != p:
-                cuts.append(p)
-        rows.append((bucket[0], bucket[1], [{"t": t, "v": v} for t, v in cuts]))
+    for bucket, pts in cuts.items():
+        pts = sorted(set(pts), key=lambda p: (_sort_key(p[0]), _sort_key(p[1])))
+        rows.append((bucket[0], bucket[1], [{"t": t, "v": v} for t, v in pts]))
+    if not rows:
+        return None
     order_type = coarse.schema[order].dataType.simpleString()
     tie_type = coarse.schema[tie].dataType.simpleString()
     return spark.createDataFrame(rows, f"_zk string, _bk0 long, _cuts array<struct<t: {order_type}, v: {tie_type}>>")

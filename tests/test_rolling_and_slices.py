@@ -141,7 +141,7 @@ def test_single_hot_timestamp_is_split_by_id(spark):
     from pulsegrid.operators.rolling import _coarse, _hot_bucket_splits
 
     cuts = _hot_bucket_splits(_coarse(df, "city_zone", "event_timestamp", 60), "event_timestamp", "vehicle_id", 25)
-    assert cuts is not None and cuts.select(F.size("_cuts")).first()[0] >= 2
+    assert cuts is not None and cuts.agg(F.max(F.size("_cuts"))).first()[0] >= 10
     w = Window.partitionBy("city_zone").orderBy("event_timestamp", "vehicle_id").rowsBetween(-5, 0)
     slow = df.select("*", F.avg("d").over(w).alias("d_rolling_mean"), F.avg("s").over(w).alias("s_rolling_mean"))
     cols = ["vehicle_id", "d_rolling_mean", "s_rolling_mean"]
