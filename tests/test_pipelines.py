@@ -86,3 +86,11 @@ def test_dashboard_query_set(spark):
     assert views["top_zones"].count() <= 2
     assert views["heatmap"].columns == ["city_zone"] + [f"h{h:02d}" for h in range(24)]
     assert views["zones"].agg(F.sum("vehicle_count")).first()[0] == filtered_n
+
+
+def test_materialized_dashboard_equals_lazy(spark):
+    args = dict(zones=["Neon North"], weather=["Rain", "Fog"])
+    lazy = dashboard(traffic(spark, SF), **args)
+    stored = dashboard(traffic(spark, SF), materialize=True, **args)
+    for name in ("kpis", "zones", "heatmap", "speed_histogram", "top_anomalies", "forecast"):
+        assert same_rows(lazy[name], stored[name]), name
