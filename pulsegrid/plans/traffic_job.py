@@ -62,16 +62,28 @@ def run_traffic_job(
     partition_curated_by: list[str] | None = None,
     bucket_minutes: int = 60,
 ) -> dict[str, object]:
-    """Run the job end to end; return row counts, output paths and a log."""
-    raw = files.read_traffic_csv(spark, source) if isinstance(source, str) else source
-    logs: list[str] = []
+    """Run the job end to end; return row counts, output paths and a log.
 
+    A CSV source is read PERMISSIVE; rows that do not parse are counted
+    (``corrupt_rows``) in the same pass that counts the input.
+    """
     input_obs = Observation("traffic_input")
-    observed = raw.observe(input_obs, F.count(F.lit(1)).alias("rows"))
+    if isinstance(source, str):
+        raw = files.read_csv(spark, source, S.TRAFFIC_SCHEMA, keep_corrupt=True)
+        observed = raw.observe(
+            input_obs,
+            F.count(F.lit(1)).alias("rows"),
+            F.count(F.col(files.CORRUPT_COLUMN)).alias("corrupt"),
+        ).drop(files.CORRUPT_COLUMN)
+    else:
+        observed = source.observe(input_obs, F.count(F.lit(1)).alias("rows"), F.lit(0).alias("corrupt"))
+    logs: list[str] = []
+
     curated = curate_traffic(observed, bucket_minutes=bucket_minutes)
     files.write_parquet(curated, curated_dir, partition_by=partition_curated_by)
     input_rows = int(input_obs.get["rows"])
-    logs.append(f"read {input_rows:,} traffic records and wrote the curated table to {curated_dir}")
+    corrupt_rows = int(input_obs.get["corrupt"])
+    logs.append(f"read {input_rows:,} traffic records ({corrupt_rows:,} malformed) and wrote {curated_dir}")
 
     stored = files.read_parquet(spark, curated_dir)
 
@@ -87,6 +99,7 @@ def run_traffic_job(
 
     return {
         "input_rows": input_rows,
+        "corrupt_rows": corrupt_rows,
         "summary_rows": int(summary_obs.get["rows"]),
         "anomaly_rows": int(anomaly_obs.get["rows"]),
         "summary_path": summary_path,

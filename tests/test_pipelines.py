@@ -37,7 +37,7 @@ def test_traffic_job_from_csv(spark):
         partition_curated_by=["city_zone"],
     )
     n = traffic(spark, SF).count()
-    assert stats["input_rows"] == n
+    assert stats["input_rows"] == n and stats["corrupt_rows"] == 0
     assert stats["anomaly_rows"] == min(n, S.PIPELINE_ANOMALY_LIMIT)
     direct_summary = A.zone_weather_profile(type_traffic(traffic(spark, SF)))
     assert stats["summary_rows"] == direct_summary.count()
@@ -94,3 +94,17 @@ def test_materialized_dashboard_equals_lazy(spark):
     stored = dashboard(traffic(spark, SF), materialize=True, **args)
     for name in ("kpis", "zones", "heatmap", "speed_histogram", "top_anomalies", "forecast"):
         assert same_rows(lazy[name], stored[name]), name
+
+
+def test_traffic_job_counts_malformed_rows(spark):
+    root = fresh_dir("pg-bad-")
+    src = os.path.join(root, "input_csv")
+    files.write_csv(traffic(spark, SF), src)
+    with open(os.path.join(src, "part-extra.csv"), "w") as fh:
+        fh.write(",".join(S.TRAFFIC_COLUMNS) + "\n")
+        fh.write("QTF-X,not-a-time,Neon North,Car,oops,1,Clear,Smooth,1,0.1,Low,0.2\n")
+    stats = run_traffic_job(
+        spark, src, os.path.join(root, "s"), os.path.join(root, "a"), os.path.join(root, "c")
+    )
+    assert stats["corrupt_rows"] == 1
+    assert stats["input_rows"] == traffic(spark, SF).count() + 1
