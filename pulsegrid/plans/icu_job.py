@@ -70,4 +70,12 @@ def run_icu_job(
     files.write_csv(preprocessed, output_path)
     report = icu_report(preprocessed)
     report["output_path"] = output_path
+    kpis = report["kpis"]
+    logs = [f"extracted {kpis['rows']:,} ICU rows into {n_slices} ordered slices"]
+    logs += [f"slice {pid:02d}: transformed {rows:,} rows" for pid, rows in sorted(report["slice_rows"].items())]
+    if report["unit_alert_rates"]:
+        unit, rate = report["unit_alert_rates"][0]
+        logs.append(f"highest alert unit: {unit} ({rate * 100:.1f}%)")
+    logs.append(f"wrote the preprocessed ICU table to {output_path}")
+    report["logs"] = logs
     return files.read_icu_preprocessed_csv(spark, output_path), report

@@ -72,6 +72,7 @@ def test_icu_job_from_csv(spark):
     assert abs(report["kpis"]["avg_mortality_risk"] - kpis["avg_mortality_risk"]) < 1e-12
     rates = [(r["icu_unit"], r["alert_rate"]) for r in A.icu_unit_alert_rates(preprocess_icu_sliced(icu(spark, SF))).collect()]
     assert [u for u, _ in report["unit_alert_rates"]] == [u for u, _ in rates]
+    assert len(report["logs"]) == 8 + 3 and report["logs"][-2].startswith("highest alert unit: ")
 
 
 def test_dashboard_query_set(spark):
