@@ -25,9 +25,10 @@ def plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(set(entry_module.queries()) - SIDE_EFFECT_KEYS))
-def test_no_python_evaluation_in_any_query(spark, name):
+def test_no_python_evaluation_or_cross_join_in_any_query(spark, name):
     text = plan(entry_module.queries()[name](spark, SF))
     assert not any(node in text for node in PYTHON_NODES), text
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text, text
 
 
 @pytest.mark.parametrize("name", ["top_anomalies", "tppp_top_anomalies", "accident_hotspots", "top_anomaly_zones"])
