@@ -11,7 +11,7 @@ rounds the decimal text in DuckDB too.
 from __future__ import annotations
 
 from pulsegrid import schemas as S
-from pulsegrid.catalog import FILTER_LEVELS, FILTER_WEATHER, FILTER_ZONES, UNION_FIRST_UNITS
+from pulsegrid.catalog import FILTER_LEVELS, FILTER_WEATHER, FILTER_ZONES
 from pulsegrid.operators.matrix import HOURS, hour_column
 from pulsegrid.sources.fixtures import ICU_SQL_DUCKDB, TRAFFIC_SQL
 
