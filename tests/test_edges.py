@@ -215,3 +215,20 @@ def test_csv_reader_counts_corrupt_rows_and_maps_nan(spark):
     assert rows["QTF-AB-00001"]["ai_anomaly_score"] is None
     assert rows["QTF-AB-00002"]["timestamp"] == dt.datetime(2024, 3, 1, 8, 1, 0, 250000)
     raw.unpersist()
+
+
+def test_pandas_written_csv_reads_back_unchanged(spark):
+    """Files written by pandas `to_csv(index=False)` (True/False, space-separated stamps) read exactly."""
+    from pulsegrid.sources.fixtures import icu, traffic
+    from support import SF_DIRS
+
+    folder = fresh_dir("pg-pandas-")
+    for name, frame, reader in (
+        ("traffic.csv", traffic(spark, SF_DIRS["0.001"]), files.read_traffic_csv),
+        ("icu.csv", icu(spark, SF_DIRS["0.001"]), files.read_icu_csv),
+    ):
+        path = os.path.join(folder, name)
+        frame.toPandas().to_csv(path, index=False)
+        back = reader(spark, path)
+        assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in frame.schema]
+        assert back.exceptAll(frame).count() == 0 and frame.exceptAll(back).count() == 0
