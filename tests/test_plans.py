@@ -67,3 +67,24 @@ def test_rolling_window_is_partitioned_by_zone_and_bucket(spark):
     assert windows, text
     # no window over the data rows partitioned by the zone alone
     assert "Window [avg(" not in text
+
+
+def test_partitioned_curated_output_prunes_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from pulsegrid.plans.traffic_job import run_traffic_job
+
+    root = fresh_dir("pg-partitioned-")
+    stats = run_traffic_job(
+        spark,
+        traffic(spark, SF),
+        summary_path=os.path.join(root, "summary"),
+        anomaly_path=os.path.join(root, "anomalies"),
+        curated_dir=os.path.join(root, "curated"),
+        partition_curated_by=["city_zone"],
+    )
+    assert sorted(p for p in os.listdir(stats["curated_output_dir"]) if p.startswith("city_zone="))
+    one_zone = files.read_parquet(spark, stats["curated_output_dir"]).filter(F.col("city_zone") == "Neon North")
+    text = plan(one_zone)
+    assert "PartitionFilters: [isnotnull(city_zone" in text and "Neon North" in text.split("PartitionFilters")[1]
+    assert one_zone.count() == traffic(spark, SF).filter(F.col("city_zone") == "Neon North").count()
