@@ -53,10 +53,8 @@ def _zone_key(zone: str) -> Column:
     The NULL zone stays a group of its own, the key can be a plain equi-join
     key, and Catalyst knows it is never NULL (no inferred not-null filter).
     """
-    return F.concat(
-        F.when(F.col(zone).isNull(), F.lit("0")).otherwise(F.lit("1")),
-        F.coalesce(F.col(zone).cast("string"), F.lit("")),
-    )
+    z = q(zone)
+    return F.expr(f"concat(CASE WHEN {z} IS NULL THEN '0' ELSE '1' END, coalesce(CAST({z} AS STRING), ''))")
 
 
 def _bucket(df: DataFrame, order: str, bucket_minutes: int) -> Column:
@@ -66,16 +64,12 @@ def _bucket(df: DataFrame, order: str, bucket_minutes: int) -> Column:
     time zone (a zone-aware cast would reorder wall-clock times inside a DST
     gap); for a zoned timestamp the instant (epoch micros) is used.
     """
-    t = F.col(order)
+    t = q(order)
     if isinstance(df.schema[order].dataType, T.TimestampType):
-        minutes = F.floor(F.unix_micros(t) / F.lit(60_000_000))
+        minutes = f"floor(unix_micros({t}) / 60000000)"
     else:
-        minutes = (
-            F.unix_date(F.to_date(t)).cast("long") * F.lit(1440)
-            + F.hour(t) * F.lit(60)
-            + F.minute(t)
-        )
-    return F.coalesce(F.floor(minutes / F.lit(bucket_minutes)), F.lit(_NULL_BUCKET))
+        minutes = f"(CAST(unix_date(to_date({t})) AS BIGINT) * 1440 + hour({t}) * 60 + minute({t}))"
+    return F.expr(f"coalesce(floor({minutes} / {int(bucket_minutes)}), CAST({_NULL_BUCKET} AS BIGINT))")
 
 
 def _coarse(df: DataFrame, zone: str, order: str, bucket_minutes: int) -> DataFrame:
