@@ -52,6 +52,18 @@ def top_risk_report(
     return top_risk_events(rolled, limit)
 
 
+def _observed(observation: Observation, fallback) -> dict:
+    """The observed metrics, or ``fallback()`` when the observation never ran.
+
+    Catalyst drops the metrics node of a provably empty in-memory input, so
+    there the counts come from the written output instead.
+    """
+    try:
+        return dict(observation.get)
+    except Exception:  # no metrics were reported for this plan
+        return fallback()
+
+
 def run_traffic_job(
     spark: SparkSession,
     source: str | DataFrame,
@@ -81,8 +93,8 @@ def run_traffic_job(
 
     curated = curate_traffic(observed, bucket_minutes=bucket_minutes)
     files.write_parquet(curated, curated_dir, partition_by=partition_curated_by)
-    input_rows = int(input_obs.get["rows"])
-    corrupt_rows = int(input_obs.get["corrupt"])
+    seen = _observed(input_obs, lambda: {"rows": files.read_parquet(spark, curated_dir).count(), "corrupt": 0})
+    input_rows, corrupt_rows = int(seen["rows"]), int(seen["corrupt"])
     logs.append(f"read {input_rows:,} traffic records ({corrupt_rows:,} malformed) and wrote {curated_dir}")
 
     stored = files.read_parquet(spark, curated_dir)
@@ -100,8 +112,8 @@ def run_traffic_job(
     return {
         "input_rows": input_rows,
         "corrupt_rows": corrupt_rows,
-        "summary_rows": int(summary_obs.get["rows"]),
-        "anomaly_rows": int(anomaly_obs.get["rows"]),
+        "summary_rows": int(_observed(summary_obs, lambda: {"rows": load_summary(spark, summary_path).count()})["rows"]),
+        "anomaly_rows": int(_observed(anomaly_obs, lambda: {"rows": load_anomalies(spark, anomaly_path).count()})["rows"]),
         "summary_path": summary_path,
         "anomaly_path": anomaly_path,
         "curated_output_dir": curated_dir,

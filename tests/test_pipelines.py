@@ -109,3 +109,18 @@ def test_traffic_job_counts_malformed_rows(spark):
     )
     assert stats["corrupt_rows"] == 1
     assert stats["input_rows"] == traffic(spark, SF).count() + 1
+
+
+def test_jobs_and_materialising_operators_accept_empty_input(spark):
+    empty_icu = spark.createDataFrame([], S.ICU_SCHEMA)
+    empty_traffic = spark.createDataFrame([], S.TRAFFIC_SCHEMA)
+    root = fresh_dir("pg-empty-")
+    assert preprocess_icu_sliced(empty_icu).count() == 0
+    assert curate_traffic(empty_traffic).count() == 0
+    _, report = run_icu_job(spark, empty_icu, os.path.join(root, "icu"))
+    assert report["kpis"] == {"rows": 0, "alert_rate": 0.0, "avg_mortality_risk": 0.0, "top_unit": "N/A"}
+    stats = run_traffic_job(
+        spark, empty_traffic, os.path.join(root, "s"), os.path.join(root, "a"), os.path.join(root, "c")
+    )
+    assert (stats["input_rows"], stats["summary_rows"], stats["anomaly_rows"]) == (0, 0, 0)
+    assert dashboard(empty_traffic, materialize=True)["kpis"].first()["total_vehicles"] == 0.0
