@@ -25,7 +25,7 @@ from pulsegrid import schemas as S
 from pulsegrid.functions.columns import hour_floor
 from pulsegrid.operators.prepare import type_traffic
 from pulsegrid.session import shared_scratch_path
-from pulsegrid.sources.files import clean_doubles
+from pulsegrid.sources.files import READ_TIMESTAMP_FORMAT, clean_doubles
 
 
 def event_instant(ts: str) -> Column:
@@ -45,7 +45,11 @@ def event_instant(ts: str) -> Column:
 def read_traffic_stream(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     reader = spark.readStream.schema(S.TRAFFIC_SCHEMA).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = (
+            reader.option("header", True)
+            .option("timestampNTZFormat", READ_TIMESTAMP_FORMAT)
+            .option("timestampFormat", READ_TIMESTAMP_FORMAT)
+        )
     return clean_doubles(reader.load(path))
 
 

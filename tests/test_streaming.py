@@ -53,3 +53,14 @@ def test_hourly_trend_stream_emits_closed_hours(spark):
     closed = batch.filter(F.col("timestamp_hour") + F.expr("INTERVAL 1 HOUR") <= F.lit(max_ts - dt.timedelta(hours=2)))
     assert got.count() > 0
     assert got.exceptAll(closed).count() == 0 and closed.exceptAll(got).count() == 0
+
+
+def test_typed_stream_from_csv_folder(spark):
+    src = os.path.join(fresh_dir("pg-stream-csv-"), "in")
+    files.write_csv(traffic(spark, SF), src)
+    out = os.path.join(fresh_dir("pg-stream-csv-out-"), "typed")
+    q = start_parquet_sink(typed_stream(spark, src, fmt="csv"), out, checkpoint=out + "_ckpt", available_now=True)
+    q.awaitTermination(300)
+    got = files.read_parquet(spark, out)
+    want = type_traffic(traffic(spark, SF))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
