@@ -115,7 +115,6 @@ _DIMS = (
     + ", ".join(f"('{k}', {v!r}e0)" for k, v in S.ROAD_RISK.items())
     + ")"
 )
-_TRAFFIC_COLS = ", ".join(S.TRAFFIC_COLUMNS)
 _PREPARED_COLS = ", ".join(S.PREPARED_SCHEMA.fieldNames())
 _CURATED_COLS = ", ".join(S.CURATED_SCHEMA.fieldNames())
 _TYPED_COLS = ", ".join(S.CURATED_SCHEMA.fieldNames()[: len(S.TRAFFIC_COLUMNS) + 5])
