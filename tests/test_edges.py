@@ -232,3 +232,17 @@ def test_pandas_written_csv_reads_back_unchanged(spark):
         back = reader(spark, path)
         assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in frame.schema]
         assert back.exceptAll(frame).count() == 0 and frame.exceptAll(back).count() == 0
+
+
+def test_load_telemetry_reads_and_prepares(spark):
+    from pulsegrid.plans.dashboard import load_telemetry
+    from pulsegrid.sources.fixtures import traffic
+    from support import SF_DIRS
+
+    path = os.path.join(fresh_dir("pg-load-"), "traffic.csv")
+    source = traffic(spark, SF_DIRS["0.001"])
+    source.toPandas().to_csv(path, index=False)
+    loaded = load_telemetry(spark, path)
+    assert loaded.columns == S.PREPARED_SCHEMA.fieldNames()
+    expected = prepare_telemetry(source)
+    assert loaded.exceptAll(expected).count() == 0 and expected.exceptAll(loaded).count() == 0
