@@ -74,3 +74,24 @@ def test_rolling_mean_equals_direct_window(spark, rows, bucket_minutes, max_buck
     got = {r["vehicle_id"]: r["d_rolling_mean"] for r in fast.select("vehicle_id", "d_rolling_mean").collect()}
     want = {r["vehicle_id"]: r["d_rolling_mean"] for r in slow.collect()}
     assert got == want
+
+
+@SLOW
+@given(
+    st.lists(st.tuples(st.integers(0, 20), st.integers(0, 10_000)), min_size=1, max_size=80, unique_by=lambda t: t[1]),
+    st.integers(1, 7),
+)
+def test_global_rank_equals_row_number_on_random_frames(spark, rows, ranges):
+    from pulsegrid.operators.slices import global_rank
+
+    base = dt.datetime(2024, 6, 1)
+    df = spark.createDataFrame(
+        [(base + dt.timedelta(minutes=m), f"P{pid:05d}") for m, pid in rows], "ts timestamp_ntz, pid string"
+    )
+    ranked = global_rank(df, ["ts", "pid"], ranges=ranges)
+    got = {r["pid"]: (r["_rank"], r["_n"]) for r in ranked.collect()}
+    want = {
+        r["pid"]: (r["rn"], len(rows))
+        for r in df.select("pid", F.row_number().over(Window.orderBy("ts", "pid")).alias("rn")).collect()
+    }
+    assert got == want
