@@ -248,6 +248,10 @@ def rolling_means(
     (one counting pass over the keys decides; see the module notes). ``None``
     skips that pass, for inputs whose bucket sizes are known to be even.
     """
+    if events < 1:
+        raise ValueError("events must be at least 1")
+    if events == 1:  # the frame is the row itself
+        return df.select("*", *[F.col(v).cast("double").alias(f"{v}{suffix}") for v in values])
     prev = events - 1
     splits = (
         None

@@ -158,3 +158,19 @@ def test_top_risk_report_with_split_buckets(spark):
     fast = top_risk_events(rzf(typed, bucket_minutes=100_000, targets=candidates, max_targets=50, max_bucket_rows=60), 50)
     full = top_risk_events(rolling_zone_features_direct(typed), 50)
     assert fast.collect() == full.collect()
+
+
+@pytest.mark.parametrize("events", [1, 2, 10])
+def test_other_frame_lengths_match_direct_window(spark, events):
+    from pyspark.sql import Window
+
+    df = _edge_frame(spark)
+    fast = rolling_means(df, ["d"], events=events, bucket_minutes=7, max_bucket_rows=20)
+    w = (
+        Window.partitionBy("city_zone")
+        .orderBy(F.col("event_timestamp").asc_nulls_first(), F.col("vehicle_id").asc_nulls_first())
+        .rowsBetween(-(events - 1), 0)
+    )
+    slow = df.select("vehicle_id", F.avg("d").over(w).alias("d_rolling_mean"))
+    got = fast.select("vehicle_id", "d_rolling_mean")
+    assert got.exceptAll(slow).count() == 0 and slow.exceptAll(got).count() == 0
