@@ -246,3 +246,11 @@ def test_load_telemetry_reads_and_prepares(spark):
     assert loaded.columns == S.PREPARED_SCHEMA.fieldNames()
     expected = prepare_telemetry(source)
     assert loaded.exceptAll(expected).count() == 0 and expected.exceptAll(loaded).count() == 0
+
+
+def test_stored_label_is_kept_and_rederived_band_is_separate(spark):
+    # the stored label was cut before the density was rounded: 35.00 stored as Moderate
+    df = traffic_rows(spark, [{"vehicle_id": "r", "timestamp": T0, "traffic_density": 35.0, "congestion_level": "Moderate"}])
+    row = prepare_telemetry(df).select("congestion_level", C.congestion_band("traffic_density").alias("band")).first()
+    assert (row["congestion_level"], row["band"]) == ("Moderate", "Low")
+    assert type_traffic(df).first()["congestion_weight"] == 2
