@@ -22,6 +22,7 @@ from pulsegrid.operators.aggregates import zone_weather_profile
 from pulsegrid.operators.prepare import type_traffic
 from pulsegrid.operators.ranking import top_risk_events
 from pulsegrid.operators.rolling import rolling_zone_features
+from pulsegrid.session import shared_scratch_path
 from pulsegrid.sources import files
 
 
@@ -76,8 +77,11 @@ def run_traffic_job(
 ) -> dict[str, object]:
     """Run the job end to end; return row counts, output paths and a log.
 
-    A CSV source is read PERMISSIVE; rows that do not parse are counted
-    (``corrupt_rows``) in the same pass that counts the input.
+    A CSV source (a path) is parsed once: read PERMISSIVE with its schema and
+    staged as Parquet under the shared checkpoint folder, counting rows and
+    malformed rows (``corrupt_rows``) in that same pass. The curation passes
+    (skew check, window tails, main window) then read only the Parquet columns
+    they need instead of parsing the CSV three times.
     """
     input_obs = Observation("traffic_input")
     if isinstance(source, str):
@@ -87,14 +91,20 @@ def run_traffic_job(
             F.count(F.lit(1)).alias("rows"),
             F.count(F.col(files.CORRUPT_COLUMN)).alias("corrupt"),
         ).drop(files.CORRUPT_COLUMN)
+        staged_path = shared_scratch_path(spark, "traffic-staged")
+        files.write_parquet(observed, staged_path)
+        staged = files.read_parquet(spark, staged_path, S.TRAFFIC_SCHEMA)
+        seen = _observed(input_obs, lambda: {"rows": staged.count(), "corrupt": 0})
     else:
-        observed = source.observe(input_obs, F.count(F.lit(1)).alias("rows"), F.lit(0).alias("corrupt"))
+        staged = source.observe(input_obs, F.count(F.lit(1)).alias("rows"))
+        seen = None
     logs: list[str] = []
 
-    curated = curate_traffic(observed, bucket_minutes=bucket_minutes)
+    curated = curate_traffic(staged, bucket_minutes=bucket_minutes)
     files.write_parquet(curated, curated_dir, partition_by=partition_curated_by)
-    seen = _observed(input_obs, lambda: {"rows": files.read_parquet(spark, curated_dir).count(), "corrupt": 0})
-    input_rows, corrupt_rows = int(seen["rows"]), int(seen["corrupt"])
+    if seen is None:
+        seen = _observed(input_obs, lambda: {"rows": files.read_parquet(spark, curated_dir).count()})
+    input_rows, corrupt_rows = int(seen["rows"]), int(seen.get("corrupt", 0))
     logs.append(f"read {input_rows:,} traffic records ({corrupt_rows:,} malformed) and wrote {curated_dir}")
 
     stored = files.read_parquet(spark, curated_dir)
