@@ -13,14 +13,21 @@ from pyspark.sql import functions as F
 from pulsegrid import schemas as S
 from pulsegrid.operators.prepare import preprocess_icu
 from pulsegrid.operators.slices import contiguous_slices
+from pulsegrid.session import remove_path, shared_scratch_path
 from pulsegrid.sources import files
 
 ICU_ORDER = ["admission_timestamp", "patient_id"]
 
 
-def preprocess_icu_sliced(icu: DataFrame, n_slices: int = S.ICU_DEFAULT_SLICES) -> DataFrame:
-    """Slice id in admission order, then the ICU transform (16 + 6 columns)."""
-    sliced = contiguous_slices(icu, n_slices, ICU_ORDER, out_col="partition_id")
+def preprocess_icu_sliced(
+    icu: DataFrame, n_slices: int = S.ICU_DEFAULT_SLICES, path: str | None = None
+) -> DataFrame:
+    """Slice id in admission order, then the ICU transform (16 + 6 columns).
+
+    ``path`` is where the slice ranking is materialised (default: a fresh
+    folder under the shared checkpoint folder).
+    """
+    sliced = contiguous_slices(icu, n_slices, ICU_ORDER, out_col="partition_id", path=path)
     return preprocess_icu(sliced).select(*S.ICU_PREPROCESSED_SCHEMA.fieldNames())
 
 
@@ -60,15 +67,20 @@ def run_icu_job(
     source: str | DataFrame,
     output_path: str,
     n_slices: int = S.ICU_DEFAULT_SLICES,
+    keep_scratch: bool = False,
 ) -> tuple[DataFrame, dict[str, object]]:
     """Transform, write the preprocessed CSV, and report per-slice rows, unit rates and KPIs.
 
     Returns the written table (read back lazily with its schema) and the report.
+    The materialised slice ranking is removed at the end (unless ``keep_scratch``).
     """
     raw = files.read_icu_csv(spark, source) if isinstance(source, str) else source
-    preprocessed = preprocess_icu_sliced(raw, n_slices)
+    ranking_path = shared_scratch_path(spark, "icu-ranking")
+    preprocessed = preprocess_icu_sliced(raw, n_slices, path=ranking_path)
     files.write_csv(preprocessed, output_path)
     report = icu_report(preprocessed)
+    if not keep_scratch:
+        remove_path(spark, ranking_path)
     report["output_path"] = output_path
     kpis = report["kpis"]
     logs = [f"extracted {kpis['rows']:,} ICU rows into {n_slices} ordered slices"]

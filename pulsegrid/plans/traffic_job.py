@@ -22,7 +22,7 @@ from pulsegrid.operators.aggregates import zone_weather_profile
 from pulsegrid.operators.prepare import type_traffic
 from pulsegrid.operators.ranking import top_risk_events
 from pulsegrid.operators.rolling import rolling_zone_features
-from pulsegrid.session import shared_scratch_path
+from pulsegrid.session import remove_path, shared_scratch_path
 from pulsegrid.sources import files
 
 
@@ -74,6 +74,7 @@ def run_traffic_job(
     anomaly_limit: int = S.PIPELINE_ANOMALY_LIMIT,
     partition_curated_by: list[str] | None = None,
     bucket_minutes: int = 60,
+    keep_scratch: bool = False,
 ) -> dict[str, object]:
     """Run the job end to end; return row counts, output paths and a log.
 
@@ -81,9 +82,11 @@ def run_traffic_job(
     staged as Parquet under the shared checkpoint folder, counting rows and
     malformed rows (``corrupt_rows``) in that same pass. The curation passes
     (skew check, window tails, main window) then read only the Parquet columns
-    they need instead of parsing the CSV three times.
+    they need instead of parsing the CSV three times. The staged copy is
+    removed once the curated table is written (unless ``keep_scratch``).
     """
     input_obs = Observation("traffic_input")
+    staged_path = None
     if isinstance(source, str):
         raw = files.read_csv(spark, source, S.TRAFFIC_SCHEMA, keep_corrupt=True)
         observed = raw.observe(
@@ -105,6 +108,8 @@ def run_traffic_job(
     if seen is None:
         seen = _observed(input_obs, lambda: {"rows": files.read_parquet(spark, curated_dir).count()})
     input_rows, corrupt_rows = int(seen["rows"]), int(seen.get("corrupt", 0))
+    if staged_path and not keep_scratch:
+        remove_path(spark, staged_path)
     logs.append(f"read {input_rows:,} traffic records ({corrupt_rows:,} malformed) and wrote {curated_dir}")
 
     stored = files.read_parquet(spark, curated_dir)

@@ -75,3 +75,15 @@ def shared_scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "pulsegrid-scratch", f"{name}-{uuid.uuid4().hex}")
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this library wrote (e.g. a job's staged copy) on any Hadoop file system.
+
+    Only for scratch output whose readers are finished; returns whether
+    something was deleted.
+    """
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(jpath, True))

@@ -124,3 +124,17 @@ def test_jobs_and_materialising_operators_accept_empty_input(spark):
     )
     assert (stats["input_rows"], stats["summary_rows"], stats["anomaly_rows"]) == (0, 0, 0)
     assert dashboard(empty_traffic, materialize=True)["kpis"].first()["total_vehicles"] == 0.0
+
+
+def test_jobs_remove_their_scratch_tables(spark):
+    from pulsegrid.session import ensure_checkpoint_dir
+
+    scratch = os.path.join(ensure_checkpoint_dir(spark), "pulsegrid-scratch").replace("file:", "")
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    root = fresh_dir("pg-clean-")
+    src = os.path.join(root, "in")
+    files.write_csv(traffic(spark, SF), src)
+    run_traffic_job(spark, src, os.path.join(root, "s"), os.path.join(root, "a"), os.path.join(root, "c"))
+    run_icu_job(spark, icu(spark, SF), os.path.join(root, "icu"))
+    after = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    assert not [p for p in after - before if p.startswith(("traffic-staged", "icu-ranking"))]
