@@ -143,7 +143,8 @@ def _keyed(
     # the split table has one row per over-full bucket: bounded, broadcast
     with_cuts = coarse.join(F.broadcast(splits), on=["_zk", "_bk0"], how="left")
     key = F.struct(F.col(order).alias("t"), F.col(tie).alias("v"))
-    sub = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= key)), F.lit(0))
+    # rows of buckets without cuts get 0 (size(NULL) is -1 in non-ANSI sessions)
+    sub = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.size(F.filter("_cuts", lambda c: c <= key)))
     return with_cuts.withColumn("_bk", F.col("_bk0") * F.lit(_SUB) + sub).drop("_bk0", "_cuts")
 
 
@@ -198,7 +199,7 @@ def _fill(
             slot_cols.append(
                 F.expr(
                     f"CAST(CASE WHEN {k} < _r THEN {q(f'_{v}_lag{k}')}"
-                    f" WHEN {from_end} <= coalesce(size(_halo), 0)"
+                    f" WHEN _halo IS NOT NULL AND {from_end} <= size(_halo)"
                     f" THEN (try_element_at(_halo, -{from_end})).{q(v)} END AS DOUBLE)"
                 ).alias(f"_{v}_s{k}")
             )

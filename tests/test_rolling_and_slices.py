@@ -174,3 +174,17 @@ def test_other_frame_lengths_match_direct_window(spark, events):
     slow = df.select("vehicle_id", F.avg("d").over(w).alias("d_rolling_mean"))
     got = fast.select("vehicle_id", "d_rolling_mean")
     assert got.exceptAll(slow).count() == 0 and slow.exceptAll(got).count() == 0
+
+
+def test_rolling_exact_in_a_non_ansi_session(spark):
+    # legacy (non-ANSI) sessions return -1 for size(NULL); bucket numbers must not shift
+    previous = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        typed = type_traffic(traffic(spark, SF_DIRS["0.01"]))
+        cols = ["vehicle_id", *CURATED_EXTRA]
+        fast = rolling_zone_features(typed, bucket_minutes=600, max_bucket_rows=5).select(cols)
+        slow = rolling_zone_features_direct(typed).select(cols)
+        assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", previous)
