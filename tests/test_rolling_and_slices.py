@@ -177,7 +177,7 @@ def test_other_frame_lengths_match_direct_window(spark, events):
 
 
 def test_rolling_exact_in_a_non_ansi_session(spark):
-    # legacy (non-ANSI) sessions return -1 for size(NULL); bucket numbers must not shift
+    # non-ANSI sessions return -1 for size(NULL); the bucket numbers must still come out exact
     previous = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
