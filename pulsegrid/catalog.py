@@ -60,6 +60,8 @@ def _icu_preprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _icu_unsliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ICU transform without slice ids: unit rates and KPIs do not depend on the
+    slices, so these keys skip the ranking (and its materialisation) altogether."""
     return preprocess_icu(icu(spark, sf_dir))
 
 
