@@ -80,10 +80,12 @@ def right_closed_band(name: str, edges: Sequence[float], labels: Sequence[str])
 
 
 def congestion_band(density: str = "traffic_density") -> Column:
+    """Congestion label of a density (right-closed bands)."""
     return right_closed_band(density, S.CONGESTION_BAND_EDGES, S.CONGESTION_BAND_LABELS)
 
 
 def severity_band(risk: str = "mortality_risk") -> Column:
+    """ICU severity label of a mortality risk (right-closed bands)."""
     return right_closed_band(risk, S.SEVERITY_BAND_EDGES, S.SEVERITY_BAND_LABELS)
 
 
@@ -102,15 +104,18 @@ def hour_floor(ts: str) -> Column:
 
 
 def is_anomaly(score: str = "ai_anomaly_score") -> Column:
+    """Anomaly flag: score at or above the threshold; missing or NaN is False."""
     return F.expr(flag_sql(f"{nan_to_null_sql(score)} >= {dbl(S.ANOMALY_THRESHOLD)}"))
 
 
 def is_high_congestion(level: str = "congestion_level") -> Column:
+    """High or Critical congestion level; missing is False."""
     levels = ", ".join(f"'{v}'" for v in S.HIGH_CONGESTION_LEVELS)
     return F.expr(flag_sql(f"{q(level)} IN ({levels})"))
 
 
 def congestion_weight(level: str = "congestion_level") -> Column:
+    """Ordinal congestion weight (Critical 4, High 3, Moderate 2, anything else 1)."""
     arms = " ".join(f"WHEN {q(level)} = '{label}' THEN {w}" for label, w in S.CONGESTION_WEIGHTS.items())
     return F.expr(f"CASE {arms} ELSE {S.DEFAULT_CONGESTION_WEIGHT} END")
 
@@ -158,6 +163,7 @@ def peak_multiplier_sql(hour_sql: str) -> str:
 
 
 def peak_multiplier(hour: str) -> Column:
+    """Peak-hour multiplier of an hour-of-day column."""
     return F.expr(peak_multiplier_sql(q(hour)))
 
 
@@ -210,6 +216,7 @@ def batch_alert(
     lactate: str = "lactate_mmol_l",
     critical: str = "critical_event",
 ) -> Column:
+    """ICU alert: shock index, low SpO2, high lactate or a critical event; missing parts count as False."""
     return F.expr(
         f"{flag_sql(nan_to_null_sql(shock) + ' >= ' + dbl(S.SHOCK_INDEX_ALERT))}"
         f" OR {flag_sql(nan_to_null_sql(spo2) + ' <= ' + dbl(S.SPO2_ALERT_MAX))}"

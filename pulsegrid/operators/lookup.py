@@ -51,6 +51,7 @@ def with_condition_pressure(df: DataFrame) -> DataFrame:
 
 
 def condition_pressure_lookup(traffic: DataFrame) -> DataFrame:
+    """Zone pressure, weather pressure and road risk per event."""
     return with_condition_pressure(traffic).select(
         "vehicle_id", "timestamp", "zone_pressure", "weather_pressure", "road_risk"
     )
@@ -67,6 +68,7 @@ def accident_risk_scores(traffic: DataFrame) -> DataFrame:
 
 
 def anomaly_scores(traffic: DataFrame) -> DataFrame:
+    """Noise-free composite anomaly score per event."""
     return traffic.select(
         "vehicle_id",
         "timestamp",
@@ -77,6 +79,7 @@ def anomaly_scores(traffic: DataFrame) -> DataFrame:
 
 
 def peak_hour_factors(traffic: DataFrame) -> DataFrame:
+    """Event hour and its peak-hour multiplier per event."""
     return traffic.selectExpr(
         "vehicle_id",
         "timestamp",

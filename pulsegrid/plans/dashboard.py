@@ -39,6 +39,7 @@ def dashboard(
     congestion_levels: Sequence[str] = (),
     materialize: bool = False,
 ) -> dict[str, DataFrame]:
+    """All dashboard views over the filtered table, as lazy DataFrames keyed by view name."""
     prepared = prepare_telemetry(traffic)
     filtered = filter_telemetry(prepared, zones, weather, vehicle_types, congestion_levels)
     if materialize:

@@ -137,10 +137,12 @@ def run_traffic_job(
 
 
 def load_summary(spark: SparkSession, path: str) -> DataFrame:
+    """Read a written zone/weather profile with its schema."""
     return files.read_summary_csv(spark, path)
 
 
 def load_anomalies(spark: SparkSession, path: str) -> DataFrame:
+    """Read a written top-risk export with its schema."""
     return files.read_anomalies_csv(spark, path)
 
 

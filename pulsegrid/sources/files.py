@@ -71,26 +71,32 @@ def corrupt_rows(df_with_corrupt: DataFrame) -> DataFrame:
 
 
 def read_traffic_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Traffic telemetry CSV with its explicit schema."""
     return read_csv(spark, path, S.TRAFFIC_SCHEMA)
 
 
 def read_icu_csv(spark: SparkSession, path: str) -> DataFrame:
+    """ICU monitoring CSV with its explicit schema."""
     return read_csv(spark, path, S.ICU_SCHEMA)
 
 
 def read_summary_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Zone/weather profile CSV with its explicit schema."""
     return read_csv(spark, path, S.SUMMARY_SCHEMA)
 
 
 def read_anomalies_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Top-risk export CSV with its explicit schema."""
     return read_csv(spark, path, S.ANOMALIES_SCHEMA)
 
 
 def read_icu_preprocessed_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Preprocessed ICU CSV with its explicit schema."""
     return read_csv(spark, path, S.ICU_PREPROCESSED_SCHEMA)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet, optionally with an explicit schema (no footer inference then)."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)
 
@@ -112,6 +118,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
+    """Overwrite ``path`` with Parquet, optionally partitioned by columns."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

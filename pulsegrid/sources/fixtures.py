@@ -39,6 +39,7 @@ ORDERS_READ_SCHEMA = T.StructType(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """One of the shared test tables, read with an optional explicit schema."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 

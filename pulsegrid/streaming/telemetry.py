@@ -43,6 +43,7 @@ def event_instant(ts: str) -> Column:
 
 
 def read_traffic_stream(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Streaming read of a traffic folder (Parquet or CSV) with the explicit schema."""
     reader = spark.readStream.schema(S.TRAFFIC_SCHEMA).format(fmt)
     if fmt == "csv":
         reader = (
@@ -54,6 +55,7 @@ def read_traffic_stream(spark: SparkSession, path: str, fmt: str = "parquet") ->
 
 
 def typed_stream(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The typed batch-job columns over a streaming traffic folder."""
     return type_traffic(read_traffic_stream(spark, path, fmt))
 
 
