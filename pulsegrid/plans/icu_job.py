@@ -7,7 +7,7 @@ all Spark partitions at once, instead of slice after slice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
@@ -72,18 +72,36 @@ def run_icu_job(
     """Transform, write the preprocessed CSV, and report per-slice rows, unit rates and KPIs.
 
     Returns the written table (read back lazily with its schema) and the report.
-    The materialised slice ranking is removed at the end (unless ``keep_scratch``).
+    A CSV source (a path) is parsed once: staged as Parquet under the shared
+    checkpoint folder while malformed rows are counted, so the ranking's
+    sampling and shuffle passes read Parquet columns. Staged input and the
+    materialised slice ranking are removed at the end (unless ``keep_scratch``).
     """
-    raw = files.read_icu_csv(spark, source) if isinstance(source, str) else source
+    scratch = []
+    corrupt_rows = 0
+    if isinstance(source, str):
+        counted = Observation("icu_input")
+        raw = files.read_csv(spark, source, S.ICU_SCHEMA, keep_corrupt=True)
+        observed = raw.observe(counted, F.count(F.col(files.CORRUPT_COLUMN)).alias("corrupt"))
+        staged_path = shared_scratch_path(spark, "icu-staged")
+        files.write_parquet(observed.drop(files.CORRUPT_COLUMN), staged_path)
+        scratch.append(staged_path)
+        corrupt_rows = int(counted.get["corrupt"])
+        raw = files.read_parquet(spark, staged_path, S.ICU_SCHEMA)
+    else:
+        raw = source
     ranking_path = shared_scratch_path(spark, "icu-ranking")
+    scratch.append(ranking_path)
     preprocessed = preprocess_icu_sliced(raw, n_slices, path=ranking_path)
     files.write_csv(preprocessed, output_path)
     report = icu_report(preprocessed)
     if not keep_scratch:
-        remove_path(spark, ranking_path)
+        for path in scratch:
+            remove_path(spark, path)
     report["output_path"] = output_path
+    report["corrupt_rows"] = corrupt_rows
     kpis = report["kpis"]
-    logs = [f"extracted {kpis['rows']:,} ICU rows into {n_slices} ordered slices"]
+    logs = [f"extracted {kpis['rows']:,} ICU rows ({corrupt_rows:,} malformed) into {n_slices} ordered slices"]
     logs += [f"slice {pid:02d}: transformed {rows:,} rows" for pid, rows in sorted(report["slice_rows"].items())]
     if report["unit_alert_rates"]:
         unit, rate = report["unit_alert_rates"][0]

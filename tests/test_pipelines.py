@@ -73,6 +73,7 @@ def test_icu_job_from_csv(spark):
     rates = [(r["icu_unit"], r["alert_rate"]) for r in A.icu_unit_alert_rates(preprocess_icu_sliced(icu(spark, SF))).collect()]
     assert [u for u, _ in report["unit_alert_rates"]] == [u for u, _ in rates]
     assert len(report["logs"]) == 8 + 3 and report["logs"][-2].startswith("highest alert unit: ")
+    assert report["corrupt_rows"] == 0
 
 
 def test_dashboard_query_set(spark):
@@ -137,4 +138,7 @@ def test_jobs_remove_their_scratch_tables(spark):
     run_traffic_job(spark, src, os.path.join(root, "s"), os.path.join(root, "a"), os.path.join(root, "c"))
     run_icu_job(spark, icu(spark, SF), os.path.join(root, "icu"))
     after = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
-    assert not [p for p in after - before if p.startswith(("traffic-staged", "icu-ranking"))]
+    files.write_csv(icu(spark, SF), os.path.join(root, "icu_in"))
+    run_icu_job(spark, os.path.join(root, "icu_in"), os.path.join(root, "icu2"))
+    after = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    assert not [p for p in after - before if p.startswith(("traffic-staged", "icu-ranking", "icu-staged"))]
