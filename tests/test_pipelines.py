@@ -149,8 +149,8 @@ def test_icu_job_counts_malformed_rows(spark):
     src = os.path.join(root, "icu_csv")
     files.write_csv(icu(spark, SF), src)
     with open(os.path.join(src, "part-extra.csv"), "w") as fh:
-        fh.write(",".join(S.ICU_COLUMNS) + "\\n")
-        fh.write("ICU-X,not-a-time,Neuro ICU,abc,Sepsis,1,1,1,1,1,1,1,Room Air,1,0.5,maybe\\n")
+        fh.write(",".join(S.ICU_COLUMNS) + "\n")
+        fh.write("ICU-X,not-a-time,Neuro ICU,abc,Sepsis,1,1,1,1,1,1,1,Room Air,1,0.5,maybe\n")
     out, report = run_icu_job(spark, src, os.path.join(root, "out"))
     assert report["corrupt_rows"] == 1
     assert report["kpis"]["rows"] == icu(spark, SF).count() + 1
