@@ -29,3 +29,21 @@ def test_query_matches_oracle(spark, duck, name):
     want = duck.sql(ORACLES[name]).to_arrow_table().to_pandas()
     problems = compare(got, want)
     assert not problems, f"{name}: " + "; ".join(problems)
+
+
+SMALL_SF = SF_DIRS["0.001"]
+
+
+@pytest.fixture(scope="module")
+def duck_small():
+    con = duck_connection(SMALL_SF)
+    yield con
+    con.close()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_oracle_on_smallest_tables(spark, duck_small, name):
+    got = QUERIES[name](spark, SMALL_SF).toPandas()
+    want = duck_small.sql(ORACLES[name]).to_arrow_table().to_pandas()
+    problems = compare(got, want)
+    assert not problems, f"{name}: " + "; ".join(problems)
