@@ -95,3 +95,36 @@ def test_global_rank_equals_row_number_on_random_frames(spark, rows, ranges):
         for r in df.select("pid", F.row_number().over(Window.orderBy("ts", "pid")).alias("rn")).collect()
     }
     assert got == want
+
+
+traffic_row = st.tuples(
+    st.sampled_from(["Neon North", "Metro Central", None]),
+    st.sampled_from(["Car", "Bus", None]),
+    st.one_of(st.none(), st.floats(0, 120, allow_nan=False)),
+    st.sampled_from(["Low", "High", None]),
+    st.one_of(st.none(), st.text(alphabet="AB", min_size=1, max_size=3)),
+)
+
+
+@SLOW
+@given(st.lists(traffic_row, min_size=0, max_size=50))
+def test_group_counts_add_up(spark, rows):
+    from pulsegrid.operators import aggregates as A
+    from pulsegrid.operators.matrix import speed_histogram
+    from pulsegrid.operators.prepare import prepare_telemetry
+
+    base = dt.datetime(2024, 7, 1)
+    data = [
+        (vid, base + dt.timedelta(minutes=i), zone, vtype, 50.0, speed, "Rain", "Wet", 10.0, 0.1, level, 0.5)
+        for i, (zone, vtype, speed, level, vid) in enumerate(rows)
+    ]
+    prepared = prepare_telemetry(spark.createDataFrame(data, S.TRAFFIC_SCHEMA))
+    zones = A.zone_summary(prepared).agg(F.sum("vehicle_count")).first()[0] or 0
+    assert zones == sum(1 for z, _, _, _, vid in rows if z is not None and vid is not None)
+    hist = speed_histogram(prepared).agg(F.sum("n")).first()[0] or 0
+    assert hist == sum(1 for _, _, s, lv, _ in rows if s is not None and lv is not None)
+    types = A.vehicle_type_distribution(prepared)
+    total = types.agg(F.sum("count"), F.sum("share")).first()
+    assert (total[0] or 0) == sum(1 for _, t, _, _, _ in rows if t is not None)
+    if total[0]:
+        assert abs(total[1] - 1.0) < 1e-9
