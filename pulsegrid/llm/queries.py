@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pulsegrid.llm import secrets, token_files
+from pulsegrid.llm import quality, secrets, token_files, toxicity
 
 QUERIES = {
     "op4_secret_scan": secrets.query,
     "op6_token_files": token_files.query,
+    "op7_toxicity": toxicity.query,
+    "op10_quality": quality.query,
 }
 ORACLE_SQL: dict[str, str] = {}
