@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pulsegrid.llm import decontaminate, quality, secrets, token_files, toxicity, warc
+from pulsegrid.llm import decontaminate, neardup, quality, secrets, token_files, toxicity, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
     "op2_warc_derivatives": warc.query,
     "op4_secret_scan": secrets.query,
+    "op5_near_duplicates": neardup.query,
     "op6_token_files": token_files.query,
     "op7_toxicity": toxicity.query,
     "op10_quality": quality.query,
