@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulsegrid.llm import ann, decontaminate, neardup, quality, secrets, token_files, toxicity, warc
+from pulsegrid.llm import ann, decontaminate, neardup, pieces, quality, secrets, token_files, toxicity, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_near_duplicates": neardup.query,
     "op6_token_files": token_files.query,
     "op7_toxicity": toxicity.query,
+    "op8_pieces": pieces.query,
     "op9_neighbours": ann.query,
     "op10_quality": quality.query,
 }
