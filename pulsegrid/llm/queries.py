@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pulsegrid.llm import ann, decontaminate, neardup, pieces, quality, secrets, token_files, toxicity, warc
+from pulsegrid.llm import ann, decontaminate, neardup, pieces, quality, secrets, substrings, token_files, toxicity, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
     "op2_warc_derivatives": warc.query,
+    "op3_repeated_substrings": substrings.query,
     "op4_secret_scan": secrets.query,
     "op5_near_duplicates": neardup.query,
     "op6_token_files": token_files.query,
