@@ -22,8 +22,10 @@ size, and the global start offsets are sums over segments, not documents.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -101,7 +103,8 @@ class EliasFano:
 
 
 # the encoder sees each distinct word of a block once; longer blocks repeat more of them
-ENCODE_BLOCK_BYTES = 1 << 24
+ENCODE_BLOCK_BYTES = 1 << 22
+_BATCH = 4096
 _PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?$"
 
 
@@ -131,6 +134,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
@@ -144,7 +148,9 @@ class WordEncoder:
         tokenize = self._model.tokenize
         lists = [[t.id for t in tokenize(w if w.isascii() else w.translate(_BYTE_CHARACTERS))] for w in cores.dictionary.to_pylist()]
         rest = words.filter(pa.array(~plain)).to_pylist()
-        lists += [e.ids for e in self._tokenizer.encode_batch_fast([*rest, ".", ","], add_special_tokens=False)]
+        others = [*rest, ".", ","]
+        for a in range(0, len(others), _BATCH):  # the library's results are far larger than their ids
+            lists += [e.ids for e in self._tokenizer.encode_batch_fast(others[a : a + _BATCH], add_special_tokens=False)]
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
         flat = np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))
         # each word is its unit and then its mark, which for most is the empty unit at the end
@@ -175,6 +181,12 @@ class WordEncoder:
         return flat[ranges(first[codes], n)], total[offsets[1:]] - total[offsets[:-1]]
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a Python worker."""
+    return WordEncoder(path)
+
+
 def _segments(part: int, width: int, docs: Iterator[tuple[list, np.ndarray, np.ndarray]], limit: int):
     """Cut a sorted stream of (doc ids, ids, ids per document) into segment rows."""
     held_ids, held, counts, size, number = [], [], [], 0, 0
@@ -216,7 +228,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = WordEncoder(tokenizer)
+        encoder = _encoder(tokenizer)
         width = 2 if max(encoder.vocabulary, end_id + 1) <= 1 << 16 else 4
 
         def stream():
@@ -226,6 +238,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                 offsets = np.concatenate(([0], np.cumsum(size)))
                 for a, b in text_blocks(offsets, ENCODE_BLOCK_BYTES):
                     ids, counts = encoder(texts.slice(a, b - a))
+                    pa.default_memory_pool().release_unused()
                     ends = np.cumsum(counts)
                     yield batch.column("doc_id").slice(a, b - a).to_pylist(), np.insert(ids, ends, end_id), counts + 1
 
