@@ -236,8 +236,9 @@ def _statistics(texts: DataFrame, length: int) -> tuple[int, np.ndarray]:
 
     totals = texts.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     whole = {r["gram"]: r["n"] for r in totals.filter("gram < 0").collect()}
+    # shares add up to one, so these are fewer than 1 / HEAVY
     most = int(whole.get(-2) or 0) * HEAVY
-    heavy = [r["gram"] for r in totals.filter((F.col("gram") >= 0) & (F.col("n") > most)).orderBy(F.desc("n")).limit(int(1 / HEAVY)).collect()]
+    heavy = [r["gram"] for r in totals.filter((F.col("gram") >= 0) & (F.col("n") > most)).collect()]
     return int(whole.get(-1) or 0), np.sort(np.array(heavy, np.uint64))
 
 

@@ -60,10 +60,15 @@ def digest(block: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(F.encode(block, "UTF-8"), 256))
 
 
-@F.arrow_udf("string")
-def _unescape(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for values in batches:
-        yield pa.array([None if v is None else html.unescape(v) if "&" in v else v for v in values.to_pylist()], pa.string())
+def unescape(text: Column) -> Column:
+    """Character references as their characters."""
+
+    @F.arrow_udf("string")
+    def plain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for values in batches:
+            yield pa.array([None if v is None else html.unescape(v) if "&" in v else v for v in values.to_pylist()], pa.string())
+
+    return plain(text)
 
 
 def tidy(text: Column) -> Column:
@@ -105,8 +110,8 @@ def derivatives(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     parts = seen.select(
         *keep, "record_id", "target_uri", "date", "_headers",
         digest(F.col("_payload")).alias("_digest"), F.octet_length("_payload").cast("long").alias("_length"),
-        tidy(_unescape(without_tags(F.col("_visible")))).alias("_text"),
-        F.regexp_replace(tidy(_unescape(without_tags(F.regexp_extract("_visible", TITLE, 1)))), "\n", " ").alias("_title"),
+        tidy(unescape(without_tags(F.col("_visible")))).alias("_text"),
+        F.regexp_replace(tidy(unescape(without_tags(F.regexp_extract("_visible", TITLE, 1)))), "\n", " ").alias("_title"),
         F.regexp_extract("_visible", LANGUAGE, 1).alias("_language"),
         F.regexp_extract_all("_visible", F.lit(LINK), 1).alias("_links"),
     )

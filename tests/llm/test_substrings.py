@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from conftest import EDGE_ROWS, docs_frame
+from pyspark.sql import functions as F
+from support import SF_DIRS
+
+from pulsegrid.llm import substrings as S
+
+
+def brute(rows, length):
+    """Per row (doc_id, n_bytes, n_removed, n_spans, digest of the kept bytes), from a set of all strings of smaller ids."""
+    out, seen, waiting = [], set(), []
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+    for at, (i, text) in enumerate(ordered):
+        if at and ordered[at - 1][0] != i:
+            seen.update(waiting)
+            waiting = []
+        data = (text or "").encode()
+        gone = np.zeros(len(data), bool)
+        for s in range(len(data) - length + 1):
+            string = data[s : s + length]
+            waiting.append(string)
+            if string in seen:
+                gone[s : s + length] = True
+        spans = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
+        kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
+        out.append((i, len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def found(docs, length):
+    rows = S.remove_repeats(docs, length).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
+    return sorted((tuple(r) for r in rows), key=str)
+
+
+def test_small_alphabet(spark):
+    rng = random.Random(7)
+    rows = [(rng.randrange(25), "".join(rng.choice("abé") for _ in range(rng.randrange(120)))) for _ in range(60)]
+    rows += [(100 + k, "the " * rng.randrange(1, 90)) for k in range(10)]
+    assert found(docs_frame(spark, rows), 10) == brute(rows, 10)
+
+
+@pytest.mark.parametrize("heavy", [1e-4, 2e-3])
+def test_copies_passages_and_edges(spark, monkeypatch, heavy):
+    monkeypatch.setattr(S, "HEAVY", heavy)
+    monkeypatch.setattr(S, "_BLOCK", 3000)
+    monkeypatch.setattr(S, "_PACK", 9000)
+    monkeypatch.setattr(S, "_BIN", 4000)
+    monkeypatch.setattr(S, "_BUCKET", 5000)
+    rng = random.Random(3)
+    words = ["".join(rng.choice("etaoin") for _ in range(rng.randrange(1, 9))) for _ in range(400)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passage, copy = text(30), text(150)
+    rows = []
+    for i in range(80):
+        body = text(rng.randrange(0, 60))
+        rows.append((i, copy if i % 3 == 0 else f"{body} {passage} {text(10)}" if i % 3 == 1 else body + copy[rng.randrange(200) : 700]))
+    rows += [(500, passage), (500, passage), (None, copy), (None, copy), (501, None), (502, "")]
+    assert found(docs_frame(spark, rows).repartition(5), 50) == brute(rows, 50)
+
+
+def test_edges_and_empty(spark, no_docs):
+    rows = [(i, t[:3000] if t else t) for i, t in EDGE_ROWS]
+    assert found(docs_frame(spark, rows), 50) == brute(rows, 50)
+    assert S.remove_repeats(no_docs).count() == 0
+
+
+def test_radix_passes_find_exactly_the_repeated_strings():
+    data = np.frombuffer(b"abcabcabxxabcab", np.uint8)
+    start, count, doc = np.array([0, 8]), np.array([4, 3]), np.array([1, 2])
+    # strings of 5: abcab bcabc cabca abcab | xxabc xabca abcab
+    assert S.repeated(data, start, count, doc, 5).tolist() == [False] * 6 + [True]
+
+
+def test_query(spark):
+    t = pq.read_table(f"{SF_DIRS['0.001']}/documents.parquet", columns=["doc_id", "text"])
+    rows = list(zip(t["doc_id"].to_pylist(), t["text"].to_pylist(), strict=True))
+    assert sorted((tuple(r) for r in S.query(spark, SF_DIRS["0.001"]).collect()), key=str) == brute(rows, 50)
