@@ -176,7 +176,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, curves: int
     places = stored(numbered.select("curve", (F.col("offset") + F.col("_n")).cast("long").alias("place"), "point"), "places")
     reach = -(-_needed_distance(points, places, size, k, recall) // block)
     blocks = places.select("curve", F.floor(F.col("place") / F.lit(block)).cast("long").alias("block"), "point")
-    with_v = blocks.join(points.select("point", F.col("v").cast("array<float>").alias("v"), "asked"), "point")
+    # in the blocks single precision does, of components at most one
+    scaled = points.withColumn("_m", F.array_max(F.transform("v", F.abs)))
+    scaled = scaled.select("point", F.transform("v", lambda x: (x / F.col("_m")).cast("float")).alias("v"), "asked")
+    with_v = blocks.join(scaled, "point")
     # a query goes to its own block and to those around it
     around = F.explode(F.sequence(F.col("block") - reach, F.col("block") + reach)).alias("to_block")
     queries = with_v.filter("asked").select(F.col("curve").alias("on_curve"), around, F.col("point").alias("query"), F.col("v").alias("q"))
@@ -223,6 +226,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, curves: int
 
 
 def exact_cosine(a: np.ndarray, b: np.ndarray) -> float:
+    """Cosine in double precision; scaled by powers of two, which rounds nothing, so that no product overflows."""
+    a, b = (np.ldexp(x, -int(np.frexp(np.abs(x).max())[1])) for x in (a, b))
     return float(np.dot(a, b) / (np.sqrt(np.dot(a, a)) * np.sqrt(np.dot(b, b))))
 
 

@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from support import SF_DIRS
+
+from pulsegrid.llm import ann as A
+
+
+def brute(rows, every, k=5):
+    usable = []
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            usable.append((i, np.array(v, np.float64)))
+    usable = list({(i, v.tobytes()): (i, v) for i, v in usable}.values())
+    out = {}
+    for i, q in usable:
+        if i % every == 0:
+            scored = sorted((-A.exact_cosine(q, v), j) for j, v in usable if j != i)
+            out[i] = [(j, -s) for s, j in scored[:k]]
+    return out
+
+
+def found(frame, every, **options):
+    out: dict = {}
+    for r in sorted(A.nearest(frame, F.col("vec_id") % every == 0, **options).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        out.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert r["rank"] == len(out[r["query_id"]])
+    return out
+
+
+def recall(got, want):
+    hits = sum(len({j for j, _ in got.get(i, [])} & {j for j, _ in w}) for i, w in want.items())
+    return hits / sum(map(len, want.values()))
+
+
+def test_hilbert_keys_visit_every_cell_next_to_the_last():
+    for dimensions, bits in ((2, 3), (3, 2), (4, 2)):
+        side = 1 << bits
+        cells = np.stack(np.meshgrid(*[np.arange(side)] * dimensions, indexing="ij"), axis=-1).reshape(-1, dimensions)
+        keys = A.hilbert_key(cells, bits)
+        assert sorted(keys.tolist()) == list(range(side**dimensions))
+        walk = cells[np.argsort(keys)]
+        assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_small_tables_are_exact(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=10)]) for i in range(150)]
+    rows += [(1000 + i, rows[20][1]) for i in range(40)] + [(2000, None), (2010, [0.0] * 10), (2020, [1.0] * 9 + [float("nan")]), (2030, [1.0] * 9 + [None]), (2040, [float("inf")] * 10)]
+    rows += [(None, rows[0][1]), (30, rows[30][1]), (2050, [1.0, 2.0])]
+    frame = spark.createDataFrame([(i, v, "x", 1.0) for i, v in rows], "vec_id long, embedding array<float>, point string, score double")
+    want = brute([r for r in rows if r[0] != 2050], 10)
+    got = found(frame, 10)
+    assert got.keys() == want.keys()
+    for i, w in want.items():
+        assert [j for j, _ in got[i]] == [j for j, _ in w]
+        assert [s for _, s in got[i]] == pytest.approx([s for _, s in w], abs=1e-12)
+
+
+def test_few_rows_and_none(spark):
+    kind = "vec_id long, embedding array<double>"
+    assert found(spark.createDataFrame([], kind), 1) == {}
+    assert found(spark.createDataFrame([(1, None)], kind), 1) == {}
+    assert found(spark.createDataFrame([(5, [1.0, 0.0])], kind), 5) == {}
+    assert found(spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0]), (2, [1e300, 1e300])], kind), 5) == {0: [(2, pytest.approx(0.5**0.5)), (1, 0.0)]}
+
+
+def test_recall_with_blocks_far_smaller_than_the_table(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(60, 32))
+    rows = [(i, (centres[i % 60] + 0.5 * rng.normal(size=32)).tolist()) for i in range(3000)]
+    got = found(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 50, block=64)
+    assert recall(got, brute(rows, 50)) >= 0.9
+
+
+def test_query_recall(spark):
+    d = SF_DIRS["0.1"]
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    got: dict = {}
+    for r in A.query(spark, d).collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    want = brute(rows, 50)
+    assert got.keys() == want.keys() and recall(got, want) >= 0.9
