@@ -7,8 +7,9 @@ scan: no shuffle, and only the needed source columns are read (the read schema
 lists just those columns, so no schema inference job runs either).
 
 Each view column is one SQL expression, used by Spark through ``selectExpr``
-(one parse in the JVM instead of hundreds of Column calls) and by the DuckDB
-cross-check as the same text (``TRAFFIC_SQL`` / ``ICU_SQL_DUCKDB``).
+(one parse in the JVM instead of hundreds of Column calls). The DuckDB
+cross-check (``TRAFFIC_SQL`` / ``ICU_SQL_DUCKDB``) shares the plain arithmetic and
+writes ids and times in its own way.
 """
 
 from __future__ import annotations
@@ -57,8 +58,16 @@ def _band_sql(x: str, edges: list[float], labels: list[str]) -> str:
     return f"case {arms} end"
 
 
-_TRAFFIC_BASE = [
-    ("vehicle_id", "'QTF-' || lpad(cast(event_id as string), 7, '0')"),
+# an id is padded to seven digits and never cut (lpad alone would cut it)
+def _padded_spark(x: str) -> str:
+    return f"lpad(cast({x} as string), greatest(7, length(cast({x} as string))), '0')"
+
+
+def _padded_duck(x: str) -> str:
+    return f"repeat('0', cast(greatest(0, 7 - length(cast({x} as varchar))) as int)) || cast({x} as varchar)"
+
+
+_TRAFFIC_VALUES = [
     ("timestamp", "ts"),
     ("city_zone", _case("user_id % 8", S.CITY_ZONES)),
     ("vehicle_type", _case("event_id % 6", S.VEHICLE_TYPES)),
@@ -70,12 +79,14 @@ _TRAFFIC_BASE = [
     ("accident_probability", "cast((event_id*3571 + user_id) % 9801 as double)/10000"),
     ("ai_anomaly_score", "cast((event_id*2657 + user_id*31) % 10001 as double)/10000"),
 ]
+_TRAFFIC_BASE = [("vehicle_id", f"'QTF-' || {_padded_spark('event_id')}"), *_TRAFFIC_VALUES]
+_TRAFFIC_DUCK = [("vehicle_id", f"'QTF-' || {_padded_duck('event_id')}"), *_TRAFFIC_VALUES]
 _TRAFFIC_LEVEL = _band_sql("traffic_density", S.CONGESTION_BAND_EDGES, S.CONGESTION_BAND_LABELS)
 
 
-def _icu_base(admission_sql: str) -> list[tuple[str, str]]:
+def _icu_base(patient_sql: str, admission_sql: str) -> list[tuple[str, str]]:
     return [
-        ("patient_id", "'ICU-' || lpad(cast(o_orderkey + 1 as string), 7, '0')"),
+        ("patient_id", f"'ICU-' || {patient_sql}"),
         ("admission_timestamp", admission_sql),
         ("icu_unit", _case("o_custkey % 6", S.ICU_UNITS)),
         ("age", "cast(o_orderkey*31 % 96 + 1 as int)"),
@@ -97,8 +108,8 @@ def _icu_base(admission_sql: str) -> list[tuple[str, str]]:
     ]
 
 
-_ICU_SPARK = _icu_base("o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 720 as int) * 2, 0)")
-_ICU_DUCK = _icu_base("o_orderdate + to_minutes(cast(o_orderkey % 720 as int)*2)")
+_ICU_SPARK = _icu_base(_padded_spark("(o_orderkey + 1)"), "o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 720 as int) * 2, 0)")
+_ICU_DUCK = _icu_base(_padded_duck("(o_orderkey + 1)"), "o_orderdate + to_minutes(cast(o_orderkey % 720 as int)*2)")
 _CRITICAL = f"mortality_risk >= {S.CRITICAL_RISK_THRESHOLD!r}e0"
 
 
@@ -124,7 +135,7 @@ def _select_sql(columns: list[tuple[str, str]]) -> str:
 
 TRAFFIC_SQL = f"""
 with b as (
-  select {_select_sql(_TRAFFIC_BASE)}
+  select {_select_sql(_TRAFFIC_DUCK)}
   from events)
 select {', '.join(c if c != 'congestion_level' else _TRAFFIC_LEVEL + ' as congestion_level' for c in S.TRAFFIC_COLUMNS)}
 from b
