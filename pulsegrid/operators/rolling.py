@@ -2,49 +2,37 @@
 
 The direct form is one window partitioned by zone and ordered by event time.
 That caps the parallelism at the number of zones and puts a hot zone (say a
-third of all rows) into a single task. Here the zone's ordered sequence is cut
-into time buckets instead, and every bucket is a window partition of its own:
-
-1. narrow pass: for every (zone, bucket) keep the last N-1 rows (a row_number
-   over the bucket, only key and value columns are shuffled);
-2. halo: for every (zone, bucket) the last N-1 rows before the bucket are the
-   last N-1 of the tails of the N-1 buckets before it (every non-empty bucket
-   contributes at least one row). That table has one row per (zone, bucket),
-   so it grows with the time span, not with the row count;
-3. main pass: one shuffle of the full rows by (zone, bucket), a row_number and
-   N-1 lags per value column, then the halo is joined on the same keys (AQE
-   broadcasts it when small, otherwise the sort-merge join reuses the window's
-   partitioning) and fills the frame slots that fall before the bucket start.
-
-Hot buckets: any contiguous cut of a zone's (time, id) order works, so a
-bucket with more than ``max_bucket_rows`` rows (one busy hour, even a single
-timestamp shared by a third of all rows) is cut further into (time, id)
-sub-ranges. Its split points come from a sample of its keys; they only decide
-where the cuts fall, every row is still computed exactly.
+third of all rows) into a single task. Here the zones' ordered sequences are cut
+into ranges of even size instead:
+
+1. the rows are range-partitioned and sorted by (zone, time, id, values) and
+   written to the shared folder together with their range and their place in it.
+   Spark samples the bounds, so ranges are even whatever the keys; rows that share
+   one time and id are cut apart by their values, and rows that share those
+   too are interchangeable for the means;
+2. every (range, zone) is a window partition: a place and N-1 lags per value column;
+3. halo: for every (range, zone) the last N-1 rows before it are the last N-1 of
+   the tails of the ranges before. That table has N-1 rows per range and zone,
+   so it grows with the number of ranges, not with the row count. Joined on the
+   same keys it fills the frame slots that fall before the range's first row.
+
+Nothing is collected and nothing is broadcast by force. The written order also
+makes the result the same for any partitioning of the input.
 
 The average is summed left to right from 0.0 and divided by the number of
-non-NULL values, exactly like Spark's ``avg`` over a sliding row frame, so the
-result is bit-identical to the direct window; it is exact for any bucket width.
+non-NULL values, exactly like Spark's ``avg`` over a sliding row frame.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pulsegrid import schemas as S
-from pulsegrid.functions.columns import q
-
-_NULL_BUCKET = -(2**40)  # sorts before every real bucket, like NULL timestamps do
-# bucket numbers are coarse bucket * _SUB + sub-range index inside a hot bucket
-_SUB = 4096
-# buckets with more rows than this are cut into sub-ranges of about this size
-MAX_BUCKET_ROWS = 2_000_000
-_SAMPLES_PER_SUBRANGE = 64
+from pulsegrid.functions.columns import hour_floor, q
+from pulsegrid.session import range_count, shared_scratch_path
 
 
 def _zone_key(zone: str) -> Column:
@@ -57,138 +45,51 @@ def _zone_key(zone: str) -> Column:
     return F.expr(f"concat(CASE WHEN {z} IS NULL THEN '0' ELSE '1' END, coalesce(CAST({z} AS STRING), ''))")
 
 
-def _bucket(df: DataFrame, order: str, bucket_minutes: int) -> Column:
-    """Monotone bucket number of the order column; NULL sorts first.
-
-    For timestamp_ntz it is built from the calendar fields, which involves no
-    time zone (a zone-aware cast would reorder wall-clock times inside a DST
-    gap); for a zoned timestamp the instant (epoch micros) is used.
-    """
-    t = q(order)
-    if isinstance(df.schema[order].dataType, T.TimestampType):
-        minutes = f"floor(unix_micros({t}) / 60000000)"
-    else:
-        minutes = f"(CAST(unix_date(to_date({t})) AS BIGINT) * 1440 + hour({t}) * 60 + minute({t}))"
-    return F.expr(f"coalesce(floor({minutes} / {int(bucket_minutes)}), CAST({_NULL_BUCKET} AS BIGINT))")
-
-
-def _coarse(df: DataFrame, zone: str, order: str, bucket_minutes: int) -> DataFrame:
-    return df.withColumn("_zk", _zone_key(zone)).withColumn("_bk0", _bucket(df, order, bucket_minutes))
-
-
-def _sort_key(value):
-    return (0,) if value is None else (1, value)
-
-
-def _hot_bucket_splits(
-    coarse: DataFrame, order: str, tie: str, max_bucket_rows: int, seed: int = 17
-) -> DataFrame | None:
-    """Cut points ``(zone key, coarse bucket) -> [(time, id), ...]`` for over-full buckets.
-
-    A counting pass finds buckets above ``max_bucket_rows`` (at most
-    rows / max_bucket_rows of them come to the driver). Each such bucket is cut
-    into ceil(n / max_bucket_rows) sub-ranges: about ``_SAMPLES_PER_SUBRANGE``
-    keys per sub-range are sampled, and a window over each bucket's sample keeps
-    only the keys where the next sub-range starts. Only those cut points reach
-    the driver; they become fixed literals, so every later pass buckets rows the
-    same way. Returns None when no bucket is over full (the usual case).
-    """
-    spark = coarse.sparkSession
-    sizes = coarse.groupBy("_zk", "_bk0").agg(F.count(F.lit(1)).alias("_n"))
-    hot = (
-        sizes.filter(F.col("_n") > F.lit(max_bucket_rows))
-        .select("_zk", "_bk0", "_n", F.least(F.ceil(F.col("_n") / F.lit(max_bucket_rows)), F.lit(_SUB)).alias("_parts"))
-        .collect()
-    )
-    if not hot:
-        return None
-    plan = spark.createDataFrame(
-        [(r["_zk"], r["_bk0"], int(r["_parts"]), min(1.0, _SAMPLES_PER_SUBRANGE * r["_parts"] / r["_n"])) for r in hot],
-        "_zk string, _bk0 long, _parts long, _f double",
-    )
-    w = Window.partitionBy("_zk", "_bk0").orderBy(F.col(order).asc_nulls_first(), F.col(tie).asc_nulls_first())
-    pos = F.row_number().over(w) - F.lit(1)
-    n = F.count(F.lit(1)).over(Window.partitionBy("_zk", "_bk0"))
-    part_of = lambda p: F.floor(p * F.col("_parts") / F.col("_n_s"))
-    cut_rows = (
-        coarse.select("_zk", "_bk0", order, tie)
-        .join(F.broadcast(plan), on=["_zk", "_bk0"])
-        .filter(F.rand(seed) < F.col("_f"))
-        .select("*", pos.alias("_p"), n.alias("_n_s"))
-        .filter((F.col("_p") > 0) & (part_of(F.col("_p")) != part_of(F.col("_p") - 1)))
-        .select("_zk", "_bk0", order, tie)
-        .collect()
-    )
-    cuts = defaultdict(list)
-    for r in cut_rows:
-        cuts[(r[0], r[1])].append((r[2], r[3]))
-    rows = []
-    for bucket, pts in cuts.items():
-        pts = sorted(set(pts), key=lambda p: (_sort_key(p[0]), _sort_key(p[1])))
-        rows.append((bucket[0], bucket[1], [{"t": t, "v": v} for t, v in pts]))
-    if not rows:
-        return None
-    order_type = coarse.schema[order].dataType.simpleString()
-    tie_type = coarse.schema[tie].dataType.simpleString()
-    return spark.createDataFrame(rows, f"_zk string, _bk0 long, _cuts array<struct<t: {order_type}, v: {tie_type}>>")
-
-
-def _keyed(
-    df: DataFrame, zone: str, order: str, tie: str, bucket_minutes: int, splits: DataFrame | None
+def _ranged(
+    df: DataFrame, zone: str, order: str, tie: str, values: Sequence[str], ranges: int | None, path: str | None
 ) -> DataFrame:
-    """Add the zone key ``_zk`` and the bucket number ``_bk`` (sub-range aware)."""
-    coarse = _coarse(df, zone, order, bucket_minutes)
-    if splits is None:
-        return coarse.withColumn("_bk", F.col("_bk0") * F.lit(_SUB)).drop("_bk0")
-    # the split table has one row per over-full bucket: bounded, broadcast
-    with_cuts = coarse.join(F.broadcast(splits), on=["_zk", "_bk0"], how="left")
-    key = F.struct(F.col(order).alias("t"), F.col(tie).alias("v"))
-    # rows of buckets without cuts get 0 (size(NULL) is -1 in non-ANSI sessions)
-    sub = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.size(F.filter("_cuts", lambda c: c <= key)))
-    return with_cuts.withColumn("_bk", F.col("_bk0") * F.lit(_SUB) + sub).drop("_bk0", "_cuts")
+    """The rows in (zone, time, id, values) order, with zone key ``_zk``, ``_range`` and ``_place`` in it, written and read back."""
+    spark = df.sparkSession
+    keys = ["_zk", *dict.fromkeys([order, tie, *values])]
+    path = path or shared_scratch_path(spark, "rolling")
+    keyed = df.withColumn("_zk", _zone_key(zone))
+    in_order = [F.col(k).asc_nulls_first() for k in keys]
+    ordered = (
+        keyed.repartitionByRange(ranges or range_count(df), *in_order)
+        .sortWithinPartitions(*in_order)
+        .select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().alias("_place"))
+    )
+    ordered.write.mode("overwrite").parquet(path)
+    return spark.read.schema(ordered.schema).parquet(path)
 
 
-def _halo(keyed: DataFrame, values: Sequence[str], order: str, tie: str, prev: int) -> DataFrame:
-    """(zone, bucket) -> the last ``prev`` rows before the bucket, oldest first."""
-    reverse_cols = [F.col(order).desc_nulls_last(), F.col(tie).desc_nulls_last()]
-    # 1. tails: the last `prev` rows of every (zone, bucket); the row_number filter
-    #    becomes a map-side WindowGroupLimit, so at most `prev` rows per group and
-    #    input partition are shuffled
-    w_rev = Window.partitionBy("_zk", "_bk").orderBy(*reverse_cols)
+def _halo(ranged: DataFrame, values: Sequence[str], prev: int) -> DataFrame:
+    """(zone, range) -> the last ``prev`` rows before the range, oldest first."""
+    # the row_number filter becomes a map-side limit: at most `prev` rows per group and input partition are shuffled
+    backwards = Window.partitionBy("_zk", "_range").orderBy(F.col("_place").desc())
     tails = (
-        keyed.select("_zk", "_bk", order, tie, *values)
-        .withColumn("_rn", F.row_number().over(w_rev))
+        ranged.select("_zk", "_range", "_place", *values)
+        .withColumn("_rn", F.row_number().over(backwards))
         .filter(F.col("_rn") <= prev)
-        .groupBy("_zk", "_bk")
+        .groupBy("_zk", "_range")
         .agg(F.sort_array(F.collect_list(F.struct("_rn", *values)), asc=False).alias("_tail"))
     )
-    # 2. halo: the tails of the `prev` buckets before each bucket hold its `prev` predecessors
-    w_before = Window.partitionBy("_zk").orderBy("_bk").rowsBetween(-prev, -1)
-    before = F.flatten(F.collect_list("_tail").over(w_before))
-    return tails.select("_zk", "_bk", before.alias("_h")).select(
-        "_zk",
-        "_bk",
-        F.slice("_h", F.greatest(F.size("_h") - F.lit(prev - 1), F.lit(1)), prev).alias("_halo"),
-    )
+    # every range that has the zone holds at least one of its rows, so `prev` ranges before are enough
+    before = Window.partitionBy("_zk").orderBy("_range").rowsBetween(-prev, -1)
+    found = tails.select("_zk", "_range", F.flatten(F.collect_list("_tail").over(before)).alias("_h"))
+    last = F.slice("_h", F.greatest(F.size("_h") - F.lit(prev - 1), F.lit(1)), prev)
+    return found.select("_zk", "_range", last.alias("_halo"))
 
 
-def _fill(
-    keyed: DataFrame,
-    halo: DataFrame,
-    values: Sequence[str],
-    order: str,
-    tie: str,
-    events: int,
-    suffix: str,
-) -> DataFrame:
-    """3. main pass: position and lags inside the bucket, then fill from the halo."""
+def _fill(ranged: DataFrame, halo: DataFrame, values: Sequence[str], events: int, suffix: str) -> DataFrame:
+    """Place and lags inside the range, then the frame's earlier slots from the halo."""
     prev = events - 1
-    window = f"PARTITION BY _zk, _bk ORDER BY {q(order)} ASC NULLS FIRST, {q(tie)} ASC NULLS FIRST"
+    window = "PARTITION BY _zk, _range ORDER BY _place"
     lag_cols = [
         F.expr(f"lag({q(v)}, {k}) OVER ({window})").alias(f"_{v}_lag{k}") for v in values for k in range(1, events)
     ]
-    main = keyed.select("*", F.expr(f"row_number() OVER ({window})").alias("_r"), *lag_cols)
-    joined = main.join(halo, on=["_zk", "_bk"], how="left")
+    main = ranged.select("*", F.expr(f"row_number() OVER ({window})").alias("_r"), *lag_cols)
+    joined = main.join(halo, on=["_zk", "_range"], how="left")
 
     # frame slots before the current row: in-bucket lag, else halo, else absent;
     # an absent slot is NULL, which the mean skips exactly like a NULL value
@@ -203,7 +104,7 @@ def _fill(
                     f" THEN (try_element_at(_halo, -{from_end})).{q(v)} END AS DOUBLE)"
                 ).alias(f"_{v}_s{k}")
             )
-    helper = {"_zk", "_bk", "_r", "_halo"} | {f"_{v}_lag{k}" for v in values for k in range(1, events)}
+    helper = {"_zk", "_range", "_place", "_r", "_halo"} | {f"_{v}_lag{k}" for v in values for k in range(1, events)}
     keep = [c for c in joined.columns if c not in helper]
     slotted = joined.select(*keep, *slot_cols)
 
@@ -217,10 +118,6 @@ def _fill(
     return slotted.select(*keep, *out_cols)
 
 
-# a target set up to this many rows is broadcast to select its buckets
-TARGET_BROADCAST_ROWS = 100_000
-
-
 def rolling_means(
     df: DataFrame,
     values: Sequence[str],
@@ -228,87 +125,55 @@ def rolling_means(
     order: str = "event_timestamp",
     tie: str = "vehicle_id",
     events: int = S.ROLLING_EVENTS,
-    bucket_minutes: int = 60,
     suffix: str = "_rolling_mean",
-    targets: DataFrame | None = None,
-    max_targets: int | None = None,
-    max_bucket_rows: int | None = MAX_BUCKET_ROWS,
+    ranges: int | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Add ``<value><suffix>``: mean of ``value`` over the zone's last ``events`` rows.
 
-    Rows are ordered by (``order``, ``tie``) ascending, NULLs first. NULL
+    Rows are ordered by (``order``, ``tie``, ``values``) ascending, NULLs first. NULL
     values are skipped by the mean; a frame without values gives NULL.
 
-    ``targets`` (rows of ``df``, at least the zone, order and tie columns) limits the
-    expensive full-row pass to the buckets that hold those rows: the result is
-    every row of those buckets, with exact means (the halo still comes from all
-    of ``df``). ``max_targets`` is a known upper bound on the target count; the
-    bucket keys are broadcast only under that bound.
-
-    Buckets with more than ``max_bucket_rows`` rows are cut into sub-ranges
-    (one counting pass over the keys decides; see the module notes). ``None``
-    skips that pass, for inputs whose bucket sizes are known to be even.
+    Building the result runs a job: the ordered rows are written to ``path``
+    (default: a fresh folder under the shared checkpoint folder). ``ranges`` fixes
+    the number of ranges; by default it follows the input's size.
     """
     if events < 1:
         raise ValueError("events must be at least 1")
     if events == 1:  # the frame is the row itself
         return df.select("*", *[F.col(v).cast("double").alias(f"{v}{suffix}") for v in values])
-    prev = events - 1
-    splits = (
-        None
-        if max_bucket_rows is None
-        else _hot_bucket_splits(_coarse(df, zone, order, bucket_minutes), order, tie, max_bucket_rows)
-    )
-    keyed = _keyed(df, zone, order, tie, bucket_minutes, splits)
-    halo = _halo(keyed, values, order, tie, prev)
-    if targets is not None:
-        keys = _keyed(targets, zone, order, tie, bucket_minutes, splits).select("_zk", "_bk").distinct()
-        if max_targets is not None and max_targets <= TARGET_BROADCAST_ROWS:
-            keys = F.broadcast(keys)
-        keyed = keyed.join(keys, on=["_zk", "_bk"], how="left_semi")
-    return _fill(keyed, halo, values, order, tie, events, suffix)
+    ranged = _ranged(df, zone, order, tie, values, ranges, path)
+    return _fill(ranged, _halo(ranged, values, events - 1), values, events, suffix)
 
 
 def rolling_zone_features(
-    typed: DataFrame,
-    events: int = S.ROLLING_EVENTS,
-    bucket_minutes: int = 60,
-    targets: DataFrame | None = None,
-    max_targets: int | None = None,
-    max_bucket_rows: int | None = MAX_BUCKET_ROWS,
+    typed: DataFrame, events: int = S.ROLLING_EVENTS, ranges: int | None = None, path: str | None = None
 ) -> DataFrame:
-    """Rolling density (2 dp) and rolling-mean speed minus own speed (2 dp) per zone.
-
-    With ``targets`` only the rows of the targets' buckets are returned (see
-    :func:`rolling_means`).
-    """
-    means = rolling_means(
-        typed,
-        ["traffic_density", "average_speed"],
-        events=events,
-        bucket_minutes=bucket_minutes,
-        targets=targets,
-        max_targets=max_targets,
-        max_bucket_rows=max_bucket_rows,
-    )
+    """Rolling density (2 dp) and rolling-mean speed minus own speed (2 dp) per zone."""
+    means = rolling_means(typed, ["traffic_density", "average_speed"], events=events, ranges=ranges, path=path)
     return means.select(
         *typed.columns,
         F.round("traffic_density_rolling_mean", 2).alias("rolling_density_6_event"),
-        F.round(F.col("average_speed_rolling_mean") - F.col("average_speed"), 2).alias(
-            "speed_drop_from_zone_avg"
-        ),
+        F.round(F.col("average_speed_rolling_mean") - F.col("average_speed"), 2).alias("speed_drop_from_zone_avg"),
     )
 
 
-def rolling_zone_features_direct(typed: DataFrame, events: int = S.ROLLING_EVENTS) -> DataFrame:
-    """The single-window form (parallelism = number of zones); kept as the test reference."""
-    w = (
-        Window.partitionBy("city_zone")
-        .orderBy(F.col("event_timestamp").asc_nulls_first(), F.col("vehicle_id").asc_nulls_first())
-        .rowsBetween(-(events - 1), 0)
-    )
-    return typed.select(
-        "*",
-        F.round(F.avg("traffic_density").over(w), 2).alias("rolling_density_6_event"),
-        F.round(F.avg("average_speed").over(w) - F.col("average_speed"), 2).alias("speed_drop_from_zone_avg"),
-    )
+def rows_for_targets(
+    df: DataFrame, targets: DataFrame, zone: str = "city_zone", order: str = "event_timestamp", events: int = S.ROLLING_EVENTS
+) -> DataFrame:
+    """The rows of ``df`` that the rolling frames of some ``targets`` (rows of ``df``) can reach.
+
+    Those are the targets' own hours and, as every hour that is present has a row, the
+    ``events`` - 1 hours present before, by zone. The hours come from one aggregate
+    of two columns, as large as the time span; NULL times are an hour of their own.
+    """
+    hours = df.select(_zone_key(zone).alias("_zk"), hour_floor(order).alias("_hour")).distinct()
+    in_order = Window.partitionBy("_zk").orderBy(F.col("_hour").asc_nulls_first())
+    numbered = hours.withColumn("_n", F.row_number().over(in_order))
+    wanted = targets.select(_zone_key(zone).alias("_zk"), hour_floor(order).alias("_hour")).distinct()
+    same = (F.col("a._zk") == F.col("b._zk")) & F.col("a._hour").eqNullSafe(F.col("b._hour"))
+    last = numbered.alias("a").join(wanted.alias("b"), same).select(F.col("a._zk"), F.explode(F.sequence(F.greatest(F.col("_n") - events + 1, F.lit(1)), F.col("_n"))).alias("_n"))
+    reach = numbered.join(last.distinct(), ["_zk", "_n"]).select(F.col("_zk").alias("_tz"), F.col("_hour").alias("_th"))
+    keyed = df.select("*", _zone_key(zone).alias("_zk"), hour_floor(order).alias("_hour"))
+    kept = keyed.join(reach, (F.col("_zk") == F.col("_tz")) & F.col("_hour").eqNullSafe(F.col("_th")), "left_semi")
+    return kept.select(*df.columns)

@@ -8,8 +8,8 @@ into one task. The exact, distributed form used here:
    (partition index, position in partition);
 2. materialise that table under the shared checkpoint folder, which fixes the
    ids and cuts the lineage (a lost executor cannot renumber rows);
-3. count rows per range partition (one row per partition, a bounded table),
-   prefix-sum the counts and broadcast them back as offsets:
+3. count rows per range partition (one row per partition, a small table),
+   prefix-sum the counts and join them back as offsets:
    global rank = offset + position + 1;
 4. slice = f(rank, n, N) with the same sizes as ``ntile`` / ``array_split``:
    the first n mod N slices have n div N + 1 rows, the others n div N.
@@ -23,11 +23,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.session import shared_scratch_path
+from pulsegrid.session import range_count, shared_scratch_path
 
-_POSITION_BITS = 33  # monotonically_increasing_id: partition index << 33 | position
-# the per-range offsets table is broadcast up to this many rows (24 bytes each)
-OFFSETS_BROADCAST_MAX_ROWS = 1_000_000
+_POSITION_BITS = 33  # monotonically_increasing_id: (partition index << 33) + position
 
 
 def _idiv(a: Column, b: Column) -> Column:
@@ -45,23 +43,23 @@ def global_rank(
     """Add a 1-based global rank by ``order_cols`` (ascending) and the row total.
 
     ``order_cols`` must give a total order (end them with a unique key).
-    ``ranges`` fixes the number of range partitions; by default AQE sizes them.
+    ``ranges`` fixes the number of range partitions; by default it follows the
+    input's size. Building the result runs a job that writes the ordered rows to ``path``.
     """
     spark = df.sparkSession
     path = path or shared_scratch_path(spark, "ranked")
-    # without an explicit count AQE sizes the range shuffle; it only merges
-    # neighbouring ranges, so the partitions stay in global order
-    ranged = df.repartitionByRange(ranges, *order_cols) if ranges else df.repartitionByRange(*order_cols)
+    # AQE may merge neighbouring ranges, so the partitions stay in global order
     ordered = (
-        ranged.sortWithinPartitions(*order_cols)
-        .withColumn("_mid", F.monotonically_increasing_id())
+        df.repartitionByRange(ranges or range_count(df), *order_cols)
+        .sortWithinPartitions(*order_cols)
+        .select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
     )
     ordered.write.mode("overwrite").parquet(path)
-    stored = spark.read.parquet(path)
+    stored = spark.read.schema(ordered.schema).parquet(path)
 
-    part = F.shiftright(F.col("_mid"), _POSITION_BITS)
-    position = F.col("_mid").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    counts = stored.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
+    # less the partition's first id, so that the position is right however many rows it has
+    position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _POSITION_BITS)
+    counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per range partition: the window below runs over that many rows only
     w_before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -70,11 +68,8 @@ def global_rank(
         F.coalesce(F.sum("_cnt").over(w_before), F.lit(0)).alias("_offset"),
         F.sum("_cnt").over(w_all).alias(total_col),
     )
-    # every non-empty range partition wrote one file, so the file count bounds
-    # the offsets table; broadcast it under the cap, else let Spark join it
-    n_files = len(stored.inputFiles())
-    side = F.broadcast(offsets) if n_files <= OFFSETS_BROADCAST_MAX_ROWS else offsets
-    ranked = stored.join(side, part == F.col("_pid"), "inner")
+    # one row per range: AQE broadcasts that table when its real size is small
+    ranked = stored.join(offsets, "_pid", "inner")
     return ranked.select(
         *[c for c in df.columns],
         (F.col("_offset") + position + F.lit(1)).alias(rank_col),

@@ -12,8 +12,11 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+#: bytes of input that one range partition should hold
+RANGE_BYTES = 128 << 20
+SCRATCH = "pulsegrid-scratch"
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -74,7 +77,23 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 def shared_scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "pulsegrid-scratch", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(root, SCRATCH, f"{name}-{uuid.uuid4().hex}")
+
+
+def range_count(df: DataFrame, target_bytes: int = RANGE_BYTES) -> int:
+    """Range partitions for ordering ``df``: the optimizer's size estimate over ``target_bytes``, at least the session's shuffle partitions.
+
+    Spark's adaptive execution merges small range partitions but never splits a large one.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    # an estimate without statistics is astronomically large; 2**20 ranges of 128 MB are 128 TB
+    return min(max(least, -(-size // target_bytes)), 1 << 20) if size < 1 << 60 else least
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete every scratch table that this session's queries and jobs wrote; for when their results are done with."""
+    return remove_path(spark, os.path.join(ensure_checkpoint_dir(spark), SCRATCH))
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:

@@ -98,3 +98,16 @@ def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> list[str]:
 
 def fresh_dir(prefix: str = "pg-") -> str:
     return tempfile.mkdtemp(prefix=prefix, dir="/tmp")
+
+
+def direct_rolling_features(typed):
+    """The rolling zone features as one window per zone, in SQL."""
+    columns = ", ".join(typed.columns)
+    return typed.sparkSession.sql(
+        f"""select {columns}, round(avg(traffic_density) over w, 2) as rolling_density_6_event,
+                   round((avg(average_speed) over w) - average_speed, 2) as speed_drop_from_zone_avg
+            from {{rows}} window w as (partition by city_zone
+              order by event_timestamp nulls first, vehicle_id nulls first, traffic_density nulls first, average_speed nulls first
+              rows between 5 preceding and current row)""",
+        rows=typed,
+    )

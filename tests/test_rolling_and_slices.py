@@ -9,19 +9,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.prepare import type_traffic
-from pulsegrid.operators.rolling import rolling_means, rolling_zone_features, rolling_zone_features_direct
+from pulsegrid.operators.rolling import _ranged, rolling_means, rolling_zone_features, rows_for_targets
 from pulsegrid.operators.slices import contiguous_slices, global_rank, slice_of_rank
 from pulsegrid.sources.fixtures import icu, traffic
-from support import SF_DIRS
+from pulsegrid.session import range_count
+from support import SF_DIRS, direct_rolling_features
 
 CURATED_EXTRA = ["rolling_density_6_event", "speed_drop_from_zone_avg"]
 
 
-@pytest.mark.parametrize("bucket_minutes", [1, 60, 24 * 60, 100_000])
-def test_bucketed_rolling_is_bit_identical_to_direct_window(spark, bucket_minutes):
+@pytest.mark.parametrize("ranges", [1, 7, 40])
+def test_ranged_rolling_is_bit_identical_to_direct_window(spark, ranges):
     typed = type_traffic(traffic(spark, SF_DIRS["0.01"]))
-    fast = rolling_zone_features(typed, bucket_minutes=bucket_minutes).select("vehicle_id", *CURATED_EXTRA)
-    slow = rolling_zone_features_direct(typed).select("vehicle_id", *CURATED_EXTRA)
+    fast = rolling_zone_features(typed, ranges=ranges).select("vehicle_id", *CURATED_EXTRA)
+    slow = direct_rolling_features(typed).select("vehicle_id", *CURATED_EXTRA)
     diff = fast.exceptAll(slow).count() + slow.exceptAll(fast).count()
     assert diff == 0
 
@@ -43,12 +44,12 @@ def _edge_frame(spark):
     )
 
 
-@pytest.mark.parametrize("bucket_minutes", [1, 7, 60])
-def test_rolling_handles_null_zone_time_and_values(spark, bucket_minutes):
+@pytest.mark.parametrize("ranges", [1, 9, 60])
+def test_rolling_handles_null_zone_time_and_values(spark, ranges):
     from pyspark.sql import Window
 
     df = _edge_frame(spark)
-    fast = rolling_means(df, ["d", "s"], bucket_minutes=bucket_minutes)
+    fast = rolling_means(df, ["d", "s"], ranges=ranges)
     w = (
         Window.partitionBy("city_zone")
         .orderBy(F.col("event_timestamp").asc_nulls_first(), F.col("vehicle_id").asc_nulls_first())
@@ -119,45 +120,49 @@ def test_top_risk_report_equals_top_of_fully_curated_table(spark, limit):
     assert fast.collect() == full.collect()
 
 
-@pytest.mark.parametrize("max_bucket_rows", [3, 40, 500])
-def test_hot_buckets_are_split_and_stay_exact(spark, max_bucket_rows):
-    typed = type_traffic(traffic(spark, SF_DIRS["0.01"]))
-    # one bucket per zone for the whole month: every bucket is "hot"
-    fast = rolling_zone_features(typed, bucket_minutes=100_000, max_bucket_rows=max_bucket_rows)
-    slow = rolling_zone_features_direct(typed)
-    cols = ["vehicle_id", *CURATED_EXTRA]
-    assert fast.select(cols).exceptAll(slow.select(cols)).count() == 0
-    assert slow.select(cols).exceptAll(fast.select(cols)).count() == 0
-
-
-def test_single_hot_timestamp_is_split_by_id(spark):
+def test_rows_that_share_time_and_id(spark):
+    """Equal (time, id) everywhere, at every border: one order by the values, whatever the input's partitions."""
     from pyspark.sql import Window
 
-    base = dt.datetime(2024, 1, 1, 12, 0, 0)
-    rows = [(f"H{i:05d}", "A", base, float(i % 97), float(i % 89)) for i in range(400)]
-    rows += [(f"E{i:03d}", "A", base - dt.timedelta(minutes=i + 1), float(i), float(i)) for i in range(30)]
+    base = dt.datetime(2024, 1, 1)
+    rng = np.random.default_rng(3)
+    rows = [("V", "A" if i % 3 else "B", base + dt.timedelta(minutes=int(i // 40)), float(rng.integers(0, 500)), float(rng.integers(0, 9))) for i in range(1500)]
     df = spark.createDataFrame(rows, "vehicle_id string, city_zone string, event_timestamp timestamp_ntz, d double, s double")
-    fast = rolling_means(df, ["d", "s"], max_bucket_rows=25)
-    from pulsegrid.operators.rolling import _coarse, _hot_bucket_splits
-
-    cuts = _hot_bucket_splits(_coarse(df, "city_zone", "event_timestamp", 60), "event_timestamp", "vehicle_id", 25)
-    assert cuts is not None and cuts.agg(F.max(F.size("_cuts"))).first()[0] >= 10
-    w = Window.partitionBy("city_zone").orderBy("event_timestamp", "vehicle_id").rowsBetween(-5, 0)
+    w = Window.partitionBy("city_zone").orderBy("event_timestamp", "vehicle_id", "d", "s").rowsBetween(-5, 0)
     slow = df.select("*", F.avg("d").over(w).alias("d_rolling_mean"), F.avg("s").over(w).alias("s_rolling_mean"))
-    cols = ["vehicle_id", "d_rolling_mean", "s_rolling_mean"]
-    assert fast.select(cols).exceptAll(slow.select(cols)).count() == 0
-    assert fast.count() == df.count()
+    for parts in (1, 7):
+        fast = rolling_means(df.repartition(parts), ["d", "s"], ranges=40).select(*slow.columns)
+        assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
 
 
-def test_top_risk_report_with_split_buckets(spark):
-    from pulsegrid.operators.ranking import top_risk_events
-    from pulsegrid.operators.rolling import rolling_zone_features as rzf
+def test_one_hot_time_and_id_is_cut_into_even_ranges(spark):
+    rows = [("V", "A", dt.datetime(2024, 1, 1), float(i), 1.0) for i in range(2000)]
+    df = spark.createDataFrame(rows, "vehicle_id string, city_zone string, event_timestamp timestamp_ntz, d double, s double")
+    sizes = [r["count"] for r in _ranged(df, "city_zone", "event_timestamp", "vehicle_id", ["d", "s"], 10, None).groupBy("_range").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 500
 
+
+def test_targets_reach_their_frames_only(spark):
     typed = type_traffic(traffic(spark, SF_DIRS["0.01"]))
-    candidates = top_risk_events(typed, 50, columns=["city_zone", "event_timestamp", "vehicle_id"])
-    fast = top_risk_events(rzf(typed, bucket_minutes=100_000, targets=candidates, max_targets=50, max_bucket_rows=60), 50)
-    full = top_risk_events(rolling_zone_features_direct(typed), 50)
-    assert fast.collect() == full.collect()
+    targets = typed.orderBy("event_timestamp").limit(500).orderBy(F.desc("event_timestamp")).limit(3)
+    kept = rows_for_targets(typed, targets)
+    assert 0 < kept.count() < typed.count() // 10
+    direct = direct_rolling_features(typed).join(targets.select("vehicle_id"), "vehicle_id").select("vehicle_id", *CURATED_EXTRA)
+    some = rolling_zone_features(kept).join(targets.select("vehicle_id"), "vehicle_id").select("vehicle_id", *CURATED_EXTRA)
+    assert sorted(some.collect()) == sorted(direct.collect())
+
+
+def test_number_of_ranges_follows_the_input(spark):
+    small, large = spark.range(1000), spark.range(10_000_000)
+    assert range_count(small, 1 << 20) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert range_count(large, 1 << 20) == -(-80_000_000 // (1 << 20))
+
+
+def test_positions_beyond_the_id_bits(spark):
+    """monotonically_increasing_id less the partition's first id is the row's position."""
+    df = spark.range(100).repartition(3).select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("m"))
+    found = df.select((F.col("m") - F.shiftleft(F.col("p").cast("long"), 33)).alias("x"), "p").groupBy("p").agg(F.max("x").alias("x"), F.count("x").alias("n"))
+    assert all(r["x"] == r["n"] - 1 for r in found.collect())
 
 
 @pytest.mark.parametrize("events", [1, 2, 10])
@@ -165,7 +170,7 @@ def test_other_frame_lengths_match_direct_window(spark, events):
     from pyspark.sql import Window
 
     df = _edge_frame(spark)
-    fast = rolling_means(df, ["d"], events=events, bucket_minutes=7, max_bucket_rows=20)
+    fast = rolling_means(df, ["d"], events=events, ranges=12)
     w = (
         Window.partitionBy("city_zone")
         .orderBy(F.col("event_timestamp").asc_nulls_first(), F.col("vehicle_id").asc_nulls_first())
@@ -183,8 +188,8 @@ def test_rolling_exact_in_a_non_ansi_session(spark):
     try:
         typed = type_traffic(traffic(spark, SF_DIRS["0.01"]))
         cols = ["vehicle_id", *CURATED_EXTRA]
-        fast = rolling_zone_features(typed, bucket_minutes=600, max_bucket_rows=5).select(cols)
-        slow = rolling_zone_features_direct(typed).select(cols)
+        fast = rolling_zone_features(typed, ranges=25).select(cols)
+        slow = direct_rolling_features(typed).select(cols)
         assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
     finally:
         spark.conf.set("spark.sql.ansi.enabled", previous)
