@@ -8,8 +8,8 @@ folder instead of a fixed file:
 * :func:`hourly_trend_stream` - the hourly trend as an event-time tumbling
   window with a watermark, so each hour is emitted once (append mode) and its
   state is dropped when the watermark passes it;
-* :func:`start_parquet_sink` - append the rows to Parquet with the checkpoint
-  under the shared checkpoint folder, so a restarted query resumes exactly.
+* :func:`start_parquet_sink` - append the rows to Parquet; restarted with the same
+  checkpoint folder, the query goes on after its last committed batch.
 
 The rolling per-zone features need the previous events of the zone and stay a
 batch operator (:mod:`pulsegrid.operators.rolling`).
@@ -22,10 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid import schemas as S
-from pulsegrid.functions.columns import hour_floor
+from pulsegrid.functions.columns import clean_doubles, hour_floor
 from pulsegrid.operators.prepare import type_traffic
-from pulsegrid.session import shared_scratch_path
-from pulsegrid.sources.files import READ_TIMESTAMP_FORMAT, clean_doubles
+from pulsegrid.sources.files import READ_TIMESTAMP_FORMAT
 
 
 def event_instant(ts: str) -> Column:
@@ -81,11 +80,15 @@ def hourly_trend_stream(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
 def start_parquet_sink(
     stream: DataFrame,
     path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Append a stream to Parquet; the checkpoint defaults to the shared checkpoint folder."""
-    checkpoint = checkpoint or shared_scratch_path(stream.sparkSession, "stream-checkpoint")
+    """Append a stream to Parquet.
+
+    ``checkpoint`` belongs to ``path``: give the same folder at every restart. A new
+    one beside old output would number its batches from 0 again, and the output's
+    commit log would skip them.
+    """
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -64,3 +64,17 @@ def test_typed_stream_from_csv_folder(spark):
     got = files.read_parquet(spark, out)
     want = type_traffic(traffic(spark, SF))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_restarted_sink_goes_on_where_it_stopped(spark):
+    root = fresh_dir("pg-restart-")
+    src, out = os.path.join(root, "in"), os.path.join(root, "out")
+    rows = traffic(spark, SF).orderBy("vehicle_id")
+    seen = 0
+    for more in (10, 7, 3):
+        part = rows.offset(seen).limit(more)
+        part.coalesce(1).write.mode("append").parquet(src)
+        seen += more
+        query = start_parquet_sink(typed_stream(spark, src), out, checkpoint=os.path.join(root, "checkpoint"), available_now=True)
+        query.awaitTermination(300)
+        assert files.read_parquet(spark, out).count() == seen
