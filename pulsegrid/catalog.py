@@ -22,6 +22,7 @@ from pulsegrid.operators.prepare import filter_telemetry, prepare_telemetry, pre
 from pulsegrid.operators.ranking import filter_options, top_anomalies
 from pulsegrid.operators.slices import split_by_values, union_batches
 from pulsegrid.operators.timeseries import forecast, hourly_trend, scaled_trend
+from pulsegrid.plans.dashboard import load_telemetry
 from pulsegrid.plans.icu_job import preprocess_icu_sliced
 from pulsegrid.plans.traffic_job import curate_traffic, run_stats_frame, run_traffic_job, top_risk_report
 from pulsegrid.session import shared_scratch_path
@@ -96,6 +97,35 @@ def _run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_stats_frame(spark, stats)
 
 
+def _through_csv(df: DataFrame, name: str) -> str:
+    """Write ``df`` as CSV to a scratch folder and return its path."""
+    path = shared_scratch_path(df.sparkSession, name)
+    files.write_csv(df, path)
+    return path
+
+
+def _with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The traffic input with NaN in every 97th row's measurements."""
+    hit = F.substring("vehicle_id", 5, 20).cast("long") % 97 == 0
+    columns = ["traffic_density", "average_speed", "accident_probability", "ai_anomaly_score"]
+    return traffic(spark, sf_dir).withColumns({c: F.when(hit, F.lit(float("nan"))).otherwise(F.col(c)) for c in columns})
+
+
+def _corrupt_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed rows of the traffic input as CSV with every 97th speed unreadable."""
+    text = traffic(spark, sf_dir)
+    hit = F.substring("vehicle_id", 5, 20).cast("long") % 97 == 0
+    text = text.withColumn("average_speed", F.when(hit, F.lit("fast?")).otherwise(F.col("average_speed").cast("string")))
+    return files.corrupt_rows(load_telemetry(spark, _through_csv(text, "corrupt"), keep_corrupt=True))
+
+
+def _slice_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per slice, counted from the slice ids of the ranked rows."""
+    counts = _icu_preprocessed(spark, sf_dir).groupBy("partition_id").agg(F.count(F.lit(1)).alias("n"))
+    slices = spark.range(1, S.ICU_DEFAULT_SLICES + 1).select(F.col("id").cast("int").alias("partition_id"))
+    return slices.join(counts, "partition_id", "left").select("partition_id", F.coalesce("n", F.lit(0)).cast("long").alias("rows"))
+
+
 QUERIES: dict[str, Query] = {
     # dashboard operators
     "telemetry_prepare": _prepared,
@@ -138,6 +168,16 @@ QUERIES: dict[str, Query] = {
         C.icu_severity_score().alias("severity_score"),
         (C.icu_severity_score() >= F.lit(S.CRITICAL_RISK_THRESHOLD)).alias("is_critical"),
     ),
+    "icu_slice_counts": _slice_counts,
+    # CSV sources: the input as CSV files, through the public readers
+    "source_csv_traffic": lambda s, d: load_telemetry(s, _through_csv(traffic(s, d), "traffic-csv")),
+    "source_csv_icu": lambda s, d: preprocess_icu(files.read_icu_csv(s, _through_csv(icu(s, d), "icu-csv"))),
+    "source_csv_corrupt_count": _corrupt_count,
+    # missing measurements that arrive as NaN
+    "kpi_summary_nan": lambda s, d: A.kpi_summary(prepare_telemetry(_with_nan(s, d))),
+    "congestion_trend_nan": lambda s, d: hourly_trend(_with_nan(s, d)),
+    "speed_histogram_nan": lambda s, d: speed_histogram(_with_nan(s, d)),
+    "top_anomalies_nan": lambda s, d: top_anomalies(_with_nan(s, d)),
     # sinks: write with Spark, read back with the explicit schema
     "sink_csv_filtered": lambda s, d: _round_trip_csv(_filtered(s, d), S.PREPARED_SCHEMA, "filtered"),
     "sink_csv_icu": lambda s, d: _round_trip_csv(_icu_preprocessed(s, d), S.ICU_PREPROCESSED_SCHEMA, "icu"),

@@ -20,8 +20,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsegrid import schemas as S
 
@@ -45,6 +46,18 @@ def nan_to_null(name: str) -> Column:
     return F.expr(nan_to_null_sql(name))
 
 
+def clean_doubles(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """NaN -> NULL in the double columns (or those of them in ``names``); one projection, no extra pass."""
+    return df.select(
+        *[
+            nan_to_null(f.name).alias(f.name)
+            if isinstance(f.dataType, T.DoubleType) and (names is None or f.name in names)
+            else F.col(q(f.name))
+            for f in df.schema.fields
+        ]
+    )
+
+
 def flag_sql(predicate_sql: str) -> str:
     """A boolean that is False where the predicate is NULL (missing input)."""
     return f"coalesce({predicate_sql}, false)"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
+from pulsegrid.functions.columns import nan_to_null, q
 
 HOURS = list(range(24))
 
@@ -17,20 +18,15 @@ def hour_column(h: int) -> str:
 def congestion_heatmap(prepared: DataFrame, value: str = "traffic_density") -> DataFrame:
     """Mean ``value`` per zone (rows) and hour of day (columns h00..h23), missing = 0.
 
-    The pivot values are given explicitly, so Spark does not run a separate
-    distinct-values job, and the plan is one hash aggregate with 24 conditional
-    partial aggregates.
+    One hash aggregate with a filtered mean per hour: one shuffle of one partial
+    row per zone and input partition.
     """
-    pivoted = (
-        prepared.filter(F.col("city_zone").isNotNull() & F.col("hour").isNotNull())
-        .groupBy("city_zone")
-        .pivot("hour", HOURS)
-        .agg(F.avg(value))
-    )
-    return pivoted.select(
-        "city_zone",
-        *[F.coalesce(F.col(str(h)), F.lit(0.0)).alias(hour_column(h)) for h in HOURS],
-    ).orderBy("city_zone")
+    v, zone = q(value), F.col("city_zone")
+    means = [
+        F.expr(f"coalesce(avg({v}) FILTER (WHERE hour = {h}), 0.0D)").alias(hour_column(h)) for h in HOURS
+    ]
+    rows = prepared.filter(zone.isNotNull() & F.col("hour").isNotNull())
+    return rows.groupBy("city_zone").agg(*means).orderBy("city_zone")
 
 
 def speed_histogram(
@@ -45,10 +41,11 @@ def speed_histogram(
     listed.
     """
     width = F.lit(float(hi - lo)) / F.lit(float(bins))
-    raw_bin = F.floor((F.col("average_speed") - F.lit(float(lo))) / width)
+    speed = nan_to_null("average_speed")
+    raw_bin = F.floor((speed - F.lit(float(lo))) / width)
     bin_id = F.least(F.lit(bins - 1), F.greatest(F.lit(0), raw_bin)).cast("int")
     return (
-        df.filter(F.col("average_speed").isNotNull() & F.col("congestion_level").isNotNull())
+        df.filter(speed.isNotNull() & F.col("congestion_level").isNotNull())
         .groupBy("congestion_level", bin_id.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(

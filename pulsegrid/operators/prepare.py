@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from pulsegrid.functions import columns as C
 
 
+#: what :func:`prepare_telemetry` adds
+PREPARED_COLUMNS = ("hour", "date", "is_anomaly", "is_high_congestion")
+
+
 def prepare_telemetry(df: DataFrame) -> DataFrame:
-    """hour, date, is_anomaly, is_high_congestion next to the 12 base columns."""
-    return df.select(
+    """hour, date, is_anomaly, is_high_congestion next to the 12 base columns; NaN counts as missing."""
+    return C.clean_doubles(df).select(
         "*",
         F.expr("hour(`timestamp`)").alias("hour"),
         F.expr("to_date(`timestamp`)").alias("date"),
@@ -45,7 +49,7 @@ def filter_telemetry(
 
 def type_traffic(df: DataFrame) -> DataFrame:
     """Typed batch-job columns: event time, hour, congestion weight, risk index, severe flag."""
-    typed = df.select(
+    typed = C.clean_doubles(df).select(
         "*",
         F.col("timestamp").cast("timestamp_ntz").alias("event_timestamp"),
         F.hour("timestamp").alias("event_hour"),
@@ -57,7 +61,7 @@ def type_traffic(df: DataFrame) -> DataFrame:
 
 def preprocess_icu(df: DataFrame) -> DataFrame:
     """ICU batch transform: admission hour, shock index, oxygen gap, severity band, alert."""
-    out = df.select(
+    out = C.clean_doubles(df).select(
         "*",
         F.hour("admission_timestamp").alias("admission_hour"),
         C.shock_index().alias("shock_index"),

@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
+from pulsegrid.functions.columns import clean_doubles
 
 
 def top_anomalies(prepared: DataFrame, limit: int = S.TOP_ANOMALY_LIMIT) -> DataFrame:
     """Highest anomaly scores (ties: earlier timestamp, then vehicle id)."""
     return (
-        prepared.select(*S.DASHBOARD_ANOMALY_COLUMNS)
+        clean_doubles(prepared.select(*S.DASHBOARD_ANOMALY_COLUMNS))
         .orderBy(F.desc_nulls_last("ai_anomaly_score"), F.asc("timestamp"), F.asc("vehicle_id"))
         .limit(limit)
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
-from pulsegrid.functions.columns import clamp, hour_floor
+from pulsegrid.functions.columns import clean_doubles, clamp, hour_floor
 
 
 def hourly_trend(df: DataFrame) -> DataFrame:
@@ -15,8 +15,9 @@ def hourly_trend(df: DataFrame) -> DataFrame:
     Equal to resampling by hour and dropping empty (or partly empty) hours: a
     group-by on the truncated hour only produces hours that have rows.
     """
+    known = clean_doubles(df, ["traffic_density", "ai_anomaly_score", "accident_probability"])
     return (
-        df.filter(F.col("timestamp").isNotNull())
+        known.filter(F.col("timestamp").isNotNull())
         .groupBy(hour_floor("timestamp").alias("timestamp_hour"))
         .agg(
             F.avg("traffic_density").alias("traffic_density"),

@@ -36,8 +36,8 @@ _TRAFFIC = f"traffic as ({TRAFFIC_SQL})"
 _ICU = f"icu as ({ICU_SQL_DUCKDB})"
 _PREPARED = f"""prepared as (
   select *, cast(hour(timestamp) as int) as hour, cast(timestamp as date) as date,
-         coalesce(ai_anomaly_score >= {S.ANOMALY_THRESHOLD}e0, false) as is_anomaly,
-         coalesce(congestion_level in ({_lst(S.HIGH_CONGESTION_LEVELS)}), false) as is_high_congestion
+         coalesce(ai_anomaly_score >= 0.78e0, false) as is_anomaly,
+         coalesce(congestion_level in ('High', 'Critical'), false) as is_high_congestion
   from traffic)"""
 _RISK_RAW = (
     "traffic_density / 100 * 0.32e0 + (110 - average_speed) / 110 * 0.22e0"
@@ -73,7 +73,7 @@ _SUMMARY = f"""summary as (
 _TOP_RISK = f"""top_risk as (
   select {', '.join(S.PIPELINE_ANOMALY_COLUMNS)} from curated
   order by risk_index desc nulls last, ai_anomaly_score desc nulls last, event_timestamp, vehicle_id
-  limit {S.PIPELINE_ANOMALY_LIMIT})"""
+  limit 100)"""
 _FILTERED = f"""filtered as (
   select * from prepared
   where city_zone in ({_lst(FILTER_ZONES)}) and weather_condition in ({_lst(FILTER_WEATHER)})
@@ -90,7 +90,7 @@ _ICU_PRE_BASE = f"""icu_x as (
   select *, cast(hour(admission_timestamp) as int) as admission_hour,
          heart_rate / nullif(systolic_bp, 0) as shock_index,
          100 - oxygen_saturation as oxygen_gap,
-         {_band('mortality_risk', S.SEVERITY_BAND_EDGES, S.SEVERITY_BAND_LABELS)} as icu_severity_band
+         {_band('mortality_risk', [-0.01, 0.33, 0.66, 1.01], ['Stable', 'Watchlist', 'Critical'])} as icu_severity_band
   from icu),
 icu_pre as (
   select *, coalesce(shock_index >= 0.9e0, false) or coalesce(oxygen_saturation <= 88, false)
@@ -100,19 +100,26 @@ _ICU_BASE_COLS = ", ".join(S.ICU_COLUMNS)
 _ICU_DERIVED = "admission_hour, shock_index, oxygen_gap, icu_severity_band, batch_alert"
 _ICU_SLICED = f"""icu_sliced as (
   select {_ICU_BASE_COLS},
-         cast(ntile({S.ICU_DEFAULT_SLICES}) over (order by admission_timestamp, patient_id) as int) as partition_id,
+         cast(ntile(8) over (order by admission_timestamp, patient_id) as int) as partition_id,
          {_ICU_DERIVED}
   from icu_pre)"""
 _RATES = """rates as (
   select icu_unit, avg(cast(batch_alert as double)) as alert_rate
   from icu_pre where icu_unit is not null group by icu_unit)"""
+# fixed values, stated here again so that a wrong constant in the library shows
+_ZONES = {
+    "Metro Central": 14, "Quantum Square": 11, "Aurora Industrial": 9, "Cyber Harbor": 8,
+    "Neon North": 7, "Hyperloop West": 6, "Skyline East": 5, "Solaris South": 3,
+}
+_WEATHER = {"Storm": 18, "Rain": 11, "Fog": 9, "Heatwave": 6}
+_ROADS = {"Smooth": 0.02, "Wet": 0.08, "Under Repair": 0.11, "Potholes": 0.13, "Low Visibility": 0.15}
 _DIMS = (
     "zp(city_zone, zone_pressure) as (values "
-    + ", ".join(f"('{k}', {v})" for k, v in S.ZONE_PRESSURE.items())
+    + ", ".join(f"('{k}', {v})" for k, v in _ZONES.items())
     + "), wp(weather_condition, weather_pressure) as (values "
-    + ", ".join(f"('{k}', {v})" for k, v in S.WEATHER_PRESSURE.items())
+    + ", ".join(f"('{k}', {v})" for k, v in _WEATHER.items())
     + "), rr(road_condition, road_risk) as (values "
-    + ", ".join(f"('{k}', {v!r}e0)" for k, v in S.ROAD_RISK.items())
+    + ", ".join(f"('{k}', {v!r}e0)" for k, v in _ROADS.items())
     + ")"
 )
 _PREPARED_COLS = ", ".join(S.PREPARED_SCHEMA.fieldNames())
@@ -158,7 +165,7 @@ from prepared""",
          cast(sum(cast(is_high_congestion as bigint)) as bigint) as is_high_congestion
   from prepared where city_zone is not null group by city_zone) z
 order by accident_probability desc nulls last, ai_anomaly_score desc nulls last, city_zone
-limit {S.HOTSPOT_LIMIT}""",
+limit 8""",
     "zone_summary": _with(_TRAFFIC, _PREPARED)
     + """select city_zone, avg(traffic_density) as traffic_density, avg(average_speed) as average_speed,
        avg(signal_wait_time) as signal_wait_time, avg(accident_probability) as accident_probability,
@@ -170,7 +177,7 @@ from prepared where city_zone is not null group by city_zone""",
          avg(signal_wait_time) as signal_wait_time, avg(accident_probability) as accident_probability,
          avg(ai_anomaly_score) as ai_anomaly_score, count(vehicle_id) as vehicle_count
   from prepared where city_zone is not null group by city_zone) z
-order by ai_anomaly_score desc nulls last, city_zone limit {S.TOP_ZONE_LIMIT}""",
+order by ai_anomaly_score desc nulls last, city_zone limit 8""",
     "congestion_trend_hourly": _with(_TRAFFIC, _TREND) + "select * from trend",
     "congestion_trend_scaled": _with(_TRAFFIC, _TREND)
     + "select timestamp_hour, traffic_density, ai_anomaly_score * 100 as ai_anomaly_x100 from trend",
@@ -196,7 +203,7 @@ order by ai_anomaly_score desc nulls last, city_zone limit {S.TOP_ZONE_LIMIT}"""
 from stats2, range(1, {S.FORECAST_PERIODS + 1}) t(step)""",
     "top_anomalies": _with(_TRAFFIC)
     + f"""select {', '.join(S.DASHBOARD_ANOMALY_COLUMNS)} from traffic
-order by ai_anomaly_score desc nulls last, timestamp, vehicle_id limit {S.TOP_ANOMALY_LIMIT}""",
+order by ai_anomaly_score desc nulls last, timestamp, vehicle_id limit 20""",
     "vehicle_type_distribution": _with(
         _TRAFFIC,
         "counts as (select vehicle_type, count(*) as count from traffic where vehicle_type is not null group by 1)",
@@ -218,13 +225,13 @@ from traffic where weather_condition is not null group by weather_condition""",
         _TRAFFIC,
         f"""binned as (
   select congestion_level,
-         cast(least({S.HISTOGRAM_MAX_BINS - 1}, greatest(0,
-              floor((average_speed - {S.SPEED_MIN!r}e0) / ({S.SPEED_MAX - S.SPEED_MIN!r}e0 / {float(S.HISTOGRAM_MAX_BINS)!r}e0))))
+         cast(least(44, greatest(0,
+              floor((average_speed - 3e0) / (107e0 / 45e0))))
               as int) as bin
   from traffic where average_speed is not null and congestion_level is not null)""",
     )
     + f"""select congestion_level, bin,
-       {S.SPEED_MIN!r}e0 + bin * ({S.SPEED_MAX - S.SPEED_MIN!r}e0 / {float(S.HISTOGRAM_MAX_BINS)!r}e0) as bin_start,
+       3e0 + bin * (107e0 / 45e0) as bin_start,
        count(*) as n
 from binned group by congestion_level, bin""",
     "tppp_typed": _with(_TRAFFIC, _TYPED) + f"select {_TYPED_COLS} from typed",
@@ -234,7 +241,7 @@ from binned group by congestion_level, bin""",
     "tppp_run_stats": _with(_TRAFFIC, _TYPED, _SUMMARY)
     + f"""select (select count(*) from traffic) as input_rows,
        (select count(*) from summary) as summary_rows,
-       cast(least({S.PIPELINE_ANOMALY_LIMIT}, (select count(*) from traffic)) as bigint) as anomaly_rows""",
+       cast(least(100, (select count(*) from traffic)) as bigint) as anomaly_rows""",
     "icu_preprocessed": _with(_ICU, _ICU_PRE_BASE, _ICU_SLICED) + "select * from icu_sliced",
     "icu_unit_alert_rates": _with(_ICU, _ICU_PRE_BASE, _RATES) + "select * from rates",
     "icu_batch_summary": _with(_ICU, _ICU_PRE_BASE, _RATES)
@@ -244,13 +251,14 @@ from binned group by congestion_level, bin""",
        coalesce((select icu_unit from rates order by alert_rate desc, icu_unit limit 1), 'N/A') as top_unit
 from icu_pre""",
     "icu_slice_profile": _with(_ICU)
-    + f"""select cast(partition_id as int) as partition_id, count(*) as rows from (
-  select ntile({S.ICU_DEFAULT_SLICES}) over (order by admission_timestamp, patient_id) as partition_id from icu) s
-group by partition_id""",
+    + """select cast(i as int) as partition_id, count(s.slice) as rows
+from generate_series(1, 8) g(i) left join (
+  select ntile(8) over (order by admission_timestamp, patient_id) as slice from icu) s on s.slice = g.i
+group by i""",
     "icu_union_batches": _with(_ICU, _ICU_PRE_BASE) + f"select {_ICU_BASE_COLS}, {_ICU_DERIVED} from icu_pre",
     "congestion_band": _with(_TRAFFIC)
     + f"""select vehicle_id, timestamp, traffic_density,
-       {_band('traffic_density', S.CONGESTION_BAND_EDGES, S.CONGESTION_BAND_LABELS)} as congestion_band
+       {_band('traffic_density', [-1.0, 35.0, 60.0, 80.0, 101.0], ['Low', 'Moderate', 'High', 'Critical'])} as congestion_band
 from traffic""",
     "peak_hour_factor": _with(_TRAFFIC)
     + """select vehicle_id, timestamp, cast(hour(timestamp) as int) as event_hour,
@@ -279,6 +287,25 @@ from traffic""",
        greatest(0e0, least(1e0, {_SEVERITY_RAW})) >= 0.72e0 as is_critical
 from icu""",
 }
+_NAN_AS_NULL = (
+    "traffic as (select * replace ("
+    + ", ".join(
+        f"case when cast(substr(vehicle_id, 5) as bigint) % 97 = 0 then null else {c} end as {c}"
+        for c in ("traffic_density", "average_speed", "accident_probability", "ai_anomaly_score")
+    )
+    + f") from ({TRAFFIC_SQL}) raw)"
+)
+for _name, _base in {
+    "kpi_summary_nan": "kpi_summary", "congestion_trend_nan": "congestion_trend_hourly",
+    "speed_histogram_nan": "speed_histogram", "top_anomalies_nan": "top_anomalies",
+}.items():
+    ORACLE_SQL[_name] = ORACLE_SQL[_base].replace(_TRAFFIC, _NAN_AS_NULL)
+ORACLE_SQL["source_csv_traffic"] = ORACLE_SQL["telemetry_prepare"]
+ORACLE_SQL["source_csv_icu"] = ORACLE_SQL["icu_union_batches"]
+ORACLE_SQL["source_csv_corrupt_count"] = (
+    "select count(*) filter (where event_id % 97 = 0) as corrupt_rows, count(*) as input_rows from events"
+)
+ORACLE_SQL["icu_slice_counts"] = ORACLE_SQL["icu_slice_profile"]
 ORACLE_SQL["sink_csv_filtered"] = ORACLE_SQL["telemetry_filter"]
 ORACLE_SQL["sink_csv_icu"] = ORACLE_SQL["icu_preprocessed"]
 ORACLE_SQL["sink_csv_tppp_summary"] = ORACLE_SQL["tppp_zone_weather_summary"]

@@ -4,10 +4,10 @@ Every entry is a lazy DataFrame; Catalyst plans each one on its own and pushes
 the filter into the scan. The trend is built once and shared by the trend, the
 rescaled trend and the forecast.
 
-With ``materialize=True`` the prepared, filtered table is written once as
-Parquet under the shared checkpoint folder and every view reads that columnar
-copy (only the columns it needs): one pass over the source for the whole
-dashboard, no cache to lose with an executor.
+The prepared, filtered table is written once as Parquet under the shared
+checkpoint folder and every view reads that columnar copy (only the columns it
+needs): one pass over the source for the whole dashboard, no cache to lose with
+an executor. With ``materialize=False`` nothing is written and every view scans the source.
 """
 
 from __future__ import annotations
@@ -17,18 +17,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrid import schemas as S
 from pulsegrid.operators import aggregates as A
 from pulsegrid.operators.matrix import congestion_heatmap, speed_histogram
-from pulsegrid.operators.prepare import filter_telemetry, prepare_telemetry
+from pulsegrid.operators.prepare import PREPARED_COLUMNS, filter_telemetry, prepare_telemetry
 from pulsegrid.operators.ranking import filter_options, top_anomalies
 from pulsegrid.operators.timeseries import forecast, hourly_trend
 from pulsegrid.session import shared_scratch_path
 from pulsegrid.sources import files
 
 
-def load_telemetry(spark: SparkSession, path: str) -> DataFrame:
-    """Read the telemetry CSV with its explicit schema and add the prepared columns."""
-    return prepare_telemetry(files.read_traffic_csv(spark, path))
+def load_telemetry(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
+    """Read the telemetry CSV with its explicit schema and add the prepared columns.
+
+    With ``keep_corrupt`` the raw line of each malformed row stays in ``_corrupt_record``;
+    :func:`pulsegrid.sources.files.corrupt_rows` counts them.
+    """
+    return prepare_telemetry(files.read_csv(spark, path, S.TRAFFIC_SCHEMA, keep_corrupt=keep_corrupt))
 
 
 def dashboard(
@@ -37,10 +42,13 @@ def dashboard(
     weather: Sequence[str] = (),
     vehicle_types: Sequence[str] = (),
     congestion_levels: Sequence[str] = (),
-    materialize: bool = False,
+    materialize: bool = True,
 ) -> dict[str, DataFrame]:
-    """All dashboard views over the filtered table, as lazy DataFrames keyed by view name."""
-    prepared = prepare_telemetry(traffic)
+    """All dashboard views over the filtered table, as lazy DataFrames keyed by view name.
+
+    ``traffic`` may be the plain telemetry or what :func:`load_telemetry` returns.
+    """
+    prepared = traffic if set(PREPARED_COLUMNS) <= set(traffic.columns) else prepare_telemetry(traffic)
     filtered = filter_telemetry(prepared, zones, weather, vehicle_types, congestion_levels)
     if materialize:
         path = shared_scratch_path(traffic.sparkSession, "dashboard")

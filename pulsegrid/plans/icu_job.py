@@ -31,12 +31,12 @@ def preprocess_icu_sliced(
     return preprocess_icu(sliced).select(*S.ICU_PREPROCESSED_SCHEMA.fieldNames())
 
 
-def icu_report(preprocessed: DataFrame) -> dict[str, object]:
+def icu_report(preprocessed: DataFrame, n_slices: int = S.ICU_DEFAULT_SLICES) -> dict[str, object]:
     """Rows per slice, alert rate per unit and the KPIs, from one aggregation pass.
 
     GROUPING SETS ((partition_id), (icu_unit), ()) computes all three in a single
     scan; the result has at most slices + units + 1 rows and is the only thing
-    brought to the driver.
+    brought to the driver. Slices without rows are reported with 0.
     """
     summary = preprocessed.groupingSets(
         [["partition_id"], ["icu_unit"], []], "partition_id", "icu_unit"
@@ -47,7 +47,8 @@ def icu_report(preprocessed: DataFrame) -> dict[str, object]:
         F.avg("mortality_risk").alias("avg_mortality_risk"),
     )
     rows = summary.collect()
-    slice_rows = {r["partition_id"]: r["rows"] for r in rows if r["_gid"] == 1}
+    counted = {r["partition_id"]: r["rows"] for r in rows if r["_gid"] == 1}
+    slice_rows = {k: counted.get(k, 0) for k in range(1, n_slices + 1)}
     units = sorted(
         ((r["icu_unit"], r["alert_rate"]) for r in rows if r["_gid"] == 2 and r["icu_unit"] is not None),
         key=lambda u: (-u[1], u[0]),
@@ -71,7 +72,8 @@ def run_icu_job(
 ) -> tuple[DataFrame, dict[str, object]]:
     """Transform, write the preprocessed CSV, and report per-slice rows, unit rates and KPIs.
 
-    Returns the written table (read back lazily with its schema) and the report.
+    Returns the written table (read back lazily with its schema) and the report,
+    which is computed from that table: the slices are ranked and transformed once.
     A CSV source (a path) is parsed once: staged as Parquet under the shared
     checkpoint folder while malformed rows are counted, so the ranking's
     sampling and shuffle passes read Parquet columns. Staged input and the
@@ -94,18 +96,9 @@ def run_icu_job(
     scratch.append(ranking_path)
     preprocessed = preprocess_icu_sliced(raw, n_slices, path=ranking_path)
     files.write_csv(preprocessed, output_path)
-    report = icu_report(preprocessed)
+    written = files.read_icu_preprocessed_csv(spark, output_path)
+    report = icu_report(written, n_slices)
     if not keep_scratch:
         for path in scratch:
             remove_path(spark, path)
-    report["output_path"] = output_path
-    report["corrupt_rows"] = corrupt_rows
-    kpis = report["kpis"]
-    logs = [f"extracted {kpis['rows']:,} ICU rows ({corrupt_rows:,} malformed) into {n_slices} ordered slices"]
-    logs += [f"slice {pid:02d}: transformed {rows:,} rows" for pid, rows in sorted(report["slice_rows"].items())]
-    if report["unit_alert_rates"]:
-        unit, rate = report["unit_alert_rates"][0]
-        logs.append(f"highest alert unit: {unit} ({rate * 100:.1f}%)")
-    logs.append(f"wrote the preprocessed ICU table to {output_path}")
-    report["logs"] = logs
-    return files.read_icu_preprocessed_csv(spark, output_path), report
+    return written, report | {"output_path": output_path, "corrupt_rows": corrupt_rows}

@@ -14,6 +14,7 @@ Differences from a "cache, collect, write with pandas" job, all for scale:
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,47 +22,40 @@ from pulsegrid import schemas as S
 from pulsegrid.operators.aggregates import zone_weather_profile
 from pulsegrid.operators.prepare import type_traffic
 from pulsegrid.operators.ranking import top_risk_events
-from pulsegrid.operators.rolling import rolling_zone_features
+from pulsegrid.operators.rolling import rolling_zone_features, rows_for_targets
 from pulsegrid.session import remove_path, shared_scratch_path
 from pulsegrid.sources import files
 
 
-def curate_traffic(traffic: DataFrame, bucket_minutes: int = 60) -> DataFrame:
-    """Typed columns plus the rolling zone features (the curated table)."""
-    return rolling_zone_features(type_traffic(traffic), bucket_minutes=bucket_minutes)
+def curate_traffic(traffic: DataFrame, path: str | None = None) -> DataFrame:
+    """Typed columns plus the rolling zone features (the curated table).
+
+    Building it runs a job that writes the ordered rows to ``path`` (see :mod:`pulsegrid.operators.rolling`).
+    """
+    return rolling_zone_features(type_traffic(traffic), path=path)
 
 
-def top_risk_report(
-    traffic: DataFrame,
-    limit: int = S.PIPELINE_ANOMALY_LIMIT,
-    bucket_minutes: int = 60,
-) -> DataFrame:
+def top_risk_report(traffic: DataFrame, limit: int = S.PIPELINE_ANOMALY_LIMIT, path: str | None = None) -> DataFrame:
     """The top-``limit`` risk events with their rolling zone features, without curating every row.
 
     The ranking keys (risk index, anomaly score, time, id) do not depend on the
     rolling features, so the top rows are picked first (TakeOrderedAndProject
-    over the typed rows); the full-row window pass then runs only over the
-    buckets holding those rows (their keys are broadcast: at most ``limit``),
-    with the exact halo from the narrow tails pass. The top-``limit`` of that
-    superset is the global top-``limit``.
+    over the typed rows). Only the rows that their frames can reach are then put in
+    order and rolled over; the top-``limit`` of those is the global top-``limit``.
     """
     typed = type_traffic(traffic)
     candidates = top_risk_events(typed, limit, columns=["city_zone", "event_timestamp", "vehicle_id"])
-    rolled = rolling_zone_features(
-        typed, bucket_minutes=bucket_minutes, targets=candidates, max_targets=limit
-    )
-    return top_risk_events(rolled, limit)
+    return top_risk_events(rolling_zone_features(rows_for_targets(typed, candidates), path=path), limit)
 
 
 def _observed(observation: Observation, fallback) -> dict:
-    """The observed metrics, or ``fallback()`` when the observation never ran.
-
-    Catalyst drops the metrics node of a provably empty in-memory input, so
-    there the counts come from the written output instead.
-    """
+    """The observed metrics, or ``fallback()`` when Catalyst dropped the metrics node of a provably empty input."""
     try:
         return dict(observation.get)
-    except Exception:  # no metrics were reported for this plan
+    except Py4JJavaError as e:
+        # the JVM's answer to a request for metrics that no plan reported
+        if "toPyRow" not in str(e):
+            raise
         return fallback()
 
 
@@ -73,7 +67,6 @@ def run_traffic_job(
     curated_dir: str,
     anomaly_limit: int = S.PIPELINE_ANOMALY_LIMIT,
     partition_curated_by: list[str] | None = None,
-    bucket_minutes: int = 60,
     keep_scratch: bool = False,
 ) -> dict[str, object]:
     """Run the job end to end; return row counts, output paths and a log.
@@ -83,7 +76,7 @@ def run_traffic_job(
     malformed rows (``corrupt_rows``) in that same pass. The curation passes
     (skew check, window tails, main window) then read only the Parquet columns
     they need instead of parsing the CSV three times. The staged copy is
-    removed once the curated table is written (unless ``keep_scratch``).
+    and the ordered rows are removed once the curated table is written (unless ``keep_scratch``).
     """
     input_obs = Observation("traffic_input")
     staged_path = None
@@ -99,17 +92,19 @@ def run_traffic_job(
         staged = files.read_parquet(spark, staged_path, S.TRAFFIC_SCHEMA)
         seen = _observed(input_obs, lambda: {"rows": staged.count(), "corrupt": 0})
     else:
-        staged = source.observe(input_obs, F.count(F.lit(1)).alias("rows"))
-        seen = None
+        staged, seen = source, None
     logs: list[str] = []
 
-    curated = curate_traffic(staged, bucket_minutes=bucket_minutes)
-    files.write_parquet(curated, curated_dir, partition_by=partition_curated_by)
-    if seen is None:
-        seen = _observed(input_obs, lambda: {"rows": files.read_parquet(spark, curated_dir).count()})
+    ordered_path = shared_scratch_path(spark, "traffic-ordered")
+    curated = curate_traffic(staged, path=ordered_path)
+    files.write_parquet(
+        curated, curated_dir, partition_by=partition_curated_by, spread_by=[F.to_date("event_timestamp")]
+    )
+    if seen is None:  # every input row is a curated row; Parquet knows their number from its footers
+        seen = {"rows": files.read_parquet(spark, curated_dir).count()}
     input_rows, corrupt_rows = int(seen["rows"]), int(seen.get("corrupt", 0))
-    if staged_path and not keep_scratch:
-        remove_path(spark, staged_path)
+    for path in [] if keep_scratch else filter(None, [staged_path, ordered_path]):
+        remove_path(spark, path)
     logs.append(f"read {input_rows:,} traffic records ({corrupt_rows:,} malformed) and wrote {curated_dir}")
 
     stored = files.read_parquet(spark, curated_dir)

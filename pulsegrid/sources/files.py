@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid import schemas as S
-from pulsegrid.functions.columns import nan_to_null
+from pulsegrid.functions.columns import clean_doubles, q
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -27,16 +27,6 @@ WRITE_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 READ_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
-def clean_doubles(df: DataFrame) -> DataFrame:
-    """NaN -> NULL in every double column (one projection, no extra pass)."""
-    return df.select(
-        *[
-            nan_to_null(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
-
-
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -65,8 +55,12 @@ def read_csv(
 
 def corrupt_rows(df_with_corrupt: DataFrame) -> DataFrame:
     """One-row count of malformed input rows."""
+    # Spark converts only the columns that a query asks for, and a value that is not converted is
+    # never found malformed: the row count goes over all of them on purpose
+    missing = sum((F.col(q(c)).isNull().cast("int") for c in df_with_corrupt.columns if c != CORRUPT_COLUMN), F.lit(0))
     return df_with_corrupt.agg(
-        F.count(F.col(CORRUPT_COLUMN)).alias("corrupt_rows"), F.count(F.lit(1)).alias("input_rows")
+        F.count(F.col(CORRUPT_COLUMN)).alias("corrupt_rows"),
+        (F.count_if(missing > 0) + F.count_if(missing == 0)).alias("input_rows"),
     )
 
 
@@ -96,9 +90,9 @@ def read_icu_preprocessed_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet, optionally with an explicit schema (no footer inference then)."""
+    """Parquet, optionally with an explicit schema (no footer inference then); NaN reads as NULL."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    return clean_doubles(reader.parquet(path))
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -117,8 +111,16 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     )
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
-    """Overwrite ``path`` with Parquet, optionally partitioned by columns."""
+def write_parquet(
+    df: DataFrame, path: str, partition_by: Sequence[str] | None = None, spread_by: Sequence[Column] = ()
+) -> None:
+    """Overwrite ``path`` with Parquet, optionally partitioned by columns.
+
+    Partitioned rows are first dealt out by those columns and ``spread_by`` (say the
+    day), so a folder gets a file per value of that, not one from every task.
+    """
+    if partition_by:
+        df = df.repartition(*partition_by, *spread_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -254,3 +254,42 @@ def test_stored_label_is_kept_and_rederived_band_is_separate(spark):
     row = prepare_telemetry(df).select("congestion_level", C.congestion_band("traffic_density").alias("band")).first()
     assert (row["congestion_level"], row["band"]) == ("Moderate", "Low")
     assert type_traffic(df).first()["congestion_weight"] == 2
+
+
+def test_ids_are_padded_but_never_cut(spark):
+    from pulsegrid.sources.fixtures import ICU_SQL_DUCKDB, TRAFFIC_SQL, icu, traffic
+    from support import duck_connection, fresh_dir
+
+    import os
+
+    root = fresh_dir("pg-ids-")
+    keys = [0, 41, 9_999_998, 9_999_999, 10_000_000, 99_999_990]
+    events = [(k, dt.datetime(2024, 1, 1), 1, 1.0) for k in keys]
+    orders = [(k, 1, dt.datetime(2024, 1, 1)) for k in keys]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, value double").coalesce(1).write.parquet(f"{root}/events.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").coalesce(1).write.parquet(f"{root}/orders.parquet")
+    vehicles = ["QTF-0000000", "QTF-0000041", "QTF-9999998", "QTF-9999999", "QTF-10000000", "QTF-99999990"]
+    patients = ["ICU-0000001", "ICU-0000042", "ICU-9999999", "ICU-10000000", "ICU-10000001", "ICU-99999991"]
+    assert {r[0] for r in traffic(spark, root).select("vehicle_id").collect()} == set(vehicles)
+    assert {r[0] for r in icu(spark, root).select("patient_id").collect()} == set(patients)
+    con = duck_connection(root)
+    for name in ("events", "orders"):
+        con.execute(f"create or replace view {name} as select * from read_parquet('{os.path.join(root, name)}.parquet/*.parquet')")
+    assert {r[0] for r in con.sql(f"select vehicle_id from ({TRAFFIC_SQL}) t").fetchall()} == set(vehicles)
+    assert {r[0] for r in con.sql(f"select patient_id from ({ICU_SQL_DUCKDB}) t").fetchall()} == set(patients)
+
+
+def test_nan_counts_as_missing_without_a_reader(spark):
+    from pulsegrid.operators.matrix import speed_histogram
+
+    nan = float("nan")
+    base = [("a", 10.0, 20.0, 0.2, 0.9), ("b", nan, nan, nan, nan), ("c", 30.0, 40.0, 0.4, 0.5)]
+    rows = [
+        (i, dt.datetime(2024, 1, 1, 5, k), "Metro Central", "Car", d, s, "Clear", "Wet", 1.0, p, "Low", a) for k, (i, d, s, p, a) in enumerate(base)
+    ]
+    df = spark.createDataFrame(rows, S.TRAFFIC_SCHEMA)
+    kpis = A.kpi_summary(prepare_telemetry(df)).first()
+    assert kpis["average_speed"] == 30.0 and abs(kpis["average_anomaly_score"] - 0.7) < 1e-12
+    assert hourly_trend(df).first()["traffic_density"] == 20.0
+    assert speed_histogram(df).agg(F.sum("n")).first()[0] == 2
+    assert [r["vehicle_id"] for r in top_anomalies(prepare_telemetry(df)).collect()] == ["a", "c", "b"]

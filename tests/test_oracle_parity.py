@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry_module
+from pulsegrid.catalog import QUERIES
+from pulsegrid.oracles import ORACLE_SQL as ORACLES
 from support import SF_DIRS, compare, duck_connection
 
 SF = SF_DIRS["0.01"]
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")

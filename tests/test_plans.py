@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry_module
+from pulsegrid.catalog import QUERIES
 from pulsegrid.operators.prepare import filter_telemetry, prepare_telemetry
 from pulsegrid.operators.aggregates import kpi_summary
 from pulsegrid.plans.traffic_job import curate_traffic
@@ -24,21 +24,21 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_module.queries()) - SIDE_EFFECT_KEYS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECT_KEYS))
 def test_no_python_evaluation_or_cross_join_in_any_query(spark, name):
-    text = plan(entry_module.queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     assert not any(node in text for node in PYTHON_NODES), text
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text, text
 
 
 @pytest.mark.parametrize("name", ["top_anomalies", "tppp_top_anomalies", "accident_hotspots", "top_anomaly_zones"])
 def test_top_k_is_take_ordered(spark, name):
-    assert "TakeOrderedAndProject" in plan(entry_module.queries()[name](spark, SF))
+    assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, SF))
 
 
 @pytest.mark.parametrize("name", ["condition_pressure_lookup", "accident_risk_score"])
 def test_condition_lookup_is_broadcast(spark, name):
-    text = plan(entry_module.queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
@@ -60,9 +60,9 @@ def test_filter_and_projection_reach_the_scan(spark):
         assert unused not in read_schema, read_schema
 
 
-def test_rolling_window_is_partitioned_by_zone_and_bucket(spark):
+def test_rolling_window_is_partitioned_by_zone_and_range(spark):
     text = plan(curate_traffic(traffic(spark, SF)))
-    assert "hashpartitioning(_zk" in text and "_bk" in text
+    assert "hashpartitioning(_zk" in text and "_range" in text
     windows = [line for line in text.splitlines() if line.strip().startswith(("+- Window", "Window", ":- Window"))]
     assert windows, text
     # no window over the data rows partitioned by the zone alone
@@ -88,3 +88,9 @@ def test_partitioned_curated_output_prunes_partitions(spark):
     text = plan(one_zone)
     assert "PartitionFilters: [isnotnull(city_zone" in text and "Neon North" in text.split("PartitionFilters")[1]
     assert one_zone.count() == traffic(spark, SF).filter(F.col("city_zone") == "Neon North").count()
+
+
+def test_heatmap_has_one_shuffle_and_summary_no_expand(spark):
+    heat = plan(QUERIES["congestion_heatmap"](spark, SF))
+    assert heat.count("Exchange hashpartitioning") == 1
+    assert "Expand" not in plan(QUERIES["icu_batch_summary"](spark, SF))
