@@ -182,15 +182,19 @@ def peak_multiplier(hour: str) -> Column:
 
 def accident_risk_score(density: str, wait: str, road_risk: str) -> Column:
     """Noise-free accident probability: .03 + d/260 + w/750 + road risk, clip 0..0.98, 4 dp."""
-    raw = f"((({dbl(0.03)} + ({q(density)} / 260)) + ({q(wait)} / 750)) + {q(road_risk)})"
+    raw = (
+        f"((({dbl(S.ACCIDENT_SCORE_BASE)} + ({q(density)} / {S.ACCIDENT_SCORE_DENSITY_DIVISOR}))"
+        f" + ({q(wait)} / {S.ACCIDENT_SCORE_WAIT_DIVISOR})) + {q(road_risk)})"
+    )
     return F.expr(f"round({clamp_sql(raw, 0.0, S.ACCIDENT_PROB_MAX)}, 4)")
 
 
 def anomaly_score(density: str, wait: str, speed: str, accident: str) -> Column:
     """Noise-free composite anomaly score, clip 0..1, 4 dp."""
+    w = S.ANOMALY_SCORE_WEIGHTS
     raw = (
-        f"((((({q(density)} / 100) * {dbl(0.35)}) + (({q(wait)} / 180) * {dbl(0.25)}))"
-        f" + ((1 - ({q(speed)} / 110)) * {dbl(0.22)})) + ({q(accident)} * {dbl(0.18)}))"
+        f"((((({q(density)} / 100) * {dbl(w['density'])}) + (({q(wait)} / 180) * {dbl(w['wait'])}))"
+        f" + ((1 - ({q(speed)} / 110)) * {dbl(w['speed'])})) + ({q(accident)} * {dbl(w['accident'])}))"
     )
     return F.expr(f"round({clamp_sql(raw, 0.0, 1.0)}, 4)")
 

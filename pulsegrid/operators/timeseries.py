@@ -50,14 +50,14 @@ def forecast(
     (x_n - x_{n-k}) / k with k = min(window, n-1) (0 when n = 1). The value at
     step s is clamp(base + momentum * s, 0, 100).
 
-    Only the ``window + 1`` latest rows of the (already aggregated, one row per
+    Only the ``window + 1`` latest rows (at most the 24 that the forecast looks back) of the (already aggregated, one row per
     hour) trend are used: a TakeOrderedAndProject, then a one-row aggregate
     whose list holds at most ``window + 1`` points. The steps are generated
     with ``explode(sequence)``, not a join.
     """
     latest = trend.select("timestamp_hour", "traffic_density").orderBy(
         F.desc("timestamp_hour")
-    ).limit(window + 1)
+    ).limit(min(window + 1, S.FORECAST_RECENT_ROWS))
     pts = latest.agg(
         F.sort_array(F.collect_list(F.struct("timestamp_hour", "traffic_density")), asc=False).alias("pts")
     )

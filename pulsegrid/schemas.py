@@ -71,6 +71,10 @@ SPEED_MIN, SPEED_MAX = 3.0, 110.0
 ACCIDENT_PROB_MAX = 0.98
 HISTOGRAM_MAX_BINS = 45
 
+# Weights of the noise-free accident and anomaly scores
+ACCIDENT_SCORE_BASE, ACCIDENT_SCORE_DENSITY_DIVISOR, ACCIDENT_SCORE_WAIT_DIVISOR = 0.03, 260, 750
+ANOMALY_SCORE_WEIGHTS = {"density": 0.35, "wait": 0.25, "speed": 0.22, "accident": 0.18}
+
 # Rolling zone window: the current event and the 5 before it
 ROLLING_EVENTS = 6
 
@@ -186,6 +190,7 @@ SUMMARY_SCHEMA = T.StructType(
     ]
 )
 
+# The columns of the exports, in their order
 PIPELINE_ANOMALY_COLUMNS = [
     "event_timestamp",
     "vehicle_id",
