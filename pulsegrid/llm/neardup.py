@@ -164,8 +164,11 @@ def weighted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 out = []
                 for i, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                     if _digest(element[s:e], weight[s:e]) == digests[first + i]:
+                        # shingles that agree in 32 bits stand side by side and count as one
                         low = (element[s:e] >> np.uint64(32)).astype("<u4")
-                        out.append((first + i, low.tobytes(), b"" if (weight[s:e] == 1).all() else weight[s:e].astype("<u4").tobytes()))
+                        cut = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
+                        low, sums = low[cut], np.add.reduceat(weight[s:e], cut)
+                        out.append((first + i, low.tobytes(), b"" if (sums == 1).all() else sums.astype("<u4").tobytes()))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").take(pa.array([i for i, _, _ in out], pa.int64())), pa.array([x for _, x, _ in out], pa.binary()), pa.array([x for _, _, x in out], pa.binary())],
                     names=["id", "elements", "weights"],
