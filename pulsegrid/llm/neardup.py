@@ -8,13 +8,13 @@
    in ascending time windows and stop once every register of a text is taken.
 2. Texts with equal weighted sets fall into one class at once; only the one with
    the smallest doc_id of each class goes on.
-3. Registers are cut into bands. In a bucket (texts with an equal band) one
-   centre is compared with the other members; the pairs are verified exactly,
-   and verified pairs join their texts to one group. Buckets that still hold
-   several groups get more centres, four times as many each round, and only pairs
-   across groups that were not compared before. It ends when all members of the
-   remaining buckets have been centres, so no pair that shares a band is lost,
-   and a bucket of thousands of copies never expands into all its pairs.
+3. Registers are cut into bands. In a bucket (texts with an equal band) all
+   members are compared exactly with one centre, then with a second one from those
+   that the first left over. Similar texts join one group. Of the pairs left between
+   groups, most can't be similar, as what each has beside the centre and lacks of
+   it already differs by too much. That bound needs counts and the few shingles
+   beside the centre's; it loses nothing, and leaves few pairs to compare even
+   among thousands of edited copies.
 4. Groups are the connected components of the verified pairs.
 
 Similarity is ``sum over shared i of 1 / sum over j of max(x_j / x_i, y_j / y_i)``; for
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import Tokens, as_binary, mix64, read_table, segment_ids, shingles, stored, text_blocks, text_column
@@ -179,22 +179,37 @@ def weighted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.mapInArrow(read, "id long, elements binary, weights binary")
 
 
-def verified_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Of the pairs (a, b) of set ids, those at least as similar as asked."""
+_ALWAYS = -(1 << 30)
+
+
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Per pair (id, head) of set ids: similarity, and how ``id`` differs from ``head``.
+
+    ``extra`` and ``missing`` count the shingles of ``id`` that ``head`` lacks and the other way round,
+    ``size`` those of ``id``, ``extras`` lists the former. Where a weight is not one, counts of sets
+    bound nothing, which ``extra`` marks.
+    """
 
     def read(elements: pa.Array, weights: pa.Array, i: int) -> tuple[np.ndarray, np.ndarray]:
         e, w = np.frombuffer(elements[i].as_py(), "<u4"), weights[i].as_py()
         return e, np.frombuffer(w, "<u4") if w else np.ones(len(e), np.uint32)
 
-    @F.arrow_udf("double")
-    def similar(ea: pa.Array, wa: pa.Array, eb: pa.Array, wb: pa.Array) -> pa.Array:
-        return pa.array([probability_jaccard(read(ea, wa, i), read(eb, wb, i)) for i in range(len(ea))], pa.float64())
+    @F.arrow_udf("similarity double, extra int, missing int, size int, extras array<int>")
+    def compare(ea: pa.Array, wa: pa.Array, eb: pa.Array, wb: pa.Array) -> pa.Array:
+        rows = []
+        for i in range(len(ea)):
+            a, b = read(ea, wa, i), read(eb, wb, i)
+            extras = np.setdiff1d(a[0], b[0], assume_unique=True)
+            plain = not wa[i].as_py() and not wb[i].as_py()
+            missing = len(b[0]) - (len(a[0]) - len(extras))
+            rows.append((probability_jaccard(a, b), len(extras) if plain else _ALWAYS, missing, len(a[0]), extras.view(np.int32).tolist()))
+        kinds = (pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["similarity", "extra", "missing", "size", "extras"])
 
-    side = lambda k: sets.select(F.col("id").alias(k), F.col("elements").alias(f"_e{k}"), F.col("weights").alias(f"_w{k}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    scored = both.select("a", "b", similar("_ea", "_wa", "_eb", "_wb").alias("similarity"))
-    # rounding must not part texts that are exactly as similar as asked
-    return scored.filter(F.col("similarity") >= similarity - 1e-9).select("a", "b")
+    side = lambda k, e, w: sets.select(F.col("id").alias(k), F.col("elements").alias(e), F.col("weights").alias(w))
+    both = pairs.join(side("id", "_ea", "_wa"), "id").join(side("head", "_eb", "_wb"), "head")
+    return both.select("id", "head", compare("_ea", "_wa", "_eb", "_wb").alias("_c")).select("id", "head", "_c.*")
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -248,37 +263,67 @@ def _group(docs: DataFrame, classes: DataFrame, similarity: float) -> tuple[Data
     nodes = shared.select("id").distinct()
     sets = stored(weighted_sets(docs, classes.join(nodes, "id", "left_semi")), "sets")
     groups = stored(nodes.withColumn("group", F.col("id")), "groups")
-    tested = verified = None
-    rank = F.struct(F.xxhash64("id").alias("h"), F.col("id"))
-    order = Window.partitionBy("bucket").orderBy(F.xxhash64("id"), "id")
-    centres = 1
-    while True:
-        labelled = shared.join(groups, "id")
-        several = labelled.groupBy("bucket").agg(F.min("group").alias("_low"), F.max("group").alias("_high"), F.min(rank).alias("_first"))
-        several = several.filter("_low < _high").select("bucket", F.col("_first.id").alias("first"))
-        open_ = labelled.join(several, "bucket")
-        if centres == 1:  # the one centre of each bucket is a minimum, summed up before any shuffle
-            heads = several.select("bucket", F.col("first").alias("head"))
-        else:
-            heads = open_.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= centres).select("bucket", F.col("id").alias("head"))
-        head_groups = groups.select(F.col("id").alias("head"), F.col("group").alias("head_group"))
-        pairs = open_.join(heads.join(head_groups, "head"), "bucket").filter(F.col("group") != F.col("head_group"))
-        pairs = pairs.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
-        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if pairs.limit(1).count():
-            new = stored(verified_pairs(pairs, sets, similarity), "links")
-            verified = new if verified is None else verified.unionByName(new)
-            between = new.join(groups.select(F.col("id").alias("a"), F.col("group").alias("ga")), "a")
-            between = between.join(groups.select(F.col("id").alias("b"), F.col("group").alias("gb")), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
-            merged = components(between, "components").select(F.col("id").alias("group"), F.col("group").alias("_to"))
-            groups = stored(groups.join(merged, "group", "left").select("id", F.coalesce("_to", "group").alias("group")), "groups")
-        elif not open_.filter(F.col("size") > centres).limit(1).count():
-            break
-        centres *= 4
-    if verified is None:
-        return groups, nodes.select("id", F.lit(0).cast("long").alias("links"))
-    ends = verified.select(F.col("a").alias("id")).unionAll(verified.select(F.col("b").alias("id")))
+    # rounding must not part texts that are exactly as similar as asked
+    least = similarity - 1e-9
+
+    def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+        """The groups after links (id, head) between their members."""
+        if not links.limit(1).count():
+            return groups
+        between = links.join(groups.select("id", F.col("group").alias("a")), "id")
+        between = between.join(groups.select(F.col("id").alias("head"), F.col("group").alias("b")), "head").select("a", "b")
+        found = components(between, "components").select(F.col("id").alias("group"), F.col("group").alias("_to"))
+        return stored(groups.join(found, "group", "left").select("id", F.coalesce("_to", "group").alias("group")), "groups")
+
+    def against(heads: DataFrame, groups: DataFrame) -> DataFrame:
+        """All members of a bucket with its head (bucket, head), where their groups differ."""
+        of_head = groups.select(F.col("id").alias("head"), F.col("group").alias("_hg"))
+        pairs = shared.select("id", "bucket").join(heads, "bucket").join(of_head, "head").join(groups, "id")
+        return stored(pairs.filter(F.col("group") != F.col("_hg")).select("id", "head").distinct(), "pairs")
+
+    # 1. one centre a bucket: a minimum, summed up before any shuffle
+    first = F.min(F.struct(F.xxhash64("id").alias("h"), "id"))["id"]
+    centres = stored(shared.groupBy("bucket").agg(first.alias("head"), F.max("size").alias("size")), "centres")
+    relative = stored(compared(against(centres.select("bucket", "head"), groups), sets), "relative")
+    verified = [relative.filter(F.col("similarity") >= least).select("id", "head")]
+    groups = merged(groups, verified[0])
+
+    # 2. one more centre from the members that are not of the first one's group
+    def strays(groups: DataFrame) -> DataFrame:
+        of_head = groups.select(F.col("id").alias("head"), F.col("group").alias("centre_group"))
+        open_ = centres.filter("size > 2").join(of_head, "head")
+        members = shared.select("id", "bucket").join(open_.select("bucket", "head", "centre_group"), "bucket").join(groups, "id")
+        return members.filter(F.col("group") != F.col("centre_group"))
+
+    second = stored(strays(groups).groupBy("bucket").agg(first.alias("head")), "second")
+    if second.limit(1).count():
+        again = stored(compared(against(second, groups), sets).select("id", "head", "similarity"), "second-pairs")
+        verified.append(again.filter(F.col("similarity") >= least).select("id", "head"))
+        groups = merged(groups, verified[1])
+
+    # 3. the pairs that are left. Similar x and y differ by at most (|x| + |y|) (1 - s) / (1 + s) shingles. Seen from
+    # the centre, they differ by the extras that only one has, and at least by the difference of their missing ones.
+    may_differ = (1 - least) / (1 + least)
+    place = shared.select("id", "bucket").join(centres.filter("size > 2").select("bucket", "head"), "bucket").join(relative.drop("similarity"), ["id", "head"])
+    left = strays(groups).select("id", "bucket", "group").join(place, ["id", "bucket"])
+    right = place.join(groups, "id").select("bucket", *[F.col(c).alias(f"_{c}") for c in ("id", "group", "extra", "missing", "size", "extras")])
+    most = (F.col("size") + F.col("_size")) * F.lit(may_differ) + 1e-6
+    missing = F.abs(F.col("missing") - F.col("_missing"))
+    # counts first: the shared extras are looked up only where these leave room
+    at_least = missing + F.abs(F.col("extra") - F.col("_extra"))
+    differ = missing + F.col("extra") + F.col("_extra") - F.size(F.array_intersect("extras", "_extras")) * 2
+    unknown = (F.col("extra") == _ALWAYS) | (F.col("_extra") == _ALWAYS)
+    pairs = left.join(right, "bucket").filter((F.col("group") != F.col("_group")) & (unknown | ((at_least <= most) & (differ <= most))))
+    pairs = stored(pairs.select(F.least("id", "_id").alias("id"), F.greatest("id", "_id").alias("head")).distinct(), "pairs")
+    rest = stored(compared(pairs, sets).select("id", "head", "similarity"), "rest")
+    verified.append(rest.filter(F.col("similarity") >= least).select("id", "head"))
+    groups = merged(groups, verified[-1])
+
+    links = verified[0]
+    for more in verified[1:]:
+        links = links.unionByName(more)
+    links = links.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
+    ends = links.select(F.col("a").alias("id")).unionAll(links.select(F.col("b").alias("id")))
     return groups, ends.groupBy("id").agg(F.count(F.lit(1)).alias("links"))
 
 
