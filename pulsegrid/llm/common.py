@@ -107,7 +107,7 @@ def _power_tables(n: int) -> list[np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n."""
     if len(_powers[0]) < n:
         for k, base in enumerate((_BASE, _BASE_INV)):
-            table = np.full(max(n, BLOCK_BYTES + 64), base, np.uint64)
+            table = np.full(max(1 << n.bit_length(), BLOCK_BYTES + 64), base, np.uint64)
             table[0] = 1
             _powers[k] = np.cumprod(table)
     return _powers

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import as_binary, mix64, prefix_hash, ranges, read_table, segment_ids, span_hash, text_blocks, text_column
+from pulsegrid.llm.common import as_binary, mix64, prefix_hash, ranges, read_table, segment_ids, span_hash, stored, text_blocks, text_column
 
 LENGTH, GRAM = 50, 8
 #: strings of a run that travel together at most; periodic texts would make endless runs
@@ -201,8 +201,10 @@ def _marks(doc: np.ndarray, key: np.ndarray, start: np.ndarray, end: np.ndarray,
         yield int(bucket[some[0]]), _pack(doc[some], key[some], start[some].astype(np.int64), end[some].astype(np.int64))
 
 
-def _text_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A number for each text; rows with equal doc_id and number are one document."""
+def _text_keys(data: np.ndarray, offsets: np.ndarray, needed: bool) -> np.ndarray:
+    """A number for each text; rows with equal doc_id and number are one document. Zeros where ids alone tell."""
+    if not needed:
+        return np.zeros(len(offsets) - 1, np.uint64)
     size = np.diff(offsets).astype(np.uint64)
     return mix64(span_hash(prefix_hash(data), offsets[:-1], offsets[1:]) + size)
 
@@ -234,7 +236,7 @@ def _statistics(texts: DataFrame, length: int) -> tuple[int, np.ndarray]:
             [pa.array(np.concatenate([held_gram[keep].view(np.int64), [-1, -2]])), pa.array(np.concatenate([held_n[keep], [size, strings]]))], names=["gram", "n"]
         )
 
-    totals = texts.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    totals = stored(texts.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     whole = {r["gram"]: r["n"] for r in totals.filter("gram < 0").collect()}
     # shares add up to one, so these are fewer than 1 / HEAVY
     most = int(whole.get(-2) or 0) * HEAVY
@@ -246,6 +248,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans and the bytes that are ``kept``."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), text_column().alias("text"))
     total, heavy = _statistics(texts, length)
+    again = texts.groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
     bins, buckets = max(1, -(-total // _BIN)), max(1, -(-total // _BUCKET))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +278,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             ids = batch.column("doc_id").to_numpy()
             for a, b in text_blocks(offsets, _BLOCK):
                 part, inner, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], ids[a:b]
-                keys = _text_keys(part, inner)
+                keys = _text_keys(part, inner, again)
                 p = Pieces(part, inner, length, heavy)
                 doc = own[p.text]
                 lead = _leaders(part, p.start, p.count + length - 1, doc)
@@ -341,8 +344,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             ids = batch.column("doc_id").to_numpy()
             for a, b in text_blocks(offsets, _PACK):
                 part, inner, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], ids[a:b]
-                keys = _text_keys(part, inner)
-                _, one, again = np.unique(np.stack([own.astype(np.uint64), keys], axis=1), axis=0, return_index=True, return_counts=True)
+                keys = _text_keys(part, inner, again)
+                _, one, copies = np.unique(np.stack([own.astype(np.uint64), keys], axis=1), axis=0, return_index=True, return_counts=True)
                 bucket = _bucket(own[one], keys[one], buckets)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
@@ -351,7 +354,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     some = one[order[x:y]]
                     size = np.diff(inner)[some]
                     slots.append(int(bucket[order[x]]))
-                    bodies.append(_pack(own[some], keys[some], again[order[x:y]].astype(np.int64), size.astype(np.int64), part[ranges(inner[some], size)]))
+                    bodies.append(_pack(own[some], keys[some], copies[order[x:y]].astype(np.int64), size.astype(np.int64), part[ranges(inner[some], size)]))
                 yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(bodies, pa.binary())], names=["place", "texts"])
 
     def cut(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -361,9 +364,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 where.setdefault((d, k), []).append((s, e))
         out: list[tuple] = []
         for body in left["texts"].to_pylist():
-            doc, keys, again, size, data = _unpack(body, "<i8", "<u8", "<i8", "<i8", "u1")
+            doc, keys, copies, size, data = _unpack(body, "<i8", "<u8", "<i8", "<i8", "u1")
             ends = np.cumsum(size)
-            for d, k, n, a, b in zip(doc.tolist(), keys.tolist(), again.tolist(), (ends - size).tolist(), ends.tolist(), strict=True):
+            for d, k, n, a, b in zip(doc.tolist(), keys.tolist(), copies.tolist(), (ends - size).tolist(), ends.tolist(), strict=True):
                 spans = where.get((d, k), [])
                 if spans:
                     s, e = np.array(spans, np.int64).T
