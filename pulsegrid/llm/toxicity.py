@@ -245,12 +245,17 @@ def _merge(blocks: list[Block]) -> Block:
     )
 
 
-def _log_ratio(kind: np.ndarray, text: np.ndarray, label: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Log ratio of class document shares of each kind, and its number of documents."""
-    pairs = np.unique(text.astype(np.int64) * width + kind)
-    t, k = np.divmod(pairs, width)
-    ones = np.bincount(k[label[t] == 1], minlength=width)
-    zeros = np.bincount(k[label[t] != 1], minlength=width)
+def _log_ratio(block: Block, kinds: np.ndarray, sizes: np.ndarray, label: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Log ratio of class document shares of each kind, and its number of documents.
+
+    ``kinds``: those of each distinct word, concatenated, ``sizes`` of them. Texts are taken some at a time.
+    """
+    ones, zeros = np.zeros(width), np.zeros(width)
+    first = np.cumsum(sizes) - sizes
+    ends = np.cumsum(block.counts)
+    for t, (a, b) in enumerate(zip((ends - block.counts).tolist(), ends.tolist(), strict=True)):
+        words = np.unique(block.words[a:b])
+        (ones if label[t] == 1 else zeros)[np.unique(kinds[ranges(first[words], sizes[words])])] += 1
     ratio = np.log((ones + 0.5) / (label.sum() + 1)) - np.log((zeros + 0.5) / (len(label) - label.sum() + 1))
     return ratio, ones + zeros
 
@@ -264,14 +269,14 @@ def fit(rows: pa.Table, passes: int = 10, batch: int = 256, rate: float = 0.02,
         model.p["ow"][:], model.p["ob"][0] = 0, np.log(share / (1 - share))
         return model
     block = _merge([b for _, _, b in _blocks(rows["text"].combine_chunks())])
-    text = segment_ids(block.counts)
-    ratio, seen = _log_ratio(block.words, text, label, len(block.hashes))
+    n_words = len(block.hashes)
+    ratio, seen = _log_ratio(block, np.arange(n_words), np.ones(n_words, np.int64), label, n_words)
     known = np.flatnonzero(seen >= 4)
     model = ToxicityModel(block.hashes[known], seed)
     model.p["word"][:-1, 0] += np.clip(ratio[known], -3, 5) / 2
     # trigrams start from the documents that hold them
     first = np.cumsum(block.sizes) - block.sizes
-    chars, held = _log_ratio(block.grams[ranges(first[block.words], block.sizes[block.words])], np.repeat(text, block.sizes[block.words]), label, CHAR_BUCKETS)
+    chars, held = _log_ratio(block, block.grams, block.sizes, label, CHAR_BUCKETS)
     model.p["char"][held >= 4, 0] += np.clip(chars[held >= 4], -3, 5) / 2
     rng = np.random.default_rng(seed)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.p.items()}
@@ -282,8 +287,8 @@ def fit(rows: pa.Table, passes: int = 10, batch: int = 256, rate: float = 0.02,
     step = 0
     for turn in range(passes):
         at, vectors = model.inputs(block)
-        if turn == 0:  # the suspicion of a window before training: its most telling word
-            word_score = np.clip(ratio, -3, 5) * (seen >= 4) + 1e-3 * vectors[:, WORD_SIZE]
+        if turn == 0:  # the suspicion of a window before training: its most telling word or trigrams
+            word_score = np.clip(ratio, -3, 5) * (seen >= 4) + vectors[:, WORD_SIZE]
             logits = np.array([word_score[block.words[s : s + n]].max() for s, n in zip(block.start, block.length, strict=True)])
         else:
             logits = model.window_logits(block, vectors)
