@@ -2,14 +2,17 @@
 
 The piece model (a sentencepiece file) gives pieces with scores; the best segmentation of
 a text is the path through its piece lattice with the largest sum of scores.
-Spaces become a mark that begins a piece and is never inside one, so the lattice of
-a text is that of its words, one after the other: each distinct word of a block is
-solved once.
+Spaces become marks. A piece holds marks at its begin alone (runs of them are pieces
+too), so the lattice of a text is that of its units, one after the other: a unit is a
+maximal run of blanks with the word after it. Each distinct unit of a block is solved
+once; "word" below means such a unit.
 
 * Best path: forward Viterbi scores over the lattices of all distinct words at once, vectorised by place.
 * N best: A-star search from a word's end to its start. The heuristic of a place is its
   forward Viterbi score, which is exact, so paths leave the queue in order of
-  their scores and no other path is expanded.
+  their scores and no other path is expanded. Of equal ones the path nearest the start
+  goes first, and no place is left more than N times, as the many equal ways through a
+  long run of blanks would be otherwise.
 * N best of a text: only the N - 1 words whose second path costs least can differ
   from their best path. The cost of a word's second path is exact from forward
   and backward scores; the searches run for those words alone and their lists are merged.
@@ -62,8 +65,10 @@ class PieceModel:
                 self.bytes_of.append(bytes([int(name[3:5], 16)]))
                 continue
             self.bytes_of.append(b"" if special[i] else name.replace(MARK, " ").encode())
-            # the mark stands first in a piece or not at all; runs of it are single pieces in turn
-            if not special[i] and MARK not in name[1:]:
+            if not special[i]:
+                # such a piece would reach from one unit into the next
+                if MARK in name.lstrip(MARK):
+                    raise ValueError(f"piece {name!r} has a mark after another character")
                 self.score[name] = (float(model.get_score(i)), i)
         self.unknown = min(s for s, _ in self.score.values() if s > _LAST_RESORT) - 10.0
         self.score = {name: (max(s, self.unknown), i) for name, (s, i) in self.score.items()}
@@ -105,10 +110,11 @@ class PieceModel:
     def edges(self, chars: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
         """(start, end, score, id) of all pieces in words laid end to end; id -1 spells a character. ``ends``: of each place's word."""
         place = np.arange(len(chars))
+        # blanks are the marks of pieces; a mark is a character of the text
+        inner = chars == ord(MARK)
+        chars = np.where(chars == ord(" "), ord(MARK), chars)
         node = self._root[chars]
         out = []
-        # the first mark of a word is a blank of the text, any later one is a character of it
-        inner = (chars == ord(MARK)) & (np.concatenate(([0], ends[:-1])) == ends) if len(chars) else np.zeros(0, bool)
         node[inner] = 0
         lone = (node == 0) | (self._node_id[node] < 0)
         out.append((place[lone], np.full(int(lone.sum()), self.unknown), np.full(int(lone.sum()), -1), np.ones(int(lone.sum()), np.int64)))
@@ -128,6 +134,7 @@ class PieceModel:
 
     def solve(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Best segmentation of each word: ids concatenated, ids of each, score of each, cost of its second path."""
+        words = [_blank_first(w) for w in words]
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
         last = np.cumsum(sizes)
@@ -187,14 +194,16 @@ class PieceModel:
 
     def nbest(self, word: str, n: int) -> list[tuple[float, list[int]]]:
         """The ``n`` best segmentations of a word (score, ids), by A-star from its end."""
+        word = _blank_first(word)
         into = self.word_edges(word)
         forward = [0.0] + [-np.inf] * len(word)
         for e in range(1, len(word) + 1):
             forward[e] = max(forward[s] + score for s, score, _ in into[e])
-        queue = [(-forward[-1], 0, len(word), 0.0, None)]
+        queue = [(-forward[-1], len(word), 0, 0.0, None)]
         made, out = 1, []
+        left = [n] * (len(word) + 1)
         while queue and len(out) < n:
-            _, _, at, behind, path = heapq.heappop(queue)
+            _, at, _, behind, path = heapq.heappop(queue)
             if at == 0:
                 ids: list[int] = []
                 while path:
@@ -202,12 +211,21 @@ class PieceModel:
                     ids += self.spelled(word[s]) if i < 0 else [i]
                 out.append((behind, ids))
                 continue
+            # paths come to a place in order of what lies behind it: those after the n-th are in no n best
+            if not left[at]:
+                continue
+            left[at] -= 1
             for s, score, i in sorted(into[at]):
-                heapq.heappush(queue, (-(forward[s] + score + behind), made, s, score + behind, ((s, i), path)))
+                heapq.heappush(queue, (-(forward[s] + score + behind), s, made, score + behind, ((s, i), path)))
                 made += 1
         return out
 
 
+def _blank_first(word: str) -> str:
+    """A word may come with the mark in place of its first blank."""
+    return " " + word[1:] if word[:1] == MARK else word
+
+
 def _best(n: int, origin: np.ndarray, a: np.ndarray, b: np.ndarray, step: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best score from the origins to each border over edges a -> b, and the last edge there.
 
@@ -240,6 +258,31 @@ def merge_nbest(lists: list[list[float]], n: int) -> list[float]:
     return sums
 
 
+def _units(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct units of texts with a blank before each, and the unit and text of each place where one stands."""
+    lists = pc.split_pattern(texts, " ")
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    encoded = lists.flatten().dictionary_encode()
+    codes = encoded.indices.to_numpy().astype(np.int64)
+    plain = encoded.dictionary.to_pylist()
+    words = [" " + w for w in plain]
+    text = np.repeat(np.arange(len(texts)), np.diff(bounds))
+    # an empty text has no unit, though the split gives a word
+    keep = ~pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)[text]
+    text, codes = text[keep], codes[keep]
+    if "" not in plain or not len(codes):
+        return words, codes, text
+    # one blank stands before each word; empty words are blanks of the next one, or of the text's end
+    ends = np.flatnonzero((codes != plain.index("")) | np.append(text[1:] != text[:-1], True))
+    blanks, codes, text = np.diff(ends, prepend=-1), codes[ends], text[ends]
+    runs = np.flatnonzero(blanks > 1)
+    most = int(blanks.max()) + 1
+    kinds, which = np.unique(codes[runs] * most + blanks[runs], return_inverse=True)
+    codes[runs] = len(words) + which
+    words += [" " * (k % most) + plain[k // most] for k in kinds.tolist()]
+    return words, codes, text
+
+
 class PieceEncoder:
     """Encodes texts: the best segmentation and the scores of the ``n`` best."""
 
@@ -249,20 +292,9 @@ class PieceEncoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[list[float]]]:
         """All ids concatenated, ids of each text, and its best scores in descending order."""
-        lists = pc.split_pattern(texts, " ")
-        bounds = lists.offsets.to_numpy().astype(np.int64)
-        bounds = bounds - bounds[0]
-        encoded = lists.flatten().dictionary_encode()
-        codes = encoded.indices.to_numpy().astype(np.int64)
-        words = [MARK + w for w in encoded.dictionary.to_pylist()]
+        words, codes, text = _units(texts)
         solved = [self.model.solve(words[k : k + _WORDS]) for k in range(0, len(words), _WORDS)]
         flat, counts, score, cost = (np.concatenate(x) for x in zip(*solved, strict=True)) if solved else [np.zeros(0, np.int64)] * 4
-        # an empty text is no word, though the split gives one
-        used = np.diff(bounds)
-        empty = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        text = np.repeat(np.arange(len(texts)), used)
-        keep = ~empty[text]
-        text, codes = text[keep], codes[keep]
         first = np.cumsum(counts) - counts
         ids = flat[ranges(first[codes], counts[codes])]
         sizes = np.bincount(text, counts[codes], len(texts)).astype(np.int64)

@@ -74,3 +74,45 @@ def test_columns(spark, edge_docs, no_docs):
 def test_query_decodes_every_document(spark):
     rows = P.query(spark, SF_DIRS["0.001"]).collect()
     assert len(rows) == 200 and all(r["round_trip"] and r["best_score"] == r["nbest_scores"][0] for r in rows)
+
+
+def whole(model, text, n):
+    """The ``n`` best scores of a text over all pieces of the model, written as a plain recursion over the whole text."""
+    marked = [P.MARK if c == " " else c if c != P.MARK else None for c in " " + text] if text else []
+
+    def go(i):
+        if i == len(marked):
+            return [0.0]
+        found = []
+        for j in range(i + 1, min(len(marked), i + model.longest) + 1):
+            piece = None if None in marked[i:j] else "".join(marked[i:j])
+            if piece in model.score or (j == i + 1 and piece not in model.score):
+                found += [model.score.get(piece, (model.unknown,))[0] + s for s in go(j)]
+        return sorted(found, reverse=True)
+
+    return go(0)[:n]
+
+
+RUNS = ["a  b", " ", "   ", "  lead", "trail  ", "x   y", "if:\n    go  ", "  ▁  x", " ▁▁ ", "a  \n   é", "        "]
+
+
+def test_runs_of_blanks_over_all_pieces(encoder):
+    names = encoder.model.score
+    assert sum(not name.strip(P.MARK) for name in names) == 15
+    texts = pa.array(RUNS)
+    ids, sizes, scores = encoder(texts)
+    assert encoder.round_trip(texts, ids, sizes).all()
+    for text, got in zip(RUNS, scores, strict=True):
+        assert np.allclose(got, whole(encoder.model, text, P.NBEST))
+
+
+def test_long_runs_of_blanks_take_the_longest_pieces(encoder):
+    texts = pa.array(["a" + " " * 8 + "b", "x" + " " * 5000 + "y", " " * 5000])
+    ids, sizes, scores = encoder(texts)
+    assert encoder.round_trip(texts, ids, sizes).all()
+    assert sizes.tolist() == [3, 1 + 313 + 1, 313] and [len(s) for s in scores] == [P.NBEST] * 3
+    for word in (" " * 8 + "b", " " * 200 + "y", " " * 200):
+        found = encoder.model.nbest(word, 5)
+        flat, _, score, cost = encoder.model.solve([word])
+        assert flat.tolist() == found[0][1] and score[0] == found[0][0] and cost[0] == found[0][0] - found[1][0]
+        assert len({tuple(i) for _, i in found}) == 5
