@@ -43,11 +43,12 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document its piece ids, their number and digest, the best scores, and whether they decode to the text."""
+    """Per document its piece ids, their number and digest, and whether they decode to the text; the N best segmentations with their scores."""
     coded = docs.select("doc_id", "lang", "source", pieces.encode(text_column(), public_tokenizers.path(TOKENIZER)).alias("_p"))
     return coded.select(
         "doc_id", "lang", "source", F.size("_p.ids").cast("long").alias("n_pieces"), F.col("_p.crc32").alias("ids_crc32"),
         F.col("_p.nbest").alias("nbest_scores"), F.col("_p.round_trip").alias("round_trip"), F.col("_p.ids").alias("ids"),
+        F.col("_p.nbest_ids").alias("nbest_ids"), F.col("_p.nbest_crc32").alias("nbest_crc32"), F.col("_p.nbest_round_trip").alias("nbest_round_trip"),
     )
 
 

@@ -16,6 +16,8 @@ once; "word" below means such a unit.
 * N best of a text: only the N - 1 words whose second path costs least can differ
   from their best path. The cost of a word's second path is exact from forward
   and backward scores; the searches run for those words alone and their lists are merged.
+  The merge notes which segmentation of each of those words a rank takes, so the ids of all
+  N segmentations of a text are written out, not their scores alone.
 
 Characters without a piece are spelled in byte pieces, each below the score of
 every piece. The mark itself, where a text holds it, is spelled too, so decoding
@@ -250,11 +252,11 @@ def _best(n: int, origin: np.ndarray, a: np.ndarray, b: np.ndarray, step: np.nda
     return best, via
 
 
-def merge_nbest(lists: list[list[float]], n: int) -> list[float]:
-    """The ``n`` largest sums with one entry of each list (each in descending order)."""
-    sums = [0.0]
+def merge_nbest(lists: list[list[float]], n: int) -> list[tuple[float, tuple[int, ...]]]:
+    """The ``n`` largest sums with one entry of each list (each in descending order), and which entries they take."""
+    sums: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
     for scores in lists:
-        sums = heapq.nlargest(n, (s + x for s in sums for x in scores))
+        sums = heapq.nlargest(n, ((s + x, took + (k,)) for s, took in sums for k, x in enumerate(scores)), key=lambda x: x[0])
     return sums
 
 
@@ -284,20 +286,25 @@ def _units(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 class PieceEncoder:
-    """Encodes texts: the best segmentation and the scores of the ``n`` best."""
+    """Encodes texts: the ``n`` best segmentations and their scores."""
 
     def __init__(self, path: str, n: int = NBEST):
         self.model, self.n = PieceModel(path), n
-        self._word_nbest = lru_cache(maxsize=50_000)(lambda w: [s for s, _ in self.model.nbest(w, n)])
+        self._word_nbest = lru_cache(maxsize=50_000)(lambda w: [(s, np.array(ids, np.int32)) for s, ids in self.model.nbest(w, n)])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[list[float]]]:
-        """All ids concatenated, ids of each text, and its best scores in descending order."""
+        """The best segmentations: all ids concatenated, ids of each text, and its best scores in descending order."""
+        ids, sizes, scores = self.segmentations(texts)
+        made = np.fromiter(map(len, scores), np.int64, len(scores))
+        best = np.cumsum(made) - made
+        return ids[ranges((np.cumsum(sizes) - sizes)[best], sizes[best])], sizes[best], scores
+
+    def segmentations(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[list[float]]]:
+        """Ids of all segmentations concatenated, text by text from the best on, ids of each, and the scores of each text's."""
         words, codes, text = _units(texts)
         solved = [self.model.solve(words[k : k + _WORDS]) for k in range(0, len(words), _WORDS)]
         flat, counts, score, cost = (np.concatenate(x) for x in zip(*solved, strict=True)) if solved else [np.zeros(0, np.int64)] * 4
         first = np.cumsum(counts) - counts
-        ids = flat[ranges(first[codes], counts[codes])]
-        sizes = np.bincount(text, counts[codes], len(texts)).astype(np.int64)
         best = np.bincount(text, score[codes], len(texts))
         # the words whose second paths cost least, n - 1 of each text
         order = np.lexsort((np.arange(len(codes)), cost[codes], text))
@@ -305,20 +312,42 @@ class PieceEncoder:
         order = order[(rank < self.n - 1) & np.isfinite(cost[codes[order]])]
         scores: list[list[float]] = [[float(b)] for b in best]
         cuts = np.searchsorted(text[order], np.arange(len(texts) + 1))
+        # (text, rank, place among its units, ids) where a segmentation leaves the best path
+        other: list[tuple[int, int, int, np.ndarray]] = []
+        units = np.searchsorted(text, np.arange(len(texts) + 1))
         for t in np.flatnonzero(np.diff(cuts)).tolist():
-            chosen = codes[order[cuts[t] : cuts[t + 1]]].tolist()
+            places = order[cuts[t] : cuts[t + 1]].tolist()
+            chosen = [int(codes[p]) for p in places]
             rest = float(best[t]) - sum(float(score[c]) for c in chosen)
-            scores[t] = [rest + s for s in merge_nbest([self._word_nbest(words[c]) for c in chosen], self.n)]
-        return ids, sizes, scores
-
-    def round_trip(self, texts: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Whether decoding the ids gives back each text."""
-        out = np.empty(len(texts), bool)
+            lists = [self._word_nbest(words[c]) for c in chosen]
+            merged = merge_nbest([[s for s, _ in found] for found in lists], self.n)
+            scores[t] = [rest + s for s, _ in merged]
+            for rank, (_, took) in enumerate(merged):
+                other += [(t, rank, p - int(units[t]), found[k][1]) for p, found, k in zip(places, lists, took, strict=True) if k]
+        made = np.fromiter(map(len, scores), np.int64, len(scores))
+        # the units of every segmentation as ranges of ids: those of the best path, then the others
+        of = np.repeat(np.arange(len(texts)), made)
+        n_units = np.diff(units)[of]
+        at = codes[ranges(units[of], n_units)]
+        begin, size = first[at], counts[at]
+        if other:
+            seg, first_unit = np.cumsum(made) - made, np.cumsum(n_units) - n_units
+            swap = np.array([first_unit[seg[t] + rank] + p for t, rank, p, _ in other])
+            lengths = np.array([len(x) for *_, x in other])
+            begin[swap], size[swap] = len(flat) + np.cumsum(lengths) - lengths, lengths
+            flat = np.concatenate([flat, *(x for *_, x in other)])
+        ids = flat[ranges(begin, size)].astype(np.int32)
+        return ids, np.bincount(np.repeat(np.arange(len(of)), n_units), size, len(of)).astype(np.int64), scores
+
+    def round_trip(self, texts: pa.Array, ids: np.ndarray, sizes: np.ndarray, made: np.ndarray | None = None) -> np.ndarray:
+        """Whether decoding the ids gives back each text; ``made``: segmentations of each text, one where it is left out."""
+        of = np.repeat(np.arange(len(texts)), 1 if made is None else made)
+        out = np.empty(len(of), bool)
         ends = np.cumsum(sizes)
         data, offsets = as_binary(texts)
-        for k, (a, b) in enumerate(zip((ends - sizes).tolist(), ends.tolist(), strict=True)):
+        for k, (t, a, b) in enumerate(zip(of.tolist(), (ends - sizes).tolist(), ends.tolist(), strict=True)):
             plain = self.model.decode(ids[a:b])
-            out[k] = np.array_equal(plain[1:], data[offsets[k] : offsets[k + 1]]) and (len(plain) > 0) == (offsets[k + 1] > offsets[k])
+            out[k] = np.array_equal(plain[1:], data[offsets[t] : offsets[t + 1]]) and (len(plain) > 0) == (offsets[t + 1] > offsets[t])
         return out
 
 
@@ -328,32 +357,59 @@ def _encoder(path: str, n: int) -> PieceEncoder:
     return PieceEncoder(path, n)
 
 
-_KIND = pa.struct([("ids", pa.list_(pa.int32())), ("nbest", pa.list_(pa.float64())), ("round_trip", pa.bool_()), ("crc32", pa.int64())])
+def _lists(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), values)
 
 
-def encode(text: Column, path: str, n: int = NBEST) -> Column:
-    """Per text a struct: ``ids`` of the best segmentation, ``nbest`` scores, ``round_trip`` and ``crc32`` of the ids (32-bit, little-endian)."""
+def _coded(text: Column, path: str, n: int, with_ids: bool) -> Column:
+    """Per text a struct of arrays, one entry for each of the ``n`` best segmentations: scores, digests and, on demand, the ids."""
+    parts = {"nbest": "double", "n_pieces": "long", "crc32": "long", "round_trip": "boolean"} | ({"ids": "array<int>"} if with_ids else {})
+    kinds = {"nbest": pa.float64(), "n_pieces": pa.int64(), "crc32": pa.int64(), "round_trip": pa.bool_(), "ids": pa.list_(pa.int32())}
+    kind = pa.struct([(name, pa.list_(kinds[name])) for name in parts])
 
-    @F.arrow_udf("ids array<int>, nbest array<double>, round_trip boolean, crc32 long")
+    @F.arrow_udf(", ".join(f"{name} array<{t}>" for name, t in parts.items()))
     def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(path, n)
         for texts in batches:
-            parts = []
+            out = []
             _, offsets = as_binary(texts)
             for a, b in text_blocks(offsets):
                 some = texts.slice(a, b - a)
-                ids, sizes, scores = encoder(some)
+                ids, sizes, scores = encoder.segmentations(some)
+                made = np.fromiter(map(len, scores), np.int64, len(scores))
                 ends = np.cumsum(sizes)
-                crc = [zlib.crc32(ids[e - s : e].astype("<u4").tobytes()) for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
-                listed = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(ids, pa.int32()))
-                back = encoder.round_trip(some, ids, sizes)
-                parts.append(pa.StructArray.from_arrays([listed, pa.array(scores, _KIND["nbest"].type), pa.array(back), pa.array(crc, pa.int64())], fields=list(_KIND)))
+                found = {
+                    "nbest": np.array([s for x in scores for s in x], np.float64),
+                    "n_pieces": sizes,
+                    "crc32": np.array([zlib.crc32(ids[e - s : e].astype("<u4").tobytes()) for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)], np.int64),
+                    "round_trip": encoder.round_trip(some, ids, sizes, made),
+                }
+                lists = [_lists(_lists(pa.array(ids), sizes) if name == "ids" else pa.array(found[name]), made) for name in parts]
+                out.append(pa.StructArray.from_arrays(lists, fields=list(kind)))
                 pa.default_memory_pool().release_unused()
-            yield pa.concat_arrays(parts) if parts else pa.array([], _KIND)
+            yield pa.concat_arrays(out) if out else pa.array([], kind)
 
     return pieces(F.coalesce(text.cast("string"), F.lit("")))
 
 
+def encode(text: Column, path: str, n: int = NBEST) -> Column:
+    """Per text a struct with the ``n`` best segmentations: their scores ``nbest``, and ``nbest_ids``, ``nbest_crc32`` and ``nbest_round_trip``.
+
+    ``ids``, ``crc32`` (of the ids, 32-bit, little-endian) and ``round_trip`` are those of the best one. A text with
+    fewer ways has fewer entries.
+    """
+    named = lambda p: F.struct(
+        F.get(p["ids"], F.lit(0)).alias("ids"), p["nbest"].alias("nbest"), F.get(p["round_trip"], F.lit(0)).alias("round_trip"), F.get(p["crc32"], F.lit(0)).alias("crc32"),
+        p["ids"].alias("nbest_ids"), p["crc32"].alias("nbest_crc32"), p["round_trip"].alias("nbest_round_trip"),
+    )
+    return F.get(F.transform(F.array(_coded(text, path, n, True)), named), F.lit(0))
+
+
+def digests(text: Column, path: str, n: int = NBEST) -> Column:
+    """Per text a struct of arrays, one entry for each of the ``n`` best segmentations: ``nbest`` scores, ``n_pieces``, ``crc32``, ``round_trip``."""
+    return _coded(text, path, n, False)
+
+
 def decode(ids: Column, path: str, n: int = NBEST) -> Column:
     """The text of a sequence of piece ids; bytes that are no valid UTF-8 become replacement characters."""
 
@@ -367,12 +423,14 @@ def decode(ids: Column, path: str, n: int = NBEST) -> Column:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: pieces, scores of the best and the N best segmentations, digest of the ids, and whether they decode to the text."""
+    """Per document the N best segmentations: scores, pieces, digests of the ids, and whether they decode to the text; those of the best also alone."""
     import public_tokenizers
 
     docs = read_table(spark, sf_dir, "documents")
-    coded = docs.select("doc_id", encode(text_column(), public_tokenizers.path("piece_bpe_32k.model")).alias("_p"))
+    coded = docs.select("doc_id", digests(text_column(), public_tokenizers.path("piece_bpe_32k.model")).alias("_p"))
+    best = lambda name: F.get(f"_p.{name}", F.lit(0))
     return coded.select(
-        "doc_id", F.size("_p.ids").cast("long").alias("n_pieces"), F.get("_p.nbest", F.lit(0)).alias("best_score"), F.col("_p.nbest").alias("nbest_scores"),
-        F.col("_p.crc32").alias("ids_crc32"), F.col("_p.round_trip").alias("round_trip"),
+        "doc_id", best("n_pieces").alias("n_pieces"), best("nbest").alias("best_score"), F.col("_p.nbest").alias("nbest_scores"),
+        best("crc32").alias("ids_crc32"), best("round_trip").alias("round_trip"),
+        F.col("_p.n_pieces").alias("nbest_pieces"), F.col("_p.crc32").alias("nbest_crc32"), F.col("_p.round_trip").alias("nbest_round_trip"),
     )

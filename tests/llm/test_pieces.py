@@ -116,3 +116,62 @@ def test_long_runs_of_blanks_take_the_longest_pieces(encoder):
         flat, _, score, cost = encoder.model.solve([word])
         assert flat.tolist() == found[0][1] and score[0] == found[0][0] and cost[0] == found[0][0] - found[1][0]
         assert len({tuple(i) for _, i in found}) == 5
+
+
+def paths(model, text):
+    """All segmentations of a text (score, ids), written as a plain recursion over the whole text."""
+    marked = [P.MARK if c == " " else c if c != P.MARK else None for c in " " + text] if text else []
+
+    def go(i):
+        if i == len(marked):
+            return [(0.0, ())]
+        found = []
+        for j in range(i + 1, min(len(marked), i + model.longest) + 1):
+            piece = None if None in marked[i:j] else "".join(marked[i:j])
+            if piece in model.score:
+                score, ids = model.score[piece][0], (model.score[piece][1],)
+            elif j == i + 1:
+                score, ids = model.unknown, tuple(model.spelled(marked[i] or P.MARK))
+            else:
+                continue
+            found += [(score + s, ids + x) for s, x in go(j)]
+        return found
+
+    return {ids: s for s, ids in go(0)}
+
+
+SHORT = ["of the", "x▁y", "é zß", "a  b", "", "日", "to it is", "   ", "in\n  a", "the the"]
+
+
+def test_every_segmentation_is_written_out(encoder):
+    texts = pa.array(SHORT)
+    ids, sizes, scores = encoder.segmentations(texts)
+    made = [len(s) for s in scores]
+    assert encoder.round_trip(texts, ids, sizes, np.array(made)).all()
+    each = iter(np.split(ids, np.cumsum(sizes)[:-1]))
+    for text, got in zip(SHORT, scores, strict=True):
+        ways = paths(encoder.model, text)
+        found = [tuple(next(each).tolist()) for _ in got]
+        assert len(set(found)) == len(found) == min(P.NBEST, len(ways))
+        assert np.allclose(got, sorted(ways.values(), reverse=True)[: P.NBEST])
+        assert np.allclose(got, [ways[x] for x in found])
+    best, best_sizes, _ = encoder(texts)
+    assert best_sizes.tolist() == sizes[np.cumsum(made) - made].tolist() and len(best) == best_sizes.sum()
+
+
+def test_every_segmentation_decodes(spark, edge_docs):
+    coded = edge_docs.select("text", P.encode(F.col("text"), PATH).alias("_p"), P.digests(F.col("text"), PATH).alias("_d"))
+    coded = coded.select("*", F.posexplode("_p.nbest_ids").alias("rank", "some")).withColumn("back", P.decode(F.col("some"), PATH))
+    rows = coded.select("*", F.size("some").alias("n")).collect()
+    assert max(r["rank"] for r in rows) == P.NBEST - 1
+    for r in rows:
+        p, d, k = r["_p"], r["_d"], r["rank"]
+        assert r["back"] == (r["text"] or "") and p["nbest_round_trip"][k] and d["round_trip"][k]
+        assert r["some"] == p["nbest_ids"][k] and (k or r["some"] == p["ids"]) and d["n_pieces"][k] == r["n"]
+        assert d["nbest"] == p["nbest"] and d["crc32"] == p["nbest_crc32"] and len(set(map(tuple, p["nbest_ids"]))) == len(p["nbest"])
+
+
+def test_query_has_a_digest_of_each_rank(spark):
+    for r in P.query(spark, SF_DIRS["0.001"]).collect():
+        assert len(r["nbest_crc32"]) == len(r["nbest_scores"]) == len(r["nbest_pieces"]) and all(r["nbest_round_trip"])
+        assert r["ids_crc32"] == r["nbest_crc32"][0] and r["n_pieces"] == r["nbest_pieces"][0] and len(set(r["nbest_crc32"])) == len(r["nbest_crc32"])
