@@ -5,18 +5,21 @@ different random rotations and shifts. On each projection a Hilbert curve orders
 all vectors; near vectors tend to be near on some of the curves. For each curve Spark
 range-partitions the keys, numbers the vectors along the curve and deals them into
 blocks of ``BLOCK`` neighbours. A query meets the vectors of its own block and of
-the blocks around it, each time in a matrix product of bounded size; its best
-candidates of all curves are merged and ranked by exact cosine in double precision.
+the blocks around it, each time in a matrix product of bounded size. All scores are in
+double precision; whatever the product's rounding can't tell from the last candidate
+kept is scored again pair by pair, as in the final ranking, so that a block's
+candidates and those of all curves are cut in the order of the result: by cosine, then
+by smallest vec_id.
 
 How many blocks around is measured, not guessed: for ``SAMPLE`` of the queries the
 true neighbours are found by a scan of all vectors, and the reach is the least
 that finds ``RECALL`` of them on some curve. Data without any structure need a
 reach that grows with them; clustered data do not.
 
-Equal vectors are one point of the index, so a vector that a third of all rows
-share costs one point; each point keeps its smallest ids, and results are
-expanded from them. A block holds ``BLOCK`` points whatever the data, so no task
-grows with a crowded region.
+Vectors of one direction (v, 2v, 4v: equal when divided by their largest component) are
+one point of the index, so a vector that a third of all rows share costs one point;
+each point keeps its smallest ids, and results are expanded from them. A block holds
+``BLOCK`` points whatever the data, so no task grows with a crowded region.
 
 Vectors that are NULL, zero, of another length than most, or that hold NULL or
 non-finite components take no part. Rows that repeat an id are one candidate per
@@ -31,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from pulsegrid.llm.common import read_table, stored
 
@@ -105,30 +109,47 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1))[:, None]
 
 
+def _leading(score: np.ndarray, q: np.ndarray, v: np.ndarray, low: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, exact cosine) of each row's ``most`` best columns by cosine, ties by ``low``.
+
+    ``score`` holds the cosines of all q and v by a matrix product. Its rounding may
+    differ from that of exact_cosine; what lies within it of the last one kept is compared exactly.
+    """
+    rounding = 8 * (v.shape[1] + 8) * np.finfo(np.float64).eps
+    most = min(most, score.shape[1])
+    last = -np.partition(-score, most - 1, axis=1)[:, most - 1]
+    row, column = np.nonzero(score >= last[:, None] - rounding)
+    exact = np.fromiter((exact_cosine(q[a], v[b]) for a, b in zip(row.tolist(), column.tolist(), strict=True)), np.float64, len(row))
+    order = np.lexsort((low[column], -exact, row))
+    row, column, exact = row[order], column[order], exact[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < most
+    return row[keep], column[keep], exact[keep]
+
+
 def _needed_distance(points: DataFrame, places: DataFrame, size: int, k: int, recall: float) -> int:
     """The distance along its nearest curve within which ``recall`` of the true neighbours of sampled queries lie."""
     sample = points.filter("asked").orderBy(F.xxhash64("point"), "point").limit(SAMPLE).select("point", "v").collect()
     if not sample:
         return 0
     known = np.array([r["point"] for r in sample])
-    asked = _unit(np.array([r["v"] for r in sample]))
+    plain = np.array([r["v"] for r in sample], np.float64)
+    asked = _unit(plain)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             point = batch.column("point").to_numpy()
-            score = asked @ _unit(_matrix(batch.column("v"), size)).T
+            v = _matrix(batch.column("v"), size).astype(np.float64)
+            score = asked @ _unit(v).T
             score[known[:, None] == point] = -2.0
-            most = min(k, len(point))
-            top = np.argpartition(-score, most - 1, axis=1)[:, :most]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(known, most)), pa.array(point[top.ravel()]), pa.array(np.take_along_axis(score, top, axis=1).ravel())],
-                names=["query", "point", "score"],
-            )
+            row, column, exact = _leading(score, plain, v, batch.column("low").to_numpy(), k)
+            apart = known[row] != point[column]
+            row, column, exact = row[apart], column[apart], exact[apart]
+            yield pa.RecordBatch.from_arrays([pa.array(known[row]), pa.array(point[column]), pa.array(exact), batch.column("low").take(pa.array(column))], names=["query", "point", "score", "low"])
 
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "point")
-    near = points.select("point", "v").mapInArrow(scan, "query long, point long, score double").filter("score > -2")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "low", "point")
+    near = points.select("point", "v", F.get("ids", F.lit(0)).alias("low")).mapInArrow(scan, "query long, point long, score double, low long")
     near = near.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k).select("query", "point")
     there = places.select("curve", "point", F.col("place").alias("there"))
     here = places.select("curve", F.col("point").alias("query"), F.col("place").alias("here"))
@@ -156,13 +177,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, curves: int
     size = sizes["n"]
     usable = usable.filter(F.size("v") == size)
 
-    # points: one a different vector, with its smallest ids (one more than asked for, as a query skips its own)
-    by_id = Window.partitionBy("v").orderBy("vec_id")
-    ids = usable.distinct().withColumn("_n", F.row_number().over(by_id)).filter(F.col("_n") <= k + 1)
-    points = ids.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    asked = usable.filter(is_query).select("v").distinct().withColumn("_asked", F.lit(True))
-    points = points.join(asked, "v", "left").select(
-        F.monotonically_increasing_id().alias("point"), "v", "ids", F.coalesce("_asked", F.lit(False)).alias("asked")
+    # points: one a direction, with its smallest ids (one more than asked for, as a query skips its own)
+    largest = F.array_max(F.transform("v", F.abs))
+    usable = usable.withColumn("way", F.transform("v", lambda x: x / largest))
+    by_id, of_id = Window.partitionBy("way").orderBy("vec_id"), Window.partitionBy("way", "vec_id").orderBy("v")
+    ids = usable.select("way", "vec_id", "v").distinct().withColumn("_n", F.dense_rank().over(by_id)).filter(F.col("_n") <= k + 1)
+    ids = ids.withColumn("_same", F.row_number().over(of_id)).filter(F.col("_same") <= k)
+    points = ids.groupBy("way").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min_by("v", F.struct("_n", "_same")).alias("v"))
+    asked = usable.filter(is_query).select("way").distinct().withColumn("_asked", F.lit(True))
+    points = points.join(asked, "way", "left").select(
+        F.monotonically_increasing_id().alias("point"), "way", "v", "ids", F.coalesce("_asked", F.lit(False)).alias("asked")
     )
     points = stored(points, "points")
 
@@ -176,37 +200,33 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, curves: int
     places = stored(numbered.select("curve", (F.col("offset") + F.col("_n")).cast("long").alias("place"), "point"), "places")
     reach = -(-_needed_distance(points, places, size, k, recall) // block)
     blocks = places.select("curve", F.floor(F.col("place") / F.lit(block)).cast("long").alias("block"), "point")
-    # in the blocks single precision does, of components at most one
-    scaled = points.withColumn("_m", F.array_max(F.transform("v", F.abs)))
-    scaled = scaled.select("point", F.transform("v", lambda x: (x / F.col("_m")).cast("float")).alias("v"), "asked")
-    with_v = blocks.join(scaled, "point")
+    # vectors travel as they came: in single precision only where the table has it
+    short = isinstance(vectors.schema["embedding"].dataType.elementType, FloatType)
+    plain = points.select("point", F.col("v").cast("array<float>" if short else "array<double>").alias("v"), F.get("ids", F.lit(0)).alias("low"), "asked")
+    with_v = blocks.join(plain, "point")
     # a query goes to its own block and to those around it
     around = F.explode(F.sequence(F.col("block") - reach, F.col("block") + reach)).alias("to_block")
     queries = with_v.filter("asked").select(F.col("curve").alias("on_curve"), around, F.col("point").alias("query"), F.col("v").alias("q"))
-    members = with_v.select("curve", "block", "point", "v")
+    members = with_v.select("curve", "block", "point", "v", "low")
 
     def best(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        kind = pa.schema([("query", pa.int64()), ("point", pa.int64()), ("score", pa.float64())])
+        kind = pa.schema([("query", pa.int64()), ("point", pa.int64()), ("low", pa.int64()), ("score", pa.float64())])
         if not left.num_rows or not right.num_rows:
             return pa.Table.from_pylist([], kind)
-        q, v = (_unit(_matrix(c.combine_chunks(), size)).astype(np.float32) for c in (left["q"], right["v"]))
-        score = (q @ v.T).astype(np.float64)
-        most = min(k + 1, v.shape[0])
-        top = np.argpartition(-score, most - 1, axis=1)[:, :most]
-        return pa.table(
-            [pa.array(np.repeat(left["query"].to_numpy(), most)), pa.array(right["point"].to_numpy()[top.ravel()]), pa.array(np.take_along_axis(score, top, axis=1).ravel())],
-            schema=kind,
-        )
-
-    found = queries.groupBy("on_curve", "to_block").cogroup(members.groupBy("curve", "block")).applyInArrow(best, "query long, point long, score double")
+        q, v = (_matrix(c.combine_chunks(), size).astype(np.float64) for c in (left["q"], right["v"]))
+        low = right["low"].to_numpy()
+        row, column, exact = _leading(_unit(q) @ _unit(v).T, q, v, low, k + 1)
+        return pa.table([pa.array(left["query"].to_numpy()[row]), pa.array(right["point"].to_numpy()[column]), pa.array(low[column]), pa.array(exact)], schema=kind)
+
+    found = queries.groupBy("on_curve", "to_block").cogroup(members.groupBy("curve", "block")).applyInArrow(best, "query long, point long, low long, score double")
     # the k + 1 best points of all curves hold the k best rows, own row left out
-    by_score = Window.partitionBy("query").orderBy(F.desc("score"), "point")
-    merged = found.groupBy("query", "point").agg(F.max("score").alias("score"))
+    by_score = Window.partitionBy("query").orderBy(F.desc("score"), "low", "point")
+    merged = found.groupBy("query", "point").agg(F.first("low").alias("low"), F.max("score").alias("score"))
     merged = merged.withColumn("_n", F.row_number().over(by_score)).filter(F.col("_n") <= 2 * (k + 1))
     hits = merged.join(points.select("point", F.col("ids").alias("ids"), F.col("v").alias("w")), "point")
     lists = hits.groupBy("query").agg(F.collect_list(F.struct("w", "ids")).alias("hits"))
-    lists = lists.join(points.select(F.col("point").alias("query"), "v"), "query").select("v", "hits")
-    per_row = usable.filter(is_query).distinct().join(lists, "v").select(F.col("vec_id").alias("query_id"), "v", "hits")
+    lists = lists.join(points.select(F.col("point").alias("query"), "way"), "query").select("way", "hits")
+    per_row = usable.filter(is_query).distinct().join(lists, "way").select(F.col("vec_id").alias("query_id"), "v", "hits")
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

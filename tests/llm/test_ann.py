@@ -83,3 +83,33 @@ def test_query_recall(spark):
         got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
     want = brute(rows, 50)
     assert got.keys() == want.keys() and recall(got, want) >= 0.9
+
+
+def test_scaled_and_near_copies_are_told_apart(spark):
+    """More scaled copies, and more copies that single precision can't tell apart, than a block or a query keeps."""
+    rng = np.random.default_rng(5)
+    base, step = rng.normal(size=16), rng.normal(size=16)
+    rows = [(10_000 - i, (base * 2.0 ** (i % 20)).tolist()) for i in range(60)]
+    rows += [(20_000 - i, (base + step * (1e-8 * (i + 1))).tolist()) for i in range(60)]
+    rows += [(i, rng.normal(size=16).tolist()) for i in range(1, 200)]
+    rows += [(0, (base + 0.1 * step).tolist()), (30_000, (base * 3 + 0.3 * rng.normal(size=16)).tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for options in ({}, {"block": 64}):
+        got = found(frame, 50, **options)
+        want = brute(rows, 50)
+        assert got.keys() == want.keys()
+        if options:
+            assert recall(got, want) >= 0.9
+        else:
+            assert got == want
+
+
+def test_the_leading_ones_are_those_of_the_exact_order():
+    rng = np.random.default_rng(6)
+    base, q = rng.normal(size=32), rng.normal(size=(3, 32))
+    v = np.concatenate([base * rng.choice([1.0, 2.0, 0.5, 3.0, 7.0], (80, 1)), base + 1e-9 * rng.normal(size=(80, 32))])
+    low = rng.permutation(len(v))
+    row, column, exact = A._leading(A._unit(q) @ A._unit(v).T, q, v, low, 6)
+    for i in range(3):
+        want = sorted((-A.exact_cosine(q[i], x), j, n) for n, (x, j) in enumerate(zip(v, low.tolist(), strict=True)))[:6]
+        assert [(-s, n) for s, _, n in want] == list(zip(exact[row == i].tolist(), column[row == i].tolist(), strict=True))
