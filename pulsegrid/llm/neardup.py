@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import Tokens, as_binary, mix64, read_table, segment_ids, shingles, stored, text_blocks, text_column
@@ -125,8 +125,8 @@ def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.n
         yield a, b - a, *weighted_shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, a digest of the weighted shingles (NULL without words) and the hashes of the bands."""
+def signatures(docs: DataFrame, key: Column | None = None) -> DataFrame:
+    """Per row: doc_id, ``key``, a digest of the weighted shingles (NULL without words) and the hashes of the bands."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,14 +139,15 @@ def signatures(docs: DataFrame) -> DataFrame:
                 digests = [_digest(element[s:e], weight[s:e]) if e > s else None for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(first, n), pa.array(digests, pa.binary()),
+                        batch.column("doc_id").slice(first, n), batch.column("key").slice(first, n), pa.array(digests, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS), pa.int32()), pa.array(band.ravel().view(np.int64))),
                     ],
-                    names=["doc_id", "digest", "bands"],
+                    names=["doc_id", "key", "digest", "bands"],
                 )
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
-    return slim.mapInArrow(sign, "doc_id long, digest binary, bands array<long>")
+    key = F.lit(None) if key is None else key
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"), key.cast("binary").alias("key"))
+    return slim.mapInArrow(sign, "doc_id long, key binary, digest binary, bands array<long>")
 
 
 def weighted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -241,18 +242,23 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     ``links`` counts the verified pairs of the document's class; rows with equal
     weighted shingles are one class. Without a doc_id in its group, ``group`` is NULL.
     """
-    signed = stored(signatures(docs), "signatures")
+    signed, of_class = _classes(docs, similarity)
+    with_words = signed.filter("digest is not null").select("doc_id", "digest").join(of_class.select("digest", "_first", "links"), "digest")
+    return with_words.select("doc_id", F.nullif("_first", F.lit(_NO_ID)).alias("group"), "links").unionByName(
+        signed.filter("digest is null").select("doc_id", F.col("doc_id").alias("group"), F.lit(0).cast("long").alias("links"))
+    )
+
+
+def _classes(docs: DataFrame, similarity: float, key: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows' signatures, and of each class of equal sets (digest) its group, the group's smallest doc_id and the links."""
+    signed = stored(signatures(docs, key), "signatures")
     named = F.coalesce("doc_id", F.lit(_NO_ID))
     classes = signed.filter("digest is not null").groupBy("digest").agg(F.min(named).alias("doc"), F.first("bands").alias("bands"))
     classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), "digest", "doc", "bands"), "classes")
     groups, links = _group(docs, classes, similarity)
     of_class = classes.select("id", "digest", "doc").join(groups, "id", "left").withColumn("group", F.coalesce("group", "id"))
     first = of_class.groupBy("group").agg(F.min("doc").alias("_first"))
-    of_class = of_class.join(first, "group").join(links, "id", "left").select("digest", "_first", F.coalesce("links", F.lit(0)).alias("links"))
-    with_words = signed.filter("digest is not null").select("doc_id", "digest").join(of_class, "digest")
-    return with_words.select("doc_id", F.nullif("_first", F.lit(_NO_ID)).alias("group"), "links").unionByName(
-        signed.filter("digest is null").select("doc_id", F.col("doc_id").alias("group"), F.lit(0).cast("long").alias("links"))
-    )
+    return signed, of_class.join(first, "group").join(links, "id", "left").select("digest", "group", "_first", F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def _group(docs: DataFrame, classes: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
@@ -328,15 +334,22 @@ def _group(docs: DataFrame, classes: DataFrame, similarity: float) -> tuple[Data
 
 
 def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents without those whose group has a smaller doc_id, all columns as they were.
+    """One row of each group, all columns as they were: that with the smallest doc_id, one without doc_id only where all are.
 
-    Rows with one doc_id are kept or dropped together, but equal texts among them stay
-    once. Rows without doc_id can't be named and stay.
+    Of several such rows the one whose words' digest, then whose text's digest is smallest stays.
+    Rows without words are groups of their own; of those with a doc_id, equal ones stay once.
     """
-    found = near_duplicates(docs, similarity)
-    kept = found.filter(F.col("group") == F.col("doc_id")).select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    # rows of one doc_id and text are the same to everything below
+    text = F.col("text").cast("string")
+    key = F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), text)))))
+    signed, of_class = _classes(docs, similarity, key)
+    in_group = signed.filter("digest is not null").select("doc_id", "key", "digest").join(of_class.select("digest", "group"), "digest")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest", "key")
+    heads = in_group.groupBy("group").agg(F.min(order).alias("_h")).select(F.col("_h.key").alias("_keep_key"), F.lit(False).alias("_keep_each"))
+    wordless = signed.filter("digest is null").select(F.col("key").alias("_keep_key"), F.col("doc_id").isNull().alias("_keep_each")).distinct()
+    rows = docs.withColumn("_keep_key", key).withColumn("_keep_row", F.monotonically_increasing_id()).join(heads.unionByName(wordless), "_keep_key")
+    rows = rows.withColumn("_keep_row", F.when(F.col("_keep_each"), F.col("_keep_row")).otherwise(F.lit(0)))
+    return rows.dropDuplicates(["_keep_key", "_keep_row"]).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -132,3 +132,13 @@ def test_query(spark):
     t = pq.read_table(f"{d}/documents.parquet", columns=["doc_id", "text"])
     rows = list(zip(t["doc_id"].to_pylist(), t["text"].to_pylist(), strict=True))
     assert sorted(((r["doc_id"], r["group"]) for r in N.query(spark, d).collect()), key=str) == brute(rows)
+
+
+def test_one_row_of_each_group_stays(spark):
+    one, two, three = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    rows = [
+        (5, one), (None, one), (None, one + " more"), (3, two), (9, two + " more"), (9, three), (None, "alone here without an id"),
+        (None, "alone here without an id"), (None, "Alone here, without an id!"), (None, None), (None, None), (None, ""), (11, ""), (11, ""), (12, None), (9, three), (9, three.upper()),
+    ]
+    kept = sorted(((r["doc_id"], (r["text"] or "").lower().replace(",", "").replace("!", "")) for r in N.keep_first(docs_frame(spark, rows)).collect()), key=str)
+    assert kept == sorted([(5, one), (3, two), (9, three), (None, "alone here without an id"), (None, ""), (None, ""), (None, ""), (11, ""), (12, "")], key=str)
