@@ -44,7 +44,13 @@ CELL_TAG = r"(?i)</?(?:td|th)(?:[\s/][^>]*)?>"
 ANY_TAG = r"<[a-zA-Z/!?][^>]*>"
 TITLE = r"(?is)<title[^>]*>(.*?)</title"
 LANGUAGE = r"(?i)<html[^>]*\slang\s*=\s*[\"']?([a-zA-Z0-9-]+)"
-LINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']([^\"'>]*)[\"']"
+# the value of an href attribute of <a> with its quotes, if any; values of attributes before it are passed over whole
+LINK = (
+    r"""(?i)<a(?=\s)[^>=]*?(?:=(?:\s*"[^"]*"|\s*'[^']*'|(?!\s*(?:"[^"]*"|'[^']*')))[^>=]*?)*?(?<=[\s"'])href\s*=\s*"""
+    r"""("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+)
+# as the SQL has it: the quoted values without quotes that the given pages hold
+QUOTED_LINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']([^\"'>]*)[\"']"
 
 
 def urn(*parts: Column) -> Column:
@@ -121,7 +127,8 @@ def derivatives(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.concat(F.lit("language: "), F.col("_language")),
     )
     # a link is one line whatever it holds
-    links = F.transform("_links", lambda x: F.concat(F.lit("outlink: "), F.regexp_replace(x, r"\s+", " ")))
+    bare = lambda x: F.when(x.startswith('"') | x.startswith("'"), x.substr(F.lit(2), F.length(x) - 2)).otherwise(x)
+    links = F.transform("_links", lambda x: F.concat(F.lit("outlink: "), F.regexp_replace(bare(x), r"\s+", " ")))
     metadata = F.concat(F.array_join(F.concat(fields, links), "\r\n"), F.lit("\r\n"))
 
     def record(kind: str, content_type: str, block: Column) -> Column:
@@ -196,7 +203,7 @@ parts as (
          'source-headers: HTTP/1.1 200 OK | Content-Type: text/html; charset=utf-8 | Content-Length: ' || cast(source_length as varchar)
          || chr(13) || chr(10) || 'title: ' || replace({text_sql(f"regexp_extract(visible, {quote(TITLE)}, 1)")}, chr(10), ' ')
          || chr(13) || chr(10) || 'language: ' || regexp_extract(visible, {quote(LANGUAGE)}, 1) || chr(13) || chr(10)
-         || array_to_string(list_transform(regexp_extract_all(visible, {quote(LINK)}, 1),
+         || array_to_string(list_transform(regexp_extract_all(visible, {quote(QUOTED_LINK)}, 1),
               lambda x: 'outlink: ' || regexp_replace(x, '\\s+', ' ', 'g') || chr(13) || chr(10)), '') as meta from seen),
 both_kinds as (
   select *, 'metadata' as warc_type, 'application/warc-fields' as content_type, meta as block from parts

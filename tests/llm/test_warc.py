@@ -72,3 +72,17 @@ def test_empty(pages):
 def test_sql(spark):
     d = SF_DIRS["0.001"]
     assert compare(W.query(spark, d).toPandas(), duck_connection(d).sql(W.SQL).df()) == []
+
+
+def test_links_in_every_attribute_form(spark):
+    page = (
+        "<a href=\"/double\">1</a><a href='/single'>2</a><a href=/bare>3</a><A class=x HREF = /spaced id=y>4</a><a href=\"/it's\">5</a><a href='/say\"so\"'>6</a>"
+        "<a title=\"href=/no\" href=\"/after\">7</a><a title='href=/no'>8</a><a data-href=\"/no\" href=\"/real\">9</a><a title=\"a>b\"href=\"/tight\">10</a>"
+        "<a href=\"\">11</a><a href=/q?a=b&c=d>12</a><a name=top>13</a><abbr href=/no>14</abbr><a href=\"/two\n lines\">15</a>"
+    )
+    frame = spark.createDataFrame([(1, "http://a/", page, "x", "y"), (2, "http://b/", "<a " + "x" * 100_000 + " y=1" * 300 + " href=/far>", "x", "y")], PAGES)
+    found = {r["page_id"]: r["block"] for r in W.derivatives(W.responses_of_pages(frame), keep=("page_id",)).filter("warc_type = 'metadata'").collect()}
+    links = {i: [x[len("outlink: "):] for x in b.split("\r\n") if x.startswith("outlink: ")] for i, b in found.items()}
+    assert links == {
+        1: ["/double", "/single", "/bare", "/spaced", "/it's", '/say"so"', "/after", "/real", "/tight", "", "/q?a=b&c=d", "/two lines"], 2: ["/far"],
+    }
