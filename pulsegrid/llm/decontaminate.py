@@ -18,7 +18,8 @@ The benchmark goes to the tasks as arrays. Its size is checked: beyond
 are never shuffled, and the work of a text follows its length.
 
 NULL and empty texts or items, and items without words, match nothing. An item
-of fewer words than a seed is one seed. Repeated rows are reported once each.
+of fewer words than a seed is looked up as it is, among the runs of its own length: it
+matches every text that holds its words in a row. Repeated rows are reported once each.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import Tokens, as_binary, read_table, segment_ids, shingles, text_blocks, text_column
+from pulsegrid.llm.common import Tokens, as_binary, ranges, read_table, segment_ids, shingles, text_blocks, text_column
 
 SEED, RARE, LEAST = 3, 1e-9, 8
 THRESHOLD = 0.5
@@ -136,13 +137,38 @@ def align(items: list[np.ndarray], stretches: list[np.ndarray]) -> tuple[np.ndar
     return best, row, column
 
 
+def _short_items(bench: Benchmark) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(words, hashes ascending, item of each) of the items with fewer words than a seed."""
+    out = []
+    for size in range(1, SEED):
+        items = np.array([i for i, w in enumerate(bench.words) if len(w) == size], np.int64)
+        if len(items):
+            runs, _ = shingles(np.concatenate([bench.words[i] for i in items]), np.full(len(items), size), size)
+            order = np.argsort(runs, kind="stable")
+            out.append((size, runs[order], items[order]))
+    return out
+
+
 def find(texts: pa.Array, bench: Benchmark, threshold: float) -> list[dict[int, tuple]]:
     """Per text the items found: item number -> (score, first word, end word)."""
     data, offsets = as_binary(texts)
     out: list[dict[int, tuple]] = [{} for _ in range(len(texts))]
     sizes = np.array([len(w) for w in bench.words])
+    short = _short_items(bench) if threshold <= 1 else []
     for a, b in text_blocks(offsets):
         tokens = Tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        for size, seeds, items in short:
+            runs, n_runs = shingles(tokens.hash, tokens.count, size)
+            row = segment_ids(n_runs)
+            low, high = np.searchsorted(seeds, runs, "left"), np.searchsorted(seeds, runs, "right")
+            hit = np.flatnonzero(high > low)
+            n = (high - low)[hit]
+            run, item = np.repeat(hit, n), items[ranges(low[hit], n)]
+            # a verbatim copy has the best score; the first one of a text counts
+            _, first = np.unique(row[run] * len(sizes) + item, return_index=True)
+            place = run - (np.cumsum(n_runs) - n_runs)[row[run]]
+            for t, i, k in zip(row[run][first].tolist(), item[first].tolist(), place[first].tolist(), strict=True):
+                out[a + t][i] = (1.0, k, k + size)
         runs, n_runs = shingles(tokens.hash, tokens.count, SEED)
         row = segment_ids(n_runs)
         low, high = np.searchsorted(bench.seed, runs, "left"), np.searchsorted(bench.seed, runs, "right")

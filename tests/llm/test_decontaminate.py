@@ -97,3 +97,14 @@ def test_query_finds_every_verbatim_item(spark):
     want = {(x["doc_id"], b["item_id"]) for x in docs for b in bench if b["text"] in x["text"]}
     got = {(r["doc_id"], r["item_id"]): r["score"] for r in D.query(spark, d).collect()}
     assert want and want <= set(got) and all(got[p] == 1.0 for p in want)
+
+
+def test_items_of_one_and_two_words_stand_anywhere(spark):
+    bench = spark.createDataFrame([(1, "Forty-two"), (2, "answer"), (3, "forty"), (4, "two forty"), (5, "Answer!"), (6, "missing word")], "item_id long, text string")
+    docs = docs_frame(spark, [(1, "the answer is forty two, and again: forty two"), (2, "forty two"), (3, "two times forty"), (4, "an answer"), (5, "answer"), (6, ""), (7, None), (8, "missing another word here")])
+    got = {(r["doc_id"], r["item_id"]): (r["score"], r["start_word"], r["end_word"]) for r in D.matches(docs, bench).collect()}
+    assert got == {
+        (1, 1): (1.0, 3, 5), (1, 2): (1.0, 1, 2), (1, 3): (1.0, 3, 4), (1, 5): (1.0, 1, 2), (2, 1): (1.0, 0, 2), (2, 3): (1.0, 0, 1),
+        (3, 3): (1.0, 2, 3), (4, 2): (1.0, 1, 2), (4, 5): (1.0, 1, 2), (5, 2): (1.0, 0, 1), (5, 5): (1.0, 0, 1),
+    }
+    assert sorted(r["doc_id"] for r in D.clean(docs, bench).collect()) == [6, 7, 8]
