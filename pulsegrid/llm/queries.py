@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulsegrid.llm import ann, decontaminate, neardup, pieces, quality, secrets, substrings, token_files, toxicity, warc
+from pulsegrid.llm import ann, decontaminate, merkle, neardup, pieces, quality, secrets, substrings, token_files, toxicity, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -15,7 +15,9 @@ QUERIES = {
     "op8_pieces": pieces.query,
     "op9_neighbours": ann.query,
     "op10_quality": quality.query,
+    "op12_merkle_manifest": merkle.query,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_warc_derivatives": warc.SQL,
+    "op12_merkle_manifest": merkle.SQL,
 }
