@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulsegrid.llm import ann, decontaminate, merkle, neardup, pieces, quality, secrets, substrings, token_files, toxicity, warc
+from pulsegrid.llm import ann, decontaminate, merkle, neardup, pieces, quality, secrets, substrings, token_files, toxicity, warc, whitening
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_neighbours": ann.query,
     "op10_quality": quality.query,
     "op12_merkle_manifest": merkle.query,
+    "op13_whitening": whitening.query,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_warc_derivatives": warc.SQL,
