@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -260,74 +261,82 @@ def build_manifest(rows: DataFrame) -> Manifest:
 # ---------------------------------------------------------------- proofs
 
 
-def _down(layer: DataFrame, above: DataFrame, names: list[str], key_type: pa.DataType | None) -> DataFrame:
-    """Paths of a layer's leaves from those of its blocks (tree, block, last, path and ``names``, handed on)."""
-    bottom = key_type is not None
+_WORDS = {pa.string(): "string", pa.int64(): "long", pa.bool_(): "boolean", pa.binary(): "binary"}
+# rows that go out of a task together
+_OUT = 1024
+
+
+def _down(layer: DataFrame, above: DataFrame, names: list[str], last: dict[str, pa.DataType] | None = None, key_type: pa.DataType | None = None) -> DataFrame:
+    """What a layer's leaves get from their blocks (tree, block, last, path and ``names``, handed on).
+
+    Of an upper layer those are blocks again, with their paths; of the lowest (``last``, its further columns) the rows.
+    """
     blocks = layer.drop("root").withColumn("last", F.col("n") <= SPAN).join(above, ["tree", "block", "last"])
-    kinds = {"tree": pa.string()} | ({"key": key_type, "leaf": pa.binary(), "carried": pa.binary()} if bottom else {"block": pa.int64(), "last": pa.bool_()})
-    kinds |= {"path": pa.binary()} | dict.fromkeys(names, pa.binary())
+    kinds = {"tree": pa.string()} | ({"block": pa.int64(), "last": pa.bool_(), "path": pa.binary()} if last is None else {"key": key_type, "leaf": pa.binary()} | last)
+    kinds |= dict.fromkeys(names, pa.binary())
+
+    def leaves(row: dict) -> Iterator[tuple]:
+        """One tuple, in order of the columns, for each leaf of a block."""
+        first = row["block"] * SPAN
+        block = Block(row["height"], min(row["n"] - first, SPAN), row["nodes"])
+        more = tuple(row[c] for c in names)
+        if last is None:
+            for k, path in enumerate(block.paths(row["path"])):
+                yield (row["tree"], first + k, False, path, *more)
+            return
+        digests = block.level(block.height).tobytes()
+        for k, (key, path) in enumerate(zip(row["keys"], block.paths(row["path"]), strict=True)):
+            cut = slice(k * _DIGEST, (k + 1) * _DIGEST)
+            carried = row["carried"][cut]
+            made = {"carried": lambda: carried, "path": lambda: path, "folded": lambda: fold(carried, path), "proof": lambda: proof_hash(path)}  # noqa: B023
+            yield (row["tree"], key, digests[cut], *(made[c]() for c in last), *more)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
-                count = min(row["n"] - row["block"] * SPAN, SPAN)
-                block = Block(row["height"], count, row["nodes"])
-                paths = block.paths(row["path"])
-                columns = {"tree": [row["tree"]] * count, "path": paths} | {c: [row[c]] * count for c in names}
-                if bottom:
-                    both = (block.level(block.height).tobytes(), row["carried"])
-                    leaf, carried = ([d[k : k + _DIGEST] for k in range(0, len(d), _DIGEST)] for d in both)
-                    columns |= {"key": row["keys"], "leaf": leaf, "carried": carried}
-                else:
-                    first = row["block"] * SPAN
-                    columns |= {"block": list(range(first, first + count)), "last": [False] * count}
-                yield pa.RecordBatch.from_arrays([pa.array(columns[c], kind) for c, kind in kinds.items()], names=list(kinds))
-
-    words = {pa.string(): "string", pa.int64(): "long", pa.bool_(): "boolean", pa.binary(): "binary"}
-    return blocks.mapInArrow(walk, ", ".join(f"`{c}` {words[kind]}" for c, kind in kinds.items()))
-
-
-def _paths(tree: Tree, above: DataFrame, names: list[str], key_type: pa.DataType) -> DataFrame:
-    """(tree, key, leaf, carried, path, names) of all leaves; ``above``: (tree, path, names) of every tree's root."""
+            for at in range(batch.num_rows):  # a block at a time: its row alone is some 300 KB
+                found = leaves(batch.slice(at, 1).to_pylist()[0])
+                while some := list(islice(found, _OUT)):
+                    columns = zip(*some, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+
+    return blocks.mapInArrow(walk, ", ".join(f"`{c}` {_WORDS[kind]}" for c, kind in kinds.items()))
+
+
+def _paths(tree: Tree, above: DataFrame, names: list[str], last: dict[str, pa.DataType], key_type: pa.DataType) -> DataFrame:
+    """(tree, key, leaf, ``last``, ``names``) of all leaves; ``above``: (tree, path, ``names``) of every tree's root."""
     ends = above.select("tree", F.lit(0).cast("long").alias("block"), F.lit(True).alias("last"), "path", *names)
     known = ends
-    for k in range(len(tree.layers) - 1, -1, -1):
-        found = _down(tree.layers[k], known, names, key_type if k == 0 else None)
-        if k == 0:
-            return found
-        known = ends.union(found.select("tree", "block", "last", "path", *names))
-    raise AssertionError("a tree has a layer")
+    for layer in reversed(tree.layers[1:]):
+        known = ends.union(_down(layer, known, names).select("tree", "block", "last", "path", *names))
+    return _down(tree.layers[0], known, names, last, key_type)
 
 
-def proofs(manifest: Manifest) -> DataFrame:
-    """(tree, key, leaf, carried, subroot, root, path) of every row; ``path`` as :func:`fold` takes it.
-
-    The paths of the subroots and of blocks in upper layers are a row for 4,096 leaves each.
-    """
+def _of_rows(manifest: Manifest, last: list[str]) -> DataFrame:
     whole = manifest.top.roots().select("tree", F.lit(b"").alias("path"), "root")
-    subroots = _paths(manifest.top, whole, ["root"], pa.string())
+    subroots = _paths(manifest.top, whole, ["root"], {"path": pa.binary()}, pa.string())
     above = subroots.select(F.col("key").alias("tree"), "path", F.col("leaf").alias("subroot"), "root")
-    return _paths(manifest.rows, above, ["subroot", "root"], pa.int64())
+    return _paths(manifest.rows, above, ["subroot", "root"], dict.fromkeys(last, pa.binary()), pa.int64())
 
 
-def folded(leaf: Column, path: Column) -> Column:
-    """:func:`fold` as a column."""
+def proofs(manifest: Manifest) -> DataFrame:
+    """(tree, key, leaf, carried, path, subroot, root) of every row; ``path`` as :func:`fold` takes it.
 
-    @F.arrow_udf("binary")
-    def walk(leaves: pa.Array, paths: pa.Array) -> pa.Array:
-        return pa.array([fold(x, p) for x, p in zip(leaves.to_pylist(), paths.to_pylist(), strict=True)], pa.binary())
+    The paths of the subroots and of blocks in upper layers are a row for 4,096 leaves each.
+    """
+    return _of_rows(manifest, ["carried", "path"])
 
-    return walk(leaf, path)
 
+def checked(manifest: Manifest) -> DataFrame:
+    """(tree, key, leaf, folded, proof, subroot, root) of every row: the root that its carried digest leads to, and the hash of its proof.
 
-def proof_hash(path: Column) -> Column:
-    """The hash over all siblings of a path, level by level, left to right."""
+    As :func:`proofs`, but the paths (a KB and more each) are folded where they are read and never leave their block's task.
+    """
+    return _of_rows(manifest, ["folded", "proof"])
 
-    @F.arrow_udf("binary")
-    def walk(paths: pa.Array) -> pa.Array:
-        return pa.array([node_hash(b"".join(s for _, s in steps(p))) for p in paths.to_pylist()], pa.binary())
 
-    return walk(path)
+def proof_hash(path: bytes) -> bytes:
+    """The hash over all siblings of a path, level by level, left to right."""
+    return node_hash(b"".join(siblings for _, siblings in steps(path)))
 
 
 # ---------------------------------------------------------------- query
@@ -346,12 +355,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves = docs.select(
         tree_key(F.col("lang")).alias("tree"), F.col("doc_id").cast("long").alias("key"), row_hash(*fields, F.col("text")).alias("leaf"), now.alias("carried")
     )
-    found = proofs(build_manifest(leaves))
+    found = checked(build_manifest(leaves))
     hexed = lambda c: F.lower(F.hex(c))
-    checked = found.select("*", folded(F.col("carried"), F.col("path")).alias("_folded"), proof_hash(F.col("path")).alias("_proof"))
-    return checked.select(
+    return found.select(
         F.col("key").alias("doc_id"), hexed("leaf").alias("leaf"), hexed("subroot").alias("subroot"), hexed("root").alias("root"),
-        hexed("_proof").alias("proof_sha256"), hexed("_folded").alias("folded_root"), (F.col("_folded") == F.col("root")).alias("verified"),
+        hexed("proof").alias("proof_sha256"), hexed("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"),
     )
 
 
