@@ -10,6 +10,7 @@ collected to the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,6 +112,23 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     )
 
 
+def write_bucketed(df: DataFrame, path: str, buckets: int, by: Sequence[str], compression: str = "snappy") -> DataFrame:
+    """Write ``df`` to ``path`` in ``buckets`` hash buckets of ``by`` and return it as a table that Spark knows to be dealt out so.
+
+    Windows, aggregates and joins on ``by`` then read their rows from the files without another shuffle. Bucketing is
+    part of a table's entry in the session's catalog: the entry lives for this call alone, the files stay, and the returned
+    DataFrame keeps the layout. At most ``spark.sql.sources.bucketing.maxBuckets`` buckets.
+    """
+    spark = df.sparkSession
+    name = f"pulsegrid_{uuid.uuid4().hex}"
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    writer = df.write.mode("overwrite").format("parquet").option("path", path).option("compression", compression)
+    writer.bucketBy(max(1, min(buckets, most)), *by).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def write_parquet(
     df: DataFrame, path: str, partition_by: Sequence[str] | None = None, spread_by: Sequence[Column] = ()
 ) -> None:
