@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulsegrid.llm import ann, decontaminate, merkle, neardup, pieces, quality, secrets, substrings, token_files, toxicity, warc, whitening
+from pulsegrid.llm import ann, decontaminate, merkle, neardup, packing, pieces, quality, secrets, substrings, token_files, toxicity, warc, whitening
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_pieces": pieces.query,
     "op9_neighbours": ann.query,
     "op10_quality": quality.query,
+    "op11_packing": packing.query,
     "op12_merkle_manifest": merkle.query,
     "op13_whitening": whitening.query,
 }
