@@ -47,6 +47,8 @@ NBEST = 4
 _LAST_RESORT = -1e8
 # distinct words whose lattices are solved together
 _WORDS = 40_000
+# words whose N best segmentations a worker keeps, about 1.5 KB each
+_KEPT = 16_384
 
 
 class PieceModel:
@@ -290,7 +292,7 @@ class PieceEncoder:
 
     def __init__(self, path: str, n: int = NBEST):
         self.model, self.n = PieceModel(path), n
-        self._word_nbest = lru_cache(maxsize=50_000)(lambda w: [(s, np.array(ids, np.int32)) for s, ids in self.model.nbest(w, n)])
+        self._word_nbest = lru_cache(maxsize=_KEPT)(lambda w: [(s, np.array(ids, np.int32)) for s, ids in self.model.nbest(w, n)])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[list[float]]]:
         """The best segmentations: all ids concatenated, ids of each text, and its best scores in descending order."""
@@ -361,33 +363,54 @@ def _lists(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), values)
 
 
+def id_width(pieces: int) -> int:
+    """Bytes of an id: 2 while the vocabulary fits."""
+    return 2 if pieces <= 1 << 16 else 4
+
+
+def _packed(ids: np.ndarray, sizes: np.ndarray, width: int) -> pa.Array:
+    """The ids of each segmentation as little-endian unsigned integers of ``width`` bytes."""
+    ends = np.concatenate(([0], np.cumsum(sizes))) * width
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids.astype(f"<u{width}"))]).cast(pa.binary())
+
+
 def _coded(text: Column, path: str, n: int, with_ids: bool) -> Column:
-    """Per text a struct of arrays, one entry for each of the ``n`` best segmentations: scores, digests and, on demand, the ids."""
-    parts = {"nbest": "double", "n_pieces": "long", "crc32": "long", "round_trip": "boolean"} | ({"ids": "array<int>"} if with_ids else {})
-    kinds = {"nbest": pa.float64(), "n_pieces": pa.int64(), "crc32": pa.int64(), "round_trip": pa.bool_(), "ids": pa.list_(pa.int32())}
-    kind = pa.struct([(name, pa.list_(kinds[name])) for name in parts])
+    """Per text a struct of arrays, one entry for each of the ``n`` best segmentations: scores, digests and, on demand, the ids.
+
+    ``ids`` are bytes (see :func:`id_width`); ``best`` are those of the first as integers. A block of texts is worked on, handed
+    out and forgotten before the next one, however many rows come in one batch.
+    """
+    parts = {"nbest": "array<double>", "n_pieces": "array<long>", "crc32": "array<long>", "round_trip": "array<boolean>"}
+    parts |= {"ids": "array<binary>", "best": "array<int>"} if with_ids else {}
+    kinds = {"nbest": pa.float64(), "n_pieces": pa.int64(), "crc32": pa.int64(), "round_trip": pa.bool_(), "ids": pa.binary(), "best": pa.int32()}
+    fields = [pa.field(name, pa.list_(kinds[name])) for name in parts]
 
-    @F.arrow_udf(", ".join(f"{name} array<{t}>" for name, t in parts.items()))
+    @F.arrow_udf(", ".join(f"{name} {t}" for name, t in parts.items()))
     def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(path, n)
+        width = id_width(len(encoder.model.bytes_of))
         for texts in batches:
-            out = []
             _, offsets = as_binary(texts)
             for a, b in text_blocks(offsets):
                 some = texts.slice(a, b - a)
                 ids, sizes, scores = encoder.segmentations(some)
                 made = np.fromiter(map(len, scores), np.int64, len(scores))
                 ends = np.cumsum(sizes)
+                crc = [zlib.crc32(ids[e - s : e].astype("<u4").tobytes()) for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
                 found = {
-                    "nbest": np.array([s for x in scores for s in x], np.float64),
-                    "n_pieces": sizes,
-                    "crc32": np.array([zlib.crc32(ids[e - s : e].astype("<u4").tobytes()) for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)], np.int64),
-                    "round_trip": encoder.round_trip(some, ids, sizes, made),
+                    "nbest": _lists(pa.array([s for x in scores for s in x], pa.float64()), made),
+                    "n_pieces": _lists(pa.array(sizes), made),
+                    "crc32": _lists(pa.array(crc, pa.int64()), made),
+                    "round_trip": _lists(pa.array(encoder.round_trip(some, ids, sizes, made)), made),
                 }
-                lists = [_lists(_lists(pa.array(ids), sizes) if name == "ids" else pa.array(found[name]), made) for name in parts]
-                out.append(pa.StructArray.from_arrays(lists, fields=list(kind)))
+                if with_ids:
+                    first = np.cumsum(made) - made
+                    found["ids"] = _lists(_packed(ids, sizes, width), made)
+                    found["best"] = _lists(pa.array(ids[ranges((ends - sizes)[first], sizes[first])], pa.int32()), sizes[first])
+                out = pa.StructArray.from_arrays([found[name] for name in parts], fields=fields)
+                del found, ids
+                yield out
                 pa.default_memory_pool().release_unused()
-            yield pa.concat_arrays(out) if out else pa.array([], kind)
 
     return pieces(F.coalesce(text.cast("string"), F.lit("")))
 
@@ -395,11 +418,11 @@ def _coded(text: Column, path: str, n: int, with_ids: bool) -> Column:
 def encode(text: Column, path: str, n: int = NBEST) -> Column:
     """Per text a struct with the ``n`` best segmentations: their scores ``nbest``, and ``nbest_ids``, ``nbest_crc32`` and ``nbest_round_trip``.
 
-    ``ids``, ``crc32`` (of the ids, 32-bit, little-endian) and ``round_trip`` are those of the best one. A text with
-    fewer ways has fewer entries.
+    ``ids``, ``crc32`` (of the ids, 32-bit, little-endian) and ``round_trip`` are those of the best one. ``nbest_ids`` are bytes, little-endian
+    unsigned integers as wide as :func:`id_width` says; :func:`decode` takes them and lists alike. A text with fewer ways has fewer entries.
     """
     named = lambda p: F.struct(
-        F.get(p["ids"], F.lit(0)).alias("ids"), p["nbest"].alias("nbest"), F.get(p["round_trip"], F.lit(0)).alias("round_trip"), F.get(p["crc32"], F.lit(0)).alias("crc32"),
+        p["best"].alias("ids"), p["nbest"].alias("nbest"), F.get(p["round_trip"], F.lit(0)).alias("round_trip"), F.get(p["crc32"], F.lit(0)).alias("crc32"),
         p["ids"].alias("nbest_ids"), p["crc32"].alias("nbest_crc32"), p["round_trip"].alias("nbest_round_trip"),
     )
     return F.get(F.transform(F.array(_coded(text, path, n, True)), named), F.lit(0))
@@ -411,13 +434,15 @@ def digests(text: Column, path: str, n: int = NBEST) -> Column:
 
 
 def decode(ids: Column, path: str, n: int = NBEST) -> Column:
-    """The text of a sequence of piece ids; bytes that are no valid UTF-8 become replacement characters."""
+    """The text of a sequence of piece ids, a list or bytes as in ``nbest_ids``; bytes that are no valid UTF-8 become replacement characters."""
 
     @F.arrow_udf("string")
     def plain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = _encoder(path, n).model
+        kind = f"<u{id_width(len(model.bytes_of))}"
+        numbers = lambda x: np.frombuffer(x, kind).astype(np.int64) if isinstance(x, bytes) else np.array(x, np.int64)
         for lists in batches:
-            yield pa.array([None if x is None else model.decode(np.array(x, np.int64)).tobytes()[1:].decode(errors="replace") for x in lists.to_pylist()], pa.string())
+            yield pa.array([None if x is None else model.decode(numbers(x)).tobytes()[1:].decode(errors="replace") for x in lists.to_pylist()], pa.string())
 
     return plain(ids)
 
