@@ -35,19 +35,23 @@ PAGES_DATE = "2024-01-01T00:00:00Z"
 
 # what is not text: comments, scripts and styles, up to their end or that of the page
 HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script[\s>].*?(?:</script\s*>|\z)|<style[\s>].*?(?:</style\s*>|\z)|<noscript[\s>].*?(?:</noscript\s*>|\z)"
+# Every pattern below also matches up to the end of the page where its closing mark is missing: such a tag is read once, not from each of its characters on.
 # tags that end a line of text
 LINE_TAG = (
     r"(?i)</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|table|section|article|aside|header|footer|nav|main|title|blockquote|pre|form)"
-    r"(?:[\s/][^>]*)?>"
+    r"(?:[\s/][^>]*(?:>|\z)|>)"
 )
-CELL_TAG = r"(?i)</?(?:td|th)(?:[\s/][^>]*)?>"
-ANY_TAG = r"<[a-zA-Z/!?][^>]*>"
-TITLE = r"(?is)<title[^>]*>(.*?)</title"
-LANGUAGE = r"(?i)<html[^>]*\slang\s*=\s*[\"']?([a-zA-Z0-9-]+)"
-# the value of an href attribute of <a> with its quotes, if any; values of attributes before it are passed over whole
+CELL_TAG = r"(?i)</?(?:td|th)(?:[\s/][^>]*(?:>|\z)|>)"
+ANY_TAG = r"<[a-zA-Z/!?][^>]*(?:>|\z)"
+TITLE = r"(?is)<title[^>]*(?:>(.*?)(?:</title|\z)|\z)"
+HTML_TAG = r"(?i)<html\s[^>]*"
+LANGUAGE = r"(?i)\slang\s*=\s*[\"']?([a-zA-Z0-9-]+)"
+# An <a> tag and the value of its first href attribute with its quotes, if it has one. Values of other attributes are
+# passed over whole, as is the rest of the tag. Every loop is possessive, so the matcher neither recurses nor goes
+# back, and the tag is consumed whether it has a link or not: one pass over a page, whatever its tags hold.
 LINK = (
-    r"""(?i)<a(?=\s)[^>=]*?(?:=(?:\s*"[^"]*"|\s*'[^']*'|(?!\s*(?:"[^"]*"|'[^']*')))[^>=]*?)*?(?<=[\s"'])href\s*=\s*"""
-    r"""("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+    r"""(?i)<a(?=\s)(?:(?!(?<=["'])href\s*+=)[^>=\s"']++|=\s*+(?:"[^"]*+"|'[^']*+')?+|[\s"']++(?!href\s*+=))*+"""
+    r"""(?:[\s"']*+href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?+(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
 )
 # as the SQL has it: the quoted values without quotes that the given pages hold
 QUOTED_LINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']([^\"'>]*)[\"']"
@@ -118,8 +122,8 @@ def derivatives(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         digest(F.col("_payload")).alias("_digest"), F.octet_length("_payload").cast("long").alias("_length"),
         tidy(unescape(without_tags(F.col("_visible")))).alias("_text"),
         F.regexp_replace(tidy(unescape(without_tags(F.regexp_extract("_visible", TITLE, 1)))), "\n", " ").alias("_title"),
-        F.regexp_extract("_visible", LANGUAGE, 1).alias("_language"),
-        F.regexp_extract_all("_visible", F.lit(LINK), 1).alias("_links"),
+        F.regexp_extract(F.regexp_extract("_visible", HTML_TAG, 0), LANGUAGE, 1).alias("_language"),
+        F.filter(F.regexp_extract_all("_visible", F.lit(LINK), 1), lambda x: x != "").alias("_links"),
     )
     fields = F.array(
         F.concat(F.lit("source-headers: "), F.regexp_replace("_headers", "\r?\n", " | ")),
@@ -202,7 +206,7 @@ parts as (
   select *, {text_sql('visible')} as words,
          'source-headers: HTTP/1.1 200 OK | Content-Type: text/html; charset=utf-8 | Content-Length: ' || cast(source_length as varchar)
          || chr(13) || chr(10) || 'title: ' || replace({text_sql(f"regexp_extract(visible, {quote(TITLE)}, 1)")}, chr(10), ' ')
-         || chr(13) || chr(10) || 'language: ' || regexp_extract(visible, {quote(LANGUAGE)}, 1) || chr(13) || chr(10)
+         || chr(13) || chr(10) || 'language: ' || regexp_extract(regexp_extract(visible, {quote(HTML_TAG)}, 0), {quote(LANGUAGE)}, 1) || chr(13) || chr(10)
          || array_to_string(list_transform(regexp_extract_all(visible, {quote(QUOTED_LINK)}, 1),
               lambda x: 'outlink: ' || regexp_replace(x, '\\s+', ' ', 'g') || chr(13) || chr(10)), '') as meta from seen),
 both_kinds as (

@@ -3,6 +3,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import os
+import time
 
 import pytest
 from support import SF_DIRS, compare, duck_connection, fresh_dir
@@ -86,3 +87,21 @@ def test_links_in_every_attribute_form(spark):
     assert links == {
         1: ["/double", "/single", "/bare", "/spaced", "/it's", '/say"so"', "/after", "/real", "/tight", "", "/q?a=b&c=d", "/two lines"], 2: ["/far"],
     }
+
+
+LONG_TAGS = {
+    "attributes": ("<a " + "b=1 " * 100_000 + "href='/far'>", ["/far"]), "quoted attributes": ("<a " + "b=\"x>y\" " * 100_000 + "href='/far'>", ["/far"]),
+    "unclosed quotes": ("<a x=\"" * 100_000, []), "unclosed tags": ("<a " * 100_000, []), "unclosed tags with links": ("<a href=/x " * 50_000, ["/x"]),
+    "single quotes": ("<a x='" * 100_001 + "><a href=/after>", ["/after"]), "blanks": ("<a" + " " * 300_000 + "href=/x>", ["/x"]), "equals": ("<a x" + "=" * 300_000 + "><a href=/y>", ["/y"]),
+    "no value": ("<a href=><a href><a href = \"/z\">", ["/z"]), "value of another": ("<a x= href=/no><a href=/yes>", ["/yes"]),
+}
+
+
+@pytest.mark.parametrize("name", LONG_TAGS)
+def test_tags_of_any_length(spark, name):
+    page, want = LONG_TAGS[name]
+    frame = spark.createDataFrame([(1, "http://a/", page, "x", "y")], PAGES)
+    began = time.monotonic()
+    block = W.derivatives(W.responses_of_pages(frame)).filter("warc_type = 'metadata'").first()["block"]
+    assert [x[len("outlink: "):] for x in block.split("\r\n") if x.startswith("outlink: ")] == want
+    assert time.monotonic() - began < 20
