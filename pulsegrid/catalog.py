@@ -24,10 +24,12 @@ from pulsegrid.operators.slices import split_by_values, union_batches
 from pulsegrid.operators.timeseries import forecast, hourly_trend, scaled_trend
 from pulsegrid.plans.dashboard import load_telemetry
 from pulsegrid.plans.icu_job import preprocess_icu_sliced
-from pulsegrid.plans.traffic_job import curate_traffic, run_stats_frame, run_traffic_job, top_risk_report
+from pulsegrid.plans.incremental import curate_increment, read_curated
+from pulsegrid.plans.traffic_job import curate_traffic, release_traffic_job, run_stats_frame, run_traffic_job, top_risk_report
 from pulsegrid.session import shared_scratch_path
 from pulsegrid.sources import files
 from pulsegrid.sources.fixtures import icu, traffic
+from pulsegrid.sources.releases import Releases
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +99,25 @@ def _run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_stats_frame(spark, stats)
 
 
+def _curated_in_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated table from two increments: the days of the first half of the time that the input spans, then the others."""
+    rows = traffic(spark, sf_dir)
+    day = F.to_date("timestamp")
+    middle = rows.agg(F.date_add(F.min(day), F.floor(F.date_diff(F.max(day), F.min(day)) / 2).cast("int"))).first()[0]
+    root = shared_scratch_path(spark, "increments")
+    later = F.coalesce(day > F.lit(middle), F.lit(False))
+    for part in (rows.filter(~later), rows.filter(later)):
+        curate_increment(part, f"{root}/curated", f"{root}/tails")
+    return read_curated(spark, f"{root}/curated").drop("event_date")
+
+
+def _released_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile that the current release of the traffic job holds."""
+    root = shared_scratch_path(spark, "traffic-releases")
+    release_traffic_job(spark, traffic(spark, sf_dir), root)
+    return files.read_summary_csv(spark, Releases(spark, root).current()["outputs"]["summary"])
+
+
 def _through_csv(df: DataFrame, name: str) -> str:
     """Write ``df`` as CSV to a scratch folder and return its path."""
     path = shared_scratch_path(df.sparkSession, name)
@@ -146,6 +167,8 @@ QUERIES: dict[str, Query] = {
     # traffic batch job
     "tppp_typed": _typed,
     "tppp_curated": lambda s, d: curate_traffic(traffic(s, d)),
+    "tppp_curated_increments": _curated_in_two,
+    "tppp_released_summary": _released_summary,
     "tppp_zone_weather_summary": lambda s, d: A.zone_weather_profile(_typed(s, d)),
     "tppp_top_anomalies": lambda s, d: top_risk_report(traffic(s, d)),
     "tppp_run_stats": _run_stats,

@@ -5,19 +5,21 @@ That caps the parallelism at the number of zones and puts a hot zone (say a
 third of all rows) into a single task. Here the zones' ordered sequences are cut
 into ranges of even size instead:
 
-1. the rows are range-partitioned and sorted by (zone, time, id, values) and
-   written to the shared folder together with their range and their place in it.
-   Spark samples the bounds, so ranges are even whatever the keys; rows that share
-   one time and id are cut apart by their values, and rows that share those
-   too are interchangeable for the means;
-2. every (range, zone) is a window partition: a place and N-1 lags per value column;
+1. the rows are range-partitioned by (zone, time, id, values, a hash of the whole row) and
+   written to the shared folder with the number of their range, in hash buckets of (zone, range).
+   Spark samples the bounds, so ranges are even whatever the keys, and adaptive execution
+   merges small ones; rows that share one time and id are cut apart by their values,
+   and rows that agree in every column are interchangeable;
+2. every (range, zone) is a window partition: a place and N-1 lags per value column. The
+   buckets are dealt out by these keys already, so the rows are not shuffled a second time;
 3. halo: for every (range, zone) the last N-1 rows before it are the last N-1 of
    the tails of the ranges before. That table has N-1 rows per range and zone,
    so it grows with the number of ranges, not with the row count. Joined on the
-   same keys it fills the frame slots that fall before the range's first row.
+   same keys it fills the frame slots that fall before the range's first row. Only the
+   tails and the halo are shuffled.
 
-Nothing is collected and nothing is broadcast by force. The written order also
-makes the result the same for any partitioning of the input.
+Nothing is collected and nothing is broadcast by force. The order is total but for equal rows, so
+the result is the same for any partitioning of the input.
 
 The average is summed left to right from 0.0 and divided by the number of
 non-NULL values, exactly like Spark's ``avg`` over a sliding row frame.
@@ -29,10 +31,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsegrid import schemas as S
 from pulsegrid.functions.columns import hour_floor, q
-from pulsegrid.session import range_count, shared_scratch_path
+from pulsegrid.session import into_ranges, range_count, ranges_by_size, shared_scratch_path
+from pulsegrid.sources.files import write_bucketed
 
 
 def _zone_key(zone: str) -> Column:
@@ -45,30 +49,33 @@ def _zone_key(zone: str) -> Column:
     return F.expr(f"concat(CASE WHEN {z} IS NULL THEN '0' ELSE '1' END, coalesce(CAST({z} AS STRING), ''))")
 
 
+def _order(order: str, tie: str, values: Sequence[str]) -> list[str]:
+    return [*dict.fromkeys([order, tie, *values]), "_tie"]
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of the row: the order of rows that share time, id and values. Maps have none and stay out."""
+    plain = [F.col(q(f.name)) for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*plain)
+
+
 def _ranged(
     df: DataFrame, zone: str, order: str, tie: str, values: Sequence[str], ranges: int | None, path: str | None
 ) -> DataFrame:
-    """The rows in (zone, time, id, values) order, with zone key ``_zk``, ``_range`` and ``_place`` in it, written and read back."""
-    spark = df.sparkSession
-    keys = ["_zk", *dict.fromkeys([order, tie, *values])]
-    path = path or shared_scratch_path(spark, "rolling")
-    keyed = df.withColumn("_zk", _zone_key(zone))
-    in_order = [F.col(k).asc_nulls_first() for k in keys]
-    ordered = (
-        keyed.repartitionByRange(ranges or range_count(df), *in_order)
-        .sortWithinPartitions(*in_order)
-        .select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().alias("_place"))
-    )
-    ordered.write.mode("overwrite").parquet(path)
-    return spark.read.schema(ordered.schema).parquet(path)
+    """The rows with zone key ``_zk``, ``_range`` and ``_tie``, written in buckets of (``_zk``, ``_range``) and read back."""
+    path = path or shared_scratch_path(df.sparkSession, "rolling")
+    keyed = df.withColumns({"_zk": _zone_key(zone), "_tie": _row_hash(df)})
+    keys = [F.col(q(k)).asc_nulls_first() for k in ("_zk", *_order(order, tie, values))]
+    ordered = into_ranges(keyed, *keys, ranges=ranges).select("*", F.spark_partition_id().alias("_range"))
+    with ranges_by_size(df):
+        return write_bucketed(ordered, path, ranges or range_count(df), ["_zk", "_range"])
 
 
-def _halo(ranged: DataFrame, values: Sequence[str], prev: int) -> DataFrame:
+def _halo(ranged: DataFrame, keys: Sequence[str], values: Sequence[str], prev: int) -> DataFrame:
     """(zone, range) -> the last ``prev`` rows before the range, oldest first."""
-    # the row_number filter becomes a map-side limit: at most `prev` rows per group and input partition are shuffled
-    backwards = Window.partitionBy("_zk", "_range").orderBy(F.col("_place").desc())
+    backwards = Window.partitionBy("_zk", "_range").orderBy(*[F.col(q(k)).desc_nulls_last() for k in keys])
     tails = (
-        ranged.select("_zk", "_range", "_place", *values)
+        ranged.select("_zk", "_range", *dict.fromkeys([*keys, *values]))
         .withColumn("_rn", F.row_number().over(backwards))
         .filter(F.col("_rn") <= prev)
         .groupBy("_zk", "_range")
@@ -81,10 +88,10 @@ def _halo(ranged: DataFrame, values: Sequence[str], prev: int) -> DataFrame:
     return found.select("_zk", "_range", last.alias("_halo"))
 
 
-def _fill(ranged: DataFrame, halo: DataFrame, values: Sequence[str], events: int, suffix: str) -> DataFrame:
+def _fill(ranged: DataFrame, halo: DataFrame, keys: Sequence[str], values: Sequence[str], events: int, suffix: str) -> DataFrame:
     """Place and lags inside the range, then the frame's earlier slots from the halo."""
     prev = events - 1
-    window = "PARTITION BY _zk, _range ORDER BY _place"
+    window = "PARTITION BY _zk, _range ORDER BY " + ", ".join(f"{q(k)} ASC NULLS FIRST" for k in keys)
     lag_cols = [
         F.expr(f"lag({q(v)}, {k}) OVER ({window})").alias(f"_{v}_lag{k}") for v in values for k in range(1, events)
     ]
@@ -104,7 +111,7 @@ def _fill(ranged: DataFrame, halo: DataFrame, values: Sequence[str], events: int
                     f" THEN (try_element_at(_halo, -{from_end})).{q(v)} END AS DOUBLE)"
                 ).alias(f"_{v}_s{k}")
             )
-    helper = {"_zk", "_range", "_place", "_r", "_halo"} | {f"_{v}_lag{k}" for v in values for k in range(1, events)}
+    helper = {"_zk", "_range", "_tie", "_r", "_halo"} | {f"_{v}_lag{k}" for v in values for k in range(1, events)}
     keep = [c for c in joined.columns if c not in helper]
     slotted = joined.select(*keep, *slot_cols)
 
@@ -131,19 +138,19 @@ def rolling_means(
 ) -> DataFrame:
     """Add ``<value><suffix>``: mean of ``value`` over the zone's last ``events`` rows.
 
-    Rows are ordered by (``order``, ``tie``, ``values``) ascending, NULLs first. NULL
-    values are skipped by the mean; a frame without values gives NULL.
+    Rows are ordered by (``order``, ``tie``, ``values``) ascending, NULLs first, and by a hash of the row
+    where these are equal. NULL values are skipped by the mean; a frame without values gives NULL.
 
     Building the result runs a job: the ordered rows are written to ``path``
     (default: a fresh folder under the shared checkpoint folder). ``ranges`` fixes
-    the number of ranges; by default it follows the input's size.
+    the number of ranges; by default it follows the rows that arrive.
     """
     if events < 1:
         raise ValueError("events must be at least 1")
     if events == 1:  # the frame is the row itself
         return df.select("*", *[F.col(v).cast("double").alias(f"{v}{suffix}") for v in values])
-    ranged = _ranged(df, zone, order, tie, values, ranges, path)
-    return _fill(ranged, _halo(ranged, values, events - 1), values, events, suffix)
+    ranged, keys = _ranged(df, zone, order, tie, values, ranges, path), _order(order, tie, values)
+    return _fill(ranged, _halo(ranged, keys, values, events - 1), keys, values, events, suffix)
 
 
 def rolling_zone_features(

@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.session import range_count, shared_scratch_path
+from pulsegrid.session import into_ranges, ranges_by_size, shared_scratch_path
 
 _POSITION_BITS = 33  # monotonically_increasing_id: (partition index << 33) + position
 
@@ -44,17 +44,18 @@ def global_rank(
 
     ``order_cols`` must give a total order (end them with a unique key).
     ``ranges`` fixes the number of range partitions; by default it follows the
-    input's size. Building the result runs a job that writes the ordered rows to ``path``.
+    rows that arrive. Building the result runs a job that writes the ordered rows to ``path``.
     """
     spark = df.sparkSession
     path = path or shared_scratch_path(spark, "ranked")
-    # AQE may merge neighbouring ranges, so the partitions stay in global order
+    # adaptive execution merges neighbouring ranges only, so the partitions stay in global order
     ordered = (
-        df.repartitionByRange(ranges or range_count(df), *order_cols)
+        into_ranges(df, *order_cols, ranges=ranges)
         .sortWithinPartitions(*order_cols)
         .select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
     )
-    ordered.write.mode("overwrite").parquet(path)
+    with ranges_by_size(df):
+        ordered.write.mode("overwrite").parquet(path)
     stored = spark.read.schema(ordered.schema).parquet(path)
 
     # less the partition's first id, so that the position is right however many rows it has

@@ -311,3 +311,5 @@ ORACLE_SQL["sink_csv_icu"] = ORACLE_SQL["icu_preprocessed"]
 ORACLE_SQL["sink_csv_tppp_summary"] = ORACLE_SQL["tppp_zone_weather_summary"]
 ORACLE_SQL["sink_csv_tppp_anomalies"] = ORACLE_SQL["tppp_top_anomalies"]
 ORACLE_SQL["sink_parquet_curated"] = ORACLE_SQL["tppp_curated"]
+ORACLE_SQL["tppp_curated_increments"] = ORACLE_SQL["tppp_curated"]
+ORACLE_SQL["tppp_released_summary"] = ORACLE_SQL["tppp_zone_weather_summary"]

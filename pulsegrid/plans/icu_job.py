@@ -15,6 +15,7 @@ from pulsegrid.operators.prepare import preprocess_icu
 from pulsegrid.operators.slices import contiguous_slices
 from pulsegrid.session import remove_path, shared_scratch_path
 from pulsegrid.sources import files
+from pulsegrid.sources.releases import Releases
 
 ICU_ORDER = ["admission_timestamp", "patient_id"]
 
@@ -102,3 +103,15 @@ def run_icu_job(
         for path in scratch:
             remove_path(spark, path)
     return written, report | {"output_path": output_path, "corrupt_rows": corrupt_rows}
+
+
+def release_icu_job(
+    spark: SparkSession, source: str | DataFrame, root: str, n_slices: int = S.ICU_DEFAULT_SLICES, keep: int = 2
+) -> tuple[DataFrame, dict[str, object]]:
+    """:func:`run_icu_job` into a new version below ``root``, published when its output stands; the last ``keep`` releases stay."""
+    releases = Releases(spark, root)
+    with releases.new() as version:
+        written, report = run_icu_job(spark, source, f"{version}/preprocessed", n_slices)
+        number = releases.publish(version, {"preprocessed": f"{version}/preprocessed"}, kpis=report["kpis"], corrupt_rows=report["corrupt_rows"])
+    releases.retire(keep)
+    return written, report | {"number": number}

@@ -25,6 +25,10 @@ from pulsegrid.operators.ranking import top_risk_events
 from pulsegrid.operators.rolling import rolling_zone_features, rows_for_targets
 from pulsegrid.session import remove_path, shared_scratch_path
 from pulsegrid.sources import files
+from pulsegrid.sources.releases import Releases
+
+#: distinct vehicle ids to expect in a row group, at most
+LOOKED_UP = 1_000_000
 
 
 def curate_traffic(traffic: DataFrame, path: str | None = None) -> DataFrame:
@@ -40,12 +44,18 @@ def top_risk_report(traffic: DataFrame, limit: int = S.PIPELINE_ANOMALY_LIMIT, p
 
     The ranking keys (risk index, anomaly score, time, id) do not depend on the
     rolling features, so the top rows are picked first (TakeOrderedAndProject
-    over the typed rows). Only the rows that their frames can reach are then put in
-    order and rolled over; the top-``limit`` of those is the global top-``limit``.
+    over the typed rows). Only the rows that their frames can reach are written and then put in
+    order and rolled over, in as many ranges as they fill; the top-``limit`` of those is the
+    global top-``limit``. Building the report runs these jobs; ``path`` is where the ordered rows go.
     """
+    spark = traffic.sparkSession
     typed = type_traffic(traffic)
     candidates = top_risk_events(typed, limit, columns=["city_zone", "event_timestamp", "vehicle_id"])
-    return top_risk_events(rolling_zone_features(rows_for_targets(typed, candidates), path=path), limit)
+    reached = rows_for_targets(typed, candidates)
+    # the optimizer takes them for as many as all rows; their files say how many they are
+    rows_path = shared_scratch_path(spark, "reached")
+    files.write_parquet(reached, rows_path)
+    return top_risk_events(rolling_zone_features(files.read_parquet(spark, rows_path, reached.schema), path=path), limit)
 
 
 def _observed(observation: Observation, fallback) -> dict:
@@ -73,10 +83,14 @@ def run_traffic_job(
 
     A CSV source (a path) is parsed once: read PERMISSIVE with its schema and
     staged as Parquet under the shared checkpoint folder, counting rows and
-    malformed rows (``corrupt_rows``) in that same pass. The curation passes
-    (skew check, window tails, main window) then read only the Parquet columns
-    they need instead of parsing the CSV three times. The staged copy is
-    and the ordered rows are removed once the curated table is written (unless ``keep_scratch``).
+    malformed rows (``corrupt_rows``) in that same pass. Ordering the rows (a sample for the
+    range bounds, then the shuffle) reads that copy. The staged copy and the ordered rows are
+    removed once the curated table is written (unless ``keep_scratch``).
+
+    The curated files are in order of zone and time within a file and have Bloom filters on the vehicle id, so filters on zone and
+    time and look-ups of a vehicle skip row groups and pages.
+
+    Each output replaces what stood at its path, one after the other; :func:`release_traffic_job` replaces all at once.
     """
     input_obs = Observation("traffic_input")
     staged_path = None
@@ -97,9 +111,11 @@ def run_traffic_job(
 
     ordered_path = shared_scratch_path(spark, "traffic-ordered")
     curated = curate_traffic(staged, path=ordered_path)
+    # unpartitioned rows come in order of zone, range and time already
     files.write_parquet(
-        curated, curated_dir, partition_by=partition_curated_by, spread_by=[F.to_date("event_timestamp")]
-    )
+        curated, curated_dir, partition_by=partition_curated_by, spread_by=[F.to_date("event_timestamp")],
+        sort_by=["city_zone", "event_timestamp"] if partition_curated_by else (), bloom={"vehicle_id": LOOKED_UP},
+    )
     if seen is None:  # every input row is a curated row; Parquet knows their number from its footers
         seen = {"rows": files.read_parquet(spark, curated_dir).count()}
     input_rows, corrupt_rows = int(seen["rows"]), int(seen.get("corrupt", 0))
@@ -131,6 +147,22 @@ def run_traffic_job(
     }
 
 
+def release_traffic_job(spark: SparkSession, source: str | DataFrame, root: str, keep: int = 2, **options) -> dict[str, object]:
+    """:func:`run_traffic_job` into a new version below ``root``, published when all outputs stand.
+
+    Returns the job's stats and the release's ``number``. The last ``keep`` releases stay; if the job fails, all stay and none is
+    added. ``options`` go to the job.
+    """
+    releases = Releases(spark, root)
+    with releases.new() as version:
+        paths = {"summary": f"{version}/summary", "anomalies": f"{version}/anomalies", "curated": f"{version}/curated"}
+        stats = run_traffic_job(spark, source, paths["summary"], paths["anomalies"], paths["curated"], **options)
+        noted = {k: stats[k] for k in ("input_rows", "corrupt_rows", "summary_rows", "anomaly_rows")}
+        number = releases.publish(version, paths, **noted)
+    releases.retire(keep)
+    return stats | {"number": number}
+
+
 def load_summary(spark: SparkSession, path: str) -> DataFrame:
     """Read a written zone/weather profile with its schema."""
     return files.read_summary_csv(spark, path)

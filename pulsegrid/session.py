@@ -11,13 +11,16 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 #: bytes of input that one range partition should hold
 RANGE_BYTES = 128 << 20
 SCRATCH = "pulsegrid-scratch"
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def build_session(
@@ -81,9 +84,9 @@ def shared_scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def range_count(df: DataFrame, target_bytes: int = RANGE_BYTES) -> int:
-    """Range partitions for ordering ``df``: the optimizer's size estimate over ``target_bytes``, at least the session's shuffle partitions.
+    """Most partitions that ordering or dealing out ``df`` takes: the optimizer's size estimate over ``target_bytes``, at least the session's shuffle partitions.
 
-    Spark's adaptive execution merges small range partitions but never splits a large one.
+    The estimate does not see what filters and joins leave; see :func:`into_ranges`.
     """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -91,6 +94,33 @@ def range_count(df: DataFrame, target_bytes: int = RANGE_BYTES) -> int:
     return min(max(least, -(-size // target_bytes)), 1 << 20) if size < 1 << 60 else least
 
 
+def _is_on(spark: SparkSession, key: str) -> bool:
+    return spark.conf.get(key, "true") == "true"
+
+
+@contextmanager
+def ranges_by_size(df: DataFrame) -> Iterator[None]:
+    """While a job over ``into_ranges(df, ...)`` runs: it starts from :func:`range_count` partitions, and adaptive execution merges them by the rows that came.
+
+    An explicit number of partitions is never merged, so the number has to be a setting of the session for as long.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    spark.conf.set(INITIAL_PARTITIONS, str(range_count(df)))
+    try:
+        yield
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS) if before is None else spark.conf.set(INITIAL_PARTITIONS, before)
+
+
+def into_ranges(df: DataFrame, *keys: str | Column, ranges: int | None = None) -> DataFrame:
+    """``df`` in ranges of ``keys``: ``ranges`` of them, or else as many as its rows fill when the job runs within :func:`ranges_by_size`."""
+    spark = df.sparkSession
+    if ranges is None and _is_on(spark, "spark.sql.adaptive.enabled") and _is_on(spark, "spark.sql.adaptive.coalescePartitions.enabled"):
+        return df.repartitionByRange(*keys)
+    return df.repartitionByRange(ranges or range_count(df), *keys)
+
+
 def remove_scratch(spark: SparkSession) -> bool:
     """Delete every scratch table that this session's queries and jobs wrote; for when their results are done with."""
     return remove_path(spark, os.path.join(ensure_checkpoint_dir(spark), SCRATCH))

@@ -130,16 +130,37 @@ def write_bucketed(df: DataFrame, path: str, buckets: int, by: Sequence[str], co
 
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by: Sequence[str] | None = None, spread_by: Sequence[Column] = ()
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] | None = None,
+    spread_by: Sequence[Column] = (),
+    sort_by: Sequence[str] = (),
+    bloom: dict[str, int] | None = None,
+    row_group_bytes: int | None = None,
+    mode: str = "overwrite",
 ) -> None:
     """Overwrite ``path`` with Parquet, optionally partitioned by columns.
 
-    Partitioned rows are first dealt out by those columns and ``spread_by`` (say the
-    day), so a folder gets a file per value of that, not one from every task.
+    Partitioned rows are first rebalanced over those columns and ``spread_by`` (say the day), so a folder gets few
+    files, and adaptive execution merges small ones and cuts a hot one up. ``sort_by`` orders the rows of each file,
+    so that the minima and maxima of row groups and pages let a filter on these columns skip the others.
+    ``bloom`` names columns that get Bloom filters, with the distinct values to expect in a row group: for
+    look-ups of values that lie scattered. ``row_group_bytes``: Spark's default if None.
     """
+    partition_by = list(partition_by or [])
     if partition_by:
-        df = df.repartition(*partition_by, *spread_by)
-    writer = df.write.mode("overwrite")
+        # the hint takes columns only
+        helper = {f"_spread_{k}_{uuid.uuid4().hex}": c for k, c in enumerate(spread_by)}
+        df = df.withColumns(helper).hint("rebalance", *[F.col(q(c)) for c in [*partition_by, *helper]]).drop(*helper)
+    if sort_by:
+        df = df.sortWithinPartitions(*[F.col(q(c)) for c in [*partition_by, *sort_by]])
+    writer = df.write.mode(mode)
+    if bloom:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")  # no larger than the values need
+    for column, values in (bloom or {}).items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(f"parquet.bloom.filter.expected.ndv#{column}", str(values))
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

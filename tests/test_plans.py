@@ -69,6 +69,29 @@ def test_rolling_window_is_partitioned_by_zone_and_range(spark):
     assert "Window [avg(" not in text
 
 
+def test_rolling_rows_are_shuffled_once(spark):
+    """After the ordered write only the tails and the halo move: no exchange has a data column but theirs below it."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        lines = plan(curate_traffic(traffic(spark, SF))).splitlines()
+    finally:
+        spark.conf.set(threshold, before)
+    indent = lambda line: len(line) - len(line.lstrip(" :+-"))
+    exchanges = [k for k, line in enumerate(lines) if "Exchange" in line]
+    assert len(exchanges) == 2
+    for k in exchanges:
+        below = []
+        for line in lines[k + 1 :]:
+            if indent(line) <= indent(lines[k]):
+                break
+            below.append(line)
+        # what is exchanged has passed the limit to the last rows of each range
+        assert any("row_number() " in line and "Filter" not in line for line in below) and any("Filter (_rn" in line for line in below)
+    assert sum("FileScan" in line and "Bucketed: true" in line for line in lines) == 2
+
+
 def test_partitioned_curated_output_prunes_partitions(spark):
     from pyspark.sql import functions as F
 

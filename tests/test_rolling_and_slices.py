@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pulsegrid import session
 from pulsegrid.operators.prepare import type_traffic
 from pulsegrid.operators.rolling import _ranged, rolling_means, rolling_zone_features, rows_for_targets
 from pulsegrid.operators.slices import contiguous_slices, global_rank, slice_of_rank
 from pulsegrid.sources.fixtures import icu, traffic
 from pulsegrid.session import range_count
-from support import SF_DIRS, direct_rolling_features
+from support import SF_DIRS, direct_rolling_features, fresh_dir
 
 CURATED_EXTRA = ["rolling_density_6_event", "speed_drop_from_zone_avg"]
 
@@ -158,6 +160,51 @@ def test_number_of_ranges_follows_the_input(spark):
     assert range_count(large, 1 << 20) == -(-80_000_000 // (1 << 20))
 
 
+@contextmanager
+def _small_partitions(spark, size="64k"):
+    """Adaptive execution aims at partitions of ``size``."""
+    wanted = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": size, "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _numbers(ranged, column):
+    return ranged.select(column).distinct().count()
+
+
+def test_ranges_follow_the_rows_that_are_left(spark, monkeypatch):
+    """The optimizer gives a filter the size of its input; the ranges are as many as its rows fill."""
+    monkeypatch.setattr(session.range_count, "__defaults__", (1 << 14,))
+    typed = type_traffic(traffic(spark, SF_DIRS["0.01"])).select("vehicle_id", "city_zone", "event_timestamp", "traffic_density", "average_speed")
+    few = typed.filter(F.rand(4) < 0.03)
+    assert range_count(few) == range_count(typed) > 20
+    keys = ("city_zone", "event_timestamp", "vehicle_id", ["traffic_density", "average_speed"], None, None)
+    with _small_partitions(spark):
+        many, some = (_numbers(_ranged(x, *keys), "_range") for x in (typed, few))
+        assert many >= 4 and some == 1
+        paths = [fresh_dir("pg-rank-") + "/r" for _ in range(2)]
+        for x, path in zip((typed, few), paths, strict=True):
+            ranked = global_rank(x, ["event_timestamp", "vehicle_id"], path=path)
+            assert ranked.select(F.max("_rank")).first()[0] == ranked.count()
+        many, some = (_numbers(spark.read.parquet(path), "_pid") for path in paths)
+        assert many >= 4 and some == 1
+    assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+
+
+def test_rows_of_one_time_and_id_keep_their_order_whatever_the_input(spark):
+    """Rows that also share their values are told apart by their other columns, on every run alike."""
+    rows = [("V", "A", dt.datetime(2024, 1, 1, i // 50), 1.0, float(i % 2), f"n{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "vehicle_id string, city_zone string, event_timestamp timestamp_ntz, d double, s double, note string")
+    first, *others = (sorted(rolling_means(df.repartition(k), ["d", "s"], ranges=r).collect()) for k, r in ((1, 1), (6, 12), (3, None)))
+    assert all(x == first for x in others)
+
+
 def test_positions_beyond_the_id_bits(spark):
     """monotonically_increasing_id less the partition's first id is the row's position."""
     df = spark.range(100).repartition(3).select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("m"))
