@@ -165,7 +165,9 @@ def test_a_hot_zone_is_several_files(spark):
     """Rebalanced rows of one zone and day are cut where there are many, and small ones share a file."""
     path = fresh_dir("pg-rebalance-") + "/t"
     rows = traffic(spark, SF_DIRS["0.1"]).withColumn("city_zone", F.when(F.crc32("vehicle_id") % 10 > 0, "hot").otherwise("cold")).repartition(8)
-    wanted = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k"}
+    files.write_parquet(rows, f"{path}-source")  # eight files: eight tasks to deal from
+    rows = files.read_parquet(spark, f"{path}-source")
+    wanted = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.files.openCostInBytes": "64m"}
     for k, v in wanted.items():
         spark.conf.set(k, v)
     try:
