@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +18,12 @@ from pulsegrid import schemas as S
 from pulsegrid.functions import columns as C
 from pulsegrid.operators import aggregates as A
 from pulsegrid.operators import lookup as L
-from pulsegrid.operators.matrix import congestion_heatmap, speed_histogram
+from pulsegrid.operators.matrix import congestion_heatmap, nice_histogram, speed_histogram
 from pulsegrid.operators.prepare import filter_telemetry, prepare_telemetry, preprocess_icu, type_traffic
 from pulsegrid.operators.ranking import filter_options, top_anomalies
 from pulsegrid.operators.slices import split_by_values, union_batches
 from pulsegrid.operators.timeseries import forecast, hourly_trend, scaled_trend
-from pulsegrid.plans.dashboard import load_telemetry
+from pulsegrid.plans.dashboard import dashboard, load_telemetry
 from pulsegrid.plans.icu_job import preprocess_icu_sliced
 from pulsegrid.plans.incremental import curate_increment, read_curated
 from pulsegrid.plans.traffic_job import curate_traffic, release_traffic_job, run_stats_frame, run_traffic_job, top_risk_report
@@ -118,6 +119,12 @@ def _released_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_summary_csv(spark, Releases(spark, root).current()["outputs"]["summary"])
 
 
+def _dashboard_view(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view of the dashboard with the filters of ``telemetry_filter``, from the states of one pass; doubles to nine digits, as sums of sums differ in the last."""
+    view = dashboard(traffic(spark, sf_dir), zones=FILTER_ZONES, weather=FILTER_WEATHER, congestion_levels=FILTER_LEVELS)[name]
+    return view.select(*[F.round(c, 9).alias(c) if kind == "double" else F.col(c) for c, kind in view.dtypes])
+
+
 def _through_csv(df: DataFrame, name: str) -> str:
     """Write ``df`` as CSV to a scratch folder and return its path."""
     path = shared_scratch_path(df.sparkSession, name)
@@ -164,6 +171,10 @@ QUERIES: dict[str, Query] = {
     "congestion_heatmap": lambda s, d: congestion_heatmap(_prepared(s, d)),
     "weather_impact": lambda s, d: A.weather_impact(_prepared(s, d)),
     "speed_histogram": lambda s, d: speed_histogram(_prepared(s, d)),
+    "nice_histogram_speed": lambda s, d: nice_histogram(_prepared(s, d)),
+    "nice_histogram_anomaly": lambda s, d: nice_histogram(_prepared(s, d), "ai_anomaly_score", "weather_condition"),
+    # the dashboard from its partial aggregates, over the filtered rows
+    **{f"dashboard_{name}": partial(_dashboard_view, name) for name in ("kpis", "zones", "trend", "heatmap", "filter_options", "speed_histogram")},
     # traffic batch job
     "tppp_typed": _typed,
     "tppp_curated": lambda s, d: curate_traffic(traffic(s, d)),

@@ -1,8 +1,8 @@
-"""Zone x hour heatmap and the speed histogram."""
+"""Zone x hour heatmap and histograms."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas as S
@@ -56,3 +56,31 @@ def speed_histogram(
         )
         .orderBy("congestion_level", "bin")
     )
+
+
+def nice_width(lo: Column, hi: Column, bins: int = S.HISTOGRAM_MAX_BINS) -> Column:
+    """The smallest width of the form 1, 2 or 5 x 10^k whose bins, that begin at its multiples, cover [lo, hi] with at most ``bins``.
+
+    Chart libraries choose bins in this way when they are given a largest number. One value, or none, has bins of width 1.
+    """
+    power = F.floor(F.log10((hi - lo) / F.lit(float(bins))))
+    found = []
+    # the logarithm may be off by one next to a power of ten
+    for shift in (-1, 0, 1, 2):
+        for digit in (1.0, 2.0, 5.0):
+            width = F.lit(digit) * F.pow(F.lit(10.0), power + F.lit(shift))
+            found.append(F.when(F.floor(hi / width) - F.floor(lo / width) < F.lit(bins), width))
+    return F.when(hi > lo, F.coalesce(*found)).otherwise(F.lit(1.0))
+
+
+def nice_histogram(df: DataFrame, value: str = "average_speed", by: str = "congestion_level", bins: int = S.HISTOGRAM_MAX_BINS) -> DataFrame:
+    """Row counts per (``by``, bin of ``value``) with bins as wide as the data ask for (:func:`nice_width`).
+
+    ``bin`` is the multiple of the width that the bin begins at. A first pass over the two columns finds the range, one row that the second
+    takes as a scalar subquery. Rows without value or group are left out, empty bins are not listed.
+    """
+    known = df.select(F.col(q(by)).alias(by), nan_to_null(value).alias("_v")).filter(F.col("_v").isNotNull() & F.col(q(by)).isNotNull())
+    ends = known.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    width = ends.select(nice_width(F.col("lo"), F.col("hi"), bins).alias("width")).scalar()
+    counts = known.select(by, F.floor(F.col("_v") / width).alias("bin"), width.alias("bin_width")).groupBy(by, "bin", "bin_width").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(by, "bin", (F.col("bin") * F.col("bin_width")).alias("bin_start"), "bin_width", "n").orderBy(by, "bin")

@@ -313,3 +313,39 @@ ORACLE_SQL["sink_csv_tppp_anomalies"] = ORACLE_SQL["tppp_top_anomalies"]
 ORACLE_SQL["sink_parquet_curated"] = ORACLE_SQL["tppp_curated"]
 ORACLE_SQL["tppp_curated_increments"] = ORACLE_SQL["tppp_curated"]
 ORACLE_SQL["tppp_released_summary"] = ORACLE_SQL["tppp_zone_weather_summary"]
+
+
+def _nice_histogram(by: str, value: str, bins: int = 45) -> str:
+    """Bins as wide as the data ask for, over a CTE ``traffic``: of all widths 1, 2, 5 x 10^k the smallest with at most ``bins`` bins."""
+    return f"""known as (select {by}, {value} as v from traffic where {value} is not null and {by} is not null),
+ends as (select min(v) as lo, max(v) as hi from known),
+widths as (select d * power(10e0, k) as w from (values (1e0), (2e0), (5e0)) digits(d), range(-9, 10) powers(k)),
+best as (select case when max(hi) > max(lo) then min(w) filter (where floor(hi / w) - floor(lo / w) < {bins}) else 1e0 end as w from ends, widths)
+select {by}, cast(floor(v / w) as bigint) as bin, cast(floor(v / w) as bigint) * w as bin_start, w as bin_width, count(*) as n
+from known, best group by all"""
+
+
+ORACLE_SQL["nice_histogram_speed"] = f"with {_TRAFFIC}, " + _nice_histogram("congestion_level", "average_speed")
+ORACLE_SQL["nice_histogram_anomaly"] = f"with {_TRAFFIC}, " + _nice_histogram("weather_condition", "ai_anomaly_score")
+
+_KEPT_TRAFFIC = (
+    f"traffic as (select * from ({TRAFFIC_SQL}) raw where city_zone in ({_lst(FILTER_ZONES)})"
+    f" and weather_condition in ({_lst(FILTER_WEATHER)}) and congestion_level in ({_lst(FILTER_LEVELS)}))"
+)
+
+
+def _to_nine_digits(sql: str, doubles: list[str], others: list[str]) -> str:
+    return "select " + ", ".join([*others, *(f"{rnd(c, 9)} as {c}" for c in doubles)]) + f" from ({sql}) view"
+
+
+for _name, _base, _doubles, _others in (
+    ("kpis", "kpi_summary", ["total_vehicles", "congestion_percentage", "average_anomaly_score", "average_accident_probability", "average_speed"], []),
+    ("zones", "zone_summary", ["traffic_density", "average_speed", "signal_wait_time", "accident_probability", "ai_anomaly_score"], ["city_zone", "vehicle_count"]),
+    ("trend", "congestion_trend_hourly", ["traffic_density", "ai_anomaly_score", "accident_probability"], ["timestamp_hour"]),
+    ("heatmap", "congestion_heatmap", [hour_column(h) for h in HOURS], ["city_zone"]),
+):
+    ORACLE_SQL[f"dashboard_{_name}"] = _to_nine_digits(ORACLE_SQL[_base].replace(_TRAFFIC, _KEPT_TRAFFIC), _doubles, _others)
+ORACLE_SQL["dashboard_filter_options"] = ORACLE_SQL["filter_options"]
+ORACLE_SQL["dashboard_speed_histogram"] = _to_nine_digits(
+    f"with {_KEPT_TRAFFIC}, " + _nice_histogram("congestion_level", "average_speed"), ["bin_start", "bin_width"], ["congestion_level", "bin", "n"]
+)

@@ -14,7 +14,6 @@ Differences from a "cache, collect, write with pandas" job, all for scale:
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +22,7 @@ from pulsegrid.operators.aggregates import zone_weather_profile
 from pulsegrid.operators.prepare import type_traffic
 from pulsegrid.operators.ranking import top_risk_events
 from pulsegrid.operators.rolling import rolling_zone_features, rows_for_targets
-from pulsegrid.session import remove_path, shared_scratch_path
+from pulsegrid.session import observed, remove_path, shared_scratch_path
 from pulsegrid.sources import files
 from pulsegrid.sources.releases import Releases
 
@@ -58,17 +57,6 @@ def top_risk_report(traffic: DataFrame, limit: int = S.PIPELINE_ANOMALY_LIMIT, p
     return top_risk_events(rolling_zone_features(files.read_parquet(spark, rows_path, reached.schema), path=path), limit)
 
 
-def _observed(observation: Observation, fallback) -> dict:
-    """The observed metrics, or ``fallback()`` when Catalyst dropped the metrics node of a provably empty input."""
-    try:
-        return dict(observation.get)
-    except Py4JJavaError as e:
-        # the JVM's answer to a request for metrics that no plan reported
-        if "toPyRow" not in str(e):
-            raise
-        return fallback()
-
-
 def run_traffic_job(
     spark: SparkSession,
     source: str | DataFrame,
@@ -96,15 +84,15 @@ def run_traffic_job(
     staged_path = None
     if isinstance(source, str):
         raw = files.read_csv(spark, source, S.TRAFFIC_SCHEMA, keep_corrupt=True)
-        observed = raw.observe(
+        counted = raw.observe(
             input_obs,
             F.count(F.lit(1)).alias("rows"),
             F.count(F.col(files.CORRUPT_COLUMN)).alias("corrupt"),
         ).drop(files.CORRUPT_COLUMN)
         staged_path = shared_scratch_path(spark, "traffic-staged")
-        files.write_parquet(observed, staged_path)
+        files.write_parquet(counted, staged_path)
         staged = files.read_parquet(spark, staged_path, S.TRAFFIC_SCHEMA)
-        seen = _observed(input_obs, lambda: {"rows": staged.count(), "corrupt": 0})
+        seen = observed(input_obs, lambda: {"rows": staged.count(), "corrupt": 0})
     else:
         staged, seen = source, None
     logs: list[str] = []
@@ -138,8 +126,8 @@ def run_traffic_job(
     return {
         "input_rows": input_rows,
         "corrupt_rows": corrupt_rows,
-        "summary_rows": int(_observed(summary_obs, lambda: {"rows": load_summary(spark, summary_path).count()})["rows"]),
-        "anomaly_rows": int(_observed(anomaly_obs, lambda: {"rows": load_anomalies(spark, anomaly_path).count()})["rows"]),
+        "summary_rows": int(observed(summary_obs, lambda: {"rows": load_summary(spark, summary_path).count()})["rows"]),
+        "anomaly_rows": int(observed(anomaly_obs, lambda: {"rows": load_anomalies(spark, anomaly_path).count()})["rows"]),
         "summary_path": summary_path,
         "anomaly_path": anomaly_path,
         "curated_output_dir": curated_dir,

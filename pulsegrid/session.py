@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 #: bytes of input that one range partition should hold
 RANGE_BYTES = 128 << 20
@@ -94,6 +95,17 @@ def range_count(df: DataFrame, target_bytes: int = RANGE_BYTES) -> int:
     return min(max(least, -(-size // target_bytes)), 1 << 20) if size < 1 << 60 else least
 
 
+def observed(observation: Observation, fallback: Callable[[], dict]) -> dict:
+    """The observed metrics of a job that has run, or ``fallback()`` when Catalyst dropped the metrics node of a provably empty input."""
+    try:
+        return dict(observation.get)
+    except Py4JJavaError as e:
+        # no plan reported metrics: the JVM then fails to turn them into a row
+        if "toPyRow" not in str(e):
+            raise
+        return fallback()
+
+
 def _is_on(spark: SparkSession, key: str) -> bool:
     return spark.conf.get(key, "true") == "true"
 

@@ -18,7 +18,7 @@ def test_entry_returns_the_flagship_profile(spark):
 
 def test_queries_and_oracles_line_up():
     queries, oracles = entry_module.queries(), entry_module.oracle_sql()
-    assert set(QUERIES) <= set(queries) and set(QUERIES) <= set(oracles) and len(QUERIES) == 44
+    assert set(QUERIES) <= set(queries) and set(QUERIES) <= set(oracles) and len(QUERIES) == 54
     assert set(oracles) <= set(queries)
     assert all(callable(q) for q in queries.values())
     assert all(isinstance(sql, str) and sql.strip() for sql in oracles.values())
