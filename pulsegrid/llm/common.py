@@ -7,6 +7,7 @@ size and the longest single text, never the partition.
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 
@@ -193,6 +194,20 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndar
     return out, n
 
 
-def row_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a plan in bytes (file sizes for scans)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def release_memory() -> None:
+    """Give back what the allocators of this Python worker hold but no longer use: it lives on, idle, beside the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def _libc() -> ctypes.CDLL | None:
+    """The C library where it can return free memory to the system (glibc)."""
+    try:
+        libc = ctypes.CDLL(None)
+        return libc if hasattr(libc, "malloc_trim") else None
+    except OSError:
+        return None
+
+
+_LIBC = _libc()

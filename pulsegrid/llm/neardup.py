@@ -9,12 +9,11 @@
 2. Texts with equal weighted sets fall into one class at once; only the one with
    the smallest doc_id of each class goes on.
 3. Registers are cut into bands. In a bucket (texts with an equal band) all
-   members are compared exactly with one centre, then with a second one from those
-   that the first left over. Similar texts join one group. Of the pairs left between
-   groups, most can't be similar, as what each has beside the centre and lacks of
-   it already differs by too much. That bound needs counts and the few shingles
-   beside the centre's; it loses nothing, and leaves few pairs to compare even
-   among thousands of edited copies.
+   members are compared with one centre, then with a second one from those
+   that the first left over; comparisons are exact up to 32-bit hashes of shingles. Similar texts join
+   one group. Pairs left between groups are told apart by what each has beside the centre and lacks of
+   it (:func:`candidates`). That loses no similar pair, whatever the weights, and leaves few others
+   even among thousands of edited copies.
 4. Groups are the connected components of the verified pairs.
 
 Similarity is ``sum over shared i of 1 / sum over j of max(x_j / x_i, y_j / y_i)``; for
@@ -35,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import Tokens, as_binary, mix64, read_table, segment_ids, shingles, stored, text_blocks, text_column
+from pulsegrid.llm.common import Tokens, as_binary, mix64, read_table, release_memory, segment_ids, shingles, stored, text_blocks, text_column
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND = 24, 4
@@ -144,6 +143,7 @@ def signatures(docs: DataFrame, key: Column | None = None) -> DataFrame:
                     ],
                     names=["doc_id", "key", "digest", "bands"],
                 )
+                release_memory()
 
     key = F.lit(None) if key is None else key
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"), key.cast("binary").alias("key"))
@@ -180,39 +180,128 @@ def weighted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.mapInArrow(read, "id long, elements binary, weights binary")
 
 
-_ALWAYS = -(1 << 30)
+def _not_in(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places in ``a`` of what is not in ``b``; both ascending and not empty."""
+    return np.flatnonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] != a)
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Per pair (id, head) of set ids: similarity, and how ``id`` differs from ``head``.
 
-    ``extra`` and ``missing`` count the shingles of ``id`` that ``head`` lacks and the other way round,
-    ``size`` those of ``id``, ``extras`` lists the former. Where a weight is not one, counts of sets
-    bound nothing, which ``extra`` marks.
+    ``extras`` lists the shingles of ``id`` that ``head`` lacks; ``extra`` is their share of ``total``, the weight of ``id``, and
+    ``top`` the largest of their weights. ``lacks`` lists the shingles of ``head`` that ``id`` lacks, ``missing`` of them.
     """
 
-    def read(elements: pa.Array, weights: pa.Array, i: int) -> tuple[np.ndarray, np.ndarray]:
-        e, w = np.frombuffer(elements[i].as_py(), "<u4"), weights[i].as_py()
-        return e, np.frombuffer(w, "<u4") if w else np.ones(len(e), np.uint32)
+    def read(elements: pa.Scalar, weights: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+        e, w = np.frombuffer(elements.as_buffer(), "<u4"), weights.as_buffer()
+        return e, np.frombuffer(w, "<u4") if w.size else np.ones(len(e), np.uint32)
 
-    @F.arrow_udf("similarity double, extra int, missing int, size int, extras array<int>")
+    @F.arrow_udf("similarity double, extra double, missing int, total long, top int, extras array<int>, lacks array<int>")
     def compare(ea: pa.Array, wa: pa.Array, eb: pa.Array, wb: pa.Array) -> pa.Array:
-        rows = []
-        for i in range(len(ea)):
-            a, b = read(ea, wa, i), read(eb, wb, i)
-            extras = np.setdiff1d(a[0], b[0], assume_unique=True)
-            plain = not wa[i].as_py() and not wb[i].as_py()
-            missing = len(b[0]) - (len(a[0]) - len(extras))
-            rows.append((probability_jaccard(a, b), len(extras) if plain else _ALWAYS, missing, len(a[0]), extras.view(np.int32).tolist()))
-        kinds = (pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-        return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["similarity", "extra", "missing", "size", "extras"])
+        n = len(ea)
+        similarity, extra, missing, total, top = np.zeros(n), np.zeros(n), np.zeros(n, np.int32), np.zeros(n, np.int64), np.zeros(n, np.int32)
+        extras: list[np.ndarray] = []
+        lacks: list[np.ndarray] = []
+        for i in range(n):
+            a, b = read(ea[i], wa[i]), read(eb[i], wb[i])
+            similarity[i] = probability_jaccard(a, b)
+            at = _not_in(a[0], b[0])
+            more = a[1][at]
+            total[i] = a[1].sum()
+            extra[i], top[i] = more.sum() / total[i], more.max(initial=0)
+            extras.append(a[0][at].view(np.int32))
+            lacks.append(b[0][_not_in(b[0], a[0])].view(np.int32))
+            missing[i] = len(lacks[-1])
+        ends = lambda x: pa.array(np.concatenate(([0], np.cumsum([len(v) for v in x]))), pa.int32())
+        flat = lambda x: pa.ListArray.from_arrays(ends(x), pa.array(np.concatenate([*x, np.zeros(0, np.int32)]).astype(np.int32)))
+        columns = {"similarity": similarity, "extra": extra, "missing": missing, "total": total, "top": top}
+        out = pa.StructArray.from_arrays([*map(pa.array, columns.values()), flat(extras), flat(lacks)], names=[*columns, "extras", "lacks"])
+        del extras, lacks
+        release_memory()
+        return out
 
     side = lambda k, e, w: sets.select(F.col("id").alias(k), F.col("elements").alias(e), F.col("weights").alias(w))
     both = pairs.join(side("id", "_ea", "_wa"), "id").join(side("head", "_eb", "_wb"), "head")
     return both.select("id", "head", compare("_ea", "_wa", "_eb", "_wb").alias("_c")).select("id", "head", "_c.*")
 
 
+def may_differ(similarity: float) -> float:
+    """The most that two similar sets differ by: the share of one's weight that the other lacks, and the other way round, added up.
+
+    With weights p and q of sum one, and a and b what either has alone, an element's term is at most
+    ``2 / ((1 + a) / p_i + (1 + b) / q_i)``, and these sum up to at most ``2 / ((1 + a) / (1 - a) + (1 + b) / (1 - b))``. From
+    there ``a + b <= 2 (1 - s) / (1 + s)`` for a similarity of s, whatever the weights.
+    """
+    return 2 * (1 - similarity) / (1 + similarity) + 1e-9
+
+
+#: members of a centre in a block, about; two blocks are compared at a time
+_DEALT = 256
+#: shingles that one product of incidence matrices takes
+_COLUMNS = 4096
+
+
+def overlaps(a: pa.ListArray, b: pa.ListArray) -> np.ndarray:
+    """How many elements each list of ``a`` shares with each of ``b``; lists hold no element twice."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    sides = [(x.flatten().to_numpy(), segment_ids(x.value_lengths().to_numpy())) for x in (a, b)]
+    common = np.intersect1d(*(values for values, _ in sides))
+    found = []
+    for values, row in sides:
+        at = np.minimum(np.searchsorted(common, values), max(len(common) - 1, 0))
+        hit = np.flatnonzero(common[at] == values) if len(common) else np.zeros(0, np.int64)
+        order = np.argsort(at[hit], kind="stable")
+        found.append((at[hit][order], row[hit][order]))
+    for k in range(0, len(common), _COLUMNS):
+        blocks = []
+        for (at, row), n in zip(found, (len(a), len(b)), strict=True):
+            lo, hi = np.searchsorted(at, (k, k + _COLUMNS))
+            block = np.zeros((n, min(_COLUMNS, len(common) - k)), np.float32)
+            block[row[lo:hi], at[lo:hi] - k] = 1
+            blocks.append(block)
+        out += blocks[0] @ blocks[1].T
+    return out
+
+
+def candidates(members: DataFrame, most: float) -> DataFrame:
+    """Pairs (id, head) of sets of different groups that can be similar, from how each differs from a centre they share.
+
+    ``members``: rows (centre, id, group, stray) with the columns of :func:`compared`; of a pair one at least is a stray. ``most``: see
+    :func:`may_differ`. Seen from the centre, the first of two sets has alone its extras but those that they share, and of the
+    centre what only the other lacks (a weight of one at least for each). Nothing similar is lost by that, and for sets
+    without weights these are all their differences, so that hardly a pair comes out that is not similar. The members of a centre
+    are dealt to blocks; two blocks meet in a task, where two products of incidence matrices count what their members share.
+    """
+    blocks = members.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / _DEALT).cast("int").alias("_blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
+    columns = ["id", "group", "stray", "extra", "missing", "total", "top", "extras", "lacks"]
+    dealt = members.join(blocks, "centre").select("centre", *columns, own.alias("_own"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
+    dealt = dealt.select("centre", *columns, "_own", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"))
+
+    def meet(table: pa.Table) -> pa.Table:
+        i, j = table.column("_i")[0].as_py(), table.column("_j")[0].as_py()
+        sides = [table.filter(pa.array(table.column("_own").to_numpy() == k)) for k in (i, j)]
+        if not all(x.num_rows for x in sides):
+            return pa.table({"id": pa.array([], pa.int64()), "head": pa.array([], pa.int64())})
+        whole = lambda t, c: pa.concat_arrays(t.column(c).chunks)
+        shared, lacked = (overlaps(*(whole(x, c) for x in sides)) for c in ("extras", "lacks"))
+        x, y = ({c: s.column(c).to_numpy() for c in columns[:7]} for s in sides)
+        across = {c: y[c][None, :] for c in y}
+        x = {c: v[:, None] for c, v in x.items()}
+        apart = np.zeros(shared.shape)
+        for p, q in ((x, across), (across, x)):
+            # extras that it may not share, and what the other lacks of the centre and it does not
+            apart += p["extra"] - np.minimum(p["extra"], shared * p["top"] / p["total"]) + (q["missing"] - lacked) / p["total"]
+        keep = (apart <= most) & (x["group"] != across["group"]) & (x["stray"] | across["stray"])
+        if i == j:
+            keep &= x["id"] < across["id"]
+        a, b = np.nonzero(keep)
+        ids = x["id"][a, 0], across["id"][0, b]
+        return pa.table({"id": pa.array(np.minimum(*ids)), "head": pa.array(np.maximum(*ids))})
+
+    return dealt.groupBy("centre", "_i", "_j").applyInArrow(meet, "id long, head long").distinct()
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(id, group) of every node on an edge (a, b): the smallest id that it reaches.
 
@@ -307,20 +396,12 @@ def _group(docs: DataFrame, classes: DataFrame, similarity: float) -> tuple[Data
         verified.append(again.filter(F.col("similarity") >= least).select("id", "head"))
         groups = merged(groups, verified[1])
 
-    # 3. the pairs that are left. Similar x and y differ by at most (|x| + |y|) (1 - s) / (1 + s) shingles. Seen from
-    # the centre, they differ by the extras that only one has, and at least by the difference of their missing ones.
-    may_differ = (1 - least) / (1 + least)
-    place = shared.select("id", "bucket").join(centres.filter("size > 2").select("bucket", "head"), "bucket").join(relative.drop("similarity"), ["id", "head"])
-    left = strays(groups).select("id", "bucket", "group").join(place, ["id", "bucket"])
-    right = place.join(groups, "id").select("bucket", *[F.col(c).alias(f"_{c}") for c in ("id", "group", "extra", "missing", "size", "extras")])
-    most = (F.col("size") + F.col("_size")) * F.lit(may_differ) + 1e-6
-    missing = F.abs(F.col("missing") - F.col("_missing"))
-    # counts first: the shared extras are looked up only where these leave room
-    at_least = missing + F.abs(F.col("extra") - F.col("_extra"))
-    differ = missing + F.col("extra") + F.col("_extra") - F.size(F.array_intersect("extras", "_extras")) * 2
-    unknown = (F.col("extra") == _ALWAYS) | (F.col("_extra") == _ALWAYS)
-    pairs = left.join(right, "bucket").filter((F.col("group") != F.col("_group")) & (unknown | ((at_least <= most) & (differ <= most))))
-    pairs = stored(pairs.select(F.least("id", "_id").alias("id"), F.greatest("id", "_id").alias("head")).distinct(), "pairs")
+    # 3. the pairs that are left: members of a bucket with strays, as they differ from its first centre
+    loose = strays(groups).select("bucket", "id", F.lit(True).alias("stray"))
+    of_bucket = shared.select("id", "bucket").join(centres.filter("size > 2").select("bucket", "head"), "bucket").join(loose.select("bucket").distinct(), "bucket")
+    of_centre = of_bucket.join(loose, ["bucket", "id"], "left").groupBy("id", "head").agg(F.coalesce(F.bool_or("stray"), F.lit(False)).alias("stray"))
+    members = of_centre.join(relative.drop("similarity"), ["id", "head"]).join(groups, "id").withColumnRenamed("head", "centre")
+    pairs = stored(candidates(stored(members, "members"), may_differ(least)), "pairs")
     rest = stored(compared(pairs, sets).select("id", "head", "similarity"), "rest")
     verified.append(rest.filter(F.col("similarity") >= least).select("id", "head"))
     groups = merged(groups, verified[-1])

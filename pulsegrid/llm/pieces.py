@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import as_binary, ranges, read_table, text_blocks, text_column
+from pulsegrid.llm.common import as_binary, ranges, read_table, release_memory, text_blocks, text_column
 
 MARK = "▁"
 NBEST = 4
@@ -410,7 +410,7 @@ def _coded(text: Column, path: str, n: int, with_ids: bool) -> Column:
                 out = pa.StructArray.from_arrays([found[name] for name in parts], fields=fields)
                 del found, ids
                 yield out
-                pa.default_memory_pool().release_unused()
+                release_memory()
 
     return pieces(F.coalesce(text.cast("string"), F.lit("")))
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import Tokens, as_binary, ranges, read_table, segment_ids, text_blocks, text_column
+from pulsegrid.llm.common import Tokens, as_binary, ranges, read_table, release_memory, segment_ids, text_blocks, text_column
 from pulsegrid.llm.labelled import fold, training_rows
 
 TRAINING_ROWS = 4000
@@ -328,7 +328,9 @@ def toxicity_score(text: Column, model: ToxicityModel) -> Column:
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array(model.score(texts), pa.float64())
+            scores = pa.array(model.score(texts), pa.float64())
+            release_memory()
+            yield scores
 
     return score(F.coalesce(text.cast("string"), F.lit("")))
 

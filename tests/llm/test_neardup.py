@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from conftest import docs_frame
@@ -142,3 +143,68 @@ def test_one_row_of_each_group_stays(spark):
     ]
     kept = sorted(((r["doc_id"], (r["text"] or "").lower().replace(",", "").replace("!", "")) for r in N.keep_first(docs_frame(spark, rows)).collect()), key=str)
     assert kept == sorted([(5, one), (3, two), (9, three), (None, "alone here without an id"), (None, ""), (None, ""), (None, ""), (11, ""), (12, "")], key=str)
+
+
+def links_of(sets):
+    return {(i, j) for i, x in enumerate(sets) for j in range(i + 1, len(sets)) if similarity(x, sets[j]) >= 0.8}
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("weights", [1, 4])
+def test_no_similar_pair_is_lost(spark, monkeypatch, seed, weights):
+    """Sets around a centre, near and far, with extras of their own, shared ones and repeated shingles: every similar pair is a candidate."""
+    rng = random.Random(seed)
+    centre = Counter({k: rng.randint(1, weights) for k in range(60)})
+    sets = [centre]
+    editions = [Counter({1000 * e + k: rng.randint(1, weights) for k in range(25)}) for e in range(1, 4)]
+    for i in range(90):
+        x = Counter(centre)
+        if i % 3:  # an edition adds the same shingles to all of its members
+            x |= editions[i % 3]
+        for k in rng.sample(sorted(x), rng.randrange(0, 25)):
+            del x[k]
+        x |= Counter({10_000 + 100 * i + k: rng.randint(1, weights) for k in range(rng.randrange(0, 20))})
+        if i % 7 == 0:  # twice the weight is the same set to the measure
+            x = Counter({k: 2 * v for k, v in x.items()})
+        sets.append(x)
+    rows = []
+    for i, x in enumerate(sets):
+        e = np.array(sorted(x), "<u4")
+        w = np.array([x[k] for k in sorted(x)], "<u4")
+        rows.append((i, e.tobytes(), b"" if (w == 1).all() else w.tobytes()))
+    frame = spark.createDataFrame(rows, "id long, elements binary, weights binary")
+    pairs = spark.createDataFrame([(i, 0) for i in range(1, len(sets))], "id long, head long")
+    found = N.compared(pairs, frame)
+    for r in found.collect():
+        assert r["similarity"] == pytest.approx(similarity(sets[r["id"]], centre), abs=1e-12)
+        own = sets[r["id"]].keys() - centre.keys()
+        assert set(r["extras"]) == own and set(r["lacks"]) == centre.keys() - sets[r["id"]].keys() and r["extra"] == pytest.approx(sum(sets[r["id"]][k] for k in own) / r["total"]) and r["missing"] == len(r["lacks"])
+    members = found.drop("similarity").withColumnRenamed("head", "centre").selectExpr("*", "id as group", "true as stray")
+    got = {(r["id"], r["head"]) for r in N.candidates(members, N.may_differ(0.8)).collect()}
+    want = {p for p in links_of(sets) if p[0]}
+    assert want and want <= got and len(got) < (1.5 * len(want) + 10 if weights == 1 else len(sets) * (len(sets) - 1) // 4)
+    # many blocks give the same pairs
+    monkeypatch.setattr(N, "_DEALT", 7)
+    assert {(r["id"], r["head"]) for r in N.candidates(members, N.may_differ(0.8)).collect()} == got
+
+
+def test_edited_copies_meet_few_others(spark):
+    """Copies that differ by their own edits are not met in pairs, nor are those of one edition."""
+    rng = random.Random(4)
+    members = []
+    for i in range(600):
+        extras = [5000 + 100 * i + k for k in range(30)] + list(range(900, 930)) * (i % 2)
+        lacks = rng.sample(range(120), rng.randrange(25, 35))
+        total = 120 - len(lacks) + len(extras)
+        members.append((0, i + 1, i + 1, True, len(extras) / total, len(lacks), total, 1, extras, lacks))
+    frame = spark.createDataFrame(members, "centre long, id long, group long, stray boolean, extra double, missing int, total long, top int, extras array<int>, lacks array<int>")
+    assert N.candidates(frame, N.may_differ(0.8)).count() == 0
+
+
+def test_overlaps(monkeypatch):
+    rng = np.random.default_rng(6)
+    lists = [[sorted(rng.choice(50, rng.integers(0, 20), replace=False).tolist()) for _ in range(n)] for n in (7, 5)]
+    monkeypatch.setattr(N, "_COLUMNS", 6)
+    got = N.overlaps(*(pa.array(x, pa.list_(pa.int32())) for x in lists))
+    assert got.tolist() == [[len(set(a) & set(b)) for b in lists[1]] for a in lists[0]]
+    assert N.overlaps(pa.array([[]], pa.list_(pa.int32())), pa.array([[1], []], pa.list_(pa.int32()))).tolist() == [[0, 0]]
