@@ -18,7 +18,7 @@ Spark deals the suffixes out so that equal strings meet:
 2. Pieces that occur in several documents of a block stay with the smallest one; the
    others are settled on the spot. So a passage that a third of all documents
    share travels once for a block of texts.
-3. Each bin, of bounded size, runs the radix passes and returns byte ranges.
+3. Each bin runs the radix passes and returns byte ranges.
 4. Ranges meet their documents in buckets, which cut them out.
 
 All strings are compared byte by byte. Texts are UTF-8 bytes, NULL is empty. A NULL doc_id
