@@ -14,11 +14,16 @@ Spark deals the suffixes out so that equal strings meet:
    share a bin, and neighbouring strings mostly do too: a run of them travels as
    one piece of text. Grams that very many strings choose are found by a first pass
    and used only where a string has no other, which spreads common passages by what
-   stands around them.
+   stands around them. A second pass finds the grams that many strings choose even so,
+   and their strings travel one by one, dealt by all their bytes: around a passage that
+   many documents share, each document's strings go to bins of their own, and only
+   equal strings meet.
 2. Pieces that occur in several documents of a block stay with the smallest one; the
    others are settled on the spot. So a passage that a third of all documents
-   share travels once for a block of texts.
-3. Each bin runs the radix passes and returns byte ranges.
+   share travels once for a block of texts, single strings once for a pack of blocks. What a
+   text repeats within itself travels once, with all its places.
+3. Each bin runs the radix passes and returns byte ranges. Strings that no other of
+   the bin can equal, told by one count over their hashes, leave before the first pass.
 4. Ranges meet their documents in buckets, which cut them out.
 
 All strings are compared byte by byte. Texts are UTF-8 bytes, NULL is empty. A NULL doc_id
@@ -44,6 +49,9 @@ _RUN = 64
 _BLOCK, _PACK, _BIN, _BUCKET = 1 << 20, 1 << 23, 1 << 20, 1 << 23
 #: a gram that more than this share of all strings choose is used last
 HEAVY = 1e-4
+#: strings of a gram that go to one bin as pieces, about; beyond so many, or this share of all strings if that is more
+#: (at most 1 / HOT_SHARE grams are sent to the tasks), they are dealt one by one
+HOT, HOT_SHARE = 1 << 18, 1e-7
 _NO_ID = 2**63 - 1
 _LAST = np.uint64(1 << 63)
 
@@ -79,19 +87,29 @@ def _string_places(offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.nda
 
 
 class Pieces:
-    """Runs of strings that chose one gram: ``text``, ``start`` in the block, ``count`` of strings, ``gram``."""
+    """Runs of strings that chose one gram: ``text``, ``start`` in the block, ``count`` of strings, ``gram``.
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, length: int, heavy: np.ndarray):
+    Strings that chose one of the ``hot`` grams (ascending) are pieces by themselves: ``single``, with the hash
+    of all their bytes as ``gram``.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, length: int, heavy: np.ndarray, hot: np.ndarray):
         place, text = _string_places(offsets, length)
         gram = chosen_grams(data, length, heavy)[place]
+        alone = np.zeros(len(place), bool)
+        if len(hot):
+            alone = hot[np.minimum(np.searchsorted(hot, gram), len(hot) - 1)] == gram
         new = np.ones(len(place), bool)
-        new[1:] = (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])
+        new[1:] = (gram[1:] != gram[:-1]) | (text[1:] != text[:-1]) | alone[1:]
         cuts = np.flatnonzero(new)
         size = np.diff(np.append(cuts, len(place)))
         parts = -(-size // _RUN)
         step = (np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)) * _RUN
         first = np.repeat(cuts, parts) + step
-        self.text, self.start, self.gram = text[first], place[first], gram[first]
+        self.text, self.start, self.gram, self.single = text[first], place[first], gram[first], alone[first]
+        if len(hot):
+            start = self.start[self.single]
+            self.gram[self.single] = mix64(span_hash(prefix_hash(data), start, start + length))
         self.count = np.minimum(np.repeat(size, parts) - step, _RUN)
 
 
@@ -124,7 +142,12 @@ def repeated(data: np.ndarray, start: np.ndarray, count: np.ndarray, doc: np.nda
     place, owner = ranges(start, count), np.repeat(doc, count)
     out = np.zeros(len(place), bool)
     words = _words8(data)
-    live, group = np.arange(len(place)), np.zeros(len(place), np.int64)
+    # equal strings share a count, so those that are alone in theirs have no equal
+    bits = max(8, (4 * len(place)).bit_length())
+    mark = (mix64(span_hash(prefix_hash(data), place, place + length)) >> np.uint64(64 - bits)).astype(np.int64)
+    live = np.flatnonzero(np.bincount(mark, minlength=1 << bits)[mark] > 1)
+    group = np.zeros(len(live), np.int64)
+    del mark
     for depth in range(0, length, 8):
         digit = words[place[live] + depth]
         if length - depth < 8:
@@ -209,45 +232,72 @@ def _text_keys(data: np.ndarray, offsets: np.ndarray, needed: bool) -> np.ndarra
     return mix64(span_hash(prefix_hash(data), offsets[:-1], offsets[1:]) + size)
 
 
-def _statistics(texts: DataFrame, length: int) -> tuple[int, np.ndarray]:
-    """All bytes of all texts, and the grams (ascending) that more than a share ``HEAVY`` of all strings choose.
+def _chosen_counts(texts: DataFrame, length: int, heavy: np.ndarray, share: float) -> DataFrame:
+    """How many strings choose each gram, if ``heavy`` ones come last: (kind 0, gram, n); all bytes (kind 1) and strings (kind 2).
 
-    A task reports the grams that are heavy among its own strings, which any gram
-    that is heavy overall must be in some task; at most 1 / HEAVY of them.
+    A task reports the grams that hold about ``share`` of its own strings, as any gram
+    that holds so many of all must in some task; at most a few / ``share`` of them.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, strings = 0, 0
-        held_gram, held_n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        size, strings, waiting = 0, 0, 0
+        held = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+
+        def merge() -> None:
+            gram, at = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
+            held[:] = [(gram, np.bincount(at, np.concatenate([n for _, n in held]), len(gram)).astype(np.int64))]
+
         for batch in batches:
             data, offsets = as_binary(batch.column(0))
             for a, b in text_blocks(offsets, _BLOCK):
                 inner = offsets[a : b + 1] - offsets[a]
                 part = data[offsets[a] : offsets[b]]
-                gram = chosen_grams(part, length, np.zeros(0, np.uint64))[_string_places(inner, length)[0]]
+                gram = chosen_grams(part, length, heavy)[_string_places(inner, length)[0]]
                 size, strings = size + len(part), strings + len(gram)
                 found, n = np.unique(gram, return_counts=True)
                 # rare ones go at once, so what a task holds stays small
-                keep = n > HEAVY / 4 * len(gram)
-                held_gram, at = np.unique(np.concatenate([held_gram, found[keep]]), return_inverse=True)
-                held_n = np.bincount(at, np.concatenate([held_n, n[keep]]), len(held_gram)).astype(np.int64)
-        keep = held_n > HEAVY / 2 * strings
+                keep = n > share / 4 * len(gram)
+                held.append((found[keep], n[keep]))
+                waiting += int(keep.sum())
+                if waiting > max(len(held[0][0]), 1 << 16):
+                    merge()
+                    waiting = 0
+        merge()
+        gram, n = held[0]
+        keep = n > share / 2 * strings
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([held_gram[keep].view(np.int64), [-1, -2]])), pa.array(np.concatenate([held_n[keep], [size, strings]]))], names=["gram", "n"]
-        )
+            [pa.array(np.concatenate([np.zeros(keep.sum()), [1, 2]]).astype(np.int32)), pa.array(np.concatenate([gram[keep].view(np.int64), [0, 0]])),
+             pa.array(np.concatenate([n[keep], [size, strings]]))], names=["kind", "gram", "n"]
+        )
 
-    totals = stored(texts.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    whole = {r["gram"]: r["n"] for r in totals.filter("gram < 0").collect()}
-    # shares add up to one, so these are fewer than 1 / HEAVY
-    most = int(whole.get(-2) or 0) * HEAVY
-    heavy = [r["gram"] for r in totals.filter((F.col("gram") >= 0) & (F.col("n") > most)).collect()]
-    return int(whole.get(-1) or 0), np.sort(np.array(heavy, np.uint64))
+    counted = texts.select("text").mapInArrow(count, "kind int, gram long, n long")
+    return stored(counted.groupBy("kind", "gram").agg(F.sum("n").alias("n")), "grams")
+
+
+def _statistics(texts: DataFrame, length: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """All bytes of all texts, the grams (ascending) that come last, and those whose strings go one by one.
+
+    Shares add up to one, so these are fewer than 1 / HEAVY and 1 / HOT_SHARE.
+    """
+
+    def over(totals: DataFrame, least: float) -> np.ndarray:
+        rows = totals.filter((F.col("kind") == 0) & (F.col("n") > least)).select("gram").collect()
+        return np.sort(np.array([r["gram"] for r in rows], np.int64).view(np.uint64))
+
+    totals = _chosen_counts(texts, length, np.zeros(0, np.uint64), HEAVY)
+    whole = {r["kind"]: r["n"] for r in totals.filter("kind > 0").collect()}
+    size, strings = int(whole.get(1) or 0), int(whole.get(2) or 0)
+    heavy = over(totals, strings * HEAVY)
+    least = max(HOT, strings * HOT_SHARE)
+    if strings <= least:
+        return size, heavy, np.zeros(0, np.uint64)
+    return size, heavy, over(_chosen_counts(texts, length, heavy, least / strings), least)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans and the bytes that are ``kept``."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), text_column().alias("text"))
-    total, heavy = _statistics(texts, length)
+    total, heavy, hot = _statistics(texts, length)
     again = texts.groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
     bins, buckets = max(1, -(-total // _BIN)), max(1, -(-total // _BUCKET))
 
@@ -255,22 +305,41 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         held: list[tuple] = []
 
         def packed() -> Iterator[pa.RecordBatch]:
-            doc, key, start, count, gram = (np.concatenate([h[k] for h in held]) for k in range(5))
-            body = np.concatenate([h[5] for h in held])
+            doc, key, start, count, gram, single, more = (np.concatenate([h[k] for h in held]) for k in range(7))
+            base = np.cumsum([0] + [len(h[0]) for h in held])
+            more_of = np.concatenate([h[7] + b for h, b in zip(held, base, strict=False)])
+            body = np.concatenate([h[8] for h in held])
+            held.clear()
             at = np.cumsum(count + length - 1) - (count + length - 1)
+            stays = np.ones(len(doc), bool)
+            alone = np.flatnonzero(single)
+            if len(alone):
+                lead = _leaders(body, at[alone], np.full(len(alone), length), doc[alone])
+                stays[alone] = doc[alone[lead]] == doc[alone]
+                gone, with_it = np.flatnonzero(~stays), ~stays[more_of]
+                of, where = np.concatenate([gone, more_of[with_it]]), np.concatenate([start[gone], more[with_it]])
+                if len(of):
+                    found = list(_marks(doc[of], key[of], where, where + length, buckets))
+                    yield _rows([s for s, _ in found], _MARKS, [m for _, m in found])
+                more, more_of = more[~with_it], more_of[~with_it]
             slot = (gram % np.uint64(bins)).astype(np.int64)
             # pieces with one gram lie side by side, where they compress well
-            order = np.lexsort((gram, slot))
-            cuts = np.flatnonzero(np.diff(slot[order], prepend=-1))
-            for k in range(0, len(cuts), 64):
+            order = np.flatnonzero(stays)
+            order = order[np.lexsort((gram[order], slot[order]))]
+            cuts = np.append(np.flatnonzero(np.diff(slot[order], prepend=-1)), len(order))
+            number = np.zeros(len(doc), np.int64)
+            number[order] = np.arange(len(order))
+            turn = np.argsort(number[more_of], kind="stable")
+            more, more_of = more[turn], number[more_of][turn]
+            more_cuts = np.searchsorted(more_of, cuts)
+            for k in range(0, len(cuts) - 1, 64):
                 slots, bodies = [], []
-                for c in range(k, min(k + 64, len(cuts))):
-                    some = order[cuts[c] : cuts[c + 1] if c + 1 < len(cuts) else len(order)]
+                for c in range(k, min(k + 64, len(cuts) - 1)):
+                    some, extra = order[cuts[c] : cuts[c + 1]], slice(more_cuts[c], more_cuts[c + 1])
                     text = body[ranges(at[some], count[some] + length - 1)]
                     slots.append(int(slot[some[0]]))
-                    bodies.append(_pack(doc[some], key[some], start[some].astype(np.int64), count[some].astype(np.uint8), text))
+                    bodies.append(_pack(doc[some], key[some], start[some].astype(np.int64), count[some].astype(np.uint8), text, more_of[extra] - cuts[c], more[extra]))
                 yield _rows(slots, _PIECES, bodies)
-            held.clear()
 
         size = 0
         for batch in batches:
@@ -279,7 +348,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             for a, b in text_blocks(offsets, _BLOCK):
                 part, inner, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], ids[a:b]
                 keys = _text_keys(part, inner, again)
-                p = Pieces(part, inner, length, heavy)
+                p = Pieces(part, inner, length, heavy, hot)
                 doc = own[p.text]
                 lead = _leaders(part, p.start, p.count + length - 1, doc)
                 later = doc[lead] < doc
@@ -291,9 +360,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 _, one = np.unique(np.stack([own.astype(np.uint64), keys], axis=1), axis=0, return_index=True)
                 first = np.zeros(len(own), bool)
                 first[one] = True
-                go = ~later & first[p.text]
+                # and so do the equal pieces of one text, with all their places
+                more = (lead != np.arange(len(lead))) & (p.text[lead] == p.text)
+                go = ~later & ~more & first[p.text]
+                more &= first[p.text]
                 start, count = p.start[go], p.count[go]
-                held.append((doc[go], keys[p.text[go]], start - inner[p.text[go]], count, p.gram[go], part[ranges(start, count + length - 1)]))
+                held.append((doc[go], keys[p.text[go]], start - inner[p.text[go]], count, p.gram[go], p.single[go],
+                             p.start[more] - inner[p.text[more]], (np.cumsum(go) - 1)[lead[more]], part[ranges(start, count + length - 1)]))
                 size += len(part)
                 if size >= _PACK:
                     yield from packed()
@@ -310,9 +383,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 slots.append(slot[k] // 2)
                 bodies.append(body[k].as_py())
             else:
-                pieces.append(_unpack(body[k].as_py(), "<i8", "<u8", "<i8", "u1", "u1"))
+                pieces.append(_unpack(body[k].as_py(), "<i8", "<u8", "<i8", "u1", "u1", "<i8", "<i8"))
         if pieces:
             doc, key, start, count, data = (np.concatenate([p[i] for p in pieces]) for i in range(5))
+            base = np.cumsum([0] + [len(p[0]) for p in pieces])
+            more_of, more = np.concatenate([p[5] + b for p, b in zip(pieces, base, strict=False)]), np.concatenate([p[6] for p in pieces])
             del pieces
             count = count.astype(np.int64)
             size = count + length - 1
@@ -323,6 +398,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             # a piece that equals one of a smaller document goes whole, one of the same document goes like that
             at_flag = np.zeros(len(lead), np.int64)
             at_flag[own] = np.cumsum(count[own]) - count[own]
+            # the further places of a piece within its text fare like it
+            doc, key, start, count, lead = np.append(doc, doc[more_of]), np.append(key, key[more_of]), np.append(start, more), np.append(count, count[more_of]), np.append(lead, lead[more_of])
             of = np.repeat(np.arange(len(lead)), count)
             gone = flags[ranges(at_flag[lead], count)] | (doc[lead] < doc)[of]
             where = np.flatnonzero(gone)

@@ -46,9 +46,10 @@ def test_small_alphabet(spark):
     assert found(docs_frame(spark, rows), 10) == brute(rows, 10)
 
 
-@pytest.mark.parametrize("heavy", [1e-4, 2e-3])
-def test_copies_passages_and_edges(spark, monkeypatch, heavy):
+@pytest.mark.parametrize(("heavy", "hot"), [(1e-4, 1 << 18), (2e-3, 1 << 18), (2e-3, 60), (1, 0)])
+def test_copies_passages_and_edges(spark, monkeypatch, heavy, hot):
     monkeypatch.setattr(S, "HEAVY", heavy)
+    monkeypatch.setattr(S, "HOT", hot)
     monkeypatch.setattr(S, "_BLOCK", 3000)
     monkeypatch.setattr(S, "_PACK", 9000)
     monkeypatch.setattr(S, "_BIN", 4000)
@@ -62,9 +63,30 @@ def test_copies_passages_and_edges(spark, monkeypatch, heavy):
         body = text(rng.randrange(0, 60))
         rows.append((i, copy if i % 3 == 0 else f"{body} {passage} {text(10)}" if i % 3 == 1 else body + copy[rng.randrange(200) : 700]))
     rows += [(500, passage), (500, passage), (None, copy), (None, copy), (501, None), (502, "")]
+    rows += [(510, "ab" * 300), (511, "ba" * 200 + "x" + "ab" * 90), (511, "ab" * 120), (512, "b" * 40 + passage * 3), (90, passage * 2)]
     assert found(docs_frame(spark, rows).repartition(5), 50) == brute(rows, 50)
 
 
+def test_bins_stay_even_as_more_documents_share_a_passage(spark, monkeypatch):
+    monkeypatch.setattr(S, "HOT", 1500)
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("etaoinshr dlu") for _ in range(n))
+    passage, most = text(200), {}
+    for n in (300, 600, 1200):
+        rows = [(i, text(200) + passage + text(200) if i % 3 == 0 else text(600)) for i in range(n)]
+        docs = docs_frame(spark, rows)
+        _, heavy, hot = S._statistics(docs, 50)
+        data, offsets = S.as_binary(S.pa.array([t for _, t in rows]))
+        p = S.Pieces(data, offsets, 50, heavy, hot)
+        lead = S._leaders(data, p.start, p.count + 49, p.text)
+        _, which = np.unique(p.gram, return_inverse=True)
+        most[n] = np.bincount(which, (p.count + 49) * (lead == np.arange(len(lead)))).max()
+        if n == 600:
+            assert found(docs.repartition(4), 50) == brute(rows, 50)
+    assert len(hot) and p.single.any()
+    assert most[1200] < 1.5 * most[600] + 1500 * 4
+
+
 def test_edges_and_empty(spark, no_docs):
     rows = [(i, t[:3000] if t else t) for i, t in EDGE_ROWS]
     assert found(docs_frame(spark, rows), 50) == brute(rows, 50)
