@@ -86,6 +86,20 @@ def _string_places(offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.nda
     return ranges(offsets[:-1], n), segment_ids(n)
 
 
+def _sections(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray, int]]:
+    """Bounded blocks of texts as (first text, text after the last, offsets of their bytes, bytes of the text before these).
+
+    A text beyond a block comes in several, each with the strings that start in it.
+    """
+    for a, b in text_blocks(offsets, _BLOCK):
+        size = int(offsets[b] - offsets[a])
+        if b - a > 1 or size <= 2 * _BLOCK:
+            yield a, b, offsets[a : b + 1], 0
+        else:
+            for at in range(0, size, _BLOCK):
+                yield a, b, offsets[a] + np.array([at, min(at + _BLOCK + length - 1, size)]), at
+
+
 class Pieces:
     """Runs of strings that chose one gram: ``text``, ``start`` in the block, ``count`` of strings, ``gram``.
 
@@ -249,11 +263,11 @@ def _chosen_counts(texts: DataFrame, length: int, heavy: np.ndarray, share: floa
 
         for batch in batches:
             data, offsets = as_binary(batch.column(0))
-            for a, b in text_blocks(offsets, _BLOCK):
-                inner = offsets[a : b + 1] - offsets[a]
-                part = data[offsets[a] : offsets[b]]
+            size += int(offsets[-1] - offsets[0])
+            for _, _, inner, _ in _sections(offsets, length):
+                part, inner = data[inner[0] : inner[-1]], inner - inner[0]
                 gram = chosen_grams(part, length, heavy)[_string_places(inner, length)[0]]
-                size, strings = size + len(part), strings + len(gram)
+                strings += len(gram)
                 found, n = np.unique(gram, return_counts=True)
                 # rare ones go at once, so what a task holds stays small
                 keep = n > share / 4 * len(gram)
@@ -314,7 +328,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             stays = np.ones(len(doc), bool)
             alone = np.flatnonzero(single)
             if len(alone):
-                lead = _leaders(body, at[alone], np.full(len(alone), length), doc[alone])
+                strings = body[ranges(at[alone], np.full(len(alone), length))]
+                lead = _leaders(strings, np.arange(len(alone)) * length, np.full(len(alone), length), doc[alone])
                 stays[alone] = doc[alone[lead]] == doc[alone]
                 gone, with_it = np.flatnonzero(~stays), ~stays[more_of]
                 of, where = np.concatenate([gone, more_of[with_it]]), np.concatenate([start[gone], more[with_it]])
@@ -345,28 +360,31 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for batch in batches:
             data, offsets = as_binary(batch.column("text"))
             ids = batch.column("doc_id").to_numpy()
-            for a, b in text_blocks(offsets, _BLOCK):
-                part, inner, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], ids[a:b]
-                keys = _text_keys(part, inner, again)
+            keys, first, known = np.zeros(0, np.uint64), np.zeros(0, bool), None
+            for a, b, inner, before in _sections(offsets, length):
+                if known != a:
+                    whole, own, known = offsets[a : b + 1] - offsets[a], ids[a:b], a
+                    keys = _text_keys(data[offsets[a] : offsets[b]], whole, again)
+                    # equal rows travel once: their ranges are the same
+                    _, one = np.unique(np.stack([own.astype(np.uint64), keys], axis=1), axis=0, return_index=True)
+                    first = np.zeros(len(own), bool)
+                    first[one] = True
+                part, inner = data[inner[0] : inner[-1]], inner - inner[0]
                 p = Pieces(part, inner, length, heavy, hot)
                 doc = own[p.text]
                 lead = _leaders(part, p.start, p.count + length - 1, doc)
                 later = doc[lead] < doc
                 if later.any():
-                    at = p.start[later] - inner[p.text[later]]
+                    at = p.start[later] - inner[p.text[later]] + before
                     found = list(_marks(doc[later], keys[p.text[later]], at, at + p.count[later] + length - 1, buckets))
                     yield _rows([s for s, _ in found], _MARKS, [m for _, m in found])
-                # equal rows travel once: their ranges are the same
-                _, one = np.unique(np.stack([own.astype(np.uint64), keys], axis=1), axis=0, return_index=True)
-                first = np.zeros(len(own), bool)
-                first[one] = True
-                # and so do the equal pieces of one text, with all their places
+                # so do the equal pieces of one text, with all their places
                 more = (lead != np.arange(len(lead))) & (p.text[lead] == p.text)
                 go = ~later & ~more & first[p.text]
                 more &= first[p.text]
                 start, count = p.start[go], p.count[go]
-                held.append((doc[go], keys[p.text[go]], start - inner[p.text[go]], count, p.gram[go], p.single[go],
-                             p.start[more] - inner[p.text[more]], (np.cumsum(go) - 1)[lead[more]], part[ranges(start, count + length - 1)]))
+                held.append((doc[go], keys[p.text[go]], start - inner[p.text[go]] + before, count, p.gram[go], p.single[go],
+                             p.start[more] - inner[p.text[more]] + before, (np.cumsum(go) - 1)[lead[more]], part[ranges(start, count + length - 1)]))
                 size += len(part)
                 if size >= _PACK:
                     yield from packed()
