@@ -64,12 +64,21 @@ def _words8(data: np.ndarray) -> np.ndarray:
     return ((x[:-4] << np.uint64(32)) | x[4:])[: len(data)]
 
 
+def _among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Places of the values that are ``listed`` (ascending); their low bits tell most others apart."""
+    if not len(listed):
+        return np.zeros(0, np.int64)
+    seen = np.zeros(1 << 16, bool)
+    seen[listed & np.uint64(0xFFFF)] = True
+    at = np.flatnonzero(seen[values & np.uint64(0xFFFF)])
+    some = values[at]
+    return at[listed[np.minimum(np.searchsorted(listed, some), len(listed) - 1)] == some]
+
+
 def chosen_grams(data: np.ndarray, length: int, heavy: np.ndarray) -> np.ndarray:
     """The smallest hashed gram of the string of ``length`` bytes at each place; ``heavy`` (ascending) ones come last."""
     grams = mix64(_words8(data)) >> np.uint64(1)
-    if len(heavy):
-        at = np.minimum(np.searchsorted(heavy, grams), len(heavy) - 1)
-        grams[heavy[at] == grams] |= _LAST
+    grams[_among(grams, heavy)] |= _LAST
     n = length - GRAM + 1  # grams within a string
     out, width = grams, 1
     while width * 2 <= n:
@@ -111,8 +120,7 @@ class Pieces:
         place, text = _string_places(offsets, length)
         gram = chosen_grams(data, length, heavy)[place]
         alone = np.zeros(len(place), bool)
-        if len(hot):
-            alone = hot[np.minimum(np.searchsorted(hot, gram), len(hot) - 1)] == gram
+        alone[_among(gram, hot)] = True
         new = np.ones(len(place), bool)
         new[1:] = (gram[1:] != gram[:-1]) | (text[1:] != text[:-1]) | alone[1:]
         cuts = np.flatnonzero(new)
@@ -135,9 +143,12 @@ def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray
     return ~np.logical_or.reduceat(differ, np.cumsum(size) - size)
 
 
-def _leaders(data: np.ndarray, start: np.ndarray, size: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """For each piece the equal piece with the smallest ``rank`` (itself if it has that), compared byte by byte."""
-    mark = span_hash(prefix_hash(data), start, start + size)
+def _leaders(data: np.ndarray, prefix: np.ndarray, start: np.ndarray, size: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """For each piece the equal piece with the smallest ``rank`` (itself if it has that), compared byte by byte.
+
+    ``prefix``: the prefix hash of ``data``.
+    """
+    mark = span_hash(prefix, start, start + size)
     order = np.lexsort((rank, size, mark))
     same = np.zeros(len(order), bool)
     same[1:] = (mark[order][1:] == mark[order][:-1]) & (size[order][1:] == size[order][:-1])
@@ -148,22 +159,24 @@ def _leaders(data: np.ndarray, start: np.ndarray, size: np.ndarray, rank: np.nda
     return out
 
 
-def repeated(data: np.ndarray, start: np.ndarray, count: np.ndarray, doc: np.ndarray, length: int = LENGTH) -> np.ndarray:
+def repeated(data: np.ndarray, prefix: np.ndarray, start: np.ndarray, count: np.ndarray, doc: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """Of all strings of some pieces, laid out one after the other: whether a smaller document has the same string.
 
-    ``start`` and ``count``: where each piece stands in ``data`` and its strings; ``doc``: its document.
+    ``start`` and ``count``: where each piece stands in ``data`` and its strings; ``doc``: its document;
+    ``prefix``: the prefix hash of ``data``.
     """
     place, owner = ranges(start, count), np.repeat(doc, count)
     out = np.zeros(len(place), bool)
-    words = _words8(data)
+    # eight bytes from each place on as one big-endian number
+    words = np.ndarray(len(data), ">u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
     # equal strings share a count, so those that are alone in theirs have no equal
     bits = max(8, (4 * len(place)).bit_length())
-    mark = (mix64(span_hash(prefix_hash(data), place, place + length)) >> np.uint64(64 - bits)).astype(np.int64)
+    mark = (span_hash(prefix, place, place + length) >> np.uint64(64 - bits)).astype(np.int64)
     live = np.flatnonzero(np.bincount(mark, minlength=1 << bits)[mark] > 1)
     group = np.zeros(len(live), np.int64)
     del mark
     for depth in range(0, length, 8):
-        digit = words[place[live] + depth]
+        digit = words[place[live] + depth].astype(np.uint64)
         if length - depth < 8:
             digit = digit >> np.uint64(8 * (8 - (length - depth)))
         if depth:
@@ -268,7 +281,10 @@ def _chosen_counts(texts: DataFrame, length: int, heavy: np.ndarray, share: floa
                 part, inner = data[inner[0] : inner[-1]], inner - inner[0]
                 gram = chosen_grams(part, length, heavy)[_string_places(inner, length)[0]]
                 strings += len(gram)
-                found, n = np.unique(gram, return_counts=True)
+                # neighbours mostly chose alike
+                cuts = np.flatnonzero(np.concatenate([gram[:1] == gram[:1], gram[1:] != gram[:-1]]))
+                found, at = np.unique(gram[cuts], return_inverse=True)
+                n = np.bincount(at, np.diff(np.append(cuts, len(gram))), len(found)).astype(np.int64)
                 # rare ones go at once, so what a task holds stays small
                 keep = n > share / 4 * len(gram)
                 held.append((found[keep], n[keep]))
@@ -322,14 +338,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             doc, key, start, count, gram, single, more = (np.concatenate([h[k] for h in held]) for k in range(7))
             base = np.cumsum([0] + [len(h[0]) for h in held])
             more_of = np.concatenate([h[7] + b for h, b in zip(held, base, strict=False)])
-            body = np.concatenate([h[8] for h in held])
+            base = np.cumsum([0] + [len(h[9]) for h in held])
+            at = np.concatenate([h[8] + b for h, b in zip(held, base, strict=False)])
+            body = np.concatenate([h[9] for h in held])
             held.clear()
-            at = np.cumsum(count + length - 1) - (count + length - 1)
             stays = np.ones(len(doc), bool)
             alone = np.flatnonzero(single)
             if len(alone):
                 strings = body[ranges(at[alone], np.full(len(alone), length))]
-                lead = _leaders(strings, np.arange(len(alone)) * length, np.full(len(alone), length), doc[alone])
+                lead = _leaders(strings, prefix_hash(strings), np.arange(len(alone)) * length, np.full(len(alone), length), doc[alone])
                 stays[alone] = doc[alone[lead]] == doc[alone]
                 gone, with_it = np.flatnonzero(~stays), ~stays[more_of]
                 of, where = np.concatenate([gone, more_of[with_it]]), np.concatenate([start[gone], more[with_it]])
@@ -340,7 +357,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             slot = (gram % np.uint64(bins)).astype(np.int64)
             # pieces with one gram lie side by side, where they compress well
             order = np.flatnonzero(stays)
-            order = order[np.lexsort((gram[order], slot[order]))]
+            low = 63 - bins.bit_length()
+            order = order[np.argsort((slot[order] << low) | (gram[order] & np.uint64((1 << low) - 1)).astype(np.int64))]
             cuts = np.append(np.flatnonzero(np.diff(slot[order], prepend=-1)), len(order))
             number = np.zeros(len(doc), np.int64)
             number[order] = np.arange(len(order))
@@ -372,7 +390,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 part, inner = data[inner[0] : inner[-1]], inner - inner[0]
                 p = Pieces(part, inner, length, heavy, hot)
                 doc = own[p.text]
-                lead = _leaders(part, p.start, p.count + length - 1, doc)
+                lead = _leaders(part, prefix_hash(part), p.start, p.count + length - 1, doc)
                 later = doc[lead] < doc
                 if later.any():
                     at = p.start[later] - inner[p.text[later]] + before
@@ -384,7 +402,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 more &= first[p.text]
                 start, count = p.start[go], p.count[go]
                 held.append((doc[go], keys[p.text[go]], start - inner[p.text[go]] + before, count, p.gram[go], p.single[go],
-                             p.start[more] - inner[p.text[more]] + before, (np.cumsum(go) - 1)[lead[more]], part[ranges(start, count + length - 1)]))
+                             p.start[more] - inner[p.text[more]] + before, (np.cumsum(go) - 1)[lead[more]], start, part))
                 size += len(part)
                 if size >= _PACK:
                     yield from packed()
@@ -410,9 +428,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             count = count.astype(np.int64)
             size = count + length - 1
             at = np.cumsum(size) - size
-            lead = _leaders(data, at, size, doc)
+            prefix = prefix_hash(data)
+            lead = _leaders(data, prefix, at, size, doc)
             own = np.flatnonzero(lead == np.arange(len(lead)))
-            flags = repeated(data, at[own], count[own], doc[own], length)
+            flags = repeated(data, prefix, at[own], count[own], doc[own], length)
             # a piece that equals one of a smaller document goes whole, one of the same document goes like that
             at_flag = np.zeros(len(lead), np.int64)
             at_flag[own] = np.cumsum(count[own]) - count[own]
@@ -422,8 +441,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             gone = flags[ranges(at_flag[lead], count)] | (doc[lead] < doc)[of]
             where = np.flatnonzero(gone)
             if len(where):
-                string = start[of[where]] + (where - (np.cumsum(count) - count)[of[where]])
-                for s, m in _marks(doc[of[where]], key[of[where]], string, string + length, buckets):
+                # neighbouring strings of a piece as one range
+                new = np.ones(len(where), bool)
+                new[1:] = (np.diff(where) != 1) | (np.diff(of[where]) != 0)
+                first, last = where[new], where[np.append(np.flatnonzero(new)[1:], len(where)) - 1]
+                of = of[first]
+                string = start[of] + (first - (np.cumsum(count) - count)[of])
+                for s, m in _marks(doc[of], key[of], string, string + (last - first) + length, buckets):
                     slots.append(s)
                     bodies.append(m)
         return pa.table([pa.array(slots, pa.int64()), pa.array(bodies, pa.binary())], names=["bucket", "marks"])

@@ -78,7 +78,7 @@ def test_bins_stay_even_as_more_documents_share_a_passage(spark, monkeypatch):
         _, heavy, hot = S._statistics(docs, 50)
         data, offsets = S.as_binary(S.pa.array([t for _, t in rows]))
         p = S.Pieces(data, offsets, 50, heavy, hot)
-        lead = S._leaders(data, p.start, p.count + 49, p.text)
+        lead = S._leaders(data, S.prefix_hash(data), p.start, p.count + 49, p.text)
         _, which = np.unique(p.gram, return_inverse=True)
         most[n] = np.bincount(which, (p.count + 49) * (lead == np.arange(len(lead)))).max()
         if n == 600:
@@ -97,7 +97,7 @@ def test_radix_passes_find_exactly_the_repeated_strings():
     data = np.frombuffer(b"abcabcabxxabcab", np.uint8)
     start, count, doc = np.array([0, 8]), np.array([4, 3]), np.array([1, 2])
     # strings of 5: abcab bcabc cabca abcab | xxabc xabca abcab
-    assert S.repeated(data, start, count, doc, 5).tolist() == [False] * 6 + [True]
+    assert S.repeated(data, S.prefix_hash(data), start, count, doc, 5).tolist() == [False] * 6 + [True]
 
 
 def test_query(spark):
