@@ -216,14 +216,21 @@ def _segments(part: int, width: int, docs: Iterator[tuple[list, np.ndarray, np.n
         yield row()
 
 
+#: characters of a text that order rows of one doc_id; the bounds of the ranges hold no more of any text
+_PREFIX = 64
+
+
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, segment_tokens: int = SEGMENT_TOKENS) -> None:
     """Encode ``docs`` (doc_id, text; further columns are ignored) and write the segments to ``path``.
 
     ``end_id`` ends each document, so an empty or NULL text has one id. Rows with
-    the same doc_id are documents of their own, in the order of their texts.
+    the same doc_id are documents of their own, in the order of their texts' first ``_PREFIX``
+    characters; so many rows of one doc_id, or without one, are ranges of their own
+    (by what the texts begin with, then by a hash of them and the row).
     """
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
-    ordered = slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"), F.monotonically_increasing_id().alias("row"))
+    ranged = slim.repartitionByRange("doc_id", F.substring("text", 1, _PREFIX), F.xxhash64("text"), "row")
+    ordered = ranged.select("doc_id", "text").sortWithinPartitions("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -269,15 +276,16 @@ def decode_segment(row: dict) -> Iterator[tuple[int | None, int, np.ndarray]]:
 def read_token_index(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files at ``path``: doc_id, start, n_tokens and ids_crc32.
 
-    ``start`` counts the ids of all documents before it: an offset per segment (a
-    running sum over the segments alone, a small table beside the ids) plus the
-    Elias-Fano boundary within the segment.
+    ``start`` counts the ids of all documents before it: a running sum over the parts (one
+    row each), one over the segments of the part, and the Elias-Fano boundary within the segment.
     """
     segments = spark.read.parquet(path)
-    order = Window.orderBy("part", "segment").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = segments.select("part", "segment", "n_tokens").select(
-        "part", "segment", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)).alias("offset")
-    )
+    sizes = segments.groupBy("part", "segment").agg(F.sum("n_tokens").alias("n_tokens"))
+    before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens")).select("part", before.alias("before"))
+    within = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("within", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(parts, "part")
+    offsets = offsets.select("part", "segment", (F.col("before") + F.col("within")).alias("offset"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -67,6 +67,21 @@ def test_files_edges(spark, edge_docs, segment):
     assert got == sorted(expected([(r["doc_id"], r["text"]) for r in edge_docs.collect()]), key=key)
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+def test_rows_of_one_id_are_many_ranges(spark, hot):
+    rows = [(hot, f"{'same' if i % 2 else i} text") for i in range(600)] + [(8, "the last"), (3, "an early one")]
+    path = fresh_dir("pg-tokens-") + "/x"
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        T.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), path, PATH)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    parts = [r["n"] for r in spark.read.parquet(path).groupBy("part").agg({"n_docs": "sum"}).withColumnRenamed("sum(n_docs)", "n").collect()]
+    assert sum(parts) == 602 and max(parts) < 400
+    assert sorted((tuple(r) for r in T.read_token_index(spark, path).collect()), key=key) == sorted(expected(rows), key=key)
+
+
 def test_empty_table(spark, no_docs):
     path = fresh_dir("pg-tokens-") + "/x"
     T.write_token_files(no_docs, path, PATH)
