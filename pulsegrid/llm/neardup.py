@@ -428,9 +428,10 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest", "key")
     heads = in_group.groupBy("group").agg(F.min(order).alias("_h")).select(F.col("_h.key").alias("_keep_key"), F.lit(False).alias("_keep_each"))
     wordless = signed.filter("digest is null").select(F.col("key").alias("_keep_key"), F.col("doc_id").isNull().alias("_keep_each")).distinct()
-    rows = docs.withColumn("_keep_key", key).withColumn("_keep_row", F.monotonically_increasing_id()).join(heads.unionByName(wordless), "_keep_key")
+    # the row travels as one value, so its columns may have any names
+    rows = docs.select(key.alias("_keep_key"), F.monotonically_increasing_id().alias("_keep_row"), F.struct("*").alias("_keep")).join(heads.unionByName(wordless), "_keep_key")
     rows = rows.withColumn("_keep_row", F.when(F.col("_keep_each"), F.col("_keep_row")).otherwise(F.lit(0)))
-    return rows.dropDuplicates(["_keep_key", "_keep_row"]).select(*docs.columns)
+    return rows.dropDuplicates(["_keep_key", "_keep_row"]).select("_keep.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

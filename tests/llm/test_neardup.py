@@ -208,3 +208,11 @@ def test_overlaps(monkeypatch):
     got = N.overlaps(*(pa.array(x, pa.list_(pa.int32())) for x in lists))
     assert got.tolist() == [[len(set(a) & set(b)) for b in lists[1]] for a in lists[0]]
     assert N.overlaps(pa.array([[]], pa.list_(pa.int32())), pa.array([[1], []], pa.list_(pa.int32()))).tolist() == [[0, 0]]
+
+
+def test_keep_first_leaves_columns_of_any_name(spark):
+    rows = [(1, "one two three four five six", 7, "k", 1.5), (2, "one two three four five six", 8, "m", 2.5), (3, None, 9, "n", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _keep_row int, _keep_key string, `a.b` double")
+    kept = N.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]
