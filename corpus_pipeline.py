@@ -39,7 +39,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """All documents, secrets in their texts replaced by a mark and n_chars counted anew."""
     text = secrets.redact(F.col("text").cast("string"))
     counted = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    return docs.withColumn("text", text).withColumn("n_chars", counted).select(*docs.columns)
+    return docs.withColumn("text", text).withColumn("n_chars", counted)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
