@@ -108,3 +108,11 @@ def test_items_of_one_and_two_words_stand_anywhere(spark):
         (3, 3): (1.0, 2, 3), (4, 2): (1.0, 1, 2), (4, 5): (1.0, 1, 2), (5, 2): (1.0, 0, 1), (5, 5): (1.0, 0, 1),
     }
     assert sorted(r["doc_id"] for r in D.clean(docs, bench).collect()) == [6, 7, 8]
+
+
+def test_parts_follow_the_words_of_the_search(spark):
+    items = spark.createDataFrame([(i, ",".join(f"w{chr(97 + (i * 7 + k) % 26)}{chr(97 + k % 26)}" for k in range(50))) for i in range(20)], "item_id long, text string")
+    docs = items.withColumnRenamed("item_id", "doc_id")
+    parts = D.benchmarks(docs, items, most_words=200)
+    assert 3 <= len(parts) <= 5 and sorted(i for b in parts for i in b.ids) == list(range(20))
+    assert D.benchmarks(docs, items.filter("item_id < 0")) == []
