@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import Tokens, as_binary, ranges, read_table, release_memory, segment_ids, text_blocks, text_column
+from pulsegrid.llm.common import BLOCK_BYTES, Tokens, as_binary, ranges, read_table, release_memory, segment_ids, text_blocks, text_column
 from pulsegrid.llm.labelled import fold, training_rows
 
 TRAINING_ROWS = 4000
@@ -73,7 +73,7 @@ def read_block(data: np.ndarray, offsets: np.ndarray) -> Block:
     before = np.where(at == np.repeat(begin, size), 60, low[at - 1]) if len(at) else low[:0]
     after = np.where(at == np.repeat(begin + size - 1, size), 62, low[np.minimum(at + 1, len(low) - 1)]) if len(at) else low[:0]
     code = ((before << 16) | (low[at] << 8) | after).astype(np.uint32)
-    grams = ((code * np.uint32(2654435761)) >> np.uint32(32 - CHAR_BUCKETS.bit_length() + 1)).astype(np.int64)
+    grams = ((code * np.uint32(2654435761)) >> np.uint32(32 - CHAR_BUCKETS.bit_length() + 1)).astype(np.int32)
     # windows start every STRIDE words until one reaches the end of the text
     n = np.where(tokens.count > 0, np.maximum(0, -(-(tokens.count - WINDOW) // STRIDE)) + 1, 0)
     text = segment_ids(n)
@@ -82,9 +82,9 @@ def read_block(data: np.ndarray, offsets: np.ndarray) -> Block:
     return Block(hashes, grams, size, words, tokens.count, start, np.minimum(tokens.count[text] - step, WINDOW), text)
 
 
-def _blocks(texts: pa.Array) -> Iterator[tuple[int, int, Block]]:
+def _blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, Block]]:
     data, offsets = as_binary(texts)
-    for a, b in text_blocks(offsets):
+    for a, b in text_blocks(offsets, limit):
         yield a, b, read_block(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
 
 
@@ -116,8 +116,16 @@ class ToxicityModel:
         hit = at < known
         hit[hit] = self.vocabulary[at[hit]] == block.hashes[hit]
         at = np.where(hit, at, known)
-        chars = np.add.reduceat(self.p["char"][block.grams], np.cumsum(block.sizes) - block.sizes, axis=0) / block.sizes[:, None].astype(_F)
-        return at, np.concatenate([self.p["word"][at], chars], axis=1).astype(_F)
+        vectors = np.empty((len(at), WORD_SIZE + CHAR_SIZE), _F)
+        ends = np.cumsum(block.sizes)
+        # some words at a time: their trigrams' rows take far more room than the words' own
+        for a in range(0, len(at), _CHUNK):
+            size, end = block.sizes[a : a + _CHUNK], ends[a : a + _CHUNK]
+            begin = end - size
+            sums = np.add.reduceat(self.p["char"][block.grams[begin[0] : end[-1]]], begin - begin[0], axis=0)
+            vectors[a : a + _CHUNK, :WORD_SIZE] = self.p["word"][at[a : a + _CHUNK]]
+            vectors[a : a + _CHUNK, WORD_SIZE:] = sums / size[:, None].astype(_F)
+        return at, vectors
 
     def _recur(self, d: str, gates: np.ndarray, idx: np.ndarray, mask: np.ndarray | None, keep: bool):
         """States of one direction over windows ``idx`` (words by window); with ``keep`` also all gates."""
@@ -140,7 +148,10 @@ class ToxicityModel:
 
     def gates(self, vectors: np.ndarray) -> dict[str, np.ndarray]:
         """What each distinct word adds to the gates of either direction."""
-        return {d: vectors @ self.p[f"w{d}"] + self.p[f"b{d}"] for d in "fb"}
+        out = {d: vectors @ self.p[f"w{d}"] for d in "fb"}
+        for d, gates in out.items():
+            gates += self.p[f"b{d}"]
+        return out
 
     def forward(self, gates: dict[str, np.ndarray], idx: np.ndarray, mask: np.ndarray | None, keep: bool = False):
         (sf, kf), (sb, kb) = (self._recur(d, gates[d], idx, mask, keep) for d in "fb")
@@ -268,7 +279,9 @@ def fit(rows: pa.Table, passes: int = 10, batch: int = 256, rate: float = 0.02,
         share = (float(label.sum()) + 1) / (len(label) + 2)
         model.p["ow"][:], model.p["ob"][0] = 0, np.log(share / (1 - share))
         return model
-    block = _merge([b for _, _, b in _blocks(rows["text"].combine_chunks())])
+    # the driver reads few bytes at a time and gives back what each step leaves: its memory is small
+    block = _merge([b for _, _, b in _blocks(rows["text"].combine_chunks(), BLOCK_BYTES >> 3)])
+    release_memory()
     n_words = len(block.hashes)
     ratio, seen = _log_ratio(block, np.arange(n_words), np.ones(n_words, np.int64), label, n_words)
     known = np.flatnonzero(seen >= 4)
@@ -292,6 +305,8 @@ def fit(rows: pa.Table, passes: int = 10, batch: int = 256, rate: float = 0.02,
             logits = np.array([word_score[block.words[s : s + n]].max() for s, n in zip(block.start, block.length, strict=True)])
         else:
             logits = model.window_logits(block, vectors)
+        del at, vectors
+        release_memory()
         logits = logits + rng.normal(0, 1e-4, len(logits))
         chosen = [cuts[t] + int(np.argmax(logits[cuts[t] : cuts[t + 1]])) for t in has]
         clean = has[label[has] != 1]
@@ -336,7 +351,10 @@ def toxicity_score(text: Column, model: ToxicityModel) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    return fit(training_rows(docs, labels, "toxic", FOLDS, HELD_OUT, TRAINING_ROWS))
+    """The fitted network; the driver holds nothing else of the training afterwards."""
+    model = fit(training_rows(docs, labels, "toxic", FOLDS, HELD_OUT, TRAINING_ROWS))
+    release_memory()
+    return model
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -122,3 +122,26 @@ def test_query_columns(spark, module, folds, held_out, limit):
     for r in rows:
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % folds == held_out)
         assert r["predicted"] == int(r["score"] >= limit) and 0 <= r["score"] <= 1
+
+
+def test_training_leaves_and_takes_little_memory(spark, monkeypatch):
+    """The driver holds the word vectors once, not the rows of all their trigrams, and gives back what training took."""
+    import tracemalloc
+
+    words = pa.array([" ".join(f"{i:024d}" for i in range(40_000))])
+    block = T._merge([b for _, _, b in T._blocks(words)])
+    model = T.ToxicityModel(block.hashes[:5])
+    rows = model.p["char"][block.grams]
+    chars = np.add.reduceat(rows, np.cumsum(block.sizes) - block.sizes, axis=0) / block.sizes[:, None].astype(np.float32)
+    del rows
+    tracemalloc.start()
+    vectors = model.inputs(block)[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(vectors[:, T.WORD_SIZE :], chars)
+    assert peak < 6 * vectors.nbytes
+    calls = []
+    monkeypatch.setattr(T, "release_memory", lambda: calls.append(1))
+    docs = spark.createDataFrame([(i, f"some words of text {i % 7} " + "bad " * (i % 2)) for i in range(40)], "doc_id long, text string")
+    T.train(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")))
+    assert calls
