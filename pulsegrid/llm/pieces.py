@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import as_binary, ranges, read_table, release_memory, text_blocks, text_column
+from pulsegrid.llm.common import as_binary, ranges, read_table, release_memory, segment_ids, text_blocks, text_column
 
 MARK = "▁"
 NBEST = 4
@@ -81,9 +81,10 @@ class PieceModel:
         self._sizes = np.array([len(b) for b in self.bytes_of])
         self._flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self._first = np.cumsum(self._sizes) - self._sizes
+        self.pieces = pa.array(self.bytes_of, pa.large_binary())
 
     def _tree(self) -> None:
-        """Edges (node, character) -> node as sorted keys; node 0 is the root."""
+        """Edges (node, character) -> node by hashed keys; node 0 is the root."""
         nodes: dict[tuple[int, int], int] = {}
         scores, ids = [np.nan], [-1]
         for name, (score, i) in self.score.items():
@@ -95,15 +96,41 @@ class PieceModel:
                     ids.append(-1)
                 at = nodes[at, c]
             scores[at], ids[at] = score, i
-        keys = np.array([(n << 21) | c for n, c in nodes], np.int64)
-        order = np.argsort(keys)
-        self._keys, self._child = keys[order], np.array(list(nodes.values()), np.int64)[order]
+        keys, child = np.array([(n << 21) | c for n, c in nodes], np.int64), np.array(list(nodes.values()), np.int64)
+        # an open table four times as large: a key stands at its hash or at the next free slot after it
+        bits = max(len(keys), 1).bit_length() + 2
+        self._shift = np.uint64(64 - bits)
+        self._keys, self._child = np.full(1 << bits, -1), np.zeros(1 << bits, np.int64)
+        slot, left = self._slots(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self._keys[slot[left]] < 0]
+            self._keys[slot[free]] = keys[free]
+            left = left[self._keys[slot[left]] != keys[left]]
+            slot[left] = (slot[left] + 1) & (len(self._keys) - 1)
+        self._child[slot] = child
         self._node_score, self._node_id = np.array(scores), np.array(ids, np.int64)
         self._root = np.zeros(0x110000, np.int64)
         for (n, c), child in nodes.items():
             if n == 0:
                 self._root[c] = child
 
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
+
+    def _next(self, keys: np.ndarray) -> np.ndarray:
+        """The node that each edge leads to, 0 where there is none."""
+        slot = self._slots(keys)
+        there = self._keys[slot]
+        out = np.where(there == keys, self._child[slot], 0)
+        left = np.flatnonzero((there != keys) & (there >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (len(self._keys) - 1)
+            there = self._keys[slot[left]]
+            hit = there == keys[left]
+            out[left[hit]] = self._child[slot[left[hit]]]
+            left = left[~hit & (there >= 0)]
+        return out
+
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of a sequence of pieces (with the blank that stands before every text)."""
         return self._flat[ranges(self._first[ids], self._sizes[ids])]
@@ -129,10 +156,9 @@ class PieceModel:
             out.append((place[piece], self._node_score[node[piece]], self._node_id[node[piece]], np.full(int(piece.sum()), depth)))
             go = place + depth < ends[place]
             place, node = place[go], node[go]
-            keys = (node << 21) | chars[place + depth]
-            at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
-            hit = (self._keys[at] == keys) & ~inner[place + depth]
-            place, node, depth = place[hit], self._child[at[hit]], depth + 1
+            child = self._next((node << 21) | chars[place + depth])
+            hit = (child > 0) & ~inner[place + depth]
+            place, node, depth = place[hit], child[hit], depth + 1
         start, score, ids, length = (np.concatenate(x) for x in zip(*out, strict=True))
         return start, start + length, score, ids
 
@@ -144,31 +170,31 @@ class PieceModel:
         last = np.cumsum(sizes)
         first = last - sizes
         start, end, score, ids = self.edges(chars, np.repeat(last, sizes))
-        word = np.searchsorted(last, start, "right")
+        word = segment_ids(sizes)[start]
         # a place is a border between characters; each word has one more border than characters
         a, b = start + word, end + word
         n = len(chars) + len(words)
         zero, goal = first + np.arange(len(words)), last + np.arange(len(words))
-        forward, via = _best(n, zero, a, b, end - first[word], score)
-        # backwards only the score counts
-        backward, _ = _best(n, goal, b, a, last[word] - start, score)
-        through = forward[a] + score + backward[b]
+        forward = _best(n, zero, a, b, start - first[word], score)
+        backward = _best(n, goal, b, a, last[word] - end, score)
+        value = forward[a] + score
+        through = value + backward[b]
+        # the last edge of the best path to each border: edges come in order of their length, and of equal ones the longest counts
+        via, best = np.full(n, -1), np.flatnonzero(value == forward[b])
+        via[b[best]] = best
         on_path = np.zeros(len(a), bool)
-        at, going, path = goal.copy(), np.flatnonzero(sizes > 0), []
+        at, going = goal.copy(), np.flatnonzero(sizes > 0)
+        # the edge of the best paths that starts at each place
+        edge = np.full(len(chars), -1)
         while len(going):
-            edge = via[at[going]]
-            on_path[edge] = True
-            path.append((going, edge))
-            at[going] = a[edge]
+            edges = via[at[going]]
+            on_path[edges] = True
+            edge[start[edges]] = edges
+            at[going] = a[edges]
             going = going[at[going] != zero[going]]
-        if path:
-            owner, edge = np.concatenate([w for w, _ in path]), np.concatenate([e for _, e in path])
-            order = np.lexsort((start[edge], owner))
-            owner, edge = owner[order], edge[order]
-        else:
-            owner = edge = np.zeros(0, np.int64)
+        edge = edge[edge >= 0]
         flat, per_edge = self._spell(ids[edge], chars[start[edge]])
-        counts = np.bincount(owner, per_edge, len(words)).astype(np.int64)
+        counts = np.bincount(word[edge], per_edge, len(words)).astype(np.int64)
         total = forward[goal]
         second = np.full(len(words), -np.inf)
         np.maximum.at(second, word[~on_path], through[~on_path])
@@ -230,28 +256,25 @@ def _blank_first(word: str) -> str:
     return " " + word[1:] if word[:1] == MARK else word
 
 
-def _best(n: int, origin: np.ndarray, a: np.ndarray, b: np.ndarray, step: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Best score from the origins to each border over edges a -> b, and the last edge there.
+def _best(n: int, origin: np.ndarray, a: np.ndarray, b: np.ndarray, step: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """Best score from the origins to each border over edges a -> b.
 
-    ``step`` is the distance of b from its word's origin: edges are taken in its
-    order, those of all words together. Of equal paths the one with the smaller ``a`` wins.
+    ``step`` is the distance of a from its word's origin: edges are taken in its order, those of all words
+    together. Edges come in order of their length, so those of one step and length lead to different borders.
     """
-    best, via = np.full(n, -np.inf), np.full(n, -1)
+    best = np.full(n, -np.inf)
     best[origin] = 0.0
-    # one sort key for (step, b, a); pieces are far shorter than 256 characters
-    order = np.argsort((step * n + b) * 256 + (255 - np.abs(b - a)))
-    cuts = np.searchsorted(step[order], np.arange(1, (int(step.max()) if len(step) else 0) + 2))
-    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-        some = order[lo:hi]
-        if not len(some):
-            continue
-        to, value = b[some], best[a[some]] + score[some]
-        lead = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1])))
-        top = np.maximum.reduceat(value, lead)
-        equal = value == np.repeat(top, np.diff(np.append(lead, len(to))))
-        pick = np.minimum.reduceat(np.where(equal, np.arange(len(to)), len(to)), lead)
-        best[to[lead]], via[to[lead]] = top, some[pick]
-    return best, via
+    if not len(step):
+        return best
+    # a stable sort of small numbers is a radix sort
+    order = np.argsort(step.astype(np.uint16) if step.max() < 1 << 16 else step, kind="stable")
+    step, a, b, score = step[order], a[order], b[order], score[order]
+    length = np.abs(b - a)
+    cuts = np.flatnonzero((step[1:] != step[:-1]) | (length[1:] != length[:-1])) + 1
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(step)], strict=True):
+        to = b[lo:hi]
+        best[to] = np.maximum(best[to], best[a[lo:hi]] + score[lo:hi])
+    return best
 
 
 def merge_nbest(lists: list[list[float]], n: int) -> list[tuple[float, tuple[int, ...]]]:
@@ -268,7 +291,9 @@ def _units(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     bounds = lists.offsets.to_numpy().astype(np.int64)
     encoded = lists.flatten().dictionary_encode()
     codes = encoded.indices.to_numpy().astype(np.int64)
-    plain = encoded.dictionary.to_pylist()
+    # no word holds a blank, so all of them travel as one string
+    kinds = encoded.dictionary
+    plain = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(kinds)], pa.int32()), kinds), " ")[0].as_py().split(" ") if len(kinds) else []
     words = [" " + w for w in plain]
     text = np.repeat(np.arange(len(texts)), np.diff(bounds))
     # an empty text has no unit, though the split gives a word
@@ -345,11 +370,14 @@ class PieceEncoder:
         """Whether decoding the ids gives back each text; ``made``: segmentations of each text, one where it is left out."""
         of = np.repeat(np.arange(len(texts)), 1 if made is None else made)
         out = np.empty(len(of), bool)
-        ends = np.cumsum(sizes)
         data, offsets = as_binary(texts)
-        for k, (t, a, b) in enumerate(zip(of.tolist(), (ends - sizes).tolist(), ends.tolist(), strict=True)):
-            plain = self.model.decode(ids[a:b])
-            out[k] = np.array_equal(plain[1:], data[offsets[t] : offsets[t + 1]]) and (len(plain) > 0) == (offsets[t + 1] > offsets[t])
+        first = np.concatenate(([0], np.cumsum(sizes)))
+        for lo, hi in text_blocks(first):
+            decoded, places = as_binary(self.model.pieces.take(pa.array(ids[first[lo] : first[hi]])))
+            cuts = places[first[lo : hi + 1] - first[lo]].tolist()
+            for k, t, a, b in zip(range(lo, hi), of[lo:hi].tolist(), cuts[:-1], cuts[1:], strict=True):
+                plain = decoded[a:b]
+                out[k] = np.array_equal(plain[1:], data[offsets[t] : offsets[t + 1]]) and (len(plain) > 0) == (offsets[t + 1] > offsets[t])
         return out
 
 

@@ -180,3 +180,39 @@ def test_query_has_a_digest_of_each_rank(spark):
     for r in P.query(spark, SF_DIRS["0.001"]).collect():
         assert len(r["nbest_crc32"]) == len(r["nbest_scores"]) == len(r["nbest_pieces"]) and all(r["nbest_round_trip"])
         assert r["ids_crc32"] == r["nbest_crc32"][0] and r["n_pieces"] == r["nbest_pieces"][0] and len(set(r["nbest_crc32"])) == len(r["nbest_crc32"])
+
+
+def test_edges_of_the_tree_are_found_by_hash(encoder):
+    model = encoder.model
+    for name, (_, i) in model.score.items():
+        node = model._root[ord(name[0])]
+        for c in name[1:]:
+            node = model._next(np.array([(int(node) << 21) | ord(c)]))[0] if len(name) < 4 else node
+        assert len(name) >= 4 or model._node_id[node] == i
+    keys = model._keys[model._keys >= 0]
+    assert (model._next(keys) > 0).all()
+    absent = np.setdiff1d(np.arange(1 << 21, (1 << 21) + 200_000), keys)
+    assert not model._next(absent).any()
+
+
+def test_round_trips_some_segmentations_at_a_time(encoder, monkeypatch):
+    texts = pa.array([*TEXTS, "another text of more words " * 20])
+    ids, sizes, scores = encoder.segmentations(texts)
+    made = np.array([len(x) for x in scores])
+    wrong = ids.copy()
+    wrong[-1] = wrong[0]
+    seen = []
+    blocks = P.text_blocks
+    monkeypatch.setattr(P, "text_blocks", lambda offsets: [seen.append(x) or x for x in blocks(offsets, 16)])
+    assert encoder.round_trip(texts, ids, sizes, made).all()
+    assert encoder.round_trip(texts, wrong, sizes, made).tolist() == [True] * (len(sizes) - 1) + [False]
+    assert len(seen) > 10
+
+
+def test_long_words_and_ties(encoder):
+    """Of equal paths that with the longer last piece; words longer than any piece, and of one character."""
+    for word in ("▁" + "a" * 300, "▁" + "日本" * 40, "▁" + " " * 30, "▁q", "▁" + "thehe" * 50):
+        ids, counts, score, _ = encoder.model.solve([word])
+        assert counts[0] == len(ids) and np.isclose(score[0], encoder.model.nbest(word, 1)[0][0])
+        both = encoder.model.solve(["▁x", word, "▁the"])
+        assert both[0][both[1][0] : both[1][0] + both[1][1]].tolist() == ids.tolist()
