@@ -12,8 +12,9 @@
    members are compared with one centre, then with a second one from those
    that the first left over; comparisons are exact up to 32-bit hashes of shingles. Similar texts join
    one group. Pairs left between groups are told apart by what each has beside the centre and lacks of
-   it (:func:`candidates`). That loses no similar pair, whatever the weights, and leaves few others
-   even among thousands of edited copies.
+   it (:func:`linked`). That loses no similar pair, whatever the weights, and leaves few others
+   even among thousands of edited copies; those left are compared where they meet, and each set comes out
+   with its number of links and one link to its group, not with every pair.
 4. Groups are the connected components of the verified pairs.
 
 Similarity is ``sum over shared i of 1 / sum over j of max(x_j / x_i, y_j / y_i)``; for
@@ -27,7 +28,7 @@ doc_id and words are one document; every input row is returned.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -104,7 +105,11 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     if not len(shared):
         return 0.0
     x, y = a[1][ia].astype(np.float64), b[1][ib].astype(np.float64)
-    only_x, only_y = float(a[1].sum()) - x.sum(), float(b[1].sum()) - y.sum()
+    return _jaccard(x, y, float(a[1].sum()) - x.sum(), float(b[1].sum()) - y.sum())
+
+
+def _jaccard(x: np.ndarray, y: np.ndarray, only_x: float, only_y: float) -> float:
+    """The similarity from the weights of the shared elements on both sides, and the weight that each side has alone."""
     # for element i, those with a larger x_j / y_j weigh x_j / x_i, the others y_j / y_i
     order = np.argsort(x / y, kind="stable")
     x, y = x[order], y[order]
@@ -190,33 +195,45 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     ``extras`` lists the shingles of ``id`` that ``head`` lacks; ``extra`` is their share of ``total``, the weight of ``id``, and
     ``top`` the largest of their weights. ``lacks`` lists the shingles of ``head`` that ``id`` lacks, ``missing`` of them.
+    ``changed`` lists the shared shingles of unlike weights. ``weights`` has those of the extras, of the lacks (in ``head``), and of the
+    changed ones in ``id``, then in ``head``; it is empty where both sets have weights of one alone. ``plain``: ``id`` has.
     """
 
     def read(elements: pa.Scalar, weights: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
         e, w = np.frombuffer(elements.as_buffer(), "<u4"), weights.as_buffer()
         return e, np.frombuffer(w, "<u4") if w.size else np.ones(len(e), np.uint32)
 
-    @F.arrow_udf("similarity double, extra double, missing int, total long, top int, extras array<int>, lacks array<int>")
+    lists = ["extras", "lacks", "changed", "weights"]
+
+    @F.arrow_udf("similarity double, extra double, missing int, total long, top int, plain boolean, " + ", ".join(f"{c} array<int>" for c in lists))
     def compare(ea: pa.Array, wa: pa.Array, eb: pa.Array, wb: pa.Array) -> pa.Array:
         n = len(ea)
         similarity, extra, missing, total, top = np.zeros(n), np.zeros(n), np.zeros(n, np.int32), np.zeros(n, np.int64), np.zeros(n, np.int32)
-        extras: list[np.ndarray] = []
-        lacks: list[np.ndarray] = []
+        plain = np.zeros(n, bool)
+        found: dict[str, list[np.ndarray]] = {c: [] for c in lists}
+        none = np.zeros(0, np.int32)
         for i in range(n):
             a, b = read(ea[i], wa[i]), read(eb[i], wb[i])
             similarity[i] = probability_jaccard(a, b)
-            at = _not_in(a[0], b[0])
+            at, back = _not_in(a[0], b[0]), _not_in(b[0], a[0])
             more = a[1][at]
             total[i] = a[1].sum()
-            extra[i], top[i] = more.sum() / total[i], more.max(initial=0)
-            extras.append(a[0][at].view(np.int32))
-            lacks.append(b[0][_not_in(b[0], a[0])].view(np.int32))
-            missing[i] = len(lacks[-1])
+            extra[i], top[i], missing[i], plain[i] = more.sum() / total[i], more.max(initial=0), len(back), not wa[i].as_buffer().size
+            found["extras"].append(a[0][at].view(np.int32))
+            found["lacks"].append(b[0][back].view(np.int32))
+            if plain[i] and not wb[i].as_buffer().size:
+                found["changed"].append(none)
+                found["weights"].append(none)
+                continue
+            _, ia, ib = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+            unlike = a[1][ia] != b[1][ib]
+            found["changed"].append(a[0][ia[unlike]].view(np.int32))
+            found["weights"].append(np.concatenate((more, b[1][back], a[1][ia[unlike]], b[1][ib[unlike]])).astype(np.int32))
         ends = lambda x: pa.array(np.concatenate(([0], np.cumsum([len(v) for v in x]))), pa.int32())
         flat = lambda x: pa.ListArray.from_arrays(ends(x), pa.array(np.concatenate([*x, np.zeros(0, np.int32)]).astype(np.int32)))
-        columns = {"similarity": similarity, "extra": extra, "missing": missing, "total": total, "top": top}
-        out = pa.StructArray.from_arrays([*map(pa.array, columns.values()), flat(extras), flat(lacks)], names=[*columns, "extras", "lacks"])
-        del extras, lacks
+        columns = {"similarity": similarity, "extra": extra, "missing": missing, "total": total, "top": top, "plain": plain}
+        out = pa.StructArray.from_arrays([*map(pa.array, columns.values()), *map(flat, found.values())], names=[*columns, *found])
+        del found
         release_memory()
         return out
 
@@ -263,28 +280,25 @@ def overlaps(a: pa.ListArray, b: pa.ListArray) -> np.ndarray:
     return out
 
 
-def candidates(members: DataFrame, most: float) -> DataFrame:
-    """Pairs (id, head) of sets of different groups that can be similar, from how each differs from a centre they share.
+def _met(members: DataFrame, most: float, more: list[str], told: Callable[[pa.Table, pa.Table, np.ndarray, np.ndarray, np.ndarray], pa.Table], schema: str) -> DataFrame:
+    """What ``told`` makes of each two blocks of members of a centre, and of the pairs of sets of different groups in them that can be similar.
 
-    ``members``: rows (centre, id, group, stray) with the columns of :func:`compared`; of a pair one at least is a stray. ``most``: see
-    :func:`may_differ`. Seen from the centre, the first of two sets has alone its extras but those that they share, and of the
-    centre what only the other lacks (a weight of one at least for each). Nothing similar is lost by that, and for sets
-    without weights these are all their differences, so that hardly a pair comes out that is not similar. The members of a centre
+    ``members``: rows (centre, id, group, stray) with the columns of :func:`compared` (of which ``more`` are for ``told``); of a pair one
+    at least is a stray. ``most``: see :func:`may_differ`. Seen from the centre, the first of two sets has alone its extras but those that
+    they share, and of the centre what only the other lacks (a weight of one at least for each). Nothing similar is lost by that, and for
+    sets without weights these are all their differences, so that hardly a pair comes out that is not similar. The members of a centre
     are dealt to blocks; two blocks meet in a task, where two products of incidence matrices count what their members share.
     """
     blocks = members.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / _DEALT).cast("int").alias("_blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
     columns = ["id", "group", "stray", "extra", "missing", "total", "top", "extras", "lacks"]
-    dealt = members.join(blocks, "centre").select("centre", *columns, own.alias("_own"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
-    dealt = dealt.select("centre", *columns, "_own", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"))
+    dealt = members.join(blocks, "centre").select("centre", *columns, *more, own.alias("_own"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
+    dealt = dealt.select("centre", *columns, *more, "_own", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"))
 
     def meet(table: pa.Table) -> pa.Table:
         i, j = table.column("_i")[0].as_py(), table.column("_j")[0].as_py()
         sides = [table.filter(pa.array(table.column("_own").to_numpy() == k)) for k in (i, j)]
-        if not all(x.num_rows for x in sides):
-            return pa.table({"id": pa.array([], pa.int64()), "head": pa.array([], pa.int64())})
-        whole = lambda t, c: pa.concat_arrays(t.column(c).chunks)
-        shared, lacked = (overlaps(*(whole(x, c) for x in sides)) for c in ("extras", "lacks"))
+        shared, lacked = (overlaps(*(_whole(x, c) for x in sides)) for c in ("extras", "lacks"))
         x, y = ({c: s.column(c).to_numpy() for c in columns[:7]} for s in sides)
         across = {c: y[c][None, :] for c in y}
         x = {c: v[:, None] for c, v in x.items()}
@@ -295,11 +309,110 @@ def candidates(members: DataFrame, most: float) -> DataFrame:
         keep = (apart <= most) & (x["group"] != across["group"]) & (x["stray"] | across["stray"])
         if i == j:
             keep &= x["id"] < across["id"]
+        return told(*sides, keep, shared, lacked)
+
+    return dealt.groupBy("centre", "_i", "_j").applyInArrow(meet, schema)
+
+
+def _whole(table: pa.Table, column: str) -> pa.Array:
+    chunked = table.column(column)
+    return pa.concat_arrays(chunked.chunks) if chunked.num_chunks else pa.array([], chunked.type)
+
+
+def candidates(members: DataFrame, most: float) -> DataFrame:
+    """Pairs (id, head) of sets of different groups that can be similar, from how each differs from a centre they share: see :func:`_met`."""
+
+    def pairs(x: pa.Table, y: pa.Table, keep: np.ndarray, _shared: np.ndarray, _lacked: np.ndarray) -> pa.Table:
         a, b = np.nonzero(keep)
-        ids = x["id"][a, 0], across["id"][0, b]
+        ids = x.column("id").to_numpy()[a], y.column("id").to_numpy()[b]
         return pa.table({"id": pa.array(np.minimum(*ids)), "head": pa.array(np.maximum(*ids))})
 
-    return dealt.groupBy("centre", "_i", "_j").applyInArrow(meet, "id long, head long").distinct()
+    return _met(members, most, [], pairs, "id long, head long").distinct()
+
+
+def linked(members: DataFrame, similarity: float) -> DataFrame:
+    """The similar pairs of :func:`candidates`, told by set: rows (id, head, links).
+
+    Rows of one id add up to its number of links, each pair counted once; the edges (id, head) have the components of all these pairs. Two
+    blocks give a row at most for each of their members, however many pairs are similar. A pair that several centres have in common
+    is compared at the first of them, exactly, from the differences from the centre.
+    """
+    seen = members.groupBy("id").agg(F.collect_list("centre").alias("centres"), F.collect_list(F.when(F.col("stray"), F.col("centre"))).alias("astray"))
+    before = [F.filter(c, lambda at: at < F.col("centre")).alias(c) for c in ("centres", "astray")]
+    more = ["plain", "changed", "weights"]
+
+    def told(x: pa.Table, y: pa.Table, keep: np.ndarray, shared: np.ndarray, lacked: np.ndarray) -> pa.Table:
+        if keep.any():
+            for p, q in (("astray", "centres"), ("centres", "astray")):
+                keep &= overlaps(_whole(x, p), _whole(y, q)) == 0
+        a, b = np.nonzero(keep)
+        total, other = x.column("total").to_numpy()[a], y.column("total").to_numpy()[b]
+        # of sets with weights of one: what the first has of the centre but the other lacks, and the extras of both
+        extras = _whole(x, "extras").value_lengths().to_numpy()[a]
+        both = total - extras - (y.column("missing").to_numpy()[b] - lacked[a, b]) + shared[a, b]
+        alike = both / (total + other - both)
+        uneven = np.flatnonzero(~(x.column("plain").to_numpy()[a] & y.column("plain").to_numpy()[b]))
+        alike[uneven] = from_differences(x, y, a[uneven], b[uneven])
+        a, b = a[alike >= similarity], b[alike >= similarity]
+        ids, at = np.unique(np.concatenate((x.column("id").to_numpy()[a], y.column("id").to_numpy()[b])), return_inverse=True)
+        return pa.table({"id": pa.array(ids), "head": pa.array(ids[_least_reached(at[: len(a)], at[len(a) :], len(ids))]), "links": pa.array(np.bincount(at, minlength=len(ids)))})
+
+    return _met(members.join(seen.select("id", "centres", "astray"), "id").select(*members.columns, *before), may_differ(similarity), [*more, "centres", "astray"], told, "id long, head long, links long")
+
+
+def _least_reached(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Of each of n nodes the smallest that edges (a, b) join it to."""
+    found = np.arange(n)
+    while True:
+        least = found.copy()
+        np.minimum.at(least, a, found[b])
+        np.minimum.at(least, b, found[a])
+        least = least[least]
+        if (least == found).all():
+            return found
+        found = least
+
+
+def from_differences(x: pa.Table, y: pa.Table, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Similarity of rows ``a`` of x and ``b`` of y, weighted sets that :func:`compared` has told by their differences from one centre.
+
+    Elements that weigh the same on both sides count like a single one that has all of their weight.
+    """
+    out = np.zeros(len(a))
+    if not len(a):
+        return out
+    sides: list[dict[int, tuple[np.ndarray, ...]]] = []
+    for table, rows in ((x, a), (y, b)):
+        columns = [_whole(table, c) for c in ("extras", "lacks", "changed", "weights")]
+        side = {}
+        for r in np.unique(rows).tolist():
+            extras, lacks, changed, w = (c[r].values.to_numpy() for c in columns)
+            n, m = len(extras), len(extras) + len(lacks)
+            w = w.astype(np.float64) if len(w) else np.ones(m)
+            own = np.concatenate((w[:n], np.zeros(m - n), w[m : m + len(changed)]))
+            side[r] = np.concatenate((extras, lacks, changed)), own, np.concatenate((np.zeros(n), w[n:m], w[m + len(changed) :]))
+        sides.append(side)
+    names = np.unique(np.concatenate([e for side in sides for e, _, _ in side.values()]))
+    centre = np.zeros(len(names))
+    for side in sides:
+        for r, (e, own, weight) in side.items():
+            at = np.searchsorted(names, e)
+            centre[at] = weight
+            side[r] = at, own
+    total = x.column("total").to_numpy()
+    left, right, second = centre.copy(), centre.copy(), np.zeros(len(names), bool)
+    for k, (p, q) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        (i, own), (j, other) = sides[0][p], sides[1][q]
+        left[i], right[j], second[j] = own, other, True
+        at = np.concatenate((j, i[~second[i]]))
+        v, w = left[at], right[at]
+        rest = float(total[p]) - v[v != w].sum()
+        unlike = (v != w) & (v > 0) & (w > 0)
+        only = v[w == 0].sum(), w[v == 0].sum()
+        if rest > 0 or unlike.any():
+            out[k] = _jaccard(np.append(v[unlike], rest) if rest > 0 else v[unlike], np.append(w[unlike], rest) if rest > 0 else w[unlike], *only)
+        left[i], right[j], second[j] = centre[i], centre[j], False
+    return out
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -401,17 +514,17 @@ def _group(docs: DataFrame, classes: DataFrame, similarity: float) -> tuple[Data
     of_bucket = shared.select("id", "bucket").join(centres.filter("size > 2").select("bucket", "head"), "bucket").join(loose.select("bucket").distinct(), "bucket")
     of_centre = of_bucket.join(loose, ["bucket", "id"], "left").groupBy("id", "head").agg(F.coalesce(F.bool_or("stray"), F.lit(False)).alias("stray"))
     members = of_centre.join(relative.drop("similarity"), ["id", "head"]).join(groups, "id").withColumnRenamed("head", "centre")
-    pairs = stored(candidates(stored(members, "members"), may_differ(least)), "pairs")
-    rest = stored(compared(pairs, sets).select("id", "head", "similarity"), "rest")
-    verified.append(rest.filter(F.col("similarity") >= least).select("id", "head"))
-    groups = merged(groups, verified[-1])
+    rest = stored(linked(stored(members, "members"), least), "rest")
+    groups = merged(groups, rest.filter("id != head").select("id", "head"))
 
     links = verified[0]
     for more in verified[1:]:
         links = links.unionByName(more)
     links = links.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
     ends = links.select(F.col("a").alias("id")).unionAll(links.select(F.col("b").alias("id")))
-    return groups, ends.groupBy("id").agg(F.count(F.lit(1)).alias("links"))
+    # the pairs told by set join different groups, so none of them is among the others
+    counted = ends.groupBy("id").agg(F.count(F.lit(1)).alias("links")).unionByName(rest.select("id", "links"))
+    return groups, counted.groupBy("id").agg(F.sum("links").alias("links"))
 
 
 def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

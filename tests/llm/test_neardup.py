@@ -216,3 +216,77 @@ def test_keep_first_leaves_columns_of_any_name(spark):
     kept = N.keep_first(docs)
     assert kept.columns == docs.columns
     assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]
+
+
+def members_at(spark, sets, centres, strays):
+    """Rows for ``linked``: every set of ``sets`` against each centre, each a group of its own, ``strays`` (centre, id) as told."""
+    rows = []
+    for i, x in [*enumerate(sets), *centres.items()]:
+        w = np.array([x[k] for k in sorted(x)], "<u4")
+        rows.append((i, np.array(sorted(x), "<u4").tobytes(), b"" if (w == 1).all() else w.tobytes()))
+    frame = spark.createDataFrame(rows, "id long, elements binary, weights binary")
+    pairs = spark.createDataFrame([(i, c) for i in range(len(sets)) for c in centres], "id long, head long")
+    stray = spark.createDataFrame([(c, i, (c, i) in strays) for c in centres for i in range(len(sets))], "centre long, id long, stray boolean")
+    return N.compared(pairs, frame).drop("similarity").withColumnRenamed("head", "centre").withColumn("group", N.F.col("id")).join(stray, ["centre", "id"])
+
+
+@pytest.mark.parametrize("weights", [1, 4])
+def test_links_of_a_crowd_come_out_by_set(spark, monkeypatch, weights):
+    """Hundreds of sets far from their centres and near each other: a row a set and task, not a row a pair; each pair counts once."""
+    rng = random.Random(weights)
+    sets = []
+    for e in range(3):  # editions, of which each is a crowd
+        edition = Counter({1000 * e + k: rng.randint(1, weights) for k in range(50)}) | Counter({9000 + k: rng.randint(1, weights) for k in range(30)})
+        for i in range(60):
+            x = Counter(edition)
+            for k in rng.sample(sorted(x), rng.randrange(0, 14)):
+                del x[k]
+            if i % 5 == 0 and weights > 1:
+                x[rng.choice(sorted(x))] += 1
+            if i % 9 == 0:
+                x = Counter({k: 2 * v if weights > 1 else v for k, v in x.items()})
+            sets.append(x)
+    centres = {100_001: Counter({9000 + k: rng.randint(1, weights) for k in range(60)}), 100_002: Counter({9000 + k: 1 for k in range(40)})}
+    strays = {(100_001, i) for i in range(len(sets)) if i % 2} | {(100_002, i) for i in range(len(sets)) if i % 3}
+    arrays = [(np.array(sorted(x), np.uint64), np.array([x[k] for k in sorted(x)])) for x in sets]
+    met = {(i, j) for j in range(len(sets)) for i in range(j) if any({(c, i), (c, j)} & strays for c in centres)}
+    pairs = {(i, j) for i, j in met if N.probability_jaccard(arrays[i], arrays[j]) >= 0.8 - 1e-9}
+    members = members_at(spark, sets, centres, strays).persist()
+    assert len(pairs) > 2 * len(sets) * len(centres)
+    for dealt in (256, 70):
+        monkeypatch.setattr(N, "_DEALT", dealt)
+        found = N.linked(members, 0.8 - 1e-9).collect()
+        blocks = -(-len(sets) // dealt)
+        assert len(found) <= len(sets) * len(centres) * blocks and len(found) < len(pairs) / 2 <= N.candidates(members, N.may_differ(0.8)).count()
+        links, ends = Counter(), Counter()
+        for r in found:
+            links[r["id"]] += r["links"]
+        for p in pairs:
+            ends.update(p)
+        assert +links == ends
+        joined = lambda edges: {frozenset(x) for x in components_of(edges, len(sets))}
+        assert joined({(r["id"], r["head"]) for r in found}) == joined(pairs)
+    members.unpersist()
+
+
+def components_of(edges, n):
+    group = list(range(n))
+    for _ in range(n):
+        before = list(group)
+        for a, b in edges:
+            group[a] = group[b] = min(group[a], group[b])
+        if before == group:
+            break
+    return [[i for i in range(n) if group[i] == g] for g in set(group)]
+
+
+def test_similarity_from_differences(spark):
+    """Sets of any weights, compared by how they differ from a centre, are as alike as by the definition."""
+    rng = random.Random(8)
+    centre = Counter({k: rng.randint(1, 3) for k in range(20)})
+    sets = [Counter({k: rng.randint(1, 3) * (1 + i % 2) for k in rng.sample(range(26), rng.randint(1, 20))}) for i in range(30)]
+    sets += [centre, Counter({k: 2 * v for k, v in centre.items()}), Counter({k: 1 for k in range(20)}), Counter({99: 1})]
+    members = members_at(spark, sets, {1000: centre}, set()).toArrow().sort_by("id")
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    got = N.from_differences(members, members, a, b)
+    assert got.tolist() == pytest.approx([similarity(sets[i], sets[j]) for i, j in zip(a.tolist(), b.tolist(), strict=True)], abs=1e-12)
