@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import Tokens, as_binary, ranges, read_table, segment_ids, shingles, text_blocks, text_column
+from pulsegrid.llm.common import Tokens, as_binary, ranges, read_table, release_memory, segment_ids, shingles, text_blocks, text_column
 
 SEED, RARE, LEAST = 3, 1e-9, 8
 THRESHOLD = 0.5
@@ -74,6 +74,7 @@ def word_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, in
                 at = np.minimum(np.searchsorted(vocabulary, found), size - 1)
                 total[:size] += np.bincount(at[vocabulary[at] == found], minlength=size)
                 total[size] += len(found)
+            release_memory()
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["word", "n"])
 
@@ -220,7 +221,9 @@ def leaks(text: Column, bench: Benchmark, threshold: float = THRESHOLD) -> Colum
     @F.arrow_udf("array<struct<item int, score double, start long, end long>>")
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array([[(i, *x) for i, x in sorted(f.items())] for f in find(texts, bench, threshold)], kind)
+            found = pa.array([[(i, *x) for i, x in sorted(f.items())] for f in find(texts, bench, threshold)], kind)
+            release_memory()
+            yield found
 
     return search(F.coalesce(text.cast("string"), F.lit("")))
 

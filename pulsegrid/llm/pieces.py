@@ -46,7 +46,7 @@ NBEST = 4
 # the file gives scores below this to pieces for which nothing else stands; they count as spelled characters do
 _LAST_RESORT = -1e8
 # distinct words whose lattices are solved together
-_WORDS = 40_000
+_WORDS = 8_000
 # words whose N best segmentations a worker keeps, about 1.5 KB each
 _KEPT = 16_384
 
@@ -353,18 +353,24 @@ class PieceEncoder:
                 other += [(t, rank, p - int(units[t]), found[k][1]) for p, found, k in zip(places, lists, took, strict=True) if k]
         made = np.fromiter(map(len, scores), np.int64, len(scores))
         # the units of every segmentation as ranges of ids: those of the best path, then the others
-        of = np.repeat(np.arange(len(texts)), made)
-        n_units = np.diff(units)[of]
-        at = codes[ranges(units[of], n_units)]
-        begin, size = first[at], counts[at]
-        if other:
-            seg, first_unit = np.cumsum(made) - made, np.cumsum(n_units) - n_units
-            swap = np.array([first_unit[seg[t] + rank] + p for t, rank, p, _ in other])
-            lengths = np.array([len(x) for *_, x in other])
-            begin[swap], size[swap] = len(flat) + np.cumsum(lengths) - lengths, lengths
-            flat = np.concatenate([flat, *(x for *_, x in other)])
-        ids = flat[ranges(begin, size)].astype(np.int32)
-        return ids, np.bincount(np.repeat(np.arange(len(of)), n_units), size, len(of)).astype(np.int64), scores
+        lengths = np.fromiter((len(x) for *_, x in other), np.int64, len(other))
+        begins = len(flat) + np.cumsum(lengths) - lengths
+        flat = np.concatenate([flat, *(x for *_, x in other)]).astype(np.int32)
+        place = np.array([x[:3] for x in other], np.int64).reshape(-1, 3)
+        ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        # some texts at a time: the units of all their segmentations take far more room than the texts
+        for a, b in text_blocks(units * 8 * self.n):
+            of = np.repeat(np.arange(a, b), made[a:b])
+            n_units = np.diff(units)[of]
+            at = codes[ranges(units[of], n_units)]
+            begin, size = first[at], counts[at]
+            seg, first_unit = np.cumsum(made[a:b]) - made[a:b], np.cumsum(n_units) - n_units
+            lo, hi = np.searchsorted(place[:, 0], (a, b))
+            swap = first_unit[seg[place[lo:hi, 0] - a] + place[lo:hi, 1]] + place[lo:hi, 2]
+            begin[swap], size[swap] = begins[lo:hi], lengths[lo:hi]
+            ids.append(flat[ranges(begin, size)])
+            sizes.append(np.bincount(segment_ids(n_units), size, len(of)).astype(np.int64))
+        return np.concatenate(ids), np.concatenate(sizes), scores
 
     def round_trip(self, texts: pa.Array, ids: np.ndarray, sizes: np.ndarray, made: np.ndarray | None = None) -> np.ndarray:
         """Whether decoding the ids gives back each text; ``made``: segmentations of each text, one where it is left out."""
@@ -372,7 +378,8 @@ class PieceEncoder:
         out = np.empty(len(of), bool)
         data, offsets = as_binary(texts)
         first = np.concatenate(([0], np.cumsum(sizes)))
-        for lo, hi in text_blocks(first):
+        # a piece takes an offset of 8 bytes beside its own
+        for lo, hi in text_blocks(first * 8):
             decoded, places = as_binary(self.model.pieces.take(pa.array(ids[first[lo] : first[hi]])))
             cuts = places[first[lo : hi + 1] - first[lo]].tolist()
             for k, t, a, b in zip(range(lo, hi), of[lo:hi].tolist(), cuts[:-1], cuts[1:], strict=True):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import as_binary, read_table, text_blocks, text_column
+from pulsegrid.llm.common import as_binary, read_table, release_memory, text_blocks, text_column
 
 
 @dataclass(frozen=True)
@@ -292,25 +292,32 @@ def secret_report(text: Column) -> Column:
 
 
 def redact(text: Column, mark: str = "[SECRET]", rules: tuple[Rule, ...] = RULES) -> Column:
-    """The text with every found span replaced by ``mark`` (overlapping spans by one); NULL stays NULL."""
+    """The text with every found span replaced by ``mark`` (overlapping spans by one); NULL stays NULL.
+
+    A block of texts is worked on, handed out and forgotten before the next one.
+    """
 
     @F.arrow_udf("string")
     def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scanner = SecretScanner(rules)
         for texts in batches:
-            out = []
-            for value, found in zip(texts.to_pylist(), scanner.scan(texts), strict=True):
-                if found:
-                    parts, at = [], 0
-                    for s, _, e in found:
-                        if e <= at:
-                            continue
-                        if s >= at:
-                            parts += [value[at:s], mark]
-                        at = e
-                    value = "".join([*parts, value[at:]])
-                out.append(value)
-            yield pa.array(out, pa.string())
+            for a, b in text_blocks(as_binary(texts)[1]):
+                some, out = texts.slice(a, b - a), []
+                for value, found in zip(some.to_pylist(), scanner.scan(some), strict=True):
+                    if found:
+                        parts, at = [], 0
+                        for s, _, e in found:
+                            if e <= at:
+                                continue
+                            if s >= at:
+                                parts += [value[at:s], mark]
+                            at = e
+                        value = "".join([*parts, value[at:]])
+                    out.append(value)
+                redacted = pa.array(out, pa.string())
+                del out
+                yield redacted
+                release_memory()
 
     return clean(text)
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -216,3 +218,34 @@ def test_long_words_and_ties(encoder):
         assert counts[0] == len(ids) and np.isclose(score[0], encoder.model.nbest(word, 1)[0][0])
         both = encoder.model.solve(["▁x", word, "▁the"])
         assert both[0][both[1][0] : both[1][0] + both[1][1]].tolist() == ids.tolist()
+
+
+def test_segmentations_some_texts_at_a_time(encoder, monkeypatch):
+    texts = pa.array([*TEXTS, *SHORT, "", "another text of more words " * 20, "  "])
+    ids, sizes, scores = encoder.segmentations(texts)
+    seen = []
+    blocks = P.text_blocks
+    monkeypatch.setattr(P, "text_blocks", lambda offsets: [seen.append(x) or x for x in blocks(offsets, 40)])
+    again, again_sizes, again_scores = encoder.segmentations(texts)
+    assert len(seen) > 10
+    assert again.tolist() == ids.tolist() and again_sizes.tolist() == sizes.tolist() and again_scores == scores
+    assert again.dtype == np.int32
+
+
+def test_memory_of_a_block(encoder):
+    """A block of 2 MB with its ids (24 MB): 148 MB, and 51 MB more for the round trips, when all of it was worked on at once."""
+    rng = np.random.default_rng(5)
+    words = np.array([f"word{i:x}of{i * 7919 % 65536:x}" for i in range(60_000)])
+    texts = pa.array([" ".join(words[rng.integers(0, len(words), 100)]) for _ in range(1500)])
+    tracemalloc.start()
+    try:
+        ids, sizes, scores = encoder.segmentations(texts)
+        made = np.array([len(s) for s in scores])
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        held = tracemalloc.get_traced_memory()[0]
+        assert encoder.round_trip(texts, ids, sizes, made).all()
+        decoding = tracemalloc.get_traced_memory()[1] - held
+    finally:
+        tracemalloc.stop()
+    assert most < 110e6 and decoding < 20e6

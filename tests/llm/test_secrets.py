@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -92,3 +93,18 @@ def test_query_against_contract(spark):
 @pytest.mark.parametrize("text,clean", [("a token=abcdefgh b", "a [SECRET] b"), ("none", "none"), (None, None), ("token=" + "0a" * 20, "[SECRET]")])
 def test_redaction(spark, text, clean):
     assert docs_frame(spark, [(1, text)]).select(S.redact(F.col("text")).alias("t")).first()["t"] == clean
+
+
+def test_redaction_hands_out_a_block_at_a_time(monkeypatch):
+    """A batch comes out in blocks of texts, the same texts as in one."""
+    caught = []
+    plain = SimpleNamespace(arrow_udf=lambda kind: lambda f: caught.append(f) or (lambda c: c))
+    monkeypatch.setattr(S, "F", plain)
+    S.redact(None)
+    texts = pa.array([None, "", "password = hunter2hunter2 and token: abcdefghij", "no secret", "é " * 40, "api_key=ABCDEFGH é", None])
+    (whole,) = caught[0](iter([texts]))
+    blocks = S.text_blocks
+    monkeypatch.setattr(S, "text_blocks", lambda offsets: blocks(offsets, 20))
+    parts = list(caught[0](iter([texts])))
+    assert len(parts) > 3 and [x for p in parts for x in p.to_pylist()] == whole.to_pylist()
+    assert whole.to_pylist()[:3] == [None, "", "[SECRET] and [SECRET]"] and whole.to_pylist()[5] == "[SECRET] é"
