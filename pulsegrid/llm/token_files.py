@@ -26,6 +26,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -104,24 +105,34 @@ class EliasFano:
 
 # the encoder sees each distinct word of a block once; longer blocks repeat more of them
 ENCODE_BLOCK_BYTES = 1 << 22
+#: words, and bytes of them and their ids, that an encoder remembers from block to block; beyond that it starts anew
+KNOWN_WORDS, KNOWN_BYTES = 1 << 19, 1 << 26
 _BATCH = 4096
 _PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?$"
+_END_OF_WORD = "</w>"
 
 
-def _byte_characters() -> dict[int, str]:
-    """For str.translate: each Latin-1 letter beyond ASCII as the characters that stand for its UTF-8 bytes.
+def _byte_characters() -> np.ndarray:
+    """The characters that stand for the bytes of UTF-8, as UTF-32; the space stays.
 
     The byte-level alphabet keeps the printable bytes of Latin-1 and numbers the others from 256 on.
     """
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
     others = iter(range(256, 512))
-    stands = {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
-    return {c: "".join(stands[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+    stands = np.array([b if b in printable else next(others) for b in range(256)], "<u4")
+    stands[32] = 32
+    return stands
 
 
 _BYTE_CHARACTERS = _byte_characters()
 
 
+def _together(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The lists' ids concatenated, and the number of ids of each."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())), sizes
+
+
 class WordEncoder:
     """Ids of whole texts by the ``tokenizers`` library, each distinct word of a block encoded once.
 
@@ -129,42 +140,78 @@ class WordEncoder:
     text are those of its space-free words in order (its special strings hold no
     white space either). A word of Latin-1 letters, perhaps with one mark after
     it, is in lower case one or two units of the pre-tokenizer, so the library's
-    model takes the letters' bytes directly; all other words go through its whole
-    pipeline. Equality with the plain call is tested.
+    model takes the letters' bytes directly, many words in one string, and the ids
+    that stand for a word's end part them; all other words go through its whole
+    pipeline. Words of earlier blocks are remembered with their ids, up to
+    ``KNOWN_WORDS`` and ``KNOWN_BYTES``. Equality with the plain call is tested.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._model = self._tokenizer.model
+        self._units = Tokenizer(self._tokenizer.model)
+        self._units.pre_tokenizer = WhitespaceSplit()
         self.vocabulary = self._tokenizer.get_vocab_size()
+        units = self._units.get_vocab()
+        self._ends = np.zeros(max(units.values(), default=0) + 1, bool)
+        self._ends[[i for t, i in units.items() if t.endswith(_END_OF_WORD)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known, self._flat, self._sizes = pa.array([], pa.string()), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def _letters(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lower-case words of letters concatenated, and the number of ids of each."""
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")
+        text = _BYTE_CHARACTERS[np.frombuffer(joined[0].as_buffer(), np.uint8)].tobytes().decode("utf-32-le")
+        ids = np.array(self._units.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self._ends[ids])
+        if len(ends) == len(words):  # no word has two of them
+            return ids, np.diff(ends, prepend=-1)
+        lists = [[t.id for t in self._tokenizer.model.tokenize(w)] for w in text.split(" ")]
+        return _together(lists)
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words concatenated, and the number of ids of each."""
         plain = pc.match_substring_regex(words, _PLAIN).to_numpy(zero_copy_only=False)
         cores = pc.utf8_lower(pc.utf8_rtrim(words.filter(pa.array(plain)), ".,")).dictionary_encode()
-        tokenize = self._model.tokenize
-        lists = [[t.id for t in tokenize(w if w.isascii() else w.translate(_BYTE_CHARACTERS))] for w in cores.dictionary.to_pylist()]
+        found = [self._letters(cores.dictionary.slice(a, _BATCH)) for a in range(0, len(cores.dictionary), _BATCH)]
         rest = words.filter(pa.array(~plain)).to_pylist()
         others = [*rest, ".", ","]
         for a in range(0, len(others), _BATCH):  # the library's results are far larger than their ids
-            lists += [e.ids for e in self._tokenizer.encode_batch_fast(others[a : a + _BATCH], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))
+            lists = [e.ids for e in self._tokenizer.encode_batch_fast(others[a : a + _BATCH], add_special_tokens=False)]
+            found.append(_together(lists))
+        flat = np.concatenate([ids for ids, _ in found])
         # each word is its unit and then its mark, which for most is the empty unit at the end
-        sizes = np.append(sizes, 0)
+        sizes = np.concatenate([*(n for _, n in found), [0]])
+        last = len(sizes) - 1
         first = np.cumsum(sizes) - sizes
         unit = np.empty(len(words), np.int64)
         unit[plain] = cores.indices.to_numpy()
         unit[~plain] = len(cores.dictionary) + np.arange(len(rest))
-        mark = np.full(len(words), len(lists))
+        mark = np.full(len(words), last)
         for k, c in ((2, "."), (1, ",")):
-            mark[plain & pc.ends_with(words, c).to_numpy(zero_copy_only=False)] = len(lists) - k
+            mark[plain & pc.ends_with(words, c).to_numpy(zero_copy_only=False)] = last - k
         both = np.stack([unit, mark], axis=1).ravel()
         return flat[ranges(first[both], sizes[both])], sizes[unit] + sizes[mark]
 
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where the words stand among the known ones, to which new ones are added."""
+        if len(self._known) > KNOWN_WORDS or self._known.nbytes + self._flat.nbytes > KNOWN_BYTES:
+            self._forget()
+        found = pc.index_in(words, value_set=self._known)
+        new = words.filter(found.is_null())
+        at = found.fill_null(-1).to_numpy().astype(np.int64)
+        at[at < 0] = len(self._known) + np.arange(len(new))
+        if len(new):
+            flat, sizes = self._words(new)
+            self._known = pa.concat_arrays([self._known, new])
+            self._flat, self._sizes = np.concatenate((self._flat, flat)), np.concatenate((self._sizes, sizes))
+        return at
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts concatenated, and the number of ids of each text."""
         for space in "\t\n\r":
@@ -172,8 +219,8 @@ class WordEncoder:
         lists = pc.split_pattern(texts, " ")
         offsets = lists.offsets.to_numpy().astype(np.int64)
         pieces = lists.flatten().dictionary_encode()
-        codes = pieces.indices.to_numpy()
-        flat, sizes = self._words(pieces.dictionary)
+        codes = self._places(pieces.dictionary)[pieces.indices.to_numpy()]
+        flat, sizes = self._flat, self._sizes
         first = np.cumsum(sizes) - sizes
         n = sizes[codes]
         total = np.concatenate(([0], np.cumsum(n)))

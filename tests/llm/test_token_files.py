@@ -46,6 +46,39 @@ def test_encoder_equals_the_library(texts, space):
     assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_encoder_remembers_words_of_earlier_blocks(monkeypatch):
+    encoder, asked, plain = T.WordEncoder(PATH), [], Tokenizer.from_file(PATH)
+    words = encoder._words
+    monkeypatch.setattr(encoder, "_words", lambda w: asked.extend(w.to_pylist()) or words(w))
+    blocks = [["The naïve, the.", "don't"], ["the. The été", ""], ["don't été 日本 naïve,"], [], ["日本 123"]]
+    for block in blocks:
+        ids, counts = encoder(pa.array(block, pa.string()))
+        want = [e.ids for e in plain.encode_batch(block, add_special_tokens=False)]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert sorted(asked) == sorted({w for block in blocks for t in block for w in t.split(" ")})
+
+
+@pytest.mark.parametrize("limit", ["KNOWN_WORDS", "KNOWN_BYTES"])
+def test_encoder_starts_anew_beyond_its_limits(monkeypatch, limit):
+    monkeypatch.setattr(T, limit, 3)
+    encoder, plain = T.WordEncoder(PATH), Tokenizer.from_file(PATH)
+    for k in range(20):
+        block = [f"The {WORDS[k]} and {WORDS[-k]} again", WORDS[k]]
+        ids, counts = encoder(pa.array(block, pa.string()))
+        want = [e.ids for e in plain.encode_batch(block, add_special_tokens=False)]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert len(encoder._known) < 12
+
+
+def test_encoder_without_ids_of_word_ends():
+    encoder = T.WordEncoder(PATH)
+    encoder._ends[:] = False
+    texts = ["The naïve, thoroughly été.", "", "don't ÿ"]
+    ids, counts = encoder(pa.array(texts, pa.string()))
+    want = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def expected(rows):
     tokenizer, start, out = Tokenizer.from_file(PATH), 0, []
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
