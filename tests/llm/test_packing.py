@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from support import SF_DIRS, fresh_dir
 from tokenizers import Tokenizer
@@ -57,6 +58,17 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert P.pack(no_docs, empty, PATH) == 0 and P.read_pieces(spark, empty).count() == 0
 
 
+def test_words_of_earlier_blocks_are_remembered():
+    encoder, asked = P.WordEncoder(PATH), []
+    words = encoder._words
+    encoder._words = lambda w: asked.extend(w.to_pylist()) or words(w)
+    blocks = [["the first block", "has words"], ["the first words", "come again"], ["the block has words"]]
+    got = [encoder(pa.array(b)) for b in blocks]
+    assert sorted(asked) == sorted({w for b in blocks for t in b for w in t.split()})
+    plain = [Tokenizer.from_file(PATH).encode(t, add_special_tokens=False).ids for b in blocks for t in b]
+    assert [i for ids, _ in got for i in ids.tolist()] == [i for t in plain for i in t]
+
+
 def total(patterns, size):
     out = np.zeros(size, np.int64)
     for p in patterns:
