@@ -40,6 +40,8 @@ from pulsegrid.llm.common import Tokens, as_binary, mix64, read_table, release_m
 WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND = 24, 4
 REGISTERS = BANDS * BAND
+#: sets, or comparisons of two, that are written together at least
+_SETS_A_FILE = 1 << 10
 #: stands for a NULL doc_id where the smallest id counts
 _NO_ID = 2**63 - 1
 
@@ -415,14 +417,15 @@ def from_differences(x: pa.Table, y: pa.Table, a: np.ndarray, b: np.ndarray) ->
     return out
 
 
-def components(edges: DataFrame, name: str) -> DataFrame:
+def components(edges: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """(id, group) of every node on an edge (a, b): the smallest id that it reaches.
 
     Each round links the larger neighbours of every node, then the smaller ones,
     to the smallest node next to it, so paths shrink to stars in few rounds. The
     smallest neighbour of a node is a minimum that is pre-aggregated before the shuffle.
+    ``rows``: the most edges that there can be, if known.
     """
-    current = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), name)
+    current = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), name, rows)
     mark = None
     while True:
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -430,7 +433,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        current = stored(small.union(down.select("a", F.col("m").alias("b"))).filter("a > b").distinct(), name)
+        # an edge gives two at most
+        current = stored(small.union(down.select("a", F.col("m").alias("b"))).filter("a > b").distinct(), name, 2 * current.count())
         before, mark = mark, current.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if mark == before:
             break
@@ -456,7 +460,7 @@ def _classes(docs: DataFrame, similarity: float, key: Column | None = None) -> t
     signed = stored(signatures(docs, key), "signatures")
     named = F.coalesce("doc_id", F.lit(_NO_ID))
     classes = signed.filter("digest is not null").groupBy("digest").agg(F.min(named).alias("doc"), F.first("bands").alias("bands"))
-    classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), "digest", "doc", "bands"), "classes")
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), "digest", "doc", "bands"), "classes", signed.count())
     groups, links = _group(docs, classes, similarity)
     of_class = classes.select("id", "digest", "doc").join(groups, "id", "left").withColumn("group", F.coalesce("group", "id"))
     first = of_class.groupBy("group").agg(F.min("doc").alias("_first"))
@@ -465,34 +469,37 @@ def _classes(docs: DataFrame, similarity: float, key: Column | None = None) -> t
 
 def _group(docs: DataFrame, classes: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """(id, group) of the classes that have a candidate, and (id, links)."""
+    n = classes.count()
     buckets = classes.select("id", F.explode("bands").alias("bucket"))
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = stored(buckets.join(sizes, "bucket"), "buckets")
+    shared = stored(buckets.join(sizes, "bucket"), "buckets", n * BANDS)
     nodes = shared.select("id").distinct()
-    sets = stored(weighted_sets(docs, classes.join(nodes, "id", "left_semi")), "sets")
-    groups = stored(nodes.withColumn("group", F.col("id")), "groups")
+    sets = stored(weighted_sets(docs, classes.join(nodes, "id", "left_semi")), "sets", n, _SETS_A_FILE)
+    groups = stored(nodes.withColumn("group", F.col("id")), "groups", n)
+    in_buckets = shared.count()
     # rounding must not part texts that are exactly as similar as asked
     least = similarity - 1e-9
 
     def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
         """The groups after links (id, head) between their members."""
-        if not links.limit(1).count():
+        if not (edges := links.count()):
             return groups
         between = links.join(groups.select("id", F.col("group").alias("a")), "id")
         between = between.join(groups.select(F.col("id").alias("head"), F.col("group").alias("b")), "head").select("a", "b")
-        found = components(between, "components").select(F.col("id").alias("group"), F.col("group").alias("_to"))
-        return stored(groups.join(found, "group", "left").select("id", F.coalesce("_to", "group").alias("group")), "groups")
+        found = components(between, "components", edges).select(F.col("id").alias("group"), F.col("group").alias("_to"))
+        return stored(groups.join(found, "group", "left").select("id", F.coalesce("_to", "group").alias("group")), "groups", n)
 
     def against(heads: DataFrame, groups: DataFrame) -> DataFrame:
         """All members of a bucket with its head (bucket, head), where their groups differ."""
         of_head = groups.select(F.col("id").alias("head"), F.col("group").alias("_hg"))
         pairs = shared.select("id", "bucket").join(heads, "bucket").join(of_head, "head").join(groups, "id")
-        return stored(pairs.filter(F.col("group") != F.col("_hg")).select("id", "head").distinct(), "pairs")
+        return stored(pairs.filter(F.col("group") != F.col("_hg")).select("id", "head").distinct(), "pairs", in_buckets)
 
     # 1. one centre a bucket: a minimum, summed up before any shuffle
     first = F.min(F.struct(F.xxhash64("id").alias("h"), "id"))["id"]
-    centres = stored(shared.groupBy("bucket").agg(first.alias("head"), F.max("size").alias("size")), "centres")
-    relative = stored(compared(against(centres.select("bucket", "head"), groups), sets), "relative")
+    centres = stored(shared.groupBy("bucket").agg(first.alias("head"), F.max("size").alias("size")), "centres", in_buckets)
+    pairs = against(centres.select("bucket", "head"), groups)
+    relative = stored(compared(pairs, sets), "relative", pairs.count(), _SETS_A_FILE)
     verified = [relative.filter(F.col("similarity") >= least).select("id", "head")]
     groups = merged(groups, verified[0])
 
@@ -503,9 +510,10 @@ def _group(docs: DataFrame, classes: DataFrame, similarity: float) -> tuple[Data
         members = shared.select("id", "bucket").join(open_.select("bucket", "head", "centre_group"), "bucket").join(groups, "id")
         return members.filter(F.col("group") != F.col("centre_group"))
 
-    second = stored(strays(groups).groupBy("bucket").agg(first.alias("head")), "second")
+    second = stored(strays(groups).groupBy("bucket").agg(first.alias("head")), "second", in_buckets)
     if second.limit(1).count():
-        again = stored(compared(against(second, groups), sets).select("id", "head", "similarity"), "second-pairs")
+        pairs = against(second, groups)
+        again = stored(compared(pairs, sets).select("id", "head", "similarity"), "second-pairs", pairs.count(), _SETS_A_FILE)
         verified.append(again.filter(F.col("similarity") >= least).select("id", "head"))
         groups = merged(groups, verified[1])
 
@@ -514,7 +522,7 @@ def _group(docs: DataFrame, classes: DataFrame, similarity: float) -> tuple[Data
     of_bucket = shared.select("id", "bucket").join(centres.filter("size > 2").select("bucket", "head"), "bucket").join(loose.select("bucket").distinct(), "bucket")
     of_centre = of_bucket.join(loose, ["bucket", "id"], "left").groupBy("id", "head").agg(F.coalesce(F.bool_or("stray"), F.lit(False)).alias("stray"))
     members = of_centre.join(relative.drop("similarity"), ["id", "head"]).join(groups, "id").withColumnRenamed("head", "centre")
-    rest = stored(linked(stored(members, "members"), least), "rest")
+    rest = stored(linked(stored(members, "members", relative.count(), _SETS_A_FILE), least), "rest")
     groups = merged(groups, rest.filter("id != head").select("id", "head"))
 
     links = verified[0]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,7 @@ import pytest
 from conftest import docs_frame
 from support import SF_DIRS
 
+from pulsegrid.llm import common as C
 from pulsegrid.llm import neardup as N
 
 
@@ -128,6 +130,34 @@ def test_components_on_a_long_path(spark):
     assert got == {**{k: 0 for k in range(201)}, 1000: 1000, 1001: 1000}
 
 
+def test_small_steps_are_written_in_few_files(spark, monkeypatch):
+    """Each file costs processes that the executors start; 40 partitions of a few rows are a file, not 40."""
+    folders, scratch = [], C.scratch
+    monkeypatch.setattr(C, "scratch", lambda spark, name: folders.append(scratch(spark, name)) or folders[-1])
+    words = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join([*words[:k], f"edit{k}", *words[k + 1 :]])) for k in range(50)] + [(100 + k, f"other words of text {k} alone") for k in range(50)]
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        assert result(docs_frame(spark, rows).repartition(3)) == brute(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = [len(list(Path(f.removeprefix("file:")).glob("part-*"))) for f in folders]
+    # the signatures come from the table's own partitions, and the last pairs by blocks
+    assert len(files) > 8 and sorted(files)[-3] <= 1 and max(files) <= 4
+
+
+def test_partitions_written_together_keep_every_row(spark):
+    df = spark.range(0, 1000, 1, 20).select("id", N.F.monotonically_increasing_id().alias("n"))
+    for rows, files in ((1000, 4), (1, 1), (0, 1), (10**6, 20), (None, 20)):
+        back = C.stored(df, "test", rows, 256)
+        assert sorted(r["id"] for r in back.collect()) == list(range(1000)) and back.select("n").distinct().count() == 1000
+        assert len(back.inputFiles()) == files
+
+
 def test_query(spark):
     d = SF_DIRS["0.001"]
     t = pq.read_table(f"{d}/documents.parquet", columns=["doc_id", "text"])
