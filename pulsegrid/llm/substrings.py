@@ -12,18 +12,20 @@ Spark deals the suffixes out so that equal strings meet:
 
 1. The smallest (hashed) ``GRAM`` bytes within a string decide its bin, so equal strings
    share a bin, and neighbouring strings mostly do too: a run of them travels as
-   one piece of text. Grams that very many strings choose are found by a first pass
-   and used only where a string has no other, which spreads common passages by what
-   stands around them. A second pass finds the grams that many strings choose even so,
-   and their strings travel one by one, dealt by all their bytes: around a passage that
-   many documents share, each document's strings go to bins of their own, and only
-   equal strings meet.
+   one piece of text. Grams that too many strings choose are found by a first pass and
+   lengthened, to 16 bytes and where need be to 32: the more text there is, the more of
+   its grams are common, but longer ones are not, and a run stays a run. Further passes
+   find those that are still chosen too often. Strings that choose such a gram of 32 bytes
+   travel one by one, dealt by all their bytes: around a passage that many documents
+   share, each document's strings go to bins of their own, and only equal strings meet.
 2. Pieces that occur in several documents of a block stay with the smallest one; the
    others are settled on the spot. So a passage that a third of all documents
    share travels once for a block of texts, single strings once for a pack of blocks. What a
    text repeats within itself travels once, with all its places.
 3. Each bin runs the radix passes and returns byte ranges. Strings that no other of
    the bin can equal, told by one count over their hashes, leave before the first pass.
+   Where there are very many bins, neighbouring ones travel together and are sorted one
+   after the other, so that what a pack sends to one task stays large enough to compress.
 4. Ranges meet their documents in buckets, which cut them out.
 
 All strings are compared byte by byte. Texts are UTF-8 bytes, NULL is empty. A NULL doc_id
@@ -40,20 +42,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import as_binary, mix64, prefix_hash, ranges, read_table, segment_ids, span_hash, stored, text_blocks, text_column
+from pulsegrid.llm.common import as_binary, mix64, prefix_hash, ranges, read_table, release_memory, segment_ids, span_hash, stored, text_blocks, text_column
 
 LENGTH, GRAM = 50, 8
+#: bytes of a gram that is lengthened once and twice; the last bits of a chosen gram say how often it was
+LONGER = (16, 32)
 #: strings of a run that travel together at most; periodic texts would make endless runs
 _RUN = 64
 # text of one vectorised pass, of the pieces that are packed together, of a bin and of a bucket
-_BLOCK, _PACK, _BIN, _BUCKET = 1 << 20, 1 << 23, 1 << 20, 1 << 23
-#: a gram that more than this share of all strings choose is used last
+_BLOCK, _PACK, _BIN, _BUCKET = 1 << 20, 1 << 24, 1 << 20, 1 << 23
+# places whose grams are chosen at once: what this takes fits a core's cache
+_CHOOSE = 1 << 16
+# keys of a shuffle from which on neighbouring bins and buckets are joined, up to so many of them
+_KEYS, _BINS_A_SLOT, _BUCKETS_JOINED = 1 << 10, 16, 4
+#: a gram that more than this share of all strings choose is lengthened
 HEAVY = 1e-4
 #: strings of a gram that go to one bin as pieces, about; beyond so many, or this share of all strings if that is more
-#: (at most 1 / HOT_SHARE grams are sent to the tasks), they are dealt one by one
+#: (at most 1 / HOT_SHARE grams are sent to the tasks), it is lengthened, and those of the longest grams are dealt one by one
 HOT, HOT_SHARE = 1 << 18, 1e-7
 _NO_ID = 2**63 - 1
-_LAST = np.uint64(1 << 63)
+_ODD, _MOST = np.uint64(0x9E3779B97F4A7C15), ~np.uint64(0)
+# the bits of a chosen gram that are those of a longer one, and those that say how often it was lengthened
+_TELL, _LEVEL = np.uint64((1 << 31) - 1), np.uint64(3)
 
 
 def _words8(data: np.ndarray) -> np.ndarray:
@@ -64,28 +74,81 @@ def _words8(data: np.ndarray) -> np.ndarray:
     return ((x[:-4] << np.uint64(32)) | x[4:])[: len(data)]
 
 
-def _among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
-    """Places of the values that are ``listed`` (ascending); their low bits tell most others apart."""
-    if not len(listed):
-        return np.zeros(0, np.int64)
-    seen = np.zeros(1 << 16, bool)
-    seen[listed & np.uint64(0xFFFF)] = True
-    at = np.flatnonzero(seen[values & np.uint64(0xFFFF)])
-    some = values[at]
-    return at[listed[np.minimum(np.searchsorted(listed, some), len(listed) - 1)] == some]
+class _Listed:
+    """Tells which values are among some: each stands where its low bits say, those that find that place taken in a table of their own."""
+
+    def __init__(self, values: np.ndarray):
+        bits = min(max((len(values) * 16).bit_length(), 8), 22)
+        self.shift = np.uint64(2)
+        self.mask = np.uint64((1 << bits) - 1)
+        # what stands in a free place belongs to another
+        self.table = np.zeros(1 << bits, np.uint64)
+        self.table[0] = 1 << 2
+        at = values >> self.shift & self.mask
+        self.table[at] = values
+        left = values[self.table[at] != values]
+        self.more = _Listed(left) if len(left) else None
+
+    def among(self, values: np.ndarray) -> np.ndarray:
+        """Places of the values that are listed."""
+        found = self.table[values >> self.shift & self.mask] == values
+        if self.more is not None:
+            found[self.more.among(values)] = True
+        return np.flatnonzero(found)
+
+
+def _sizes(length: int) -> list[int]:
+    """Bytes of a gram, and of one that was lengthened once and twice."""
+    return [GRAM] + [size for size in LONGER if size <= length]
+
+
+def _least(values: np.ndarray, n: int) -> np.ndarray:
+    """The least of the ``n`` values from each place on, of fewer at the end."""
+    width = 1
+    while width < min(n, len(values)):
+        by = min(width, n - width)
+        out = values.copy()
+        np.minimum(values[:-by], values[by:], out=out[: len(out) - by])
+        values, width = out, width + by
+    return values
+
+
+def _choose(data: np.ndarray, length: int, heavy: _Listed | None) -> np.ndarray:
+    plain = mix64(_words8(data)) >> np.uint64(1)
+    key, sizes, longer = plain & ~_LEVEL, _sizes(length), []
+    if heavy is not None:
+        mixed, place = plain, heavy.among(key)
+        for level in range(1, len(sizes)):
+            if not len(place):
+                break
+            longer.append(place)
+            # those that reach beyond the end lie in no string
+            mixed = plain[place] if level == 1 else mixed
+            for step in range(sizes[level - 1], sizes[level], GRAM):
+                mixed = mix64(mixed * _ODD + plain[np.minimum(place + step, len(plain) - 1)])
+            # a longer gram keeps its turn
+            key[place] = (plain[place] & ~_TELL) | (mixed & _TELL & ~_LEVEL) | np.uint64(level)
+            still = heavy.among(key[place])
+            place, mixed = place[still], mixed[still]
+    # a string takes the least of the grams within it: the longer they are, the fewer of its places they can stand at
+    fits = [length - size + 1 for size in sizes[: len(longer) + 1]]
+    out = _least(key, fits[-1])
+    if longer:
+        out = out.copy()
+    for level in range(len(longer) - 1, -1, -1):
+        key[longer[level]] = _MOST
+        by = fits[level + 1]
+        if by < len(out):
+            np.minimum(out[:-by], _least(key, fits[level] - by)[by:], out=out[:-by])
+    return out
 
 
 def chosen_grams(data: np.ndarray, length: int, heavy: np.ndarray) -> np.ndarray:
-    """The smallest hashed gram of the string of ``length`` bytes at each place; ``heavy`` (ascending) ones come last."""
-    grams = mix64(_words8(data)) >> np.uint64(1)
-    grams[_among(grams, heavy)] |= _LAST
-    n = length - GRAM + 1  # grams within a string
-    out, width = grams, 1
-    while width * 2 <= n:
-        out = np.minimum(out, np.concatenate([out[width:], np.full(min(width, len(out)), ~np.uint64(0))]))
-        width *= 2
-    if width < n:
-        out = np.minimum(out, np.concatenate([out[n - width :], np.full(min(n - width, len(out)), ~np.uint64(0))]))
+    """The smallest hashed gram of the string of ``length`` bytes at each place; ``heavy`` ones are lengthened."""
+    out, listed = np.empty(len(data), np.uint64), _Listed(heavy) if len(heavy) else None
+    for a in range(0, len(data), _CHOOSE):
+        b = min(a + _CHOOSE, len(data))
+        out[a:b] = _choose(data[a : b + length - 1], length, listed)[: b - a]
     return out
 
 
@@ -112,15 +175,16 @@ def _sections(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.n
 class Pieces:
     """Runs of strings that chose one gram: ``text``, ``start`` in the block, ``count`` of strings, ``gram``.
 
-    Strings that chose one of the ``hot`` grams (ascending) are pieces by themselves: ``single``, with the hash
-    of all their bytes as ``gram``.
+    Strings that chose one of the ``hot`` grams are pieces by themselves: ``single``, with the hash of all their
+    bytes as ``gram``.
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, length: int, heavy: np.ndarray, hot: np.ndarray):
         place, text = _string_places(offsets, length)
         gram = chosen_grams(data, length, heavy)[place]
         alone = np.zeros(len(place), bool)
-        alone[_among(gram, hot)] = True
+        if len(hot):
+            alone[_Listed(hot).among(gram)] = True
         new = np.ones(len(place), bool)
         new[1:] = (gram[1:] != gram[:-1]) | (text[1:] != text[:-1]) | alone[1:]
         cuts = np.flatnonzero(new)
@@ -148,7 +212,11 @@ def _leaders(data: np.ndarray, prefix: np.ndarray, start: np.ndarray, size: np.n
 
     ``prefix``: the prefix hash of ``data``.
     """
-    mark = span_hash(prefix, start, start + size)
+    return _leaders_by(span_hash(prefix, start, start + size), data, start, size, rank)
+
+
+def _leaders_by(mark: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The same by a hash of each piece."""
     order = np.lexsort((rank, size, mark))
     same = np.zeros(len(order), bool)
     same[1:] = (mark[order][1:] == mark[order][:-1]) & (size[order][1:] == size[order][:-1])
@@ -198,6 +266,35 @@ def repeated(data: np.ndarray, prefix: np.ndarray, start: np.ndarray, count: np.
     return out
 
 
+def _settled(
+    doc: np.ndarray, key: np.ndarray, start: np.ndarray, count: np.ndarray, data: np.ndarray, more_of: np.ndarray, more: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The ranges (doc, key, start, end) that the pieces of a bin lose; ``more``: further places of the pieces ``more_of``."""
+    size = count + length - 1
+    at = np.cumsum(size) - size
+    prefix = prefix_hash(data)
+    lead = _leaders(data, prefix, at, size, doc)
+    own = np.flatnonzero(lead == np.arange(len(lead)))
+    flags = repeated(data, prefix, at[own], count[own], doc[own], length)
+    # a piece that equals one of a smaller document goes whole, one of the same document goes like that
+    at_flag = np.zeros(len(lead), np.int64)
+    at_flag[own] = np.cumsum(count[own]) - count[own]
+    # the further places of a piece within its text fare like it
+    doc, key, start, count, lead = np.append(doc, doc[more_of]), np.append(key, key[more_of]), np.append(start, more), np.append(count, count[more_of]), np.append(lead, lead[more_of])
+    of = np.repeat(np.arange(len(lead)), count)
+    gone = flags[ranges(at_flag[lead], count)] | (doc[lead] < doc)[of]
+    where = np.flatnonzero(gone)
+    # neighbouring strings of a piece as one range
+    new = np.ones(len(where), bool)
+    new[1:] = (np.diff(where) != 1) | (np.diff(of[where]) != 0)
+    first = np.flatnonzero(new)
+    last = where[np.append(first, len(where))[1:] - 1]
+    first = where[first]
+    of = of[first]
+    string = start[of] + (first - (np.cumsum(count) - count)[of])
+    return doc[of], key[of], string, string + (last - first) + length
+
+
 def _runs(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ranges of equal keys that touch or overlap as one: (key, start, end)."""
     order = np.lexsort((start, key))
@@ -213,16 +310,27 @@ def _runs(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarr
     return key[first], start[first], (far - lift)[np.append(first[1:], len(key)) - 1]
 
 
+_ZSTD = pa.Codec("zstd", compression_level=3)
+
+
 def _pack(*arrays: np.ndarray) -> bytes:
-    return b"".join(len(c).to_bytes(8, "little") + x.nbytes.to_bytes(8, "little") + c for x in arrays for c in [pa.compress(np.ascontiguousarray(x).tobytes(), codec="zstd", asbytes=True)])
+    """Arrays one after the other, compressed; the bytes of larger numbers by their place, so the high ones hardly count."""
+    out = []
+    for x in arrays:
+        plain = np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes() if x.itemsize > 1 else x.tobytes()
+        body = _ZSTD.compress(plain, asbytes=True) if plain else b""
+        out += [len(body).to_bytes(4, "little"), len(plain).to_bytes(4, "little"), body]
+    return b"".join(out)
 
 
 def _unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
     out, at = [], 0
     for kind in kinds:
-        size, plain = (int.from_bytes(blob[at + k : at + k + 8], "little") for k in (0, 8))
-        out.append(np.frombuffer(pa.decompress(blob[at + 16 : at + 16 + size], plain, codec="zstd", asbytes=True), kind))
-        at += 16 + size
+        size, plain = (int.from_bytes(blob[at + k : at + k + 4], "little") for k in (0, 4))
+        x = np.frombuffer(_ZSTD.decompress(blob[at + 8 : at + 8 + size], plain, asbytes=True) if plain else b"", np.uint8)
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(x.reshape(width, -1).T).view(kind).ravel() if width > 1 else x.view(kind))
+        at += 8 + size
     return out
 
 
@@ -279,7 +387,10 @@ def _chosen_counts(texts: DataFrame, length: int, heavy: np.ndarray, share: floa
             size += int(offsets[-1] - offsets[0])
             for _, _, inner, _ in _sections(offsets, length):
                 part, inner = data[inner[0] : inner[-1]], inner - inner[0]
-                gram = chosen_grams(part, length, heavy)[_string_places(inner, length)[0]]
+                # no string starts in the last bytes of a text
+                starts, rest = np.ones(len(part), bool), np.minimum(np.diff(inner), length - 1)
+                starts[ranges(inner[1:] - rest, rest)] = False
+                gram = chosen_grams(part, length, heavy)[starts]
                 strings += len(gram)
                 # neighbours mostly chose alike
                 cuts = np.flatnonzero(np.concatenate([gram[:1] == gram[:1], gram[1:] != gram[:-1]]))
@@ -299,29 +410,40 @@ def _chosen_counts(texts: DataFrame, length: int, heavy: np.ndarray, share: floa
             [pa.array(np.concatenate([np.zeros(keep.sum()), [1, 2]]).astype(np.int32)), pa.array(np.concatenate([gram[keep].view(np.int64), [0, 0]])),
              pa.array(np.concatenate([n[keep], [size, strings]]))], names=["kind", "gram", "n"]
         )
+        held.clear()
+        release_memory()
 
     counted = texts.select("text").mapInArrow(count, "kind int, gram long, n long")
     return stored(counted.groupBy("kind", "gram").agg(F.sum("n").alias("n")), "grams")
 
 
 def _statistics(texts: DataFrame, length: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """All bytes of all texts, the grams (ascending) that come last, and those whose strings go one by one.
+    """All bytes of all texts, the grams that are lengthened, and those of the longest whose strings go one by one.
 
-    Shares add up to one, so these are fewer than 1 / HEAVY and 1 / HOT_SHARE.
+    Shares add up to one, so each pass finds fewer than 1 / HEAVY or 1 / HOT_SHARE.
     """
 
     def over(totals: DataFrame, least: float) -> np.ndarray:
         rows = totals.filter((F.col("kind") == 0) & (F.col("n") > least)).select("gram").collect()
-        return np.sort(np.array([r["gram"] for r in rows], np.int64).view(np.uint64))
+        return np.array([r["gram"] for r in rows], np.int64).view(np.uint64)
 
-    totals = _chosen_counts(texts, length, np.zeros(0, np.uint64), HEAVY)
+    heavy = hot = np.zeros(0, np.uint64)
+    sizes = _sizes(length)
+    totals = _chosen_counts(texts, length, heavy, HEAVY)
     whole = {r["kind"]: r["n"] for r in totals.filter("kind > 0").collect()}
     size, strings = int(whole.get(1) or 0), int(whole.get(2) or 0)
-    heavy = over(totals, strings * HEAVY)
     least = max(HOT, strings * HOT_SHARE)
-    if strings <= least:
-        return size, heavy, np.zeros(0, np.uint64)
-    return size, heavy, over(_chosen_counts(texts, length, heavy, least / strings), least)
+    found = over(totals, min(strings * HEAVY, least) if len(sizes) > 1 else least)
+    for turn in range(len(sizes) + 1):
+        last = (found & _LEVEL) == np.uint64(len(sizes) - 1)
+        heavy, hot = np.concatenate([heavy, found[~last]]), np.concatenate([hot, found[last]])
+        # where no gram was lengthened, no string chooses anew
+        known = last.all() and (turn or strings * HEAVY <= least)
+        if known or strings <= least or turn == len(sizes):
+            break
+        found = over(_chosen_counts(texts, length, heavy, least / strings), least)
+        found = found[~np.isin(found, hot)]
+    return size, heavy, hot
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -330,37 +452,40 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     total, heavy, hot = _statistics(texts, length)
     again = texts.groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
     bins, buckets = max(1, -(-total // _BIN)), max(1, -(-total // _BUCKET))
+    # neighbouring bins of a slot travel together
+    together = min(max(bins // _KEYS, 1), _BINS_A_SLOT)
+    buckets = max(1, -(-buckets // min(max(buckets // _KEYS, 1), _BUCKETS_JOINED)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        # of a pack: its texts (doc, key, place of the first byte), pieces (text, place, count, gram, single), further
+        # places (place, piece), and all bytes
+        held: list[list[np.ndarray]] = [[] for _ in range(11)]
 
         def packed() -> Iterator[pa.RecordBatch]:
-            doc, key, start, count, gram, single, more = (np.concatenate([h[k] for h in held]) for k in range(7))
-            base = np.cumsum([0] + [len(h[0]) for h in held])
-            more_of = np.concatenate([h[7] + b for h, b in zip(held, base, strict=False)])
-            base = np.cumsum([0] + [len(h[9]) for h in held])
-            at = np.concatenate([h[8] + b for h, b in zip(held, base, strict=False)])
-            body = np.concatenate([h[9] for h in held])
-            held.clear()
-            stays = np.ones(len(doc), bool)
+            docs, keys, begin, text, at, count, gram, single, more, more_of, body = (np.concatenate(h) for h in held)
+            for h in held:
+                h.clear()
+            stays = np.ones(len(text), bool)
             alone = np.flatnonzero(single)
             if len(alone):
-                strings = body[ranges(at[alone], np.full(len(alone), length))]
-                lead = _leaders(strings, prefix_hash(strings), np.arange(len(alone)) * length, np.full(len(alone), length), doc[alone])
-                stays[alone] = doc[alone[lead]] == doc[alone]
+                own = docs[text[alone]]
+                lead = _leaders_by(gram[alone], body, at[alone], np.full(len(alone), length), own)
+                stays[alone] = own[lead] == own
                 gone, with_it = np.flatnonzero(~stays), ~stays[more_of]
-                of, where = np.concatenate([gone, more_of[with_it]]), np.concatenate([start[gone], more[with_it]])
+                of = text[np.concatenate([gone, more_of[with_it]])]
+                where = np.concatenate([at[gone] - begin[text[gone]], more[with_it]])
                 if len(of):
-                    found = list(_marks(doc[of], key[of], where, where + length, buckets))
+                    found = list(_marks(docs[of], keys[of], where, where + length, buckets))
                     yield _rows([s for s, _ in found], _MARKS, [m for _, m in found])
                 more, more_of = more[~with_it], more_of[~with_it]
-            slot = (gram % np.uint64(bins)).astype(np.int64)
+            within = (gram % np.uint64(bins)).astype(np.int64)
             # pieces with one gram lie side by side, where they compress well
             order = np.flatnonzero(stays)
             low = 63 - bins.bit_length()
-            order = order[np.argsort((slot[order] << low) | (gram[order] & np.uint64((1 << low) - 1)).astype(np.int64))]
+            order = order[np.argsort((within[order] << low) | (gram[order] & np.uint64((1 << low) - 1)).astype(np.int64))]
+            slot = within // together
             cuts = np.append(np.flatnonzero(np.diff(slot[order], prepend=-1)), len(order))
-            number = np.zeros(len(doc), np.int64)
+            number = np.zeros(len(text), np.int64)
             number[order] = np.arange(len(order))
             turn = np.argsort(number[more_of], kind="stable")
             more, more_of = more[turn], number[more_of][turn]
@@ -369,12 +494,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 slots, bodies = [], []
                 for c in range(k, min(k + 64, len(cuts) - 1)):
                     some, extra = order[cuts[c] : cuts[c + 1]], slice(more_cuts[c], more_cuts[c + 1])
-                    text = body[ranges(at[some], count[some] + length - 1)]
+                    of, n = text[some], count[some]
                     slots.append(int(slot[some[0]]))
-                    bodies.append(_pack(doc[some], key[some], start[some].astype(np.int64), count[some].astype(np.uint8), text, more_of[extra] - cuts[c], more[extra]))
+                    each = np.bincount(within[some] - slots[-1] * together, minlength=together)
+                    strings = body[ranges(at[some], n.astype(np.int64) + length - 1)]
+                    bodies.append(_pack(each, docs[of], keys[of], at[some] - begin[of], n, strings, more_of[extra] - cuts[c], more[extra]))
                 yield _rows(slots, _PIECES, bodies)
 
-        size = 0
+        size = n_texts = n_pieces = 0
         for batch in batches:
             data, offsets = as_binary(batch.column("text"))
             ids = batch.column("doc_id").to_numpy()
@@ -400,15 +527,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 more = (lead != np.arange(len(lead))) & (p.text[lead] == p.text)
                 go = ~later & ~more & first[p.text]
                 more &= first[p.text]
-                start, count = p.start[go], p.count[go]
-                held.append((doc[go], keys[p.text[go]], start - inner[p.text[go]] + before, count, p.gram[go], p.single[go],
-                             p.start[more] - inner[p.text[more]] + before, (np.cumsum(go) - 1)[lead[more]], start, part))
-                size += len(part)
+                now = (
+                    own, keys, inner[:-1] - before + size, (p.text[go] + n_texts).astype(np.int32), p.start[go] + size, p.count[go].astype(np.uint8), p.gram[go], p.single[go],
+                    p.start[more] - inner[p.text[more]] + before, (np.cumsum(go) - 1)[lead[more]] + n_pieces, part,
+                )
+                for h, x in zip(held, now, strict=True):
+                    h.append(x)
+                size, n_texts, n_pieces = size + len(part), n_texts + len(own), n_pieces + len(now[3])
                 if size >= _PACK:
                     yield from packed()
-                    size = 0
-        if held:
+                    release_memory()
+                    size = n_texts = n_pieces = 0
+        if size:
             yield from packed()
+            release_memory()
 
     def sort_bin(table: pa.Table) -> pa.Table:
         slots, bodies = [], []
@@ -419,37 +551,26 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 slots.append(slot[k] // 2)
                 bodies.append(body[k].as_py())
             else:
-                pieces.append(_unpack(body[k].as_py(), "<i8", "<u8", "<i8", "u1", "u1", "<i8", "<i8"))
-        if pieces:
-            doc, key, start, count, data = (np.concatenate([p[i] for p in pieces]) for i in range(5))
-            base = np.cumsum([0] + [len(p[0]) for p in pieces])
-            more_of, more = np.concatenate([p[5] + b for p, b in zip(pieces, base, strict=False)]), np.concatenate([p[6] for p in pieces])
-            del pieces
-            count = count.astype(np.int64)
-            size = count + length - 1
-            at = np.cumsum(size) - size
-            prefix = prefix_hash(data)
-            lead = _leaders(data, prefix, at, size, doc)
-            own = np.flatnonzero(lead == np.arange(len(lead)))
-            flags = repeated(data, prefix, at[own], count[own], doc[own], length)
-            # a piece that equals one of a smaller document goes whole, one of the same document goes like that
-            at_flag = np.zeros(len(lead), np.int64)
-            at_flag[own] = np.cumsum(count[own]) - count[own]
-            # the further places of a piece within its text fare like it
-            doc, key, start, count, lead = np.append(doc, doc[more_of]), np.append(key, key[more_of]), np.append(start, more), np.append(count, count[more_of]), np.append(lead, lead[more_of])
-            of = np.repeat(np.arange(len(lead)), count)
-            gone = flags[ranges(at_flag[lead], count)] | (doc[lead] < doc)[of]
-            where = np.flatnonzero(gone)
-            if len(where):
-                # neighbouring strings of a piece as one range
-                new = np.ones(len(where), bool)
-                new[1:] = (np.diff(where) != 1) | (np.diff(of[where]) != 0)
-                first, last = where[new], where[np.append(np.flatnonzero(new)[1:], len(where)) - 1]
-                of = of[first]
-                string = start[of] + (first - (np.cumsum(count) - count)[of])
-                for s, m in _marks(doc[of], key[of], string, string + (last - first) + length, buckets):
-                    slots.append(s)
-                    bodies.append(m)
+                pieces.append(_unpack(body[k].as_py(), "<i8", "<i8", "<u8", "<i8", "u1", "u1", "<i8", "<i8"))
+        # where in each row its bins begin: pieces, their text, further places
+        cuts = [np.concatenate(([0], np.cumsum(p[0]))) for p in pieces]
+        text_cuts = [np.concatenate(([0], np.cumsum(p[4].astype(np.int64) + length - 1)))[c] for p, c in zip(pieces, cuts, strict=True)]
+        more_cuts = [np.searchsorted(p[6], c) for p, c in zip(pieces, cuts, strict=True)]
+        found = []
+        for k in range(together):
+            some = [
+                [x[c[k] : c[k + 1]] for x in p[1:5]] + [p[5][t[k] : t[k + 1]], p[6][m[k] : m[k + 1]] - c[k], p[7][m[k] : m[k + 1]]]
+                for p, c, t, m in zip(pieces, cuts, text_cuts, more_cuts, strict=True)
+            ]
+            base = np.cumsum([0] + [len(p[0]) for p in some])
+            if base[-1]:
+                doc, key, start, count, data, _, more = (np.concatenate([p[i] for p in some]) for i in range(7))
+                more_of = np.concatenate([p[5] + b for p, b in zip(some, base, strict=False)])
+                found.append(_settled(doc, key, start, count.astype(np.int64), data, more_of, more, length))
+        if any(len(f[0]) for f in found):
+            for s, m in _marks(*(np.concatenate(x) for x in zip(*found, strict=True)), buckets):
+                slots.append(s)
+                bodies.append(m)
         return pa.table([pa.array(slots, pa.int64()), pa.array(bodies, pa.binary())], names=["bucket", "marks"])
 
     dealt = texts.mapInArrow(deal, _TRAVEL)
@@ -475,6 +596,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     slots.append(int(bucket[order[x]]))
                     bodies.append(_pack(own[some], keys[some], copies[order[x:y]].astype(np.int64), size.astype(np.int64), part[ranges(inner[some], size)]))
                 yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(bodies, pa.binary())], names=["place", "texts"])
+        release_memory()
 
     def cut(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         where: dict[tuple, list] = {}

@@ -87,6 +87,57 @@ def test_bins_stay_even_as_more_documents_share_a_passage(spark, monkeypatch):
     assert most[1200] < 1.5 * most[600] + 1500 * 4
 
 
+@pytest.mark.parametrize("hot", [250, 1000])
+def test_common_grams_of_a_small_vocabulary_leave_runs_whole(spark, monkeypatch, hot):
+    monkeypatch.setattr(S, "HOT", hot)
+    rng = random.Random(11)
+    words = ["".join(rng.choice("etaoinshr") for _ in range(rng.randrange(3, 9))) for _ in range(60)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(110))) for i in range(300)]
+    rows += [(i + 200, t[100:400]) for i, t in rows[:120]]
+    docs = docs_frame(spark, rows).repartition(4)
+    _, heavy, hot = S._statistics(docs, 50)
+    data, offsets = S.as_binary(S.pa.array([t for _, t in rows]))
+    p = S.Pieces(data, offsets, 50, heavy, hot)
+    # what travels: the strings' bytes, 49 more for each piece
+    assert (p.count + 49).sum() < 5 * len(data)
+    assert p.single.sum() < 0.02 * p.count.sum()
+    assert found(docs, 50) == brute(rows, 50)
+
+
+@pytest.mark.parametrize("n", [1000, 70_000])
+def test_grams_are_chosen_by_the_bytes_of_the_string_alone(n):
+    data = np.random.default_rng(n).integers(97, 101, n).astype(np.uint8)
+    plain = S.chosen_grams(data, 50, np.zeros(0, np.uint64))[: n - 49]
+    once = S.chosen_grams(data, 50, np.unique(plain)[::2])[: n - 49]
+    twice = np.concatenate([np.unique(plain)[::2], np.unique(once)[::3]])
+    seen = S.chosen_grams(data, 50, twice)
+    assert set((seen[: n - 49] & S._LEVEL).tolist()) == {0, 1, 2}
+    for at in [*range(0, n - 49, n // 50), S._CHOOSE - 1, S._CHOOSE, n - 50]:
+        if at <= n - 50:
+            assert S.chosen_grams(data[at : at + 50], 50, twice)[0] == seen[at]
+
+
+@pytest.mark.parametrize(("keys", "slots"), [(1, 16), (2, 3), (5, 16)])
+def test_bins_that_travel_together(spark, monkeypatch, keys, slots):
+    monkeypatch.setattr(S, "_KEYS", keys)
+    monkeypatch.setattr(S, "_BINS_A_SLOT", slots)
+    monkeypatch.setattr(S, "_BIN", 700)
+    monkeypatch.setattr(S, "_BUCKET", 900)
+    monkeypatch.setattr(S, "_PACK", 6000)
+    monkeypatch.setattr(S, "_BLOCK", 2000)
+    rng = random.Random(keys)
+    text = lambda n: "".join(rng.choice("etaoin ") for _ in range(n))
+    passage = text(180)
+    rows = [(i % 50, text(rng.randrange(250)) + passage[rng.randrange(90) :] * (i % 3) + text(30)) for i in range(70)]
+    assert found(docs_frame(spark, rows).repartition(3), 50) == brute(rows, 50)
+
+
+def test_texts_without_repeats(spark):
+    rng = random.Random(2)
+    rows = [(i, "".join(rng.choice("abcdefgh") for _ in range(300))) for i in range(40)]
+    assert found(docs_frame(spark, rows), 50) == brute(rows, 50)
+
+
 def test_edges_and_empty(spark, no_docs):
     rows = [(i, t[:3000] if t else t) for i, t in EDGE_ROWS]
     assert found(docs_frame(spark, rows), 50) == brute(rows, 50)
